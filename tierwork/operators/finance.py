@@ -1,6 +1,7 @@
 """Rates, allocations, periods and account views.
 
-Amounts are decimals; a ratio is computed as double and cut to a decimal once, at the end.
+Amounts are decimals. Conversions divide decimals and round once; shares of an allocation are doubles, so that they add
+up to the amount shared out.
 """
 
 from __future__ import annotations
@@ -59,7 +60,7 @@ def convert(fact: DataFrame, rates: DataFrame, entity: str, date: str, month: st
     if reporting is not None:
         used = F.when(reporting, F.lit(1).cast("decimal(18,4)")).otherwise(used)
     return joined.select(*fact.columns, used.alias("fx_rate"), *[
-        money(safe_ratio(F.col(a), used)).alias(f"{a}_eur") for a in amounts
+        money(F.try_divide(F.col(a), used)).alias(f"{a}_eur") for a in amounts
     ])
 
 
@@ -106,7 +107,7 @@ def spread_deferred(lines: DataFrame, key: Sequence[str], start: str, end: str,
     return out.withColumn("deferred_date", F.explode("__months")).select(
         *[c for c in lines.columns if c not in (start, amount)],
         F.coalesce(F.trunc("deferred_date", "MM"), F.col(start)).alias(start),
-        money(safe_ratio(F.col(amount), F.col("period_count"))).alias(amount),
+        money(F.try_divide(F.col(amount), F.col("period_count"))).alias(amount),
         F.col("deferred_date").isNotNull().alias("is_deferred"), "period_count",
     )
 
@@ -144,7 +145,7 @@ def split_by_date(gap: DataFrame, ledger: DataFrame, keys: Sequence[str], date:
     totals = dated.groupBy(*keys).agg(F.sum("__c").alias("__total"), F.count(F.lit(1)).alias("__n"))
     share = F.coalesce(safe_ratio(F.col("__c"), F.col("__total")), 1 / F.col("__n").cast("double"), F.lit(1.0))
     return gap.join(totals, list(keys), "left").join(dated, list(keys), "left").select(
-        *keys, date, (F.col("gap").cast("double") * share).cast("decimal(38,10)").alias("gap")
+        *keys, date, (F.col("gap").cast("double") * share).alias("gap")
     )
 
 
@@ -158,7 +159,7 @@ def allocate(gap: DataFrame, lines: DataFrame, keys: Sequence[str], weight: str)
     per_doc = gap.groupBy(*keys).agg(F.sum("gap").alias("__gap")).where("__gap <> 0").join(totals, list(keys))
     share = F.coalesce(safe_ratio(F.col(weight), F.col("__weight")), 1 / F.col("__n").cast("double"))
     return lines.join(per_doc, list(keys)).select(
-        *lines.columns, (F.col("__gap").cast("double") * share).cast("decimal(38,10)").alias("allocated")
+        *lines.columns, (F.col("__gap").cast("double") * share).alias("allocated")
     )
 
 

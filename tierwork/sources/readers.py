@@ -57,10 +57,11 @@ def add_sequence(df: DataFrame, order: Sequence[str], split: Column, into: str =
     return running(df, [], order, split, {into: rank()})
 
 
-def split_hash_union(df: DataFrame, cond: Column, keys_if: Sequence[str], keys_else: Sequence[str], into: str = "hash_id") -> DataFrame:
+def split_hash_union(df: DataFrame, cond: Column, keys_if: Sequence[str], keys_else: Sequence[str],
+                     into: str = "hash_id", bits: int = 512) -> DataFrame:
     """Rows that meet the condition are identified by one key list, the others by another; one projection."""
     def digest(keys: Sequence[str]) -> Column:
-        return F.sha2(F.concat_ws("~", *[F.col(k).cast("string") for k in keys]), 512)
+        return F.sha2(F.concat_ws("~", *[F.col(k).cast("string") for k in keys]), bits)
 
     return df.withColumn(into, F.when(cond, digest(keys_if)).otherwise(digest(keys_else)))
 
