@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwork.operators.ordered import following, keep_first, previous, rank, running
+from tierwork.sources.storage import cut_lineage
 
 OPEN_END = dt.datetime(9999, 12, 31)
 FIRST_START = dt.datetime(1990, 1, 1)
@@ -18,10 +19,11 @@ UNKNOWN = -1
 def versions_from_log(log: DataFrame, key: str, hash_col: str, ts: str, split: Column) -> DataFrame:
     """Change log -> one row per unbroken run of equal hashes, with ``start_datetime`` and ``end_datetime``.
 
-    A run starts where the hash differs from the previous row of the key and ends where the next run starts.
+    A run starts where the hash differs from the previous row of the key and ends where the next run starts. The starts,
+    far fewer than the log's rows, are checkpointed so that the second pass does not read the log again.
     """
     seen = running(log, [key], [ts], split, {"__before": previous(F.col(hash_col))})
-    starts = seen.where(F.col("__before").isNull() | (F.col("__before") != F.col(hash_col))).drop("__before")
+    starts = cut_lineage(seen.where(F.col("__before").isNull() | (F.col("__before") != F.col(hash_col))).drop("__before"))
     ended = running(starts, [key], [ts], split, {"__next": following(F.col(ts))})
     return ended.withColumn("start_datetime", F.col(ts)).withColumn(
         "end_datetime", F.coalesce("__next", F.lit(OPEN_END))
@@ -43,6 +45,7 @@ def apply_log(dim: DataFrame, log: DataFrame, key: str, hash_col: str, ts: str,
     added = versions_from_log(fresh, key, hash_col, ts, split).withColumn(
         "is_current", (F.col("end_datetime") == F.lit(OPEN_END)).cast("int")
     )
+    added = cut_lineage(added)
     firsts = added.groupBy(key).agg(F.min("start_datetime").alias("__closed"))
     return close_current(dim, firsts, key, F.col("__closed")).unionByName(added.select(*dim.columns))
 
