@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tierwork.functions.dates import fiscal_to_calendar, month_sequence, month_start
 from tierwork.functions.values import map_value, money, safe_ratio
-from tierwork.operators.ordered import keep_first, with_group_stats
+from tierwork.operators.ordered import keep_first, with_stats_of
 
 
 def fx_rates(rates: DataFrame, entities: DataFrame, scenario: str, period: str, currency: str, rate: str) -> DataFrame:
@@ -82,16 +82,16 @@ def explode_usage(lines: DataFrame, usage: DataFrame, key: str, replaced: Sequen
     ], F.coalesce("__hit", F.lit(False)).alias("from_usage"))
 
 
-def first_seen(df: DataFrame, keys: Sequence[str], date: str, into: str) -> DataFrame:
-    return with_group_stats(df, keys, **{into: F.min(date)})
+def own_or_group(group: Column, own: Column) -> Column:
+    """Grouping key that is the group where there is one, else the row's own key."""
+    return F.when(group.isNull() | group.isin("NaN", "No Group"), F.concat(F.lit("own:"), own)).otherwise(
+        F.concat(F.lit("group:"), group)
+    )
 
 
-def group_start(df: DataFrame, group: str, own: str, date: str, into: str) -> DataFrame:
-    """First date of the row's group; rows without a group use their own key."""
-    by = F.when(F.col(group).isNull() | F.col(group).isin("NaN", "No Group"), F.concat(F.lit("own:"), F.col(own))).otherwise(
-        F.concat(F.lit("group:"), F.col(group))
-    )
-    return with_group_stats(df.withColumn("__by", by), ["__by"], **{into: F.min(date)}).drop("__by")
+def first_seen(df: DataFrame, date: str, starts: Mapping[str, str]) -> DataFrame:
+    """First date per key: ``starts`` names a new column for each key column."""
+    return with_stats_of(df, [([key], {into: F.min(date)}) for into, key in starts.items()])
 
 
 def spread_deferred(lines: DataFrame, key: Sequence[str], start: str, end: str, amount: str,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tierwork.functions.text import MISSING
 from tierwork.functions.values import map_value, priority_rank
 from tierwork.operators.cdc import current_rows
-from tierwork.operators.ordered import keep_first, rank, running, with_group_stats
+from tierwork.operators.ordered import group_size, keep_first, rank, running
 
 FARTHEST = 2**63 - 1
 
@@ -59,11 +59,10 @@ def duplicate_profile(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       priority_col: str | None = None, ranks: Mapping[str, int] | None = None) -> DataFrame:
     """Add ``priority``, ``occurrence`` (rows of the key) and ``row_number`` (by priority, then ``order``)."""
     prio = priority_rank(F.col(priority_col), ranks or {}) if priority_col else F.lit(999)
-    ranked = running(
+    return running(
         df.withColumn("priority", prio), keys, ["priority", *order], F.struct(F.col("priority"), split),
-        {"row_number": rank()},
+        {"row_number": rank(), "occurrence": group_size()},
     )
-    return with_group_stats(ranked, keys, nullable_keys=True, occurrence=F.count(F.lit(1)))
 
 
 def duplicates_only(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -46,6 +46,16 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], nullable_keys: bool = F
     return df.join(right, cond, "left").select(*df.columns, *stats)
 
 
+def with_stats_of(df: DataFrame, groupings: Sequence[tuple[Sequence[str], Mapping[str, Column]]]) -> DataFrame:
+    """Aggregates of several groupings at once. Each is computed from ``df`` itself, so n groupings read it n + 1 times
+    (nesting ``with_group_stats`` would read it 2 ** n times)."""
+    out, names = df, list(df.columns)
+    for keys, stats in groupings:
+        out = out.join(df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), list(keys), "left")
+        names += list(stats)
+    return out.select(*names)
+
+
 @dataclass(frozen=True)
 class _Running:
     """One running output: value inside the cell, summary of a cell, what earlier cells hand over, and the merge."""
@@ -80,7 +90,14 @@ def last_seen(col: Column) -> _Running:
     return _Running("last_seen", col)
 
 
+def group_size() -> _Running:
+    """Rows of the whole group; comes with the cell summaries."""
+    return _Running("size")
+
+
 def _inside(s: _Running, w, upto) -> Column:
+    if s.kind == "size":
+        return F.lit(None).cast("long")
     if s.kind == "rank":
         return F.row_number().over(w).cast("long")
     if s.kind == "sum":
@@ -95,7 +112,7 @@ def _inside(s: _Running, w, upto) -> Column:
 
 
 def _of_cell(s: _Running, position: Column) -> Column:
-    if s.kind == "rank":
+    if s.kind in ("rank", "size"):
         return F.count(F.lit(1))
     if s.kind == "sum":
         return F.sum(s.col)
@@ -109,6 +126,8 @@ def _of_cell(s: _Running, position: Column) -> Column:
 
 
 def _handed_over(s: _Running, name: str, across) -> Column:
+    if s.kind == "size":
+        return F.sum(name).over(across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     if s.kind in ("rank", "sum"):
         return F.sum(name).over(before)
