@@ -52,50 +52,44 @@ def spine(entities: DataFrame, values: Column, into: str) -> DataFrame:
 
 
 def link_intercompany(sales: DataFrame, purchase_lines: DataFrame, purchase_heads: DataFrame) -> DataFrame:
-    """Sales line -> purchase line -> purchase head -> sister company's sales line -> its purchase line.
+    """Sales line -> its purchase line -> purchase head -> the sister company's sales line -> that line's purchase line.
 
-    sales(trans_id, company, order_id), purchase_lines(purchase_id, company, ref_trans_id, trans_id),
-    purchase_heads(purchase_id, company, sister_company, sister_order_id). Four left equi-joins on
-    (transaction, company) pairs.
+    sales(trans_id, company, order_id, ref_trans_id), purchase_lines(trans_id, company, purchase_id, sister_trans_id),
+    purchase_heads(purchase_id, company, sister_company). Four left equi-joins on (transaction, company) pairs.
     """
-    pl = purchase_lines.select("ref_trans_id", F.col("company").alias("pl_company"), "purchase_id",
-                               F.col("trans_id").alias("pl_trans_id"))
-    ph = purchase_heads.select(F.col("purchase_id").alias("ph_purchase_id"), F.col("company").alias("ph_company"),
-                               "sister_company", "sister_order_id")
-    sister = sales.select(F.col("trans_id").alias("sister_trans_id"), F.col("company").alias("s_company"),
-                          F.col("order_id").alias("s_order_id"))
-    spl = purchase_lines.select(F.col("ref_trans_id").alias("spl_ref"), F.col("company").alias("spl_company"),
-                                F.col("purchase_id").alias("sister_purchase_id"))
-    c = F.col
+    line = purchase_lines.select(
+        F.col("trans_id").alias("ref_trans_id"), "company", "purchase_id", "sister_trans_id")
+    head = purchase_heads.select("purchase_id", "company", F.upper("sister_company").alias("sister_company"))
+    sister = sales.select(
+        F.col("trans_id").alias("sister_trans_id"), F.col("company").alias("sister_company"),
+        F.col("order_id").alias("sister_order_id"), F.col("ref_trans_id").alias("sister_ref"))
+    sister_line = purchase_lines.select(
+        F.col("trans_id").alias("sister_ref"), F.col("company").alias("sister_company"),
+        F.col("purchase_id").alias("sister_purchase_id"))
     return (
-        sales.join(pl, (c("trans_id") == c("ref_trans_id")) & (c("company") == c("pl_company")), "left")
-        .join(ph, (c("purchase_id") == c("ph_purchase_id")) & (c("company") == c("ph_company")), "left")
-        .join(sister, (c("sister_order_id") == c("s_order_id")) & (c("sister_company") == c("s_company"))
-              & (c("pl_trans_id") == c("sister_trans_id")), "left")
-        .join(spl, (c("sister_trans_id") == c("spl_ref")) & (c("sister_company") == c("spl_company")), "left")
-        .select("trans_id", "company", "order_id", "purchase_id", "sister_company", "sister_order_id",
-                "sister_trans_id", "sister_purchase_id")
+        sales.join(line, ["ref_trans_id", "company"], "left")
+        .join(head, ["purchase_id", "company"], "left")
+        .join(sister, ["sister_trans_id", "sister_company"], "left")
+        .join(sister_line, ["sister_ref", "sister_company"], "left")
+        .select("trans_id", "company", "order_id", "purchase_id", "sister_company", "sister_trans_id",
+                "sister_order_id", "sister_purchase_id")
     )
 
 
 def match_external(ext: DataFrame, own: DataFrame, keys: Sequence[str], rule: str, loose_rules: Sequence[str],
-                   note: str) -> DataFrame:
-    """External rows against own rows, full outer on the keys and - except for loose rules - on the delivery note.
+                   note: str, own_cols: Sequence[str]) -> DataFrame:
+    """External rows full-joined to own rows on the keys and - except under loose rules - on the delivery note.
 
-    The note takes part in the equi-key (empty for loose rules), so every rule runs in the same join.
+    Split by kind of rule, so that both parts are equi-joins instead of one join on an OR.
     """
-    strict = ~F.col(rule).isin(*loose_rules)
-    a = ext.withColumn("__note", F.when(strict, F.col(note)).otherwise(F.lit("")))
-    loose_key = F.array(F.struct(F.col(note).alias("n"), F.lit(True).alias("s")), F.struct(F.lit("").alias("n"), F.lit(False).alias("s")))
-    b = own.withColumn("__side", F.explode(loose_key)).select(
-        *[F.col(k).alias(f"own_{k}") for k in keys], F.col(note).alias(f"own_{note}"), F.col("own_id"),
-        F.col("__side.n").alias("__own_note"), F.col("__side.s").alias("__strict"),
+    mine = own.select(*[F.col(c).alias(f"own_{c}") for c in dict.fromkeys([*keys, note, *own_cols])])
+    same = reduce(lambda p, q: p & q, [F.col(k) == F.col(f"own_{k}") for k in keys])
+    loose = F.coalesce(F.col(rule).isin(*loose_rules), F.lit(False))
+    strict_hits = ext.where(~loose).join(mine, same & (F.col(note) == F.col(f"own_{note}")), "left")
+    loose_hits = ext.where(loose).join(mine, same, "left")
+    alone = mine.join(
+        ext.where(~loose).select(*keys, note).distinct(), same & (F.col(note) == F.col(f"own_{note}")), "left_anti"
+    ).join(ext.where(loose).select(*keys).distinct(), same, "left_anti").select(
+        *[F.lit(None).cast(kind).alias(c) for c, kind in ext.dtypes], *mine.columns
     )
-    cond = reduce(lambda p, q: p & q, [F.col(k) == F.col(f"own_{k}") for k in keys])
-    hits = a.join(b, cond & (F.col("__note") == F.col("__own_note")) & (strict == F.col("__strict")), "left")
-    seen = hits.where(F.col("own_id").isNotNull()).select("own_id").distinct()
-    unmatched = own.join(seen, "own_id", "left_anti").select(
-        *[F.lit(None).cast(t).alias(c) for c, t in ext.dtypes], "own_id",
-        *[F.col(k).alias(f"own_{k}") for k in keys],
-    )
-    return hits.select(*ext.columns, "own_id", *[f"own_{k}" for k in keys]).unionByName(unmatched)
+    return strict_hits.unionByName(loose_hits).unionByName(alone)

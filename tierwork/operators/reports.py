@@ -51,30 +51,31 @@ def report_rows(actual: DataFrame, budget: DataFrame, lines: Sequence[Line], rep
     return body.unionByName(blanks).withColumn("report_type", F.lit(report))
 
 
-def ageing_bucket(days: Column, soon: int = 55, due: int = 60) -> Column:
-    return F.when(days < soon, f"<{soon}").when(days <= due, f"{soon}-{due}").otherwise(f">{due}")
+def ageing_bucket(days: Column) -> Column:
+    """Days on site: fixed limits and labels of the demo-order report."""
+    return F.when(days < 55, "1. OK").when(days <= 60, "2. In Danger").when(days > 60, "3. Overdue")
 
 
 @dataclass(frozen=True)
 class VendorRule:
-    """How one vendor wants its rows: which rows, and an expression per report column (absent ones stay NULL)."""
+    """How one vendor wants its rows: a row filter and an expression per report column, as SQL text (absent ones stay NULL)."""
 
     vendor: str
-    keep: Column
-    columns: Mapping[str, Column]
+    keep: str
+    columns: Mapping[str, str]
 
 
 def vendor_report(df: DataFrame, vendor: str, rules: Sequence[VendorRule], columns: Mapping[str, str], common: Sequence[str]) -> DataFrame:
     """One wide report over all vendors: a CASE per column and one combined row filter, in a single projection."""
     keep = F.lit(False)
     for r in rules:
-        keep = keep | ((F.col(vendor) == r.vendor) & r.keep)
+        keep = keep | ((F.col(vendor) == r.vendor) & F.expr(r.keep))
 
     def one(name: str, kind: str) -> Column:
         out = F.lit(None)
         for r in reversed(rules):
             if name in r.columns:
-                out = F.when(F.col(vendor) == r.vendor, r.columns[name]).otherwise(out)
+                out = F.when(F.col(vendor) == r.vendor, F.expr(r.columns[name])).otherwise(out)
         return out.cast(kind).alias(name)
 
     return df.where(keep).select(*common, *[one(n, k) for n, k in columns.items()])

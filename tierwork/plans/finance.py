@@ -115,7 +115,7 @@ LEFT JOIN edge e ON e.nation = o.nation
 @plan("day_rate", f"""
 WITH {NATION_ORDERS}, rates AS (
   SELECT o_date AS d, 'C' || (nation % 5) AS f, 'C' || ((nation + 1) % 5) AS t, (10001 + 2 * count(*)) / 10000.0::DOUBLE AS r
-  FROM nation_orders WHERE nation % 5 < 3 GROUP BY 1, 2, 3), facts AS (
+  FROM nation_orders WHERE o_orderstatus = 'F' GROUP BY 1, 2, 3), facts AS (
   SELECT o_orderkey, o_date, 'C' || (nation % 5) AS src, CASE o_orderstatus WHEN 'F' THEN 'C1' WHEN 'O' THEN 'C2' ELSE 'C3' END AS dst FROM nation_orders)
 SELECT o_orderkey, CASE WHEN src = dst THEN 1.0 ELSE coalesce(a.r, 1.0::DOUBLE / b.r) END AS day_rate
 FROM facts LEFT JOIN rates a ON a.d = o_date AND a.f = src AND a.t = dst LEFT JOIN rates b ON b.d = o_date AND b.f = dst AND b.t = src
@@ -123,7 +123,7 @@ FROM facts LEFT JOIN rates a ON a.d = o_date AND a.f = src AND a.t = dst LEFT JO
 def _(t: Tables):
     o = nation_orders(t)
     cur = F.concat(F.lit("C"), F.col("nation") % 5)
-    rates = o.where(F.col("nation") % 5 < 3).groupBy(
+    rates = o.where("o_orderstatus = 'F'").groupBy(
         F.col("o_date").alias("rate_date"), cur.alias("from_currency"), F.concat(F.lit("C"), (F.col("nation") + 1) % 5).alias("to_currency")
     ).agg(((F.lit(10001) + 2 * F.count(F.lit(1))) / 10000.0).alias("rate"))
     facts = o.select("o_orderkey", "o_date", cur.alias("src"), F.when(F.col("o_orderstatus") == "F", "C1").when(
