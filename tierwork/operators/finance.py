@@ -94,7 +94,7 @@ def first_seen(df: DataFrame, date: str, starts: Mapping[str, str]) -> DataFrame
     return with_stats_of(df, [([key], {into: F.min(date)}) for into, key in starts.items()])
 
 
-def spread_deferred(lines: DataFrame, key: Sequence[str], start: str, end: str, amount: str,
+def spread_deferred(lines: DataFrame, start: str, end: str, amount: str,
                     over: int = 2, under: int = 120) -> DataFrame:
     """Lines running more than ``over`` and less than ``under`` months become one row per month with an equal share."""
     last = F.add_months(F.col(end), -1)
@@ -103,11 +103,12 @@ def spread_deferred(lines: DataFrame, key: Sequence[str], start: str, end: str,
     months = F.when(deferred, F.sequence(F.col(start), last, F.expr("interval 1 month"))).otherwise(
         F.array(F.lit(None).cast("date"))
     )
-    out = lines.withColumn("__months", months).withColumn("period_count", F.size("__months"))
-    return out.withColumn("deferred_date", F.explode("__months")).select(
+    # the share is the same for every month of a line: divide once, then unfold
+    shared = lines.withColumn("__months", months).withColumn("period_count", F.size("__months")).withColumn(
+        "__share", money(F.try_divide(F.col(amount), F.col("period_count"))))
+    return shared.withColumn("deferred_date", F.explode("__months")).select(
         *[c for c in lines.columns if c not in (start, amount)],
-        F.coalesce(F.trunc("deferred_date", "MM"), F.col(start)).alias(start),
-        money(F.try_divide(F.col(amount), F.col("period_count"))).alias(amount),
+        F.coalesce(F.trunc("deferred_date", "MM"), F.col(start)).alias(start), F.col("__share").alias(amount),
         F.col("deferred_date").isNotNull().alias("is_deferred"), "period_count",
     )
 

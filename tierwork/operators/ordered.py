@@ -15,12 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELL = "__cell"
+GROUP, CELL = "__group", "__cell"
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -29,10 +28,6 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
-def null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
-
-
 def with_group_stats(df: DataFrame, keys: Sequence[str], nullable_keys: bool = False, **stats: Column) -> DataFrame:
     """Add per-group aggregates to every row.
 
@@ -41,9 +36,8 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], nullable_keys: bool = F
     totals = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
     if not nullable_keys:
         return df.join(totals, list(keys), "left").select(*df.columns, *stats)
-    right = totals.withColumnsRenamed({k: f"__{k}" for k in keys})
-    cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-    return df.join(right, cond, "left").select(*df.columns, *stats)
+    right = totals.select(F.struct(*keys).alias(GROUP), *stats)
+    return df.withColumn(GROUP, F.struct(*keys)).join(right, GROUP, "left").select(*df.columns, *stats)
 
 
 def with_stats_of(df: DataFrame, groupings: Sequence[tuple[Sequence[str], Mapping[str, Column]]]) -> DataFrame:
@@ -160,21 +154,19 @@ def running(
     a time bucket or a range of ids. Keys may be empty (a table-wide sequence). Use ``split=F.lit(0)`` where groups
     are known to be small.
     """
-    keys = list(keys)
-    cell = [*keys, CELL]
-    base = df.withColumn(CELL, split)
-    w = Window.partitionBy(*cell).orderBy(*order)
+    # group and cell are structs: never NULL themselves, so one plain equality serves window, summary and join alike,
+    # and the join finds the rows already partitioned by the window
+    base = df.withColumns({GROUP: F.struct(*keys) if keys else F.struct(F.lit(0)), CELL: F.struct(split)})
+    w = Window.partitionBy(GROUP, CELL).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     inside = base.select("*", *[_inside(s, w, upto).alias(f"__in_{n}") for n, s in outputs.items()])
     position = F.struct(*order)
-    summary = base.groupBy(*cell).agg(*[_of_cell(s, position).alias(f"__sum_{n}") for n, s in outputs.items()])
-    across = Window.partitionBy(*keys).orderBy(CELL)
+    summary = base.groupBy(GROUP, CELL).agg(*[_of_cell(s, position).alias(f"__sum_{n}") for n, s in outputs.items()])
+    across = Window.partitionBy(GROUP).orderBy(CELL)
     carry = summary.select(
-        *[F.col(c).alias(f"__k_{c}") for c in cell],
-        *[_handed_over(s, f"__sum_{n}", across).alias(f"__from_{n}") for n, s in outputs.items()],
+        GROUP, CELL, *[_handed_over(s, f"__sum_{n}", across).alias(f"__from_{n}") for n, s in outputs.items()]
     )
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in cell])
-    return inside.join(carry, cond, "left").select(
+    return inside.join(carry, [GROUP, CELL], "left").select(
         *df.columns,
         *[_merged(s, F.col(f"__in_{n}"), F.col(f"__from_{n}")).alias(n) for n, s in outputs.items()],
     )

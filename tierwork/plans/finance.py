@@ -14,15 +14,17 @@ from tierwork.functions.values import exclude_patterns, flag, map_value, money
 from tierwork.operators import finance as N
 from tierwork.operators.ordered import with_group_stats
 from tierwork.plans.inputs import (
-    DATED_ORDERS, DOCUMENTS, FILLED_RATES, NATION_ORDERS, QUARTERLY_RATES, dated_orders, documents, filled_rates,
-    nation_orders, quarterly_rates,
+    DATED_ORDERS, DOCUMENTS, FILLED_RATES, NATION_ORDERS, QUARTERLY_RATES, dated_orders, documents, nation_orders,
+    order_lines, stored_rates, with_order,
 )
 from tierwork.plans.registry import Tables, plan
 
 
 def unified(t: Tables) -> DataFrame:
-    d = documents(t)
-    return N.unify_documents(d.where("l_returnflag <> 'R'"), d.where("l_returnflag = 'R'"), ["price", "quantity"])
+    """Invoice and credit lines in one shape, then one join to their orders."""
+    lines = order_lines(t)
+    both = N.unify_documents(lines.where("l_returnflag <> 'R'"), lines.where("l_returnflag = 'R'"), ["price", "quantity"])
+    return with_order(both, t)
 
 
 UNIFIED = DOCUMENTS + """, unified AS (
@@ -56,7 +58,7 @@ FROM conv JOIN firsts USING (o_custkey) JOIN nation ON n_nationkey = nation GROU
 @plan("flagship_monthly_revenue_eur", FLAGSHIP)
 def flagship(t: Tables):
     """Documents -> reporting currency through gap-filled rates -> monthly totals per nation, with first-order lines."""
-    eur = N.convert(unified(t), filled_rates(t), "nation", "o_date", "month", "rate", ["price"])
+    eur = N.convert(unified(t), stored_rates(t), "nation", "o_date", "month", "rate", ["price"])
     firsts = t.orders.groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("first_date"))
     names = t.nation.select(F.col("n_nationkey").alias("nation"), "n_name")
     # amounts are summed per customer and day before anything else is joined to them
@@ -95,7 +97,7 @@ def _(t: Tables):
 
 @plan("fx_gap_fill", f"WITH {NATION_ORDERS}, {FILLED_RATES} SELECT nation, month, rate::DOUBLE AS rate FROM filled_rates")
 def fx_gap_fill(t: Tables):
-    return filled_rates(t).withColumn("rate", F.col("rate").cast("double"))
+    return stored_rates(t).withColumn("rate", F.col("rate").cast("double"))
 
 
 for which, pick in {"latest": "max_by", "earliest": "min_by"}.items():
@@ -107,7 +109,7 @@ FROM nation_orders o LEFT JOIN quarterly_rates r ON r.nation = o.nation AND r.mo
 LEFT JOIN edge e ON e.nation = o.nation
 """)
     def _(t: Tables, which=which):
-        out = N.convert(nation_orders(t), quarterly_rates(t), "nation", "o_date", "month", "rate", ["amount"], which,
+        out = N.convert(nation_orders(t), stored_rates(t, filled=False), "nation", "o_date", "month", "rate", ["amount"], which,
                         reporting=F.col("nation") == 0)
         return out.select("o_orderkey", F.col("fx_rate").cast("double").alias("fx_rate"), F.col("amount_eur").cast("double").alias("amount_eur"))
 
@@ -156,7 +158,7 @@ def deferred_spread(t: Tables):
     start = month_start(F.col("o_date"))
     d = documents(t).select("o_orderkey", "nation", "price", start.alias("month"),
                             F.add_months(start, F.col("quantity") * 3).alias("end_date"))
-    out = N.spread_deferred(d, ["o_orderkey"], "month", "end_date", "price")
+    out = N.spread_deferred(d, "month", "end_date", "price")
     return out.groupBy("nation", "is_deferred", "month").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("price").cast("double").alias("price"))
 
@@ -303,16 +305,17 @@ def _(t: Tables):
 
 
 @plan("top_side", f"""
-WITH {NATION_ORDERS}, {FILLED_RATES}
-SELECT o_orderkey, CAST(amount::DOUBLE / rate::DOUBLE AS DECIMAL(18,2))::DOUBLE AS amount_eur,
+WITH {NATION_ORDERS}, {FILLED_RATES}, edge AS (SELECT nation, max_by(rate, month) AS rate FROM filled_rates WHERE rate IS NOT NULL GROUP BY 1)
+SELECT o_orderkey, CAST(amount::DOUBLE / coalesce(f.rate, e.rate)::DOUBLE AS DECIMAL(18,2))::DOUBLE AS amount_eur,
   CASE WHEN o.nation = 3 THEN 'moved' ELSE 'kept' END AS region
-FROM nation_orders o JOIN filled_rates f ON f.nation = o.nation AND f.month = date_trunc('month', o_date)
+FROM nation_orders o LEFT JOIN filled_rates f ON f.nation = o.nation AND f.month = date_trunc('month', o_date)
+LEFT JOIN edge e ON e.nation = o.nation
 WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A')
 """)
 def _(t: Tables):
     sales = t.lineitem.where("l_returnflag = 'A'").select(F.col("l_orderkey").alias("o_orderkey"))
     top = N.top_side(nation_orders(t), sales, ["o_orderkey"]).withColumn("region", map_value(F.col("nation"), {3: "moved"}, F.lit("kept")))
-    return N.convert(top, filled_rates(t), "nation", "o_date", "month", "rate", ["amount"]).select(
+    return N.convert(top, stored_rates(t), "nation", "o_date", "month", "rate", ["amount"]).select(
         "o_orderkey", F.col("amount_eur").cast("double").alias("amount_eur"), "region")
 
 

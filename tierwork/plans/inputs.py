@@ -9,6 +9,7 @@ from tierwork.functions.dates import month_start
 from tierwork.functions.values import money
 from tierwork.operators.finance import fill_gaps
 from tierwork.plans.registry import Tables
+from tierwork.sources.storage import cut_lineage
 
 FIRST_MONTH = "1995-01-01"
 LAST_MONTH = "2001-12-01"
@@ -36,16 +37,23 @@ NATION_ORDERS = DATED_ORDERS + """, nation_orders AS (
   SELECT d.*, c_nationkey AS nation FROM dated_orders d JOIN customer ON c_custkey = o_custkey)"""
 
 
-def documents(t: Tables) -> DataFrame:
-    """Order lines with order date, customer and nation; quantity and amount positive whatever the type."""
-    lines = t.lineitem.select(
+def order_lines(t: Tables) -> DataFrame:
+    return t.lineitem.select(
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
         F.to_date("l_shipdate").alias("ship_date"), F.col("l_quantity").cast("int").alias("quantity"),
         money(F.col("l_extendedprice")).alias("price"),
     )
+
+
+def with_order(lines: DataFrame, t: Tables) -> DataFrame:
     return lines.join(nation_orders(t).select("o_orderkey", "o_custkey", "o_date", "nation"), "o_orderkey")
 
 
+def documents(t: Tables) -> DataFrame:
+    """Order lines with order date, customer and nation; quantity and amount positive whatever the type."""
+    return with_order(order_lines(t), t)
+
+
 DOCUMENTS = NATION_ORDERS + """, doc_lines AS (
   SELECT o_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus,
          CAST(l_shipdate AS DATE) AS ship_date, CAST(l_quantity AS INT) AS quantity,
@@ -82,6 +90,11 @@ FILLED_RATES = QUARTERLY_RATES + f""", filled_rates AS (
   LEFT JOIN quarterly_rates r ON r.nation = s.nation AND r.month = s.month)"""
 
 
+def stored_rates(t: Tables, filled: bool = True) -> DataFrame:
+    """The rates as a stored table (nations x months): conversions read it several times."""
+    return cut_lineage(filled_rates(t) if filled else quarterly_rates(t))
+
+
 def event_log(t: Tables) -> DataFrame:
     """Attribute changes per user: event type at a time."""
     return t.events.select("event_id", "user_id", "event_type", "ts", F.sha2("event_type", 256).alias("hash"))

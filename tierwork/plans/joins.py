@@ -82,9 +82,11 @@ SELECT l_suppkey, unit_no, count(*) AS n, sum(CAST(l_extendedprice AS DECIMAL(18
 FROM (SELECT *, unnest(range(1, CAST(floor(l_quantity) AS BIGINT) + 1)) AS unit_no FROM lineitem) GROUP BY 1, 2
 """)
 def explode_quantity(t: Tables):
-    lines = t.lineitem.select("l_suppkey", "l_quantity", money(F.col("l_extendedprice")).alias("amount"))
+    # lines with the same supplier and quantity unfold alike: sum them before, not after
+    lines = t.lineitem.groupBy("l_suppkey", "l_quantity").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(money(F.col("l_extendedprice"))).alias("amount"))
     return L.explode_quantity(lines, "l_quantity").groupBy("l_suppkey", "unit_no").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("amount"))
+        F.sum("n").alias("n"), F.sum("amount").cast("double").alias("amount"))
 
 
 @plan("join_on_expression", """

@@ -11,7 +11,7 @@ from tierwork.functions.values import money
 from tierwork.operators import reports as R
 from tierwork.operators.lookups import explode_quantity
 from tierwork.operators.ordered import with_group_stats
-from tierwork.plans.inputs import DOCUMENTS, NATION_ORDERS, documents, nation_orders
+from tierwork.plans.inputs import DOCUMENTS, NATION_ORDERS, documents, nation_orders, order_lines, with_order
 from tierwork.plans.registry import Tables, plan
 
 LINES = (
@@ -96,8 +96,11 @@ SELECT p_brand, o_orderkey, l_linenumber, CASE p_brand WHEN 'Brand#1' THEN o_dat
 FROM x WHERE (p_brand = 'Brand#1' AND l_returnflag = 'A') OR (p_brand = 'Brand#2' AND l_linestatus = 'F') OR (p_brand = 'Brand#3' AND o_date >= DATE '1999-01-01')
 """)
 def wide_vendor_report(t: Tables):
-    items = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name", "p_type", "p_retailprice")
-    d = with_group_stats(documents(t), ["o_orderkey", "l_partkey"], total_qty=F.sum("quantity")).join(items, "l_partkey")
+    # only vendors with a rule: the filter goes to the items before lines and orders are joined
+    wanted = t.part.where(F.col("p_brand").isin(*[r.vendor for r in VENDOR_RULES]))
+    items = wanted.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name", "p_type", "p_retailprice")
+    lines = with_group_stats(order_lines(t).join(items, "l_partkey"), ["o_orderkey", "l_partkey"], total_qty=F.sum("quantity"))
+    d = with_order(lines, t)
     columns = {"report_date": "date", "part_code": "string", "qty": "long", "amount": "double", "list_price": "double"}
     return R.vendor_report(d, "p_brand", VENDOR_RULES, columns, ["p_brand", "o_orderkey", "l_linenumber"])
 
