@@ -73,13 +73,17 @@ def unify_documents(invoices: DataFrame, credits: DataFrame, amounts: Sequence[s
 
 
 def explode_usage(lines: DataFrame, usage: DataFrame, key: str, replaced: Sequence[str]) -> DataFrame:
-    """A line with usage details becomes one row per detail with the detail's values; others stay."""
-    detail = usage.select(key, *[F.col(c).alias(f"__{c}") for c in replaced], F.lit(True).alias("__hit"))
-    joined = lines.join(detail, key, "left")
-    return joined.select(*[
-        F.when(F.col("__hit"), F.coalesce(F.col(f"__{c}"), F.col(c))).otherwise(F.col(c)).alias(c)
-        if c in replaced else F.col(c) for c in lines.columns
-    ], F.coalesce("__hit", F.lit(False)).alias("from_usage"))
+    """A line with usage details becomes one row per detail with the detail's values; others stay.
+
+    Inner join plus anti join instead of one left join: a line with very many details is then a skewed side that AQE
+    can split.
+    """
+    detail = usage.select(key, *[F.col(c).alias(f"__{c}") for c in replaced])
+    unfolded = lines.join(detail, key).select(*[
+        F.coalesce(F.col(f"__{c}"), F.col(c)).alias(c) if c in replaced else F.col(c) for c in lines.columns
+    ], F.lit(True).alias("from_usage"))
+    plain = lines.join(usage.select(key).distinct(), key, "left_anti").select(*lines.columns, F.lit(False).alias("from_usage"))
+    return unfolded.unionByName(plain)
 
 
 def own_or_group(group: Column, own: Column) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierwork.operators.ordered import following, keep_first, previous, rank, running
+from tierwork.operators.ordered import following, keep_first, last_seen, previous, rank, running
 from tierwork.sources.storage import cut_lineage
 
 OPEN_END = dt.datetime(9999, 12, 31)
@@ -126,7 +126,8 @@ def surrogate_keys(new: DataFrame, order: Sequence[str], split: Column, existing
 def point_in_time(fact: DataFrame, dim: DataFrame, key: str, ts: str, pk: str, fk: str) -> DataFrame:
     """Key of the version valid at the fact's time (start <= t < end), -1 when there is none.
 
-    Equality on the key is the join; the interval is a residual, at most one version survives it.
+    Equality on the key is the join; the interval is a residual, at most one version survives it. For keys with few
+    versions; see ``point_in_time_ordered`` for the others.
     """
     d = dim.select(
         F.col(key).alias("__key"), F.col(pk).alias(fk), F.col("start_datetime").alias("__from"),
@@ -136,6 +137,22 @@ def point_in_time(fact: DataFrame, dim: DataFrame, key: str, ts: str, pk: str, f
     return fact.join(d, cond, "left").select(*fact.columns, F.coalesce(F.col(fk), F.lit(UNKNOWN)).alias(fk))
 
 
+def point_in_time_ordered(fact: DataFrame, dim: DataFrame, key: str, ts: str, pk: str, fk: str, split: Column) -> DataFrame:
+    """``point_in_time`` for keys with many versions: facts and version starts are laid in time order, each fact sees the
+    last start before it. No fact meets all versions of its key, and a hot key is cut into cells.
+
+    ``split`` is an expression on ``ts`` (see ``running``).
+    """
+    kind = fact.schema[ts].dataType
+    starts = dim.select(
+        key, F.col("start_datetime").cast(kind).alias(ts), F.lit(0).alias("__side"),
+        F.struct(F.col(pk).alias("pk"), F.coalesce("end_datetime", F.lit(OPEN_END)).cast(kind).alias("until")).alias("__v"))
+    rows = fact.withColumn("__side", F.lit(1))
+    seen = running(rows.unionByName(starts, allowMissingColumns=True), [key], [ts, "__side"], split, {"__at": last_seen(F.col("__v"))})
+    hit = F.when(F.col(ts) < F.col("__at.until"), F.col("__at.pk"))
+    return seen.where("__side = 1").select(*fact.columns, F.coalesce(hit, F.lit(UNKNOWN)).alias(fk))
+
+
 def fallback_earliest(fact: DataFrame, dim: DataFrame, key: str, pk: str, fk: str) -> DataFrame:
     """Facts without a version get the key's earliest one."""
     first = keep_first(dim.select(key, pk, "start_datetime"), [key], ["start_datetime", pk]).select(

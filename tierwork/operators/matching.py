@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwork.operators.ordered import keep_first
+from tierwork.sources.storage import cut_lineage
 
 NAN = "nan"
 
@@ -97,8 +98,17 @@ def similar_texts(pairs: DataFrame, lookup: DataFrame, pct: int) -> DataFrame:
     ).withColumn("similarity", 1.0 - F.col("d") / longest.cast("double")).drop("d")
 
 
+def _equal_texts(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    return pairs.join(rows.select("control", F.col("b").alias("a")), ["control", "a"], "left_semi").select(
+        "control", "a", F.col("a").alias("b"), F.lit(1.0).alias("similarity")
+    )
+
+
 def _best_of_pass(facts: DataFrame, lookup: DataFrame, p: MatchPass, values: Sequence[str], number: int) -> DataFrame:
-    """Distinct pairs of one pass with the winning lookup row: c{number}, a{number}, provenance and values."""
+    """Distinct pairs of one pass with the winning lookup row: c{number}, a{number}, provenance and values.
+
+    A fuzzy pass checkpoints its distinct pairs, so the facts are read once for it.
+    """
     pairs = facts.select(F.lower(p.control).alias("control"), F.lower(p.match).alias("a")).dropna().distinct()
     if not p.keep_missing:
         pairs = pairs.where((F.col("control") != NAN) & (F.col("a") != NAN))
@@ -107,14 +117,13 @@ def _best_of_pass(facts: DataFrame, lookup: DataFrame, p: MatchPass, values: Seq
             subset=["control", "b"]),
         ["control", "b"], list(values),
     )
-    exact = pairs.join(rows.select("control", F.col("b").alias("a")), ["control", "a"], "left_semi").select(
-        "control", "a", F.col("a").alias("b"), F.lit(1.0).alias("similarity")
-    )
     low = min(p.thresholds)
     label = f"mt={p.control}|{p.match}"
     if low == 100:
-        best, code, kind = exact, F.lit(1), F.lit(label)
+        best, code, kind = _equal_texts(pairs, rows), F.lit(1), F.lit(label)
     else:
+        pairs = cut_lineage(pairs)
+        exact = _equal_texts(pairs, rows)
         rest = pairs.where(F.col("a") != NAN).join(exact, ["control", "a"], "left_anti")
         close = similar_texts(rest, rows.select("control", "b"), low)
         best = keep_first(close, ["control", "a"], [F.col("similarity").desc(), "b"]).select(

@@ -133,6 +133,21 @@ def point_in_time_lookup(t: Tables):
         "o_orderkey", "customer_fk")
 
 
+@plan("point_in_time_many_versions", f"""
+WITH {ISLANDS}
+SELECT e.event_id, coalesce(v.start_event, -1) AS version_fk FROM events e LEFT JOIN (
+  SELECT v.user_id, v.start_ts, v.next_ts, l.event_id AS start_event FROM versions v JOIN log l ON l.user_id = v.user_id AND l.ts = v.start_ts) v
+ON v.user_id = e.user_id AND e.ts - INTERVAL 1 HOUR >= v.start_ts AND (v.next_ts IS NULL OR e.ts - INTERVAL 1 HOUR < v.next_ts)
+""")
+def point_in_time_many_versions(t: Tables):
+    """Which version of its user was valid an hour before each event."""
+    log = t.events.select("event_id", "user_id", F.sha2("event_type", 256).alias("hash"), F.col("ts").cast("timestamp").alias("ts"))
+    dim = H.versions_from_log(log, "user_id", "hash", "ts", by_day("ts"))
+    facts = log.select(F.col("event_id").alias("fact_id"), "user_id", (F.col("ts") - F.expr("interval 1 hour")).alias("ts"))
+    out = H.point_in_time_ordered(facts, dim, "user_id", "ts", "event_id", "version_fk", by_day("ts"))
+    return out.select(F.col("fact_id").alias("event_id"), "version_fk")
+
+
 @plan("pit_fallback", f"""
 WITH {DATED_ORDERS}, {VERSIONS}, found AS (
   SELECT o_orderkey, o_custkey, coalesce(pk, -1) AS fk FROM dated_orders

@@ -138,14 +138,19 @@ def link_intercompany(t: Tables):
 
 
 @plan("match_external", """
-WITH ext AS (SELECT o_orderkey AS ext_id, o_custkey, o_orderpriority, year(o_orderdate)::INT AS note, o_orderstatus AS rule FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
-own AS (SELECT o_orderkey AS own_id, o_custkey, o_orderpriority, year(o_orderdate)::INT + 1 AS note FROM orders)
-SELECT ext_id, own_id FROM ext FULL JOIN own ON ext.o_custkey = own.o_custkey AND ext.o_orderpriority = own.o_orderpriority
+WITH ext AS (SELECT o_orderkey, o_orderpriority, year(o_orderdate)::INT AS note, o_orderstatus AS rule FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+own AS (SELECT o_orderkey, o_orderpriority, year(o_orderdate)::INT + CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END AS note FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01')
+SELECT ext.o_orderkey AS ext_order, own.o_orderkey AS own_order, ext.note AS ext_note, own.note AS own_note
+FROM ext FULL JOIN own ON ext.o_orderkey = own.o_orderkey AND ext.o_orderpriority = own.o_orderpriority
   AND ext.note = CASE WHEN ext.rule = 'P' THEN ext.note ELSE own.note END
 """)
 def match_external(t: Tables):
+    """Order and line (here the priority) identify a shipment; rule P matches without the delivery note."""
     year = F.year("o_orderdate")
-    ext = t.orders.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")).select(
-        F.col("o_orderkey").alias("ext_id"), "o_custkey", "o_orderpriority", year.alias("note"), F.col("o_orderstatus").alias("rule"))
-    own = t.orders.select(F.col("o_orderkey").alias("id"), "o_custkey", "o_orderpriority", (year + 1).alias("note"))
-    return L.match_external(ext, own, ["o_custkey", "o_orderpriority"], "rule", ["P"], "note", ["id"]).select("ext_id", "own_id")
+    lo, hi = (F.lit(d).cast("timestamp_ntz") for d in ("1996-01-01", "2000-01-01"))
+    ext = t.orders.where(F.col("o_orderdate") < hi).select("o_orderkey", "o_orderpriority", year.alias("note"), F.col("o_orderstatus").alias("rule"))
+    own = t.orders.where(F.col("o_orderdate") >= lo).select(
+        "o_orderkey", "o_orderpriority", (year + F.when(F.col("o_orderstatus") == "O", 0).otherwise(1)).alias("note"))
+    out = L.match_external(ext, own, ["o_orderkey", "o_orderpriority"], "rule", ["P"], "note", [])
+    return out.select(F.col("o_orderkey").alias("ext_order"), F.col("own_o_orderkey").alias("own_order"),
+                      F.col("note").alias("ext_note"), "own_note")

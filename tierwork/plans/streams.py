@@ -13,7 +13,7 @@ from tierwork.streaming import increments as S
 def stream_increment(t: Tables):
     base = fresh_dir(t.spark, "stream")
     events = S.file_stream(t.spark, t.root, "events", t.events.schema).where("event_type <> 'error'")
-    S.append_new(events.select("event_id", "user_id", "event_type"), f"{base}/out", f"{base}/marks")
+    S.append_new(events.select("event_id", "user_id", "event_type"), f"{base}/out", f"{base}/offsets")
     return t.spark.read.parquet(f"{base}/out")
 
 
@@ -23,8 +23,8 @@ SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PART
 def stream_upsert(t: Tables):
     base = fresh_dir(t.spark, "stream")
     events = S.file_stream(t.spark, t.root, "events", t.events.schema)
-    current = S.upsert_batches(events, f"{base}/state", f"{base}/marks", ["user_id"], ["ts", "event_id"])
-    return t.spark.read.parquet(current).select("user_id", "event_id", "event_type")
+    S.upsert_batches(events, f"{base}/state", f"{base}/offsets", ["user_id"], ["ts", "event_id"])
+    return S.current_state(t.spark, f"{base}/state").select("user_id", "event_id", "event_type")
 
 
 @plan("late_dimension_rekey", """

@@ -7,7 +7,7 @@ batch (after a failure) writes the same version again.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,28 +30,33 @@ def append_new(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def _versions(batch_id: int, path: str) -> tuple[str | None, str]:
-    return (f"{path}/v={batch_id - 1}" if batch_id else None), f"{path}/v={batch_id}"
+def _last_version(spark: SparkSession, path: str, below: int | None = None) -> int | None:
+    marks = spark.read.schema("version long").parquet(f"{path}/marks")
+    return marks.where(F.lit(True) if below is None else F.col("version") < below).agg(F.max("version")).first()[0]
 
 
-def upsert_batches(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], latest: Sequence[str], **merge) -> str:
-    """Merge every micro-batch into the current table; returns the folder of the newest version.
+def current_state(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version: its mark is written after its rows."""
+    return spark.read.parquet(f"{path}/v={_last_version(spark, path)}")
+
+
+def upsert_batches(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], latest: Sequence[str], **merge) -> None:
+    """Merge every micro-batch into the current table (see ``current_state``).
 
     A batch may hold a key several times: its last row by ``latest`` counts, chosen before the merge.
     """
     order = [F.col(c).desc() for c in latest]
-    newest = {"path": f"{path}/v=0"}
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        before, after = _versions(batch_id, path)
+        spark = batch.sparkSession
+        before = _last_version(spark, path, batch_id) if batch_id else None
         rows = keep_first(batch, keys, order)
         out = rows if before is None else merge_upsert(
-            batch.sparkSession.read.parquet(before), rows, keys, deactivate_absent=False, **merge)
-        out.write.mode("overwrite").parquet(after)
-        newest["path"] = after
+            spark.read.parquet(f"{path}/v={before}"), rows, keys, deactivate_absent=False, **merge)
+        out.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        spark.range(1).select(F.lit(batch_id).cast("long").alias("version")).write.mode("append").parquet(f"{path}/marks")
 
-    _run(stream, one, checkpoint)
-    return newest["path"]
+    stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def rekey_late(facts: DataFrame, dim: DataFrame, key: str, pk: str, fk: str) -> DataFrame:
@@ -61,6 +66,3 @@ def rekey_late(facts: DataFrame, dim: DataFrame, key: str, pk: str, fk: str) ->
         fk, F.when(F.col(fk) == UNKNOWN, F.coalesce("__pk", F.lit(UNKNOWN))).otherwise(F.col(fk))
     ).select(*facts.columns)
 
-
-def _run(stream: DataFrame, one: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
