@@ -19,7 +19,7 @@ from tierwork.session import local_session  # noqa: E402
 HEADLINE = [
     "flagship_monthly_revenue_eur", "merge_upsert", "merge_stage2", "soft_delete", "scd2_from_log", "scd2_apply_log",
     "point_in_time_lookup", "key_lookup", "best_record", "duplicate_profile", "parent_child", "root_ancestor",
-    "hierarchy_flatten", "rule_classify", "match_cascade", "item_sales", "fx_gap_fill", "deferred_spread",
+    "hierarchy_flatten", "rule_classify", "match_cascade", "item_sales", "fx_gap_fill", "deferred_spread", "deferred_monthly_totals",
     "ytd_to_monthly", "allocate_prorata", "gp_trueup", "usage_explosion", "history_overlay", "lookup_chain",
     "explode_quantity", "match_external", "report_rows", "wide_vendor_report", "attempts_flatten", "dataset_diff",
     "recon_exceptall", "dq_profile", "add_sequence", "w_07_running_values", "stream_upsert",

@@ -401,3 +401,18 @@ def test_cast_modes(spark):
     assert values(columns.cast_to_schema(df, schema, strict=False)) == [(1,), (None,)]
     with pytest.raises(Exception):
         columns.cast_to_schema(df, schema).collect()
+
+
+def test_deferred_months_equal_a_date_sequence(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        s = dt.date(2020, 1, 1) + dt.timedelta(days=rng.randint(0, 700))
+        rows.append((i, s, s + dt.timedelta(days=rng.randint(1, 1500)), 100))
+    df = spark.createDataFrame(rows, "id long, s date, e date, amt long").withColumn("amt", F.col("amt").cast("decimal(18,2)"))
+    got = finance.spread_deferred(df, "s", "e", "amt").where("is_deferred").groupBy("id").agg(
+        F.count("*").alias("n"), F.min("s").alias("a"), F.max("s").alias("b"))
+    want = df.where("months_between(add_months(e, -1), s) > 2").select(
+        "id", F.expr("sequence(s, add_months(e, -1), interval 1 month)").alias("m")).select(
+        "id", F.size("m").cast("long").alias("n"), F.trunc(F.element_at("m", 1), "MM").alias("a"), F.trunc(F.element_at("m", -1), "MM").alias("b"))
+    assert values(got) == values(want)

@@ -98,23 +98,46 @@ def first_seen(df: DataFrame, date: str, starts: Mapping[str, str]) -> DataFrame
     return with_stats_of(df, [([key], {into: F.min(date)}) for into, key in starts.items()])
 
 
-def spread_deferred(lines: DataFrame, start: str, end: str, amount: str,
-                    over: int = 2, under: int = 120) -> DataFrame:
-    """Lines running more than ``over`` and less than ``under`` months become one row per month with an equal share."""
-    last = F.add_months(F.col(end), -1)
-    span = F.months_between(last, F.col(start))
-    deferred = F.coalesce((F.col(start) < F.col(end)) & (span > over) & (span < under), F.lit(False))
-    months = F.when(deferred, F.sequence(F.col(start), last, F.expr("interval 1 month"))).otherwise(
-        F.array(F.lit(None).cast("date"))
-    )
-    # the share is the same for every month of a line: divide once, then unfold
-    shared = lines.withColumn("__months", months).withColumn("period_count", F.size("__months")).withColumn(
-        "__share", money(F.try_divide(F.col(amount), F.col("period_count"))))
-    return shared.withColumn("deferred_date", F.explode("__months")).select(
-        *[c for c in lines.columns if c not in (start, amount)],
-        F.coalesce(F.trunc("deferred_date", "MM"), F.col(start)).alias(start), F.col("__share").alias(amount),
-        F.col("deferred_date").isNotNull().alias("is_deferred"), "period_count",
-    )
+def _month_shares(lines: DataFrame, start: str, end: str, amount: str, over: int, under: int) -> tuple[DataFrame, list[str]]:
+    """Per line: number of months, first month and share of a month.
+
+    Months unfold as numbers later (a date sequence costs far more per element), and the division is done once per line.
+    """
+    first, last = F.col(start), F.add_months(F.col(end), -1)
+    span = F.months_between(last, first)
+    deferred = F.coalesce((first < F.col(end)) & (span > over) & (span < under), F.lit(False))
+    apart = (F.year(last) - F.year(first)) * 12 + F.month(last) - F.month(first)
+    count = F.when(deferred, apart + (F.add_months(first, apart) <= last).cast("int")).otherwise(F.lit(1))
+    shared = lines.withColumns({
+        "is_deferred": deferred, "period_count": count, "__base": F.when(deferred, F.trunc(first, "MM")).otherwise(first),
+    }).withColumn("__share", money(F.try_divide(F.col(amount), F.col("period_count"))))
+    kept = [c for c in lines.columns if c not in (start, end, amount)]
+    return shared, kept
+
+
+def _unfold_months(df: DataFrame, start: str) -> DataFrame:
+    return df.withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("period_count") - 1))).withColumn(
+        start, F.add_months("__base", F.col("__i"))
+    ).drop("__i", "__base")
+
+
+def spread_deferred(lines: DataFrame, start: str, end: str, amount: str, over: int = 2, under: int = 120) -> DataFrame:
+    """Lines running more than ``over`` and less than ``under`` months become one row per month with an equal share,
+    dated the first of the month; other lines stay as they are. The last month counts when it is reached day for day.
+    """
+    shared, kept = _month_shares(lines, start, end, amount, over, under)
+    return _unfold_months(
+        shared.select(*kept, "is_deferred", "period_count", "__base", F.col("__share").alias(amount)), start)
+
+
+def deferred_totals(lines: DataFrame, keys: Sequence[str], start: str, end: str, amount: str, over: int = 2, under: int = 120) -> DataFrame:
+    """Totals of ``spread_deferred`` per keys and month. Lines with equal start and length unfold alike, so they are summed
+    first and only the sums unfold."""
+    shared, _ = _month_shares(lines, start, end, amount, over, under)
+    sums = shared.groupBy(*keys, "is_deferred", "period_count", "__base").agg(
+        F.sum("__share").alias(amount), F.count(F.lit(1)).alias("n_rows"))
+    return _unfold_months(sums, start).groupBy(*keys, "is_deferred", start).agg(
+        F.sum(amount).alias(amount), F.sum("n_rows").alias("n_rows"))
 
 
 def ytd_to_monthly(ytd: DataFrame, keys: Sequence[str], period: str, amount: str, close: bool = True) -> DataFrame:

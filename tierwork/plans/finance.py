@@ -17,7 +17,7 @@ from tierwork.plans.inputs import (
     DATED_ORDERS, DOCUMENTS, FILLED_RATES, NATION_ORDERS, QUARTERLY_RATES, dated_orders, documents, nation_orders,
     order_lines, stored_rates, with_order,
 )
-from tierwork.plans.registry import Tables, plan
+from tierwork.plans.registry import Tables, plan, spread
 
 
 def unified(t: Tables) -> DataFrame:
@@ -147,22 +147,32 @@ def _(t: Tables):
     return N.first_seen(d, "o_date", starts).select("o_orderkey", "l_linenumber", "l_partkey", *starts)
 
 
-@plan("deferred_spread", f"""
+DEFERRED = f"""
 WITH {DOCUMENTS}, x AS (SELECT nation, price, CAST(date_trunc('month', o_date) AS DATE) AS s, quantity * 3 AS m FROM doc_lines),
 y AS (SELECT *, m - 1 > 2 AND m - 1 < 120 AS is_deferred, CASE WHEN m - 1 > 2 AND m - 1 < 120 THEN m ELSE 1 END AS n FROM x)
 SELECT nation, is_deferred, CAST(s + to_months(i) AS DATE) AS month, count(*) AS n_rows,
        sum((2 * CAST(price * 100 AS BIGINT) + n) // (2 * n))::BIGINT / 100.0::DOUBLE AS price
 FROM (SELECT *, unnest(range(n)) AS i FROM y) GROUP BY 1, 2, 3
-""")
-def deferred_spread(t: Tables):
+"""
+
+
+def _contracts(t: Tables) -> DataFrame:
     start = month_start(F.col("o_date"))
-    d = documents(t).select("o_orderkey", "nation", "price", start.alias("month"),
-                            F.add_months(start, F.col("quantity") * 3).alias("end_date"))
-    out = N.spread_deferred(d, "month", "end_date", "price")
-    return out.groupBy("nation", "is_deferred", "month").agg(
+    return documents(t).select("o_orderkey", "nation", "price", start.alias("month"), F.add_months(start, F.col("quantity") * 3).alias("end_date"))
+
+
+@plan("deferred_spread", DEFERRED)
+def deferred_spread(t: Tables):
+    return N.spread_deferred(spread(_contracts(t)), "month", "end_date", "price").groupBy("nation", "is_deferred", "month").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("price").cast("double").alias("price"))
 
 
+@plan("deferred_monthly_totals", DEFERRED)
+def deferred_monthly_totals(t: Tables):
+    out = N.deferred_totals(_contracts(t), ["nation"], "month", "end_date", "price")
+    return out.withColumn("price", F.col("price").cast("double"))
+
+
 def ytd_balances(t: Tables) -> DataFrame:
     """Running total per nation, account and fiscal year; the months an account has no posting in are missing."""
     from tierwork.operators.ordered import running, running_sum
