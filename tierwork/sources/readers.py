@@ -113,3 +113,8 @@ def recode(df: DataFrame, column: str, codes: Mapping[str, str], missing: str =
     """Old code -> new code from a constant table; unknown codes stay, missing ones become the placeholder text."""
     c = F.col(column)
     return df.withColumn(column, F.coalesce(F.nullif(map_value(c, codes, c), F.lit("NaN")), F.lit(missing)))
+
+
+def next_start(loaded: DataFrame, ts: str) -> DataFrame:
+    """Where the next pull starts: the newest date loaded, 1900-01-01 when nothing is."""
+    return loaded.agg(F.coalesce(F.max(ts), F.lit("1900-01-01").cast(loaded.schema[ts].dataType)).alias("next_start"))
