@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GROUP, CELL = "__group", "__cell"
+GROUP, CELL, PLACE = "__group", "__cell", "__place"
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -154,19 +154,25 @@ def running(
     a time bucket or a range of ids. Keys may be empty (a table-wide sequence). Use ``split=F.lit(0)`` where groups
     are known to be small.
     """
-    # group and cell are structs: never NULL themselves, so one plain equality serves window, summary and join alike,
-    # and the join finds the rows already partitioned by the window
-    base = df.withColumns({GROUP: F.struct(*keys) if keys else F.struct(F.lit(0)), CELL: F.struct(split)})
-    w = Window.partitionBy(GROUP, CELL).orderBy(*order)
+    # One hash of group and cell places rows for the window and for the join with the summaries, so the rows shuffle once
+    # and sort on a long first. Keys are still compared themselves (NULL-safely) after the hash.
+    cell = [*keys, CELL]
+    base = df.withColumn(CELL, split).withColumn(PLACE, F.xxhash64(*cell))
+    w = Window.partitionBy(PLACE, *cell).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    inside = base.select("*", *[_inside(s, w, upto).alias(f"__in_{n}") for n, s in outputs.items()])
+    inside = base.repartition(PLACE).select("*", *[_inside(s, w, upto).alias(f"__in_{n}") for n, s in outputs.items()])
     position = F.struct(*order)
-    summary = base.groupBy(GROUP, CELL).agg(*[_of_cell(s, position).alias(f"__sum_{n}") for n, s in outputs.items()])
-    across = Window.partitionBy(GROUP).orderBy(CELL)
+    summary = base.groupBy(PLACE, *cell).agg(*[_of_cell(s, position).alias(f"__sum_{n}") for n, s in outputs.items()])
+    across = Window.partitionBy(*keys).orderBy(CELL)
     carry = summary.select(
-        GROUP, CELL, *[_handed_over(s, f"__sum_{n}", across).alias(f"__from_{n}") for n, s in outputs.items()]
-    )
-    return inside.join(carry, [GROUP, CELL], "left").select(
+        PLACE, *[F.col(c).alias(f"__of_{c}") for c in cell],
+        *[_handed_over(s, f"__sum_{n}", across).alias(f"__from_{n}") for n, s in outputs.items()],
+    ).withColumnRenamed(PLACE, "__at")
+    # a test over both sides at once stays a filter on the join; as a plain equality it would join it as keys and
+    # shuffle the rows again
+    own = F.struct(*cell)
+    same = F.array_contains(F.array(F.struct(*[F.col(f"__of_{c}").alias(c) for c in cell])), own)
+    return inside.join(carry, (F.col(PLACE) == F.col("__at")) & same, "left").select(
         *df.columns,
         *[_merged(s, F.col(f"__in_{n}"), F.col(f"__from_{n}")).alias(n) for n, s in outputs.items()],
     )
