@@ -221,10 +221,10 @@ def _distance(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("pct", [40, 60, 75, 80, 90, 100])
-def test_similar_texts_equal_brute_force(spark, pct):
-    rng = random.Random(pct)
-    base = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 14))) for _ in range(40)]
+@pytest.mark.parametrize(("pct", "common"), [(40, 500), (60, 500), (60, 2), (75, 0), (75, 3), (80, 1), (80, 4), (90, 2), (100, 500)])
+def test_similar_texts_equal_brute_force(spark, pct, common):
+    rng = random.Random(pct * 31 + common)
+    base = [rng.choice(["", "ac-"]) + "".join(rng.choice("abc") for _ in range(rng.randint(1, 14))) for _ in range(60)]
 
     def noisy(s):
         out = list(s)
@@ -237,7 +237,7 @@ def test_similar_texts_equal_brute_force(spark, pct):
     right = sorted({noisy(s) for s in base})
     got = matching.similar_texts(
         spark.createDataFrame([("k", s) for s in left], "control string, a string"),
-        spark.createDataFrame([("k", s) for s in right], "control string, b string"), pct)
+        spark.createDataFrame([("k", s) for s in right], "control string, b string"), pct, common)
     want = {(a, b) for a, b in itertools.product(left, right)
             if a and b and (max(len(a), len(b)) - _distance(a, b)) * 100 >= pct * max(len(a), len(b))}
     assert {(r.a, r.b) for r in got.collect()} == want

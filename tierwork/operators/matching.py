@@ -7,8 +7,9 @@ answer wins: the result equals running the passes one after the other on what is
 The fuzzy join is exact and does not compare all pairs of a control group. With similarity >= t, a lookup text of
 length n tolerates k = floor((1 - t) * floor(n / t)) edits; cut it into k + 1 segments and every matching text must
 contain one of them near its place (pigeonhole, "Pass-Join", Li et al. 2011). Segments and substrings meet in an
-equi-join; the edit distance is computed only for those pairs. Thresholds are whole percents, so that no boundary case
-depends on floating point.
+equi-join; the edit distance is computed only for those pairs. Segments that very many lookup texts share (a common
+prefix) are replaced by cutting the text into more pieces, so they do not pair everything with everything. Thresholds are
+whole percents, so that no boundary case depends on floating point.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from tierwork.operators.ordered import keep_first
 from tierwork.sources.storage import cut_lineage
 
 NAN = "nan"
+MOST_EXTRA = 4
 
 
 @dataclass(frozen=True)
@@ -51,46 +53,68 @@ def _segment_length(n: Column, parts: Column, i: Column) -> Column:
     return (F.floor(n / parts) + (i >= parts - n % parts).cast("int")).cast("int")
 
 
-def _lookup_segments(lookup: DataFrame, pct: int) -> DataFrame:
-    """(control, b) -> one row per segment of b."""
-    n = F.col("n")
-    parts = F.col("k") + 1
-    return (
+def _lookup_segments(lookup: DataFrame, pct: int, common: int) -> DataFrame:
+    """The pieces each lookup text is found by: control, b, n, k, h, i, piece (h = pieces beyond k + 1).
+
+    Of k + 1 + h pieces at least h + 1 survive k edits, so up to h common pieces can be left out. Every text takes the
+    smallest h that covers its common pieces; a text for which no h does keeps all pieces of h = 0.
+    """
+    n, k, h, i = (F.col(c) for c in "nkhi")
+    parts = k + 1 + h
+    text = ["control", "b"]
+    pieces = cut_lineage(
         lookup.withColumn("n", F.length("b")).withColumn("k", _edits(n, pct))
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
-        .select("control", "b", "n", "i", F.substr("b", _segment_start(n, parts, F.col("i")) + 1,
-                                                   _segment_length(n, parts, F.col("i"))).alias("piece"))
+        .withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(MOST_EXTRA)))).where((h == 0) | (parts <= n))
+        .withColumn("i", F.explode(F.sequence(F.lit(0), k + h)))
+        .select(*text, "n", "k", "h", "i", F.substr(
+            "b", _segment_start(n, parts, i) + 1, _segment_length(n, parts, i)).alias("piece"))
     )
+    place = ["control", "n", "h", "i", "piece"]
+    shared = pieces.groupBy(*place).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > common)
+    flagged = pieces.join(shared.select(*place, F.lit(1).alias("is_common")), place, "left")
+    fits = flagged.groupBy(*text, "h").agg(F.count("is_common").alias("c")).where(F.col("c") <= h)
+    level = fits.groupBy(*text).agg(F.min("h").alias("level"))
+    return flagged.join(level, text, "left").where(
+        (F.col("level").isNull() & (h == 0)) | ((h == F.col("level")) & F.col("is_common").isNull())
+    ).select(*text, "n", "k", "h", "i", "piece")
+
 
+def _fact_substrings(pairs: DataFrame, index: DataFrame, pct: int) -> DataFrame:
+    """(control, a) -> every substring that can face a piece of an admissible partner.
 
-def _fact_substrings(pairs: DataFrame, pct: int) -> DataFrame:
-    """(control, a) -> every substring that can face a segment of a partner of any admissible length."""
-    m, n, i, k = F.col("m"), F.col("n"), F.col("i"), F.col("k")
-    parts = k + 1
-    start = _segment_start(n, parts, i)
-    size = _segment_length(n, parts, i)
-    shift = m - n
-    lo = F.greatest(F.lit(0), start - i, start + shift - (k - i))
-    hi = F.least(m - size, start + i, start + shift + (k - i))
+    A piece that survives lies s places off, with |s| + |length difference - s| <= k: the edits before and after it. Only
+    (length, h) that the index has under the control are tried.
+    """
+    m, n, h, i, k = (F.col(c) for c in "mnhik")
+    parts = k + 1 + h
+    start, size = _segment_start(n, parts, i), _segment_length(n, parts, i)
+    lo = F.greatest(F.lit(0), start - F.floor((k - (m - n)) / 2))
+    hi = F.least(m - size, start + F.floor((k + (m - n)) / 2))
     return (
         pairs.withColumn("m", F.length("a"))
         .withColumn("n", F.explode(F.sequence(
             F.ceil(m * pct / 100).cast("int"), F.floor(m * 100 / pct).cast("int"))))
-        .withColumn("k", _edits(n, pct))
-        .withColumn("i", F.explode(F.sequence(F.lit(0), k)))
+        .join(index.select("control", "n", "k", "h").distinct(), ["control", "n"])
+        .where(F.abs(m - n) <= k)
+        .withColumn("i", F.explode(F.sequence(F.lit(0), k + h)))
         .withColumn("size", size).withColumn("lo", lo.cast("int")).withColumn("hi", hi.cast("int"))
         .where("lo <= hi")
         .withColumn("at", F.explode(F.sequence(F.col("lo"), F.col("hi"))))
-        .select("control", "a", "n", "i", F.substr("a", F.col("at") + 1, F.col("size")).alias("piece")).distinct()
+        .select("control", "a", "n", "h", "i", F.substr("a", F.col("at") + 1, F.col("size")).alias("piece")).distinct()
     )
 
 
-def similar_texts(pairs: DataFrame, lookup: DataFrame, pct: int) -> DataFrame:
-    """All (control, a, b, similarity) with equal control and similarity >= pct/100. Inputs: (control, a), (control, b)."""
+def similar_texts(pairs: DataFrame, lookup: DataFrame, pct: int, common: int = 500) -> DataFrame:
+    """All (control, a, b, similarity) with equal control and similarity >= pct/100. Inputs: (control, a), (control, b).
+
+    A piece is common when more than ``common`` lookup texts of a control and length share it.
+    """
     if not 0 < pct <= 100:
         raise ValueError("threshold must be in 1..100 percent")
-    facing = _fact_substrings(pairs.where(F.length("a") > 0).distinct(), pct).join(
-        _lookup_segments(lookup.where(F.length("b") > 0).distinct(), pct), ["control", "n", "i", "piece"]
+    index = cut_lineage(_lookup_segments(lookup.where(F.length("b") > 0).distinct(), pct, common))
+    place = ["control", "n", "h", "i", "piece"]
+    facing = _fact_substrings(pairs.where(F.length("a") > 0).distinct(), index, pct).join(
+        index.select(*place, "b"), place
     ).select("control", "a", "b").distinct()
     longest = F.greatest(F.length("a"), F.length("b"))
     return facing.withColumn("d", F.levenshtein("a", "b")).where(
