@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from tierwork.functions.text import leading_int
 
+# fixed values: the texts rules start from and write
 UNASSIGNED = "Not Assigned"
+SURE = "Sure Mapping"
+SUBSCRIPTION = "SW Subscription"
 RULE_TARGETS = ("duration", "frequency", "consumption", "type", "mapping_duration", "mapping_billing")
 
 
@@ -87,8 +90,8 @@ def finish_rules(df: DataFrame) -> DataFrame:
     said = F.when(text.contains("1 YEA"), "1").when(text.contains("2 YEA"), "2").when(text.contains("3 YEA"), "3")
     df = df.withColumns({
         "duration": F.when(said.isNotNull(), F.concat(said, F.lit(" YR"))).otherwise(F.col("duration")),
-        "mapping_duration": F.when(said.isNotNull(), "Sure Mapping").otherwise(F.col("mapping_duration")),
-        "type": F.when(text.contains("SUBSC"), "SW Subscription").otherwise(F.col("type")),
+        "mapping_duration": F.when(said.isNotNull(), SURE).otherwise(F.col("mapping_duration")),
+        "type": F.when(text.contains("SUBSC"), SUBSCRIPTION).otherwise(F.col("type")),
     })
     years = F.nullif(F.regexp_extract("duration", r"(\d*\.?\d+)", 1), F.lit("")).cast("decimal(18,4)")
     in_years = F.col("duration").rlike("YR")

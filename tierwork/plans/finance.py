@@ -354,15 +354,15 @@ def pivot_accounts(t: Tables):
 
 
 @plan("journal_reshape", f"""
-WITH {DOCUMENTS}, j AS (SELECT 'E' || nation AS entity, substr(x, strpos(x, 'VAC') + 3, 4) AS vendor, l_returnflag, -price AS price
-  FROM (SELECT *, 'post/VAC' || lpad(CAST(l_suppkey % 10000 AS VARCHAR), 4, '0') || '/' || nation AS x FROM doc_lines))
+WITH {DOCUMENTS}, j AS (SELECT 'E' || nation AS entity, substr(x, strpos(x, 'VND') + 3, 4) AS vendor, l_returnflag, -price AS price
+  FROM (SELECT *, 'post/VND' || lpad(CAST(l_suppkey % 10000 AS VARCHAR), 4, '0') || '/' || nation AS x FROM doc_lines))
 SELECT entity, vendor, sum(CASE WHEN l_returnflag = 'A' THEN price END)::DOUBLE AS "A", sum(CASE WHEN l_returnflag = 'R' THEN price END)::DOUBLE AS "R" FROM j GROUP BY 1, 2
 """)
 def _(t: Tables):
     from tierwork.functions.text import after_marker
 
-    text = F.concat(F.lit("post/VAC"), F.lpad((F.col("l_suppkey") % 10000).cast("string"), 4, "0"), F.lit("/"), F.col("nation"))
-    j = documents(t).select(F.concat(F.lit("E"), F.col("nation")).alias("entity"), after_marker(text, "VAC", 4).alias("vendor"),
+    text = F.concat(F.lit("post/VND"), F.lpad((F.col("l_suppkey") % 10000).cast("string"), 4, "0"), F.lit("/"), F.col("nation"))
+    j = documents(t).select(F.concat(F.lit("E"), F.col("nation")).alias("entity"), after_marker(text, "VND", 4).alias("vendor"),
                             "l_returnflag", (-F.col("price")).alias("price"))
     out = N.pivot_measures(j, ["entity", "vendor"], "l_returnflag", ["A", "R"], "price")
     return out.select("entity", "vendor", *[F.col(c).cast("double").alias(c) for c in "AR"])

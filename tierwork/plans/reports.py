@@ -25,16 +25,16 @@ WITH {NATION_ORDERS}, a AS (SELECT 'N' || nation AS country, CAST(date_trunc('mo
   amount AS revenue, 0 AS budget, TRUE AS act FROM nation_orders
   UNION ALL SELECT 'N' || nation, CAST(date_trunc('month', o_date) AS DATE), o_orderstatus, o_orderpriority, 0, amount * 2, FALSE FROM nation_orders WHERE o_date >= DATE '2000-01-01'),
 c AS (SELECT * FROM (VALUES (1, 'Final revenue', 'status', 'F'), (2, 'Urgent', 'priority', '1-URGENT'), (3, 'Open revenue', 'status', 'O'), (5, 'Final again', 'status', 'F')) v(order_id, description, lvl, val))
-SELECT 'qbr' AS report_type, order_id, description, country, month, sum(revenue)::DOUBLE AS revenue, sum(budget)::DOUBLE AS budget
+SELECT 'review' AS report_type, order_id, description, country, month, sum(revenue)::DOUBLE AS revenue, sum(budget)::DOUBLE AS budget
 FROM a JOIN c ON CASE lvl WHEN 'status' THEN status ELSE priority END = val GROUP BY order_id, description, country, month, act
-UNION ALL SELECT 'qbr', 4, 'Headcount', '<placeholder>', DATE '1900-01-01', 0, 0
+UNION ALL SELECT 'review', 4, 'Headcount', '<placeholder>', DATE '1900-01-01', 0, 0
 """)
 def report_rows(t: Tables):
     actual = nation_orders(t).select(
         F.concat(F.lit("N"), F.col("nation")).alias("country"), month_start(F.col("o_date")).alias("month"),
         F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), "amount", "o_date")
     budget = actual.where(F.col("o_date") >= "2000-01-01").withColumn("amount", money(F.col("amount") * 2))
-    out = R.report_rows(actual, budget, LINES, "qbr", ["country", "month"], "amount")
+    out = R.report_rows(actual, budget, LINES, "review", ["country", "month"], "amount")
     return out.withColumns({c: F.col(c).cast("double") for c in ("revenue", "budget")})
 
 
