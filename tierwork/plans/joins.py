@@ -79,7 +79,7 @@ def _(t: Tables):
 
 @plan("explode_quantity", """
 SELECT l_suppkey, unit_no, count(*) AS n, sum(CAST(l_extendedprice AS DECIMAL(18,2)))::DOUBLE AS amount
-FROM (SELECT *, unnest(range(1, CAST(floor(l_quantity) AS BIGINT) + 1)) AS unit_no FROM lineitem) GROUP BY 1, 2
+FROM (SELECT *, unnest(range(1, CAST(floor(l_quantity) AS BIGINT) + 1))::INT AS unit_no FROM lineitem) GROUP BY 1, 2
 """)
 def explode_quantity(t: Tables):
     # lines with the same supplier and quantity unfold alike: sum them before, not after

@@ -104,7 +104,7 @@ def _(t: Tables):
 
 
 @plan("placeholder_columns", """
-SELECT count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS segment, 0 AS c_name FROM customer
+SELECT count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS segment, 0::BIGINT AS c_name FROM customer
 """)
 def _(t: Tables):
     c = t.customer.select(
@@ -181,7 +181,7 @@ SELECT CASE WHEN a.o_orderkey IS NULL THEN 'ONLY_IN_DF2' WHEN b.o_orderkey IS NU
        CASE WHEN a.o_orderstatus IS DISTINCT FROM b.o_orderstatus
             THEN coalesce(a.o_orderstatus, 'NULL') || ' -> ' || coalesce(b.o_orderstatus, 'NULL')
             ELSE a.o_orderstatus || ' == ' || b.o_orderstatus END AS o_orderstatus_changes,
-       abs(a.amount - b.amount)::DOUBLE / a.amount::DOUBLE * 100 AS amount_difference_pct, 5.0 AS amount_tolerance_pct,
+       abs(a.amount - b.amount)::DOUBLE / a.amount::DOUBLE * 100 AS amount_difference_pct, 5.0::DOUBLE AS amount_tolerance_pct,
        coalesce(b.o_orderpriority, a.o_orderpriority) AS o_orderpriority
 FROM dated_orders a FULL JOIN perturbed b ON a.o_orderkey = b.o_orderkey
 """
@@ -233,8 +233,8 @@ def _(t: Tables):
 
 
 @plan("recon_by_year", f"""
-WITH {PERTURBED}, a AS (SELECT year(o_date) AS yr, sum(amount) AS x FROM dated_orders GROUP BY 1),
-b AS (SELECT year(o_date) AS yr, sum(amount) AS y FROM perturbed GROUP BY 1)
+WITH {PERTURBED}, a AS (SELECT year(o_date)::INT AS yr, sum(amount) AS x FROM dated_orders GROUP BY 1),
+b AS (SELECT year(o_date)::INT AS yr, sum(amount) AS y FROM perturbed GROUP BY 1)
 SELECT a.yr, x::DOUBLE AS left_amount, y::DOUBLE AS right_amount, (x - y)::DOUBLE AS difference,
        (x - y)::DOUBLE / x::DOUBLE * 100 AS difference_pct
 FROM a JOIN b ON a.yr = b.yr

@@ -143,7 +143,7 @@ def _(t: Tables):
 
 @plan("x_01_strings", """
 SELECT c_custkey, upper(trim('  ' || c_name)) AS a, lower(left(c_mktsegment, 3)) || '-' || right(c_name, 4) AS b,
-  upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) AS c, replace(c_name, 'Customer', 'C') AS d, lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS e, length(c_name) AS f
+  upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) AS c, replace(c_name, 'Customer', 'C') AS d, lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS e, length(c_name)::INT AS f
 FROM customer
 """)
 def _(t: Tables):
