@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwork.llm import mixing, secrets, urls
+from tierwork.llm import bpe, mixing, secrets, setjoin, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +101,15 @@ def op8_url_filter(spark: SparkSession, root: str) -> DataFrame:
 def op10_mix_sources(spark: SparkSession, root: str) -> DataFrame:
     mixed = mixing.mix(table(spark, root, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+@query("op2_jaccard_join")
+def op2_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
+    return setjoin.jaccard_components(table(spark, root, "documents"), shingle=3, num=90, den=100).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, root: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digest_documents(table(spark, root, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
