@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwork.llm import bpe, mixing, secrets, setjoin, urls
+from tierwork.llm import bpe, langid, mixing, secrets, setjoin, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -113,3 +113,8 @@ def op5_bpe(spark: SparkSession, root: str) -> DataFrame:
     import public_tokenizers
 
     return bpe.digest_documents(table(spark, root, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, root: str) -> DataFrame:
+    return langid.identify(table(spark, root, "documents"))

@@ -82,8 +82,11 @@ def row_pieces(at: np.ndarray, width: int = WINDOW) -> Iterator[tuple[int, int]]
         lo = min(hi, n)
 
 
-def words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, place of each row's first word and the end, word hashes) for pieces of a batch."""
+def spans(column: pa.Array, longest: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, place of each row's first word and the end, bytes, word starts, word ends) for pieces of a batch.
+
+    With ``longest``, longer words are cut into parts of that many bytes.
+    """
     at, data = text_buffers(column)
     for lo, hi in row_pieces(at):
         begin, stop = int(at[lo]), int(at[hi])
@@ -91,13 +94,33 @@ def words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         inside = ~_SPACE[part]
         cut = np.zeros(len(part) + 1, dtype=bool)
         cut[at[lo: hi + 1] - begin] = True
-        cut[0] = cut[-1] = True
         starts = inside.copy()
         starts[1:] &= ~inside[:-1] | cut[1:-1]
         stops = inside.copy()
         stops[:-1] &= ~inside[1:] | cut[1:-1]
         s, e = np.flatnonzero(starts), np.flatnonzero(stops) + 1
-        yield lo, hi, np.searchsorted(s, at[lo: hi + 1] - begin), _hash_spans(part, s, e)
+        if longest and len(s) and int((e - s).max()) > longest:
+            parts = (e - s + longest - 1) // longest
+            first = np.repeat(s, parts)
+            no = np.arange(len(first)) - np.repeat(np.cumsum(parts) - parts, parts)
+            last = np.repeat(e, parts)
+            s = first + no * longest
+            e = np.minimum(s + longest, last)
+        yield lo, hi, np.searchsorted(s, at[lo: hi + 1] - begin), part, s, e
+
+
+def words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, place of each row's first word and the end, word hashes) for pieces of a batch."""
+    for lo, hi, first, part, s, e in spans(column):
+        yield lo, hi, first, _hash_spans(part, s, e)
+
+
+def hash_parts(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return _hash_spans(part, starts, ends)
+
+
+def lower(data: np.ndarray) -> np.ndarray:
+    return _LOWER[data]
 
 
 _COMBINE = np.random.default_rng(7).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
