@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwork.llm import bpe, langid, mixing, secrets, setjoin, urls
+from tierwork.llm import bpe, langid, mixing, neural_lm, secrets, setjoin, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -118,3 +118,8 @@ def op5_bpe(spark: SparkSession, root: str) -> DataFrame:
 @query("op6_language_id")
 def op6_language_id(spark: SparkSession, root: str) -> DataFrame:
     return langid.identify(table(spark, root, "documents"))
+
+
+@query("op9_lm_score")
+def op9_lm_score(spark: SparkSession, root: str) -> DataFrame:
+    return neural_lm.score_documents(table(spark, root, "documents"))
