@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwork.llm import bpe, langid, mixing, neural_lm, secrets, setjoin, urls
+from tierwork.llm import bpe, langid, mixing, neardup, neural_lm, secrets, setjoin, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -123,3 +123,22 @@ def op6_language_id(spark: SparkSession, root: str) -> DataFrame:
 @query("op9_lm_score")
 def op9_lm_score(spark: SparkSession, root: str) -> DataFrame:
     return neural_lm.score_documents(table(spark, root, "documents"))
+
+
+@query("op3_top_k", """
+    WITH ok AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+          FROM ok q JOIN ok c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""")
+def op3_top_k(spark: SparkSession, root: str) -> DataFrame:
+    return topk.top_k(table(spark, root, "embeddings"))
+
+
+@query("op4_near_vectors")
+def op4_near_vectors(spark: SparkSession, root: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, root, "embeddings"))
