@@ -214,6 +214,23 @@ def predict(docs: DataFrame, languages: list[str], net: ByteGru | None, text_col
     return rows.mapInArrow(run, schema)
 
 
+def _learnable(rows: DataFrame, folds: int, held: int) -> DataFrame:
+    return rows.where((crc_rest("id", folds) != held) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+
+
+def keep_identified(
+    docs: DataFrame, least_score: float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held: int = 2, **how,
+) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose language is recognised with at least ``least_score``; learns like :func:`identify`.
+
+    Null texts and texts without a letter go, and so does everything if nothing could be learned.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    said = predict(docs, *fit(_learnable(rows, folds, held), **how), text_col)
+    pred, score = said.columns[-2:]
+    return said.where((F.col(pred) != UNKNOWN) & (F.col(score) >= least_score)).drop(pred, score)
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held: int = 2, **how) -> DataFrame:
     """Per row: id, held_out, lang_pred, score. Learns from rows whose id's CRC32 modulo ``folds`` is not ``held``, with text and language.
 
@@ -222,7 +239,6 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     held_out = crc_rest("id", folds) == held
-    learn = rows.where(~held_out & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    languages, net = fit(learn, **how)
+    languages, net = fit(_learnable(rows, folds, held), **how)
     said = predict(rows.select("id", "text"), languages, net)
     return said.select(F.col("id").alias(id_col), held_out.alias("held_out"), "lang_pred", "score")

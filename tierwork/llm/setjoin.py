@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwork.llm.frames import block_rows, sum_blocks
+from tierwork.llm.frames import block_rows, own_name, sum_blocks
 from tierwork.llm.graph import components
 from tierwork.llm.words import mix, shingle_sets
 from tierwork.sources.storage import cut_lineage
@@ -169,12 +169,13 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> D
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100,
 ) -> DataFrame:
-    """Per row: id, n_shingles, component_id (least id of the rows linked to it, directly or over others, its own included), set_id.
+    """Per row: id, n_shingles, component_id (least id of the rows linked to it, directly or over others, its own included), set_id, text_key.
 
     Words are lower-cased (A-Z only). A text with fewer words than a shingle is one shingle; null texts and texts without words have none and link with
     nothing. Repeated rows and equal texts are linked like any equal sets; rows with equal ids keep their own rows. Rows with a null id take part; their
     component is the least id that is not null, or null. Empty tables give no rows; other columns are ignored.
-    ``set_id`` names the component also where ids are null or repeated (null for rows that link with nothing by having no words).
+    ``set_id`` names the component also where ids are null or repeated (null for rows that link with nothing by having no words);
+    ``text_key`` is a 64-bit hash of the text.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
     signed = cut_lineage(_signatures(rows, shingle, num, den))
@@ -220,7 +221,23 @@ def jaccard_components(
     placed = classes.select("cls", "least_id").join(roots.withColumnRenamed("key", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = cut_lineage(placed.join(least, "root").select("cls", "root", "component_id"))
-    out = signed.select("id", "n", "cls").join(named, "cls", "left")
+    out = signed.select("id", "th", "n", "cls").join(named, "cls", "left")
     return out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
-        F.hex("root").alias("set_id"))
+        F.hex("root").alias("set_id"), F.col("th").alias("text_key"))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` (all columns) with one row of each component: that with the least id (null last), then the least hash of its text.
+
+    Rows that repeat id and text are one document and stay once if chosen, whatever their other columns say. Null texts and texts without words link with
+    nothing and all stay.
+    """
+    i, th = own_name(docs, "_id"), own_name(docs, "_th")
+    worded = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    found = jaccard_components(docs.where(worded), id_col, text_col, **how)
+    chosen = found.groupBy("set_id").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_key").alias("th"))).alias("x"))
+    chosen = chosen.select(F.col("x.id").alias(i), F.col("x.th").alias(th))
+    mine = docs.where(worded).withColumn(th, F.xxhash64(text_col))
+    kept = mine.alias("m").join(chosen.alias("c"), (F.col(f"m.{th}") == F.col(f"c.{th}")) & F.col(f"m.`{id_col}`").eqNullSafe(F.col(f"c.{i}"))).select("m.*")
+    return kept.dropDuplicates([th, id_col]).drop(th).unionByName(docs.where(~worded))
