@@ -16,7 +16,7 @@ from tierwork.operators import cdc, columns, finance, history, lookups, masterin
 from tierwork.operators.hierarchy import flatten_levels, resolve_root, root_paths
 from tierwork.sources import readers, sinks
 
-OLD, NEW, NEWEST = dt.datetime(2017, 4, 4, 7), dt.datetime(2017, 10, 10, 7), dt.datetime(2018, 6, 6, 7)
+OLD, NEW, NEWEST = dt.datetime(2009, 2, 28, 23, 59), dt.datetime(2011, 7, 1), dt.datetime(2020, 12, 31, 0, 0, 1)
 
 
 def values(df):
@@ -26,19 +26,48 @@ def values(df):
 # --- counts and columns ---------------------------------------------------------------------------------------------
 
 def test_missing_strings(spark):
-    df = spark.createDataFrame([("a",), ("  ",), ("b c",), (None,), ("",), ("d",)], "s string")
-    assert quality.missing_counts(df, ["s"]).first().s == 3
+    texts = ["\t", "\u00a0", "0", None, None, " x ", "   ", "NULL", ""]
+    df = spark.createDataFrame([(t, None, i) for i, t in enumerate(texts)], "s string, nothing string, n int")
+    got = quality.missing_counts(df, ["s", "nothing"]).first()
+    assert (got.nothing, got.s) == (9, 5)  # tabs and spaces are blank, a no-break space is not
 
 
 def test_profile_counts_rows_nulls_and_distinct(spark):
-    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, None), (5, "a"), (6, "c")], "id long, s string")
-    got = quality.profile(df, ["s"]).first()
-    assert (got.rows, got.non_null_col, got.null_col, got.distinct_col, got.missing_col) == (6, 4, 2, 3, 2)
+    df = spark.createDataFrame([(i % 5 if i % 4 else None, None) for i in range(23)], "n long, nothing string")
+    n, nothing = (quality.profile(df, [c]).first() for c in ("n", "nothing"))
+    assert (n.rows, n.null_col, n.non_null_col, n.distinct_col) == (23, 6, 17, 5)
+    assert (nothing.rows, nothing.null_col, nothing.non_null_col, nothing.distinct_col) == (23, 23, 0, 0)
 
 
 def test_multiple_values_ignore_nulls(spark):
-    df = spark.createDataFrame([("A", "x"), ("A", "x"), ("A", None), ("B", "x"), ("B", "y"), ("C", "y"), ("C", None), ("C", "z")], "k string, v string")
-    assert quality.multiple_values(df, "k", "v").first().multiple_count == 2
+    rows = [(7, 1.5), (7, 2.5), (7, None), (8, None), (9, 3.0), (9, 3.0), (10, 0.0), (10, -1.0), (10, 4.0)]
+    assert quality.multiple_values(spark.createDataFrame(rows, "k long, v double"), "k", "v").first().multiple_count == 2
+
+
+def test_summary_is_exact(spark):
+    df = spark.createDataFrame([(float(i % 10), "b" if i % 3 else None) for i in range(101)], "x double, s string")
+    got = {r.column_name: r for r in quality.summarise(df, ["x", "s"]).collect()}
+    xs = sorted(float(i % 10) for i in range(101))
+    assert (got["x"].q1, got["x"].median, got["x"].q3, got["x"].n_distinct) == (xs[25], xs[50], xs[75], 10)
+    assert (got["s"].n_rows, got["s"].n_nulls, got["s"].min_value, got["s"].mean) == (101, 34, "b", None)
+
+
+def test_years_of_any_length_are_read(spark):
+    from tierwork.operators.rules import RULE_TARGETS, finish_rules
+
+    texts = ["a 4 year plan", "11 Years", "10years", "no time", "1 yea"]
+    df = spark.createDataFrame([(t,) for t in texts], "description string")
+    for c in RULE_TARGETS:
+        df = df.withColumn(c, F.lit("Not Assigned"))
+    got = {r.description: (r.duration, r.mrr_ratio) for r in finish_rules(df).collect()}
+    assert got == {"A 4 YEAR PLAN": ("4.00 YR", 48.0), "11 YEARS": ("11.00 YR", 132.0), "10YEARS": ("10.00 YR", 120.0),
+                   "NO TIME": ("Not Assigned", 0.0), "1 YEA": ("1.00 YR", 12.0)}
+
+
+def test_large_quantities_unfold_whole(spark):
+    df = spark.createDataFrame([(1, 2500.9), (2, 1000.0), (3, 1001.0), (4, 0.5), (5, None)], "k long, q double")
+    got = lookups.explode_quantity(df, "q").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("unit_no").alias("d"), F.max("unit_no").alias("m"))
+    assert values(got) == [(1, 2500, 2500, 2500), (2, 1000, 1000, 1000), (3, 1001, 1001, 1001)]
 
 
 def test_mapped_columns_fill_missing_source(spark):
@@ -69,6 +98,10 @@ def test_only_exact_placeholder_is_dropped(spark):
 def test_row_hash_tells_moved_values_apart(spark):
     df = spark.createDataFrame([("a", None), (None, "a"), ("a", "")], "x string, y string")
     assert df.select(row_hash([F.col("x"), F.col("y")]).alias("h")).distinct().count() == 3
+    odd = [("a~", "b"), ("a", "~b"), ("a:1", "b"), ("a", ":1b"), (None, "a"), ("a", None), ("", "a"), ("-", None), (None, "-"), ("1:a", ""), ("", "1:a")]
+    df = spark.createDataFrame(odd, "x string, y string")
+    assert df.select(row_hash([F.col("x"), F.col("y")]).alias("h")).distinct().count() == len(odd)
+    assert readers.extract_keys(df, ["x", "y"]).select("key_hash").distinct().count() == len(odd)
 
 
 def test_exclude_patterns_keeps_null(spark):
@@ -106,8 +139,19 @@ def test_hierarchy_depth_cycle_and_dangling_parent(spark):
     assert got[39] == (0, 39) and got[0] == (0, 0) and got[100] == (100, 0)
     with pytest.raises(ValueError):
         root_paths(spark.createDataFrame([(1, 2), (2, 1)], "id long, up long"), "id", "up")
-    levels = flatten_levels(df, "id", "up", 3).where("id in (0, 1, 39)")
-    assert values(levels) == [(0, 0, 0, 0), (1, 0, 1, 1), (39, 0, 1, 2)]
+    levels = flatten_levels(df.where("id < 3"), "id", "up", 3)
+    assert values(levels) == [(0, 0, 0, 0), (1, 0, 1, 1), (2, 0, 1, 2)]
+    with pytest.raises(Exception, match="more than 3 levels"):
+        flatten_levels(df.where("id < 4"), "id", "up", 3).collect()
+
+
+def test_deep_chain_two_parents_and_a_tail_into_a_cycle(spark):
+    deep = spark.createDataFrame([(i, i - 1 if i else None) for i in range(1000)], "id long, up long")
+    assert {r.depth for r in resolve_root(deep, "id", "up").where("id = 999").collect()} == {999}
+    two = spark.createDataFrame([(1, None), (2, None), (3, 1), (3, 2), (4, 3)], "id long, up long")
+    assert sorted(tuple(r.path) for r in root_paths(two, "id", "up").collect()) == [(1,), (2,), (3, 1), (3, 2), (4, 3, 1), (4, 3, 2)]
+    with pytest.raises(ValueError):
+        root_paths(spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 1), (5, 4), (6, None)], "id long, up long"), "id", "up")
 
 
 # --- running values: every split gives the same answer ---------------------------------------------------------------
@@ -195,6 +239,19 @@ def test_apply_log_closes_and_keeps_one_current(spark):
     assert got == {(1, "x", day[0], day[1], 0), (1, "y", day[1], day[3], 0), (1, "z", day[3], end, 1), (2, "x", day[0], end, 1), (3, "q", day[4], end, 1)}
 
 
+def test_log_in_parts_equals_the_whole_log_with_returns_and_ties(spark):
+    rng = random.Random(11)
+    rows = [(rng.randint(0, 4), rng.choice("xyz"), dt.datetime(2023, 5, 1) + dt.timedelta(hours=rng.randint(0, 40)), i) for i in range(150)]
+    schema = "k long, hash string, ts timestamp, no long"
+    whole = history.versions_from_log(spark.createDataFrame(rows, schema), "k", "hash", "ts", F.lit(0), ["no"])
+    rows.sort(key=lambda r: (r[2], r[3]))
+    dim = whole.limit(0).withColumn("is_current", F.lit(1))
+    for cut in (40, 90, 150):
+        dim = history.apply_log(dim, spark.createDataFrame(rows[max(0, cut - 60):cut], schema), "k", "hash", "ts", F.lit(0), ["no"])
+    assert values(dim.drop("is_current").select(whole.columns)) == values(whole)
+    assert dim.where("is_current = 1").count() == len({r[0] for r in rows})
+
+
 def test_point_in_time_and_unknown(spark):
     dim = spark.createDataFrame([(1, 10, dt.datetime(2020, 1, 1), dt.datetime(2021, 1, 1)), (1, 11, dt.datetime(2021, 1, 1), None)],
                                 "k long, pk long, start_datetime timestamp, end_datetime timestamp")

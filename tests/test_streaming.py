@@ -39,6 +39,8 @@ def test_upsert_state_over_several_runs(spark, tmp_path):
     _land(spark, src, [(1, "c", 3)])
     _land(spark, src, [(3, "n", 3)])
     assert run() == {1: "c", 2: "x", 3: "n"}
+    _land(spark, src, [(1, "late", 2), (2, "y", 2), (3, "late", 1), (4, "m", 1)])
+    assert run() == {1: "c", 2: "y", 3: "n", 4: "m"}
 
 
 def test_rekey_late(spark):

@@ -7,9 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NULL_MARK = "␀"
-
-
 def money(col: Column, precision: int = 18, scale: int = 2) -> Column:
     return col.cast(f"decimal({precision},{scale})")
 
@@ -20,8 +17,12 @@ def safe_ratio(a: Column, b: Column) -> Column:
 
 
 def row_hash(cols: Sequence[Column], bits: int = 256) -> Column:
-    """Digest that tells a NULL from an empty text and from a value moved to the next column."""
-    return F.sha2(F.concat_ws("~", *[F.coalesce(c.cast("string"), F.lit(NULL_MARK)) for c in cols]), bits)
+    """Digest of the columns in their order: each field is its length, a colon and its text, a NULL field is ``-``.
+
+    So a NULL differs from an empty text, and no text can end early or run into the next column.
+    """
+    text = [c.cast("string") for c in cols]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in text]), bits)
 
 
 def is_not_false(col: Column) -> Column:

@@ -12,28 +12,31 @@ from pyspark.sql import functions as F
 from tierwork.sources.storage import cut_lineage
 
 
-def root_paths(edges: DataFrame, node: str, parent: str, max_rounds: int = 7) -> DataFrame:
+def root_paths(edges: DataFrame, node: str, parent: str) -> DataFrame:
     """(node, path): the path runs from the node up to its root. A parent that is no node itself ends the path.
 
-    Depth 2 ** max_rounds is the limit; a longer chain or a cycle raises.
+    Any depth. A node with several parents has one path per way up. A round settles at least the nodes whose way up is
+    shortest among the open ones, so a round that settles none means a cycle, which raises.
     """
     base = edges.select(F.col(node).alias("node"), F.col(parent).alias("up")).distinct()
-    known = base.select(F.col("node").alias("up"))
+    known = base.select(F.col("node").alias("up")).distinct()
     rooted = base.join(known.withColumn("__is_node", F.lit(True)), "up", "left")
     state = cut_lineage(rooted.select(
         "node", F.array("node").alias("path"), F.when(F.col("__is_node"), F.col("up")).alias("next")
     ))
-    for _ in range(max_rounds):
-        if state.where("next is not null").isEmpty():
+    before = None
+    while True:
+        still = state.where("next is not null").select("node").distinct().count()
+        if not still:
             return state.select(F.col("node").alias(node), "path")
+        if still == before:
+            raise ValueError("hierarchy has a cycle")
+        before = still
         above = state.select(F.col("node").alias("next"), F.col("path").alias("up_path"), F.col("next").alias("up_next"))
         state = cut_lineage(state.join(above, "next", "left").select(
             "node", F.concat("path", F.coalesce("up_path", F.expr("array()"))).alias("path"),
             F.col("up_next").alias("next"),
         ))
-    if not state.where("next is not null").isEmpty():
-        raise ValueError("hierarchy has a cycle or is too deep")
-    return state.select(F.col("node").alias(node), "path")
 
 
 def resolve_root(edges: DataFrame, node: str, parent: str) -> DataFrame:
@@ -44,10 +47,15 @@ def resolve_root(edges: DataFrame, node: str, parent: str) -> DataFrame:
 
 
 def flatten_levels(edges: DataFrame, node: str, parent: str, levels: int, under: object | None = None) -> DataFrame:
-    """(node, level_1 = root .. level_n); levels below the node repeat it. ``under`` keeps one sub-tree."""
+    """(node, level_1 = root .. level_n); levels below the node repeat it. ``under`` keeps one sub-tree.
+
+    A path with more than ``levels`` nodes would lose its end: the query fails and says so.
+    """
     paths = root_paths(edges, node, parent).withColumn("path", F.reverse("path"))
     if under is not None:
         paths = paths.where(F.array_contains("path", F.lit(under)))
+    longer = F.raise_error(F.concat(F.lit(f"more than {levels} levels: "), F.concat_ws(" > ", "path")))
+    paths = paths.withColumn("path", F.when(F.size("path") <= levels, F.col("path")).otherwise(longer))
     deepest = F.element_at("path", -1)
     return paths.select(node, *[
         F.coalesce(F.try_element_at("path", F.lit(i)), deepest).alias(f"level_{i}") for i in range(1, levels + 1)

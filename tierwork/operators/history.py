@@ -16,38 +16,47 @@ FIRST_START = dt.datetime(1990, 1, 1)
 UNKNOWN = -1
 
 
-def versions_from_log(log: DataFrame, key: str, hash_col: str, ts: str, split: Column) -> DataFrame:
+def _run_starts(log: DataFrame, key: str, hash_col: str, order: Sequence[str], split: Column) -> DataFrame:
+    seen = running(log, [key], order, split, {"__before": previous(F.col(hash_col))})
+    return seen.where(F.col("__before").isNull() | (F.col("__before") != F.col(hash_col))).drop("__before")
+
+
+def versions_from_log(log: DataFrame, key: str, hash_col: str, ts: str, split: Column, ties: Sequence[str] = ()) -> DataFrame:
     """Change log -> one row per unbroken run of equal hashes, with ``start_datetime`` and ``end_datetime``.
 
-    A run starts where the hash differs from the previous row of the key and ends where the next run starts. The starts,
-    far fewer than the log's rows, are checkpointed so that the second pass does not read the log again.
+    A run starts where the hash differs from the previous row of the key and ends where the next run starts. ``ties`` order
+    rows of one key and time; without them such rows have no order. The starts, far fewer than the log's rows, are
+    checkpointed so that the second pass does not read the log again.
     """
-    seen = running(log, [key], [ts], split, {"__before": previous(F.col(hash_col))})
-    starts = cut_lineage(seen.where(F.col("__before").isNull() | (F.col("__before") != F.col(hash_col))).drop("__before"))
-    ended = running(starts, [key], [ts], split, {"__next": following(F.col(ts))})
+    order = [ts, *ties]
+    starts = cut_lineage(_run_starts(log, key, hash_col, order, split))
+    ended = running(starts, [key], order, split, {"__next": following(F.col(ts))})
     return ended.withColumn("start_datetime", F.col(ts)).withColumn(
         "end_datetime", F.coalesce("__next", F.lit(OPEN_END))
     ).drop("__next", ts)
 
 
-def apply_log(dim: DataFrame, log: DataFrame, key: str, hash_col: str, ts: str, split: Column) -> DataFrame:
+def apply_log(dim: DataFrame, log: DataFrame, key: str, hash_col: str, ts: str, split: Column, ties: Sequence[str] = ()) -> DataFrame:
     """New snapshot of a dimension (key, attributes, hash, start, end, is_current) after a change log.
 
-    Only rows of unseen keys, or rows later than the current version with another hash, count. The current version
-    of a key that gets new versions is closed at the first new start.
+    Rows of unseen keys and rows later than the current version count. Each is compared with the row before it, the current
+    version standing in front: a value that returns is a version again, so a log applied in parts gives the same
+    history as the whole log. The current version of a key that gets new versions is closed at the first new start.
+    ``ties`` (columns of dimension and log) order rows of one key and time.
     """
-    now = dim.where("is_current = 1").select(
-        key, F.col(hash_col).alias("__hash"), F.col("start_datetime").alias("__start")
-    )
-    fresh = log.join(now, key, "left").where(
-        F.col("__hash").isNull() | ((F.col(ts) > F.col("__start")) & (F.col(hash_col) != F.col("__hash")))
-    ).select(*log.columns)
-    added = versions_from_log(fresh, key, hash_col, ts, split).withColumn(
-        "is_current", (F.col("end_datetime") == F.lit(OPEN_END)).cast("int")
-    )
-    added = cut_lineage(added)
+    current = dim.where("is_current = 1")
+    now = current.select(key, F.col("start_datetime").alias("__start"), *[F.col(c).alias(f"__{c}") for c in ties])
+    place = lambda mark, names: F.struct(mark, *names)
+    later = place(F.col(ts), map(F.col, ties)) > place(F.col("__start"), [F.col(f"__{c}") for c in ties])
+    fresh = log.join(now, key, "left").where(F.col("__start").isNull() | later).select(*log.columns, F.lit(False).alias("__held"))
+    front = current.join(fresh.select(key).distinct(), key, "left_semi").withColumn(ts, F.col("start_datetime").cast(log.schema[ts].dataType))
+    rows = fresh.unionByName(front.select(*log.columns, F.lit(True).alias("__held")))
+    starts = cut_lineage(_run_starts(rows, key, hash_col, [ts, *ties], split).where(~F.col("__held")).drop("__held"))
+    ended = running(starts, [key], [ts, *ties], split, {"__next": following(F.col(ts))})
+    added = cut_lineage(ended.withColumn("start_datetime", F.col(ts)).withColumn("end_datetime", F.coalesce("__next", F.lit(OPEN_END))).withColumn(
+        "is_current", F.col("__next").isNull().cast("int")).select(*dim.columns))
     firsts = added.groupBy(key).agg(F.min("start_datetime").alias("__closed"))
-    return close_current(dim, firsts, key, F.col("__closed")).unionByName(added.select(*dim.columns))
+    return close_current(dim, firsts, key, F.col("__closed")).unionByName(added)
 
 
 def close_current(dim: DataFrame, closings: DataFrame, key: str, end: Column) -> DataFrame:

@@ -24,6 +24,7 @@ def load_cleaned(
     Current flag by newest mark, texts normalised, rows without key dropped, cast to the target's ``schema``, hashed
     after that (so the hash is of what is stored), one row per key and mark, merged, and - with an extract of existing
     keys - flagged as deleted. Adds hash_key, is_current, inserted_at, modified_at and is_deleted.
+    ``raw`` may be a part: current rows of keys that it does not contain stay as they are.
     """
     pk = [*keys, mark]
     flagged = cdc.current_flag(raw, mode, keys, mark)
@@ -34,8 +35,14 @@ def load_cleaned(
         "hash_key": row_hash(content), "inserted_at": F.lit(at), "modified_at": F.lit(at), "is_deleted": F.lit(False),
     })
     rows = keep_first(stamped, pk, [F.col("hash_key")])
-    out = cdc.load_or_merge(
-        target, rows, pk, hash_col="hash_key", current_col="is_current", keep_cols=["inserted_at", "is_deleted"], force=force)
+    if target is None:
+        out = rows
+    else:
+        touched = rows.select(*keys).distinct()
+        out = cdc.merge_upsert(
+            target.join(touched, list(keys), "left_semi"), rows, pk, hash_col="hash_key", current_col="is_current",
+            keep_cols=["inserted_at", "is_deleted"], force=force,
+        ).unionByName(target.join(touched, list(keys), "left_anti"))
     return out if present_keys is None else cdc.soft_delete(out, present_keys, keys, "is_deleted")
 
 

@@ -40,10 +40,19 @@ def join_either(a: DataFrame, b: DataFrame, first: str, second: str, key: str, v
     )
 
 
+UNIT_BLOCK = 1000
+
+
 def explode_quantity(df: DataFrame, quantity: str, into: str = "unit_no") -> DataFrame:
-    """A line of n pieces becomes n rows numbered 1..n; lines below 1 give none."""
-    n = F.floor(F.col(quantity)).cast("int")
-    return df.withColumn(into, F.explode(F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))))
+    """A line of n pieces becomes n rows numbered 1..n; lines below 1 give none.
+
+    Blocks of pieces unfold first, then the pieces of each, so no row holds an array in proportion to its quantity.
+    """
+    n = F.floor(F.col(quantity)).cast("long")
+    none = F.array().cast("array<long>")
+    blocks = df.withColumn("__block", F.explode(F.when(n >= 1, F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / UNIT_BLOCK))).otherwise(none)))
+    first = F.col("__block") * UNIT_BLOCK + 1
+    return blocks.withColumn(into, F.explode(F.sequence(first, F.least(first + UNIT_BLOCK - 1, n)))).drop("__block")
 
 
 def spine(entities: DataFrame, values: Column, into: str) -> DataFrame:

@@ -216,5 +216,26 @@ def schema_diff(a: DataFrame, b: DataFrame, spark) -> DataFrame:
 
 
 def summarise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, stddev, min, quartiles and max per column."""
-    return df.select(*columns).summary()
+    """(column_name, n_rows, n_nulls, n_distinct, mean, stddev, min_value, q1, median, q3, max_value) per column.
+
+    Rows are counted per value first, so all columns are one aggregation of their values. Quartiles are exact (interpolated between
+    neighbours) and, like mean and deviation, NULL for texts; least and greatest values are shown as text.
+    """
+    plain = ("decimal", "double", "float", "int", "bigint", "smallint", "tinyint")
+    numeric = {f.name for f in df.schema.fields if f.dataType.simpleString().startswith(plain)}
+    cells = F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(c).cast("string").alias("text"),
+        (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("number")) for c in columns]))
+    counted = df.select(cells.alias("c")).groupBy("c.column_name", "c.text", "c.number").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum(F.when(F.col("number").isNotNull(), F.col("n")))
+    present = F.coalesce(F.sum(F.when(F.col("text").isNotNull(), F.col("n"))), F.lit(0))
+    quartile = lambda p: F.percentile("number", F.lit(p), F.col("n"))
+    base = counted.groupBy("column_name").agg(
+        F.sum("n").alias("n_rows"), (F.sum("n") - present).alias("n_nulls"), F.count("text").alias("n_distinct"),
+        (F.sum(F.col("number") * F.col("n")) / total).alias("mean"), F.coalesce(F.min_by("text", "number"), F.min("text")).alias("min_value"),
+        quartile(0.25).alias("q1"), quartile(0.5).alias("median"), quartile(0.75).alias("q3"),
+        F.coalesce(F.max_by("text", "number"), F.max("text")).alias("max_value"))
+    apart = counted.join(base.select("column_name", "mean"), "column_name").groupBy("column_name").agg(
+        F.sqrt(F.sum((F.col("number") - F.col("mean")) ** 2 * F.col("n")) / (total - 1)).alias("stddev"))
+    return base.join(apart, "column_name").select(
+        "column_name", "n_rows", "n_nulls", "n_distinct", "mean", "stddev", "min_value", "q1", "median", "q3", "max_value")

@@ -15,6 +15,7 @@ from tierwork.functions.text import leading_int
 UNASSIGNED = "Not Assigned"
 SURE = "Sure Mapping"
 SUBSCRIPTION = "SW Subscription"
+YEARS_SAID = r"(\d+)\s*YEA"
 RULE_TARGETS = ("duration", "frequency", "consumption", "type", "mapping_duration", "mapping_billing")
 
 
@@ -84,10 +85,10 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def finish_rules(df: DataFrame) -> DataFrame:
-    """Upper-case description; ``N YEA`` in it sets N YR (1 before 2 before 3); ratio = 12 x years; years shown with two decimals."""
+    """Upper-case description; the first ``N YEA`` in it sets N YR, whatever N; ratio = 12 x years; years shown with two decimals."""
     df = df.withColumn("description", F.upper("description"))
     text = F.col("description")
-    said = F.when(text.contains("1 YEA"), "1").when(text.contains("2 YEA"), "2").when(text.contains("3 YEA"), "3")
+    said = F.nullif(F.regexp_extract(text, YEARS_SAID, 1), F.lit(""))
     df = df.withColumns({
         "duration": F.when(said.isNotNull(), F.concat(said, F.lit(" YR"))).otherwise(F.col("duration")),
         "mapping_duration": F.when(said.isNotNull(), SURE).otherwise(F.col("mapping_duration")),

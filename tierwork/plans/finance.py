@@ -17,7 +17,7 @@ from tierwork.plans.inputs import (
     DATED_ORDERS, DOCUMENTS, FILLED_RATES, NATION_ORDERS, QUARTERLY_RATES, dated_orders, documents, nation_orders,
     order_lines, stored_rates, with_order,
 )
-from tierwork.plans.registry import Tables, plan, spread
+from tierwork.plans.registry import Tables, plan
 
 
 def unified(t: Tables) -> DataFrame:
@@ -163,7 +163,7 @@ def _contracts(t: Tables) -> DataFrame:
 
 @plan("deferred_spread", DEFERRED)
 def deferred_spread(t: Tables):
-    return N.spread_deferred(spread(_contracts(t)), "month", "end_date", "price").groupBy("nation", "is_deferred", "month").agg(
+    return N.spread_deferred(_contracts(t), "month", "end_date", "price").groupBy("nation", "is_deferred", "month").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("price").cast("double").alias("price"))
 
 

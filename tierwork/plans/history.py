@@ -18,15 +18,15 @@ MID = "2024-01-16"
 
 def versions(t: Tables) -> DataFrame:
     log = event_log(t)
-    out = H.versions_from_log(log.drop("event_id"), "user_id", "hash", "ts", by_day("ts"))
-    return out.drop("hash")
+    out = H.versions_from_log(log, "user_id", "hash", "ts", by_day("ts"), ["event_id"])
+    return out.drop("hash", "event_id")
 
 
 ISLANDS = """log AS (SELECT event_id, user_id, event_type, ts FROM events), starts AS (
-  SELECT user_id, event_type, ts FROM (
-    SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM log)
+  SELECT user_id, event_type, ts, event_id FROM (
+    SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM log)
   WHERE before IS NULL OR before <> event_type), versions AS (
-  SELECT user_id, event_type, ts AS start_ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_ts FROM starts)"""
+  SELECT user_id, event_type, ts AS start_ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts FROM starts)"""
 
 
 def _shown(df: DataFrame, *more: str) -> DataFrame:
@@ -49,7 +49,7 @@ def scd2_from_log(t: Tables):
 def _stored_dim(t: Tables) -> DataFrame:
     """The dimension as of mid-month."""
     log = event_log(t).where(F.col("ts") < F.lit(MID).cast("timestamp_ntz"))
-    out = H.versions_from_log(log.drop("event_id"), "user_id", "hash", "ts", by_day("ts"))
+    out = H.versions_from_log(log, "user_id", "hash", "ts", by_day("ts"), ["event_id"])
     return cut_lineage(out.withColumn("is_current", (F.col("end_datetime") == F.lit(H.OPEN_END)).cast("int")))
 
 
@@ -58,25 +58,16 @@ WITH {ISLANDS}
 SELECT user_id, event_type, strftime(start_ts, '%Y-%m-%d %H:%M:%S') AS starts,
        strftime(coalesce(next_ts, TIMESTAMP '9999-12-31'), '%Y-%m-%d %H:%M:%S') AS ends,
        CASE WHEN next_ts IS NULL THEN 1 ELSE 0 END AS is_current
-FROM (
-  WITH dim0 AS (
-    SELECT user_id, event_type, ts AS start_ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_ts
-    FROM starts WHERE ts < TIMESTAMP '{MID}'), cur AS (SELECT * FROM dim0 WHERE next_ts IS NULL), fresh AS (
-    SELECT l.* FROM log l LEFT JOIN cur c ON c.user_id = l.user_id
-    WHERE c.user_id IS NULL OR (l.ts > c.start_ts AND l.event_type <> c.event_type)), fresh_starts AS (
-    SELECT user_id, event_type, ts FROM (
-      SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM fresh)
-    WHERE before IS NULL OR before <> event_type), added AS (
-    SELECT user_id, event_type, ts AS start_ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_ts FROM fresh_starts)
-  SELECT d.user_id, d.event_type, d.start_ts, coalesce(d.next_ts, f.first_ts) AS next_ts
-  FROM dim0 d LEFT JOIN (SELECT user_id, min(start_ts) AS first_ts FROM added GROUP BY 1) f ON f.user_id = d.user_id
-  UNION ALL SELECT * FROM added)
+FROM versions
 """)
 def scd2_apply_log(t: Tables):
-    log = event_log(t).drop("event_id")
+    """The log in three parts, the later ones with rows already seen: the history is that of the whole log."""
+    log = event_log(t)
+    upto = lambda day: log.where(F.col("ts") < F.lit(day).cast("timestamp_ntz"))
     dim = _stored_dim(t)
-    out = H.apply_log(dim, log, "user_id", "hash", "ts", by_day("ts"))
-    return _shown(out, "is_current")
+    for part in (upto("2024-01-23"), log):
+        dim = H.apply_log(dim, part, "user_id", "hash", "ts", by_day("ts"), ["event_id"])
+    return _shown(dim, "is_current")
 
 
 RUN = dt.datetime(2024, 2, 1, 4, 0, 0)

@@ -12,7 +12,7 @@ from tierwork.operators.cdc import advance_watermark as advance
 from tierwork.operators.history import surrogate_keys
 from tierwork.operators.ordered import by_width
 from tierwork.plans.inputs import DATED_ORDERS, by_day, dated_orders
-from tierwork.plans.registry import Tables, plan
+from tierwork.plans.registry import hash_sql, plan, Tables
 from tierwork.sources import readers as R
 
 
@@ -115,9 +115,8 @@ def _(t: Tables):
     return C.conform(rows, shape).withColumn("revenue", F.col("revenue").cast("double"))
 
 
-@plan("extract_keys", """
-SELECT DISTINCT l_orderkey, l_linenumber,
-       sha256(CAST(l_orderkey AS VARCHAR) || '~' || CAST(l_linenumber AS VARCHAR)) AS key_hash
+@plan("extract_keys", f"""
+SELECT DISTINCT l_orderkey, l_linenumber, {hash_sql('l_orderkey', 'l_linenumber')} AS key_hash
 FROM lineitem
 """)
 def _(t: Tables):
@@ -137,10 +136,9 @@ def _(t: Tables):
     return lines.drop("l_shipdate")
 
 
-@plan("split_hash_union", """
+@plan("split_hash_union", f"""
 SELECT l_orderkey, l_linenumber, l_partkey,
-       sha256(CASE WHEN l_returnflag = 'R' THEN concat_ws('~', l_orderkey, l_linenumber)
-                   ELSE concat_ws('~', l_partkey, l_suppkey) END) AS hash_id
+       CASE WHEN l_returnflag = 'R' THEN {hash_sql('l_orderkey', 'l_linenumber')} ELSE {hash_sql('l_partkey', 'l_suppkey')} END AS hash_id
 FROM lineitem
 """)
 def _(t: Tables):

@@ -11,8 +11,6 @@ from tierwork.operators.finance import fill_gaps
 from tierwork.plans.registry import Tables
 from tierwork.sources.storage import cut_lineage
 
-FIRST_MONTH = "1995-01-01"
-LAST_MONTH = "2001-12-01"
 
 
 def dated_orders(t: Tables) -> DataFrame:
@@ -78,15 +76,16 @@ QUARTERLY_RATES = """quarterly_rates AS (
 
 
 def filled_rates(t: Tables) -> DataFrame:
-    first, last = (F.lit(d).cast("date") for d in (FIRST_MONTH, LAST_MONTH))
-    return fill_gaps(quarterly_rates(t), "nation", "month", ["rate"], first, last)
+    ends = nation_orders(t).agg(F.trunc(F.min("o_date"), "MM").alias("lo"), F.trunc(F.max("o_date"), "MM").alias("hi")).first()
+    return fill_gaps(quarterly_rates(t), "nation", "month", ["rate"], F.lit(ends.lo), F.lit(ends.hi))
 
 
-FILLED_RATES = QUARTERLY_RATES + f""", filled_rates AS (
+FILLED_RATES = QUARTERLY_RATES + """, filled_rates AS (
   SELECT s.nation, s.month, last_value(r.rate IGNORE NULLS) OVER (
            PARTITION BY s.nation ORDER BY s.month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rate
-  FROM (SELECT nation, CAST(unnest(generate_series(DATE '{FIRST_MONTH}', DATE '{LAST_MONTH}', INTERVAL 1 MONTH)) AS DATE) AS month
-        FROM (SELECT DISTINCT nation FROM quarterly_rates)) s
+  FROM (SELECT nation, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month
+        FROM (SELECT DISTINCT nation FROM quarterly_rates), (
+          SELECT CAST(date_trunc('month', min(o_date)) AS DATE) AS lo, CAST(date_trunc('month', max(o_date)) AS DATE) AS hi FROM nation_orders)) s
   LEFT JOIN quarterly_rates r ON r.nation = s.nation AND r.month = s.month)"""
 
 

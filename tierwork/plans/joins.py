@@ -64,14 +64,16 @@ def _(t: Tables):
 
 
 @plan("spine_with_totals", f"""
-WITH {DATED_ORDERS}, m AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 MONTH)) AS DATE) AS month),
+WITH {DATED_ORDERS}, m AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month
+  FROM (SELECT CAST(date_trunc('month', min(o_date)) AS DATE) AS lo, CAST(date_trunc('month', max(o_date)) AS DATE) AS hi FROM dated_orders)),
 p AS (SELECT DISTINCT o_orderpriority FROM orders)
 SELECT p.o_orderpriority, m.month, coalesce(sum(amount), 0)::DOUBLE AS amount FROM p CROSS JOIN m
 LEFT JOIN dated_orders d ON d.o_orderpriority = p.o_orderpriority AND date_trunc('month', o_date) = m.month AND o_orderstatus = 'F' GROUP BY 1, 2
 """)
 def _(t: Tables):
     o = dated_orders(t)
-    months = month_sequence(F.lit("1995-01-01").cast("date"), F.lit("2001-08-01").cast("date"))
+    ends = o.agg(F.trunc(F.min("o_date"), "MM").alias("lo"), F.trunc(F.max("o_date"), "MM").alias("hi")).first()
+    months = month_sequence(F.lit(ends.lo), F.lit(ends.hi))
     grid = L.spine(o.select("o_orderpriority"), months, "month")
     sums = o.where("o_orderstatus = 'F'").groupBy("o_orderpriority", F.trunc("o_date", "MM").alias("month")).agg(F.sum("amount").alias("amount"))
     return grid.join(sums, ["o_orderpriority", "month"], "left").withColumn("amount", F.coalesce(F.col("amount").cast("double"), F.lit(0.0)))
@@ -79,7 +81,7 @@ def _(t: Tables):
 
 @plan("explode_quantity", """
 SELECT l_suppkey, unit_no, count(*) AS n, sum(CAST(l_extendedprice AS DECIMAL(18,2)))::DOUBLE AS amount
-FROM (SELECT *, unnest(range(1, CAST(floor(l_quantity) AS BIGINT) + 1))::INT AS unit_no FROM lineitem) GROUP BY 1, 2
+FROM (SELECT *, unnest(range(1, CAST(floor(l_quantity) AS BIGINT) + 1))::BIGINT AS unit_no FROM lineitem) GROUP BY 1, 2
 """)
 def explode_quantity(t: Tables):
     # lines with the same supplier and quantity unfold alike: sum them before, not after

@@ -13,7 +13,7 @@ from tierwork.operators.history import (
     changed_since, default_members, late_members, overwrite_or_insert, staged_start,
 )
 from tierwork.plans.inputs import DATED_ORDERS, dated_orders
-from tierwork.plans.registry import Tables, plan
+from tierwork.plans.registry import hash_sql, plan, Tables
 
 CUT = dt.date(1999, 6, 30)
 BATCH_START = dt.date(1997, 1, 1)
@@ -129,8 +129,8 @@ def _(t: Tables):
     return cdc.current_rows(cdc.current_flag(cols, "delta", ["user_id"], "ts")).drop("ts", "is_current")
 
 
-@plan("row_hash", """
-SELECT c_custkey, sha256(concat_ws('~', c_name, c_mktsegment, coalesce(nullif(c_mktsegment, 'BUILDING'), chr(9216)))) AS hash
+@plan("row_hash", f"""
+SELECT c_custkey, {hash_sql('c_name', 'c_mktsegment', "nullif(c_mktsegment, 'BUILDING')")} AS hash
 FROM customer
 """)
 def _(t: Tables):

@@ -164,9 +164,20 @@ def _(t: Tables):
     ).withColumn("logged_on", F.lit("2024-02-01").cast("date"))
 
 
-@plan("column_summary")
+@plan("column_summary", """
+SELECT 'o_totalprice' AS column_name, count(*) AS n_rows, count(*) - count(o_totalprice) AS n_nulls, count(DISTINCT o_totalprice) AS n_distinct, round(avg(o_totalprice::DOUBLE), 4) AS mean,
+  round(stddev_samp(o_totalprice::DOUBLE), 4) AS stddev, min(o_totalprice)::VARCHAR AS min_value, round(quantile_cont(o_totalprice::DOUBLE, 0.25), 4) AS q1,
+  round(quantile_cont(o_totalprice::DOUBLE, 0.5), 4) AS median, round(quantile_cont(o_totalprice::DOUBLE, 0.75), 4) AS q3, max(o_totalprice)::VARCHAR AS max_value FROM orders
+UNION ALL
+SELECT 'o_custkey' AS column_name, count(*) AS n_rows, count(*) - count(o_custkey) AS n_nulls, count(DISTINCT o_custkey) AS n_distinct, round(avg(o_custkey::DOUBLE), 4) AS mean,
+  round(stddev_samp(o_custkey::DOUBLE), 4) AS stddev, min(o_custkey)::VARCHAR AS min_value, round(quantile_cont(o_custkey::DOUBLE, 0.25), 4) AS q1,
+  round(quantile_cont(o_custkey::DOUBLE, 0.5), 4) AS median, round(quantile_cont(o_custkey::DOUBLE, 0.75), 4) AS q3, max(o_custkey)::VARCHAR AS max_value FROM orders
+UNION ALL
+SELECT 'o_orderstatus' AS column_name, count(*) AS n_rows, count(*) - count(o_orderstatus) AS n_nulls, count(DISTINCT o_orderstatus) AS n_distinct, NULL, NULL, min(o_orderstatus), NULL, NULL, NULL, max(o_orderstatus) FROM orders
+""")
 def _(t: Tables):
-    return Q.summarise(t.orders, ["o_totalprice", "o_orderstatus"])
+    out = Q.summarise(t.orders, ["o_totalprice", "o_custkey", "o_orderstatus"])
+    return out.withColumns({c: F.round(c, 4) for c in ("mean", "stddev", "q1", "median", "q3")})
 
 
 DIFF_SQL = f"""

@@ -28,15 +28,6 @@ class Tables:
         return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows that come from fewer files than there are cores, dealt out to all cores before they unfold.
-
-    With many files nothing is added: no shuffle at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
-
-
 def plan(name: str, sql: str | None = None):
     """Register a function (Tables) -> DataFrame."""
     def wrap(fn: Callable[[Tables], DataFrame]):
@@ -50,5 +41,11 @@ def plan(name: str, sql: str | None = None):
     return wrap
 
 
+def hash_sql(*exprs: str) -> str:
+    """SQL of ``row_hash``: length-prefixed fields, ``-`` for NULL."""
+    fields = [f"coalesce(length(CAST({e} AS VARCHAR)) || ':' || CAST({e} AS VARCHAR), '-')" for e in exprs]
+    return f"sha256({' || '.join(fields)})"
+
+
 def money_sql(expr: str) -> str:
     return f"CAST({expr} AS DECIMAL(18,2))"

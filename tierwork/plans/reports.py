@@ -106,7 +106,7 @@ def wide_vendor_report(t: Tables):
 
 
 @plan("serial_expansion", """
-SELECT l_partkey, unit_no, count(*) AS n FROM (SELECT l_partkey, unnest(range(1, CAST(l_quantity AS BIGINT) + 1))::INT AS unit_no FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_brand = 'Brand#9') GROUP BY 1, 2
+SELECT l_partkey, unit_no, count(*) AS n FROM (SELECT l_partkey, unnest(range(1, CAST(l_quantity AS BIGINT) + 1))::BIGINT AS unit_no FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_brand = 'Brand#9') GROUP BY 1, 2
 """)
 def _(t: Tables):
     items = t.part.where("p_brand = 'Brand#9'").select(F.col("p_partkey").alias("l_partkey"))

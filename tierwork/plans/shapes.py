@@ -11,7 +11,7 @@ from tierwork.functions.text import case_insensitive_regex, leading_int, similar
 from tierwork.functions.values import is_not_false, money, row_hash, safe_ratio
 from tierwork.operators.ordered import by_width, keep_first, last_seen, previous, running, running_max, running_sum
 from tierwork.plans.inputs import DATED_ORDERS, by_day, dated_orders
-from tierwork.plans.registry import Tables, plan
+from tierwork.plans.registry import hash_sql, plan, Tables
 
 
 @plan("p_03_regex", "SELECT p_partkey FROM part WHERE regexp_matches(p_name, '(?i)^RED|bolt$')")
@@ -218,8 +218,8 @@ def _(t: Tables):
     return t.events.select("event_id", leading_int(s).alias("n"))
 
 
-@plan("x_16_row_key", """
-SELECT sha256(concat_ws('~', l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS row_key FROM lineitem
+@plan("x_16_row_key", f"""
+SELECT {hash_sql('l_orderkey', 'l_linenumber', 'l_partkey', 'l_suppkey')} AS row_key FROM lineitem
 """)
 def _(t: Tables):
     return t.lineitem.select(row_hash([F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("row_key"))

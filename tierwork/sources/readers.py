@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierwork.functions.values import row_hash
 from tierwork.functions.values import map_value
 from tierwork.operators.ordered import rank, running
 
@@ -44,8 +45,7 @@ def load_full(source: DataFrame, stamp: str, at) -> DataFrame:
 
 def extract_keys(df: DataFrame, keys: Sequence[str], bits: int = 256) -> DataFrame:
     """Distinct business keys with their hash, for later soft deletes."""
-    digest = F.sha2(F.concat_ws("~", *[F.col(k).cast("string") for k in keys]), bits)
-    return df.select(*keys).distinct().withColumn("key_hash", digest)
+    return df.select(*keys).distinct().withColumn("key_hash", row_hash([F.col(k) for k in keys], bits))
 
 
 def assign_line_number(df: DataFrame, document: Sequence[str], order: Sequence[str], split: Column, into: str = "line_no") -> DataFrame:
@@ -61,7 +61,7 @@ def split_hash_union(df: DataFrame, cond: Column, keys_if: Sequence[str], keys_e
                      into: str = "hash_id", bits: int = 512) -> DataFrame:
     """Rows that meet the condition are identified by one key list, the others by another; one projection."""
     def digest(keys: Sequence[str]) -> Column:
-        return F.sha2(F.concat_ws("~", *[F.col(k).cast("string") for k in keys]), bits)
+        return row_hash([F.col(k) for k in keys], bits)
 
     return df.withColumn(into, F.when(cond, digest(keys_if)).otherwise(digest(keys_else)))
 

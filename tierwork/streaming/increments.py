@@ -43,16 +43,21 @@ def current_state(spark: SparkSession, path: str) -> DataFrame:
 def upsert_batches(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], latest: Sequence[str], **merge) -> None:
     """Merge every micro-batch into the current table (see ``current_state``).
 
-    A batch may hold a key several times: its last row by ``latest`` counts, chosen before the merge.
+    Of all rows of a key, in whatever batch they come, the last by ``latest`` counts: a batch's rows are reduced to one
+    per key, and those that are not after the stored row of their key are left out.
     """
     order = [F.col(c).desc() for c in latest]
 
     def one(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = _last_version(spark, path, batch_id) if batch_id else None
-        rows = keep_first(batch, keys, order)
-        out = rows if before is None else merge_upsert(
-            spark.read.parquet(f"{path}/v={before}"), rows, keys, deactivate_absent=False, **merge)
+        out = keep_first(batch, keys, order)
+        if before is not None:
+            state = spark.read.parquet(f"{path}/v={before}")
+            stored = state.select(*keys, F.struct(*latest).alias("__stored"))
+            after = F.col("__stored").isNull() | (F.struct(*latest) > F.col("__stored"))
+            rows = out.join(stored, list(keys), "left").where(after).select(*batch.columns)
+            out = merge_upsert(state, rows, keys, deactivate_absent=False, **merge)
         out.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
         spark.range(1).select(F.lit(batch_id).cast("long").alias("version")).write.mode("append").parquet(f"{path}/marks")
 
