@@ -146,13 +146,13 @@ def op4_near_vectors(spark: SparkSession, root: str) -> DataFrame:
 
 @query("op7_line_dedup", r"""
     WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
-    e AS (SELECT rid, source, unnest(range(1, len(ls) + 1)) AS at, unnest(ls) AS line FROM d WHERE text IS NOT NULL),
+    e AS (SELECT rid, source, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS line FROM d WHERE text IS NOT NULL),
     t AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS bare FROM e),
     p AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
     n AS (SELECT source, bare, count(DISTINCT rid) AS n FROM t WHERE bare <> '' GROUP BY source, bare),
     b AS (SELECT n.source, bare FROM n JOIN p ON n.source IS NOT DISTINCT FROM p.source WHERE n >= 8 AND n / pages > 0.1::DOUBLE),
-    k AS (SELECT t.rid, t.at, t.line, b.bare IS NOT NULL AS gone FROM t LEFT JOIN b ON t.bare = b.bare AND t.source IS NOT DISTINCT FROM b.source),
-    g AS (SELECT rid, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped, string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone) AS text FROM k GROUP BY rid)
+    k AS (SELECT t.rid, t.pos, t.line, b.bare IS NOT NULL AS gone FROM t LEFT JOIN b ON t.bare = b.bare AND t.source IS NOT DISTINCT FROM b.source),
+    g AS (SELECT rid, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped, string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone) AS text FROM k GROUP BY rid)
     SELECT doc_id, coalesce(n_dropped, 0) AS n_dropped, CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(g.text, '')) END AS text_sha256
     FROM d LEFT JOIN g USING (rid)
 """)
