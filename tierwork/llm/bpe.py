@@ -19,8 +19,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_STATES, MOST_PIECES, MOST_PAIRS = 60_000, 200_000, 500_000  # kept per worker; dropped when full, results do not change
+MOST_STATES, MOST_PIECES, MOST_PAIRS = 100_000, 400_000, 500_000  # kept per worker; dropped when full, results do not change
 DECODE_CHUNK = 4096
+SHORT_REST = 256  # bytes that are encoded to the end at once; longer rests go state by state and emit as they go
 
 
 class _State:
@@ -30,7 +31,7 @@ class _State:
 
     def __init__(self, pending: bytes, tokens: list[int], back: list[int], alive: list[tuple[int, int]]):
         self.pending, self.tokens, self.back, self.alive = pending, tokens, back, alive
-        self.next: dict[int, tuple[_State, tuple[int, ...]]] = {}
+        self.next: dict[int, tuple[_State, tuple[int, ...]] | None] = {}
         self.rest: tuple[int, ...] | None = None
 
 
@@ -118,6 +119,35 @@ class Transducer:
         out.reverse()
         return made, tuple(out)
 
+    def _to_end(self, state: _State, rest: bytes) -> list[int]:
+        """All tokens of the state's pending bytes and ``rest``, without making states: for ways that are met for the first time."""
+        get, token_at, inner, pairs = self.trie.get, self.token_at, self.inner, self.pairs.get
+        tokens, back, alive = [*state.tokens], [*state.back], state.alive
+        for byte in rest:
+            found, longer = -1, []
+            for way in alive:
+                child = get(way[0] << 8 | byte)
+                if child is not None:
+                    if found < 0 and token_at[child] >= 0:
+                        before, token = tokens[way[1]], token_at[child]
+                        fits = pairs(before << 32 | token)
+                        if fits or (fits is None and self.may_follow(before, token)):
+                            found, origin = token, way[1]
+                    if inner[child]:
+                        longer.append((child, way[1]))
+            if found < 0:
+                raise ValueError(f"no token ends at byte {byte}: the ranks lack single bytes")
+            longer.append((0, len(tokens)))
+            tokens.append(found)
+            back.append(origin)
+            alive = longer
+        out, at = [], len(tokens) - 1
+        while at > 0:
+            out.append(tokens[at])
+            at = back[at]
+        out.reverse()
+        return out
+
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
@@ -125,9 +155,12 @@ class Transducer:
         if len(self.states) > MOST_STATES:
             self._reset()
         state, out = self.start, []
-        for byte in piece:
+        for at, byte in enumerate(piece):
             step = state.next.get(byte)
             if step is None:
+                if byte not in state.next and len(piece) - at <= SHORT_REST:  # a way becomes a state when it is met again
+                    state.next[byte] = None
+                    return out + self._to_end(state, piece[at:])
                 step = state.next[byte] = self._step(state, byte)
             state, emitted = step
             if emitted:
@@ -197,20 +230,24 @@ class Codec:
 
     def pieces(self, text: str) -> list[tuple[tuple[int, ...], str]]:
         """For each pre-token its ids, and their decimal form."""
-        known, older, out = self.known, self.older, []
-        for p in self.split(text):
-            met = known.get(p)
+        split = self.split(text)
+        out = list(map(self.known.get, split))
+        if None not in out:
+            return out
+        known, older = self.known, self.older
+        for i, met in enumerate(out):
             if met is None:
-                if len(known) >= MOST_PIECES:
-                    self.older = older = known
-                    self.known = known = {}
-                met = older.get(p)
+                p = split[i]
+                met = known.get(p) or older.get(p)
                 if met is None:
                     ids = tuple(self.transducer.encode(p.encode()))
                     met = (ids, " ".join(map(str, ids)))
                 if len(p) <= 64:
+                    if len(known) >= MOST_PIECES:
+                        self.older = older = known
+                        self.known = known = {}
                     known[p] = met
-            out.append(met)
+                out[i] = met
         return out
 
     def encode(self, text: str) -> list[int]:
