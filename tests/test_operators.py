@@ -474,3 +474,14 @@ def test_deferred_months_equal_a_date_sequence(spark):
         "id", F.expr("sequence(s, add_months(e, -1), interval 1 month)").alias("m")).select(
         "id", F.size("m").cast("long").alias("n"), F.trunc(F.element_at("m", 1), "MM").alias("a"), F.trunc(F.element_at("m", -1), "MM").alias("b"))
     assert values(got) == values(want)
+
+
+def test_dated_allocation_adds_up_to_the_gap(spark):
+    gap = spark.createDataFrame([("a", 1, 10.0), ("a", 2, -0.01), ("b", None, 7.77), ("c", 1, 0.0), ("d", 1, 5.0)], "doc string, day int, gap double")
+    lines = spark.createDataFrame([("a", i, w) for i, w in enumerate((1.0, 1.0, 1.0))] + [("b", 0, 0.0), ("b", 1, 0.0), ("c", 0, 1.0)], "doc string, line int, w double")
+    got = finance.allocate_dated(gap, lines, ["doc"], "day", "w", "line").collect()
+    sums = {}
+    for r in got:
+        sums[r.doc, r.day] = sums.get((r.doc, r.day), 0) + r.allocated
+    assert {k: float(v) for k, v in sums.items()} == {("a", 1): 10.0, ("a", 2): -0.01, ("b", None): 7.77}
+    assert [float(r.allocated) for r in got if r.line is None and r.doc == "a" and r.day == 1] == [0.01]

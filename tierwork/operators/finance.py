@@ -64,6 +64,20 @@ def convert(fact: DataFrame, rates: DataFrame, entity: str, date: str, month: st
     ])
 
 
+def convert_by_currency(
+    fact: DataFrame, rates: DataFrame, currency_rates: DataFrame, entity: str, currency: str, date: str, month: str, rate: str,
+    amounts: Sequence[str],
+) -> DataFrame:
+    """Amounts divided by the rate of entity and month, else of currency and month, else by the currency's last known rate."""
+    own = rates.select(entity, F.col(month).alias("__month"), F.col(rate).alias("__own"))
+    shared = currency_rates.select(currency, F.col(month).alias("__month"), F.col(rate).alias("__shared"))
+    last = boundary_rates(currency_rates, currency, month, rate, "latest")
+    joined = fact.withColumn("__month", month_start(F.col(date))).join(own, [entity, "__month"], "left").join(
+        shared, [currency, "__month"], "left").join(last, currency, "left")
+    used = F.coalesce("__own", "__shared", "latest_rate")
+    return joined.select(*fact.columns, used.alias("fx_rate"), *[money(F.try_divide(F.col(a), used)).alias(f"{a}_eur") for a in amounts])
+
+
 def unify_documents(invoices: DataFrame, credits: DataFrame, amounts: Sequence[str]) -> DataFrame:
     """Invoices and sign-flipped credit memos in one shape."""
     flipped = credits.withColumns({a: -F.col(a) for a in amounts})
@@ -72,6 +86,15 @@ def unify_documents(invoices: DataFrame, credits: DataFrame, amounts: Sequence[s
     )
 
 
+def signed_documents(lines: DataFrame, credit: Column, amounts: Sequence[str]) -> DataFrame:
+    """The same shape where invoices and credit memos are rows of one table: one scan, sign and type by condition."""
+    is_credit = F.coalesce(credit, F.lit(False))
+    return lines.withColumns({
+        **{a: F.when(is_credit, -F.col(a)).otherwise(F.col(a)) for a in amounts},
+        "document_type": F.when(is_credit, F.lit("credit")).otherwise(F.lit("invoice")),
+    })
+
+
 def explode_usage(lines: DataFrame, usage: DataFrame, key: str, replaced: Sequence[str]) -> DataFrame:
     """A line with usage details becomes one row per detail with the detail's values; others stay.
 
@@ -191,6 +214,26 @@ def allocate(gap: DataFrame, lines: DataFrame, keys: Sequence[str], weight: str)
     )
 
 
+def allocate_dated(
+    gap: DataFrame, lines: DataFrame, keys: Sequence[str], date: str, weight: str, line: str,
+) -> DataFrame:
+    """Each document's gap per date in cents: a row per line by weight, and one for the remainder that rounding leaves.
+
+    ``gap`` has keys, ``date`` and ``gap``. Gives keys, ``date``, ``line`` (NULL for the remainder) and ``allocated``; per document and
+    date they add up to the gap exactly. Lines are read once: their sums travel with them.
+    """
+    totals = lines.groupBy(*keys).agg(F.sum(weight).alias("__weight"), F.count(F.lit(1)).alias("__n"))
+    per_line = lines.select(*keys, line, weight).join(totals, list(keys))
+    share = F.coalesce(safe_ratio(F.col(weight), F.col("__weight")), 1 / F.col("__n").cast("double"))
+    dated = gap.where("gap <> 0").select(*keys, date, F.col("gap").cast("double").alias("gap"))
+    cents = lambda x: money(F.floor(x * 100 + 0.5).cast("decimal(18,0)") / 100)
+    shared = per_line.join(dated, list(keys)).select(*keys, date, line, "gap", cents(F.col("gap") * share).alias("allocated"))
+    # whole and parts of a document and date in one aggregation; a NULL date is a date
+    left = shared.groupBy(*keys, date).agg((cents(F.max("gap")) - F.sum("allocated")).alias("allocated")).where("allocated <> 0")
+    return shared.select(*keys, date, line, "allocated").unionByName(
+        left.select(*keys, date, F.lit(None).cast(lines.schema[line].dataType).alias(line), money(F.col("allocated")).alias("allocated")))
+
+
 def true_up(lines: DataFrame, booked: DataFrame, keys: Sequence[str], margin: str, revenue: str, booked_col: str) -> DataFrame:
     """Booked group margin shared by line margin over group margin.
 

@@ -81,6 +81,22 @@ def close_and_insert(dim: DataFrame, updates: DataFrame, key: str, run_at: dt.da
     return closed.unionByName(added.select(*dim.columns))
 
 
+def merge_dimension(
+    dim: DataFrame, source: DataFrame, key: str, source_col: str, ts: str, dim_ts: Sequence[str], run_at: dt.datetime,
+) -> DataFrame:
+    """One load of a dimension fed by several sources: rows changed since their source's last load, the last per key, replace
+    the current versions; rows equal to the current version change nothing.
+
+    Key, source and attributes are the columns that dimension and source share; ``run_at`` is the new versions' start and insert time.
+    """
+    changed = keep_first(changed_since(source, dim, source_col, ts, dim_ts), [key, source_col], [F.col(ts).desc()])
+    shared = [c for c in dim.columns if c in source.columns and c not in dim_ts]
+    now = dim.where("is_current = 1").select(*shared)
+    fresh = changed.select(*shared).exceptAll(now)
+    stamped = fresh.withColumns({dim_ts[0]: F.lit(run_at), **{c: F.lit(None).cast("timestamp") for c in dim_ts[1:]}})
+    return close_and_insert(dim, stamped, key, run_at)
+
+
 def changed_since(source: DataFrame, dim: DataFrame, source_col: str, ts: str, dim_ts: Sequence[str]) -> DataFrame:
     """Source rows newer than the dimension's last insert or update of the same source system."""
     last = dim.groupBy(source_col).agg(F.max(F.greatest(*dim_ts) if len(dim_ts) > 1 else F.col(dim_ts[0])).alias("__last"))

@@ -22,9 +22,7 @@ from tierwork.plans.registry import Tables, plan
 
 def unified(t: Tables) -> DataFrame:
     """Invoice and credit lines in one shape, then one join to their orders."""
-    lines = order_lines(t)
-    both = N.unify_documents(lines.where("l_returnflag <> 'R'"), lines.where("l_returnflag = 'R'"), ["price", "quantity"])
-    return with_order(both, t)
+    return with_order(N.signed_documents(order_lines(t), F.col("l_returnflag") == "R", ["price", "quantity"]), t)
 
 
 UNIFIED = DOCUMENTS + """, unified AS (
@@ -265,6 +263,50 @@ def allocate_prorata(t: Tables):
     return N.allocate(gap, lines, ["o_orderkey"], "cost").select("o_orderkey", "l_linenumber", "l_partkey", "allocated")
 
 
+@plan("allocation_end_to_end", f"""
+WITH {DATED_ORDERS}, {LEDGER}, dated AS (SELECT o_orderkey, posting_date, sum(cost) AS c FROM ledger GROUP BY 1, 2),
+tot AS (SELECT o_orderkey, sum(c) AS total, count(*) AS n FROM dated GROUP BY 1),
+gd AS (SELECT o_orderkey, posting_date, gap::DOUBLE * coalesce(c::DOUBLE / nullif(total::DOUBLE, 0), 1.0::DOUBLE / n, 1.0) AS gap
+  FROM gap LEFT JOIN tot USING (o_orderkey) LEFT JOIN dated USING (o_orderkey)),
+al AS (SELECT g.o_orderkey, posting_date, gap, CAST(floor(gap * coalesce(cost::DOUBLE / nullif(k.c::DOUBLE, 0), 1.0::DOUBLE / k.n) * 100 + 0.5) AS BIGINT) AS a
+  FROM gd g JOIN lines l ON l.o_orderkey = g.o_orderkey JOIN known k ON k.o_orderkey = g.o_orderkey WHERE gap <> 0),
+three AS (SELECT 'line' AS kind, o_orderkey, posting_date, a FROM al
+  UNION ALL SELECT 'remainder', o_orderkey, posting_date, CAST(floor(max(gap) * 100 + 0.5) AS BIGINT) - sum(a) AS a FROM al GROUP BY 2, 3 HAVING CAST(floor(max(gap) * 100 + 0.5) AS BIGINT) <> sum(a)
+  UNION ALL SELECT 'missed', o_orderkey, posting_date, CAST(sum(cost) * 100 AS BIGINT) FROM ledger WHERE o_orderkey NOT IN (SELECT o_orderkey FROM known) GROUP BY 2, 3)
+SELECT kind, CAST(date_trunc('month', posting_date) AS DATE) AS month, count(*) AS n, sum(a)::BIGINT / 100.0::DOUBLE AS amount FROM three GROUP BY 1, 2
+""")
+def allocation_end_to_end(t: Tables):
+    """Gap per document -> posting dates -> lines and remainder; with documents without lines, by month."""
+    lines, booked = _lines(t), ledger(t)
+    gap, missed = N.cost_gap(booked, lines, ["o_orderkey"], "cost")
+    dated = N.split_by_date(gap, booked, ["o_orderkey"], "posting_date", "cost")
+    shared = N.allocate_dated(dated, lines, ["o_orderkey"], "posting_date", "cost", "l_linenumber")
+    kind = F.when(F.col("l_linenumber").isNull(), F.lit("remainder")).otherwise(F.lit("line"))
+    lost = booked.join(missed.select("o_orderkey"), "o_orderkey", "left_semi").groupBy("o_orderkey", "posting_date").agg(F.sum("cost").alias("allocated"))
+    three = shared.select(kind.alias("kind"), "posting_date", "allocated").unionByName(
+        lost.select(F.lit("missed").alias("kind"), "posting_date", money(F.col("allocated")).alias("allocated")))
+    return three.groupBy("kind", month_start(F.col("posting_date")).alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("allocated").cast("double").alias("amount"))
+
+
+@plan("convert_currency_second_chance", f"""
+WITH {NATION_ORDERS}, {QUARTERLY_RATES}, own AS (SELECT * FROM quarterly_rates WHERE nation < 12),
+cur AS (SELECT nation % 4 AS currency, month, max(rate) AS rate FROM quarterly_rates WHERE nation >= 6 GROUP BY 1, 2),
+edge AS (SELECT currency, max_by(rate, month) AS rate FROM cur GROUP BY 1)
+SELECT o_orderkey, coalesce(r.rate, c.rate, e.rate)::DOUBLE AS fx_rate,
+       CAST(amount::DOUBLE / coalesce(r.rate, c.rate, e.rate)::DOUBLE AS DECIMAL(18,2))::DOUBLE AS amount_eur
+FROM nation_orders o LEFT JOIN own r ON r.nation = o.nation AND r.month = date_trunc('month', o_date)
+LEFT JOIN cur c ON c.currency = o.nation % 4 AND c.month = date_trunc('month', o_date) LEFT JOIN edge e ON e.currency = o.nation % 4
+""")
+def convert_currency_second_chance(t: Tables):
+    """Half of the entities have no rates of their own: their currency's rate of the month, then its last one."""
+    rates = stored_rates(t, filled=False)
+    shared = rates.where("nation >= 6").groupBy((F.col("nation") % 4).alias("currency"), "month").agg(F.max("rate").alias("rate"))
+    fact = nation_orders(t).withColumn("currency", F.col("nation") % 4)
+    out = N.convert_by_currency(fact, rates.where("nation < 12"), shared, "nation", "currency", "o_date", "month", "rate", ["amount"])
+    return out.select("o_orderkey", F.col("fx_rate").cast("double").alias("fx_rate"), F.col("amount_eur").cast("double").alias("amount_eur"))
+
+
 @plan("gp_trueup", f"""
 WITH {DOCUMENTS}, m AS (SELECT *, CASE WHEN l_returnflag = 'N' THEN 0 ELSE price - quantity END AS margin, CAST(date_trunc('month', o_date) AS DATE) AS month FROM doc_lines),
 s AS (SELECT nation, month, l_returnflag, sum(margin) AS ms, sum(price) AS rs FROM m GROUP BY 1, 2, 3),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwork.functions.values import map_value, money
-from tierwork.operators.finance import convert, unify_documents
+from tierwork.operators.finance import convert, signed_documents
 from tierwork.operators.loads import load_cleaned, load_fact
 from tierwork.operators.columns import conform
 from tierwork.plans.inputs import DATED_ORDERS, DOCUMENTS, QUARTERLY_RATES, dated_orders, order_lines, stored_rates, with_order
@@ -91,7 +91,7 @@ FROM doc_lines d LEFT JOIN quarterly_rates r ON r.nation = d.nation AND r.month
 def fact_staging(t: Tables):
     """Lines of one source system in the common fact shape: earliest-rate fallback, N/A for missing members."""
     lines = order_lines(t).withColumn("cost", money(F.col("quantity")))
-    docs = with_order(unify_documents(lines.where("l_returnflag <> 'R'"), lines.where("l_returnflag = 'R'"), ["price", "cost"]), t)
+    docs = with_order(signed_documents(lines, F.col("l_returnflag") == "R", ["price", "cost"]), t)
     eur = convert(docs, stored_rates(t, filled=False), "nation", "o_date", "month", "rate", ["price", "cost"], "earliest")
     named = eur.select(
         F.col("o_orderkey").alias("document_no"), F.col("l_linenumber").alias("line_no"), "document_type", F.lit("erp").alias("document_source"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tierwork.functions.values import row_hash
 from tierwork.operators import cdc
 from tierwork.operators.history import (
-    changed_since, default_members, late_members, overwrite_or_insert, staged_start,
+    FIRST_START, OPEN_END, changed_since, default_members, late_members, merge_dimension, overwrite_or_insert, staged_start,
 )
 from tierwork.plans.inputs import DATED_ORDERS, dated_orders
 from tierwork.plans.registry import hash_sql, plan, Tables
@@ -285,3 +285,29 @@ def _(t: Tables):
     dim = o.where("o_orderpriority <> '5-LOW' and o_orderstatus = 'P' and o_date < date '2000-01-01'").select(
         "o_orderpriority", F.col("changed").alias("inserted"), F.lit(None).cast("timestamp").alias("modified"))
     return changed_since(o, dim, "o_orderpriority", "changed", ["inserted", "modified"]).select("o_orderkey", "o_orderpriority")
+
+
+@plan("dimension_merge_by_source", """
+WITH src AS (SELECT c_custkey AS code, c_mktsegment AS system, c_nationkey + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS area,
+    TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 40 AS INT)) AS changed FROM customer),
+dim AS (SELECT c_custkey AS code, c_mktsegment AS system, c_nationkey AS area, TIMESTAMP '2024-01-01' + to_days(CAST(n_regionkey * 5 AS INT)) AS inserted
+  FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 5 <> 0 AND c_mktsegment <> 'BUILDING'),
+last AS (SELECT system, max(inserted) AS last FROM dim GROUP BY 1),
+fresh AS (SELECT s.* FROM src s LEFT JOIN last l ON l.system = s.system LEFT JOIN dim d ON d.code = s.code AND d.system = s.system AND d.area = s.area
+  WHERE s.changed > coalesce(l.last, TIMESTAMP '1990-01-01') AND d.code IS NULL)
+SELECT d.code, d.system, d.area, CASE WHEN f.code IS NULL THEN 1 ELSE 0 END AS is_current,
+  CASE WHEN f.code IS NULL THEN DATE '9999-12-31' ELSE DATE '2024-02-29' END AS ends FROM dim d LEFT JOIN fresh f ON f.code = d.code
+UNION ALL SELECT code, system, area, 1, DATE '9999-12-31' FROM fresh
+""")
+def dimension_merge_by_source(t: Tables):
+    """Changed rows per source system, close, insert, in one step; one system was never loaded, some rows are equal to what is stored."""
+    day = lambda n: F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(n.cast("int"))
+    who = t.customer.select(F.col("c_custkey").alias("code"), F.col("c_mktsegment").alias("system"), F.col("c_nationkey").alias("area"))
+    source = who.withColumn("area", F.col("area") + (F.col("code") % 3 == 0).cast("int")).withColumn("changed", day(F.col("code") % 40))
+    regions = t.nation.select(F.col("n_nationkey").alias("area"), "n_regionkey")
+    dim = who.where("code % 5 <> 0 AND system <> 'BUILDING'").join(regions, "area").select(
+        "code", "system", "area", day(F.col("n_regionkey") * 5).alias("inserted"), F.lit(None).cast("timestamp").alias("modified"),
+        F.lit(FIRST_START).alias("start_datetime"), F.lit(OPEN_END).alias("end_datetime"), F.lit(1).alias("is_current"))
+    source = source.withColumn("area", F.col("area").cast(dim.schema["area"].dataType))
+    out = merge_dimension(dim, source, "code", "system", "changed", ["inserted", "modified"], dt.datetime(2024, 3, 1))
+    return out.select("code", "system", "area", "is_current", F.to_date("end_datetime").alias("ends"))
