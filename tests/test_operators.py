@@ -156,14 +156,32 @@ def test_deep_chain_two_parents_and_a_tail_into_a_cycle(spark):
 
 # --- running values: every split gives the same answer ---------------------------------------------------------------
 
-@pytest.mark.parametrize("width", [1, 7, 1000])
-def test_running_equals_plain_windows(spark, width):
+@pytest.fixture
+def ranges_stay(spark):
+    """Small tables keep several ranges."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_ranges_split_a_key_with_half_the_rows(spark, ranges_stay):
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("t"))
+    got = ordered.running(df, ["k"], ["t"], None, {"rn": ordered.rank()})
+    assert got.where("k = 0").agg(F.max("rn"), F.countDistinct("rn")).first()[:] == (2000, 2000)
+    per = df.repartitionByRange("k", "t").groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count"), F.avg("count")).first()
+    assert per[0] <= 2 * per[1]
+
+
+@pytest.mark.parametrize("width", [1, 7, 1000, None])
+def test_running_equals_plain_windows(spark, ranges_stay, width):
     from pyspark.sql import Window
 
-    rng = random.Random(width)
+    rng = random.Random(width or 0)
     rows = [(rng.choice(["hot", "hot", "a", None]), i, rng.choice([None, rng.randint(0, 9)])) for i in range(200)]
     df = spark.createDataFrame(rows, "k string, t long, v long")
-    got = ordered.running(df, ["k"], ["t"], ordered.by_width("t", width), {
+    got = ordered.running(df, ["k"], ["t"], width and ordered.by_width("t", width), {
         "rn": ordered.rank(), "total": ordered.running_sum(F.col("v")), "top": ordered.running_max(F.col("v")),
         "prev": ordered.previous(F.col("v"), -1), "next": ordered.following(F.col("t")), "last": ordered.last_seen(F.col("v")),
         "n": ordered.group_size(),

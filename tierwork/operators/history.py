@@ -16,12 +16,12 @@ FIRST_START = dt.datetime(1990, 1, 1)
 UNKNOWN = -1
 
 
-def _run_starts(log: DataFrame, key: str, hash_col: str, order: Sequence[str], split: Column) -> DataFrame:
+def _run_starts(log: DataFrame, key: str, hash_col: str, order: Sequence[str], split: Column | None) -> DataFrame:
     seen = running(log, [key], order, split, {"__before": previous(F.col(hash_col))})
     return seen.where(F.col("__before").isNull() | (F.col("__before") != F.col(hash_col))).drop("__before")
 
 
-def versions_from_log(log: DataFrame, key: str, hash_col: str, ts: str, split: Column, ties: Sequence[str] = ()) -> DataFrame:
+def versions_from_log(log: DataFrame, key: str, hash_col: str, ts: str, split: Column | None, ties: Sequence[str] = ()) -> DataFrame:
     """Change log -> one row per unbroken run of equal hashes, with ``start_datetime`` and ``end_datetime``.
 
     A run starts where the hash differs from the previous row of the key and ends where the next run starts. ``ties`` order
@@ -36,7 +36,7 @@ def versions_from_log(log: DataFrame, key: str, hash_col: str, ts: str, split: C
     ).drop("__next", ts)
 
 
-def apply_log(dim: DataFrame, log: DataFrame, key: str, hash_col: str, ts: str, split: Column, ties: Sequence[str] = ()) -> DataFrame:
+def apply_log(dim: DataFrame, log: DataFrame, key: str, hash_col: str, ts: str, split: Column | None, ties: Sequence[str] = ()) -> DataFrame:
     """New snapshot of a dimension (key, attributes, hash, start, end, is_current) after a change log.
 
     Rows of unseen keys and rows later than the current version count. Each is compared with the row before it, the current
@@ -139,7 +139,7 @@ def staged_start(df: DataFrame, dim: DataFrame, keys: Sequence[str], as_of: dt.d
     ).select(*df.columns, "start_datetime")
 
 
-def surrogate_keys(new: DataFrame, order: Sequence[str], split: Column, existing: DataFrame | None, pk: str) -> DataFrame:
+def surrogate_keys(new: DataFrame, order: Sequence[str], split: Column | None, existing: DataFrame | None, pk: str) -> DataFrame:
     """Consecutive keys after the highest existing one, in a total order; no single-task sort."""
     numbered = running(new, [], order, split, {"__n": rank()})
     if existing is None:
@@ -162,7 +162,7 @@ def point_in_time(fact: DataFrame, dim: DataFrame, key: str, ts: str, pk: str, f
     return fact.join(d, cond, "left").select(*fact.columns, F.coalesce(F.col(fk), F.lit(UNKNOWN)).alias(fk))
 
 
-def point_in_time_ordered(fact: DataFrame, dim: DataFrame, key: str, ts: str, pk: str, fk: str, split: Column) -> DataFrame:
+def point_in_time_ordered(fact: DataFrame, dim: DataFrame, key: str, ts: str, pk: str, fk: str, split: Column | None) -> DataFrame:
     """``point_in_time`` for keys with many versions: facts and version starts are laid in time order, each fact sees the
     last start before it. No fact meets all versions of its key, and a hot key is cut into cells.
 

@@ -55,7 +55,7 @@ def group_source(groups: DataFrame, name: str, tenant: str, newest: str, tie: st
     return best_record(current_rows(groups), [name, tenant], newest, tie)
 
 
-def duplicate_profile(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Column,
+def duplicate_profile(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Column | None,
                       priority_col: str | None = None, ranks: Mapping[str, int] | None = None) -> DataFrame:
     """Add ``priority``, ``occurrence`` (rows of the key) and ``row_number`` (by priority, then ``order``)."""
     prio = priority_rank(F.col(priority_col), ranks or {}) if priority_col else F.lit(999)
@@ -71,7 +71,7 @@ def duplicates_only(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(repeated, list(keys), "left_semi")
 
 
-def parent_child(df: DataFrame, id_col: str, keys: Sequence[str], order: Sequence[str], split: Column,
+def parent_child(df: DataFrame, id_col: str, keys: Sequence[str], order: Sequence[str], split: Column | None,
                  priority_col: str | None = None, ranks: Mapping[str, int] | None = None) -> DataFrame:
     """The first row of a key is the parent (no parent id); the others point to it."""
     prof = duplicate_profile(df, keys, order, split, priority_col, ranks)

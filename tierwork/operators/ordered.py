@@ -6,8 +6,8 @@ Three shapes, by what is asked for:
   (WindowGroupLimit), so a hot key costs one row per map task.
 * group totals: partial aggregation, then a join back. A hot key is split by AQE's skew join, which a window
   over the same key would not be.
-* running values (rank, running sum, previous row, forward fill): ``running`` cuts each group into cells with a
-  monotone ``split`` expression, computes inside the cells in parallel, and carries one summary row per cell
+* running values (rank, running sum, previous row, forward fill): ``running`` cuts each group into cells along its
+  order, by sampled ranges or by a given expression, computes inside the cells in parallel, and carries one summary row per cell
   across. A group then never needs one task, whatever its size.
 """
 
@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierwork.sources.storage import cut_lineage
+
 GROUP, CELL, PLACE = "__group", "__cell", "__place"
 
 
@@ -146,18 +148,25 @@ def _merged(s: _Running, inside: Column, carried: Column) -> Column:
 
 
 def running(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Column, outputs: Mapping[str, _Running]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Column | None, outputs: Mapping[str, _Running]
 ) -> DataFrame:
     """Add running values per key in ascending ``order`` (column names, total inside a key).
 
-    ``split`` must not decrease along ``order`` and should keep every (key, cell) small enough for one task:
-    a time bucket or a range of ids. Keys may be empty (a table-wide sequence). Use ``split=F.lit(0)`` where groups
-    are known to be small.
+    Without a ``split`` cells follow the data: rows are dealt to ranges of (keys, order) whose bounds Spark samples, so a
+    cell holds what one range task holds whatever the keys are, and a key has at most as many cells as there are
+    ranges. The ranges are checkpointed, because both passes must see the same ones. A given ``split`` saves that: it must
+    not decrease along ``order`` and should keep every (key, cell) small enough for one task. Keys may be empty (a
+    table-wide sequence). Use ``split=F.lit(0)`` where groups are known to be small.
     """
     # One hash of group and cell places rows for the window and for the join with the summaries, so the rows shuffle once
     # and sort on a long first. Keys are still compared themselves (NULL-safely) after the hash.
     cell = [*keys, CELL]
-    base = df.withColumn(CELL, split).withColumn(PLACE, F.xxhash64(*cell))
+    if split is None:
+        ranges = df.repartitionByRange(*[F.col(c) for c in (*keys, *order)])
+        celled = cut_lineage(ranges.withColumn(CELL, F.spark_partition_id()))
+    else:
+        celled = df.withColumn(CELL, split)
+    base = celled.withColumn(PLACE, F.xxhash64(*cell))
     w = Window.partitionBy(PLACE, *cell).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     inside = base.repartition(PLACE).select("*", *[_inside(s, w, upto).alias(f"__in_{n}") for n, s in outputs.items()])

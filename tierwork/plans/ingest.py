@@ -11,7 +11,7 @@ from tierwork.operators import columns as C
 from tierwork.operators.cdc import advance_watermark as advance
 from tierwork.operators.history import surrogate_keys
 from tierwork.operators.ordered import by_width
-from tierwork.plans.inputs import DATED_ORDERS, by_day, dated_orders
+from tierwork.plans.inputs import DATED_ORDERS, dated_orders
 from tierwork.plans.registry import hash_sql, plan, Tables
 from tierwork.sources import readers as R
 
@@ -152,7 +152,7 @@ def _(t: Tables):
 SELECT event_id, user_id, row_number() OVER (ORDER BY ts, event_id) AS seq_id FROM events
 """)
 def _(t: Tables):
-    out = R.add_sequence(t.events.select("event_id", "user_id", "ts"), ["ts", "event_id"], by_day("ts"))
+    out = R.add_sequence(t.events.select("event_id", "user_id", "ts"), ["ts", "event_id"], None)
     return out.drop("ts")
 
 

@@ -102,6 +102,3 @@ def event_log(t: Tables) -> DataFrame:
 def by_month(col: str):
     return F.date_trunc("month", F.col(col).cast("timestamp"))
 
-
-def by_day(col: str):
-    return F.to_date(col)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from tierwork.functions import dates as D
 from tierwork.functions.text import case_insensitive_regex, leading_int, similarity
 from tierwork.functions.values import is_not_false, money, row_hash, safe_ratio
-from tierwork.operators.ordered import by_width, keep_first, last_seen, previous, running, running_max, running_sum
-from tierwork.plans.inputs import DATED_ORDERS, by_day, dated_orders
+from tierwork.operators.ordered import keep_first, last_seen, previous, running, running_max, running_sum
+from tierwork.plans.inputs import DATED_ORDERS, dated_orders
 from tierwork.plans.registry import hash_sql, plan, Tables
 
 
@@ -62,7 +62,7 @@ SELECT event_id, lag(event_type, 1, 'none') OVER (PARTITION BY user_id ORDER BY
 """)
 def _(t: Tables):
     e = t.events.select("event_id", "user_id", "event_type", "ts")
-    return running(e, ["user_id"], ["ts", "event_id"], by_day("ts"), {"before": previous(F.col("event_type"), "none")}).select("event_id", "before")
+    return running(e, ["user_id"], ["ts", "event_id"], None, {"before": previous(F.col("event_type"), "none")}).select("event_id", "before")
 
 
 @plan("w_06_change_points", """
@@ -71,7 +71,7 @@ QUALIFY lag(event_type) OVER w IS NULL OR lag(event_type) OVER w <> event_type
 """)
 def _(t: Tables):
     e = t.events.select("event_id", "user_id", "event_type", "ts")
-    seen = running(e, ["user_id"], ["ts", "event_id"], by_day("ts"), {"before": previous(F.col("event_type"))})
+    seen = running(e, ["user_id"], ["ts", "event_id"], None, {"before": previous(F.col("event_type"))})
     return seen.where(F.col("before").isNull() | (F.col("before") != F.col("event_type"))).select("user_id", "event_id")
 
 
@@ -81,7 +81,7 @@ SELECT o_orderkey, (max(amount) OVER w)::DOUBLE AS top, (sum(amount) OVER w)::DO
 WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING)
 """)
 def running_values(t: Tables):
-    out = running(dated_orders(t), ["o_orderpriority"], ["o_orderkey"], by_width("o_orderkey", 5_000),
+    out = running(dated_orders(t), ["o_orderpriority"], ["o_orderkey"], None,
                   {"top": running_max(F.col("amount")), "total": running_sum(F.col("amount"))})
     return out.select("o_orderkey", F.col("top").cast("double").alias("top"), F.col("total").cast("double").alias("total"))
 
@@ -91,7 +91,7 @@ SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGN
 """)
 def _(t: Tables):
     e = t.events.select("event_id", "user_id", "ts", F.when(F.col("event_type") == "purchase", F.col("value")).alias("v"))
-    return running(e, ["user_id"], ["ts", "event_id"], by_day("ts"), {"last_purchase": last_seen(F.col("v"))}).select("event_id", "last_purchase")
+    return running(e, ["user_id"], ["ts", "event_id"], None, {"last_purchase": last_seen(F.col("v"))}).select("event_id", "last_purchase")
 
 
 @plan("w_11_nth_working_day", """

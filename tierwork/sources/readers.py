@@ -48,11 +48,11 @@ def extract_keys(df: DataFrame, keys: Sequence[str], bits: int = 256) -> DataFra
     return df.select(*keys).distinct().withColumn("key_hash", row_hash([F.col(k) for k in keys], bits))
 
 
-def assign_line_number(df: DataFrame, document: Sequence[str], order: Sequence[str], split: Column, into: str = "line_no") -> DataFrame:
+def assign_line_number(df: DataFrame, document: Sequence[str], order: Sequence[str], split: Column | None, into: str = "line_no") -> DataFrame:
     return running(df, document, order, split, {into: rank()})
 
 
-def add_sequence(df: DataFrame, order: Sequence[str], split: Column, into: str = "seq_id") -> DataFrame:
+def add_sequence(df: DataFrame, order: Sequence[str], split: Column | None, into: str = "seq_id") -> DataFrame:
     """Table-wide 1..n in a total order without sorting everything in one task."""
     return running(df, [], order, split, {into: rank()})
 
