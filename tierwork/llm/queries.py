@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwork.llm import bpe, langid, lines, mixing, neardup, neural_lm, secrets, setjoin, topk, urls
+from tierwork.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -15,7 +16,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def wrap(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, root: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, root)
+
+        QUERIES[name] = run
         if sql:
             ORACLE[name] = sql.strip()
         return fn
