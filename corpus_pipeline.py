@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwork.llm import bpe, langid, lines, mixing, setjoin
+from tierwork.llm.ship import ship
 from tierwork.sources.storage import fresh_dir
 
 LEAST_SCORE = 0.3  # pooled probability below which no language is believed
@@ -42,7 +43,15 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-STAGES = [("language", language), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("mix", mix), ("encode", encode)]
+def _shipped(stage):
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES = [(f.__name__, _shipped(f)) for f in (language, line_dedup, near_duplicates, mix, encode)]
 ORACLE_SQL = None  # a trained network and token merges are beyond SQL; tests/llm compares with brute force
 
 
