@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from tierwork.llm.frames import crc_rest, own_name
-from tierwork.llm.words import hash_parts, lower, spans
+from tierwork.llm.words import hash_parts, lower, row_pieces, spans, text_buffers
 
 LONGEST = 24  # bytes read together; longer words are read in parts
+TOGETHER = 12 << 20  # bytes of texts whose repeated words are read once
 UNKNOWN = "und"
 
 
@@ -160,8 +161,9 @@ def _pooled(net: ByteGru, column: pa.Array, classes: int) -> np.ndarray:
         names, at = np.unique(hashes, return_index=True)
         data = part[np.minimum(s[at][:, None] + np.arange(LONGEST), max(0, len(part) - 1))] if len(at) else np.zeros((0, LONGEST), dtype=np.uint8)
         known.append(names)
-        order.append((data, (e - s)[at]))
-        pieces.append((lo, hi, first, hashes, e - s))
+        sizes = (e - s).astype(np.uint8)
+        order.append((data, sizes[at]))
+        pieces.append((lo, hi, first, hashes, sizes))
     total = np.zeros((len(column), classes))
     if not known or not sum(map(len, known)):
         return total
@@ -203,7 +205,8 @@ def predict(docs: DataFrame, languages: list[str], net: ByteGru | None, text_col
         n = ByteGru(len(names), hidden)
         n.p = params
         for b in batches:
-            p = _pooled(n, b.column(at), len(names))
+            texts = b.column(at)
+            p = np.concatenate([_pooled(n, texts.slice(lo, hi - lo), len(names)) for lo, hi in row_pieces(text_buffers(texts)[0], TOGETHER)] or [np.zeros((0, len(names)))])
             ok = b.column(of).to_numpy(zero_copy_only=False) & p.any(axis=1)
             best = p.argmax(axis=1)
             said = pa.array([names[i] if k else UNKNOWN for i, k in zip(best, ok)], pa.string())
