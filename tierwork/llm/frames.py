@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierwork.sources.storage import cut_lineage
+from tierwork.sources.storage import cut_lineage, fresh_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -38,32 +39,91 @@ def numbered(df: DataFrame, order: Column, out: str) -> DataFrame:
     return ranged.withColumn(out, place).join(before, part).withColumn(out, (F.col(out) + F.col("_before")).cast("long")).drop(part, "_before")
 
 
-def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    for b in batches:
-        for no, data in zip(b.column(0).to_pylist(), b.column(1)):
-            x = np.frombuffer(data.as_buffer(), dtype=np.int64)
-            if no in sums:
-                sums[no] += x
-            else:
-                sums[no] = x.copy()
-    if sums:
-        yield pa.RecordBatch.from_pydict({"block": pa.array(list(sums), pa.int32()), "data": pa.array([x.tobytes() for x in sums.values()], pa.binary())})
+_WIDTHS = {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.int64}
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Counters of a block in the narrowest type that holds them; its width follows from the length."""
+    most = int(x.max(initial=0))
+    return x.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.int64).tobytes()
+
+
+def _unpack(data: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=_WIDTHS[len(data) // width])
+
+
+def _block_batch(blocks: list[int], data: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int32()), "data": pa.array(data, pa.binary())})
 
 
 def block_rows(counts: np.ndarray, width: int) -> pa.RecordBatch:
-    """Counters as rows (block, int64 bytes); blocks without a count are left out."""
-    parts = counts.astype(np.int64).reshape(-1, width)
-    full = np.flatnonzero(parts.any(axis=1))
-    return pa.RecordBatch.from_pydict({"block": pa.array(full.astype(np.int32)), "data": pa.array([parts[i].tobytes() for i in full], pa.binary())})
+    """Counters as rows (block, bytes); blocks without a count are left out."""
+    parts = counts.reshape(-1, width)
+    full = np.flatnonzero(parts.any(axis=1)).tolist()
+    return _block_batch(full, [_pack(parts[i]) for i in full])
 
 
 def sum_blocks(rows: DataFrame, size: int, width: int) -> np.ndarray:
-    """Sum of counter blocks of all tasks: added within reading tasks' groups first, then per block. ``size`` is fixed, so is the result."""
+    """Sum of counter blocks of all tasks: added within groups of tasks first, then per block. ``size`` is fixed, so is the result."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for no, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if no not in sums:
+                    sums[no] = np.zeros(width, dtype=np.int64)
+                sums[no] += _unpack(data, width)
+        if sums:
+            yield _block_batch(list(sums), [_pack(x) for x in sums.values()])
+
     tasks = max(1, min(16, rows.sparkSession.sparkContext.defaultParallelism))
-    salted = rows.withColumn("_to", F.pmod(F.spark_partition_id(), F.lit(tasks)))
-    first = salted.repartition(tasks, "_to").drop("_to").mapInArrow(_add_blocks, "block int, data binary")
+    kind = "block int, data binary"
+    first = rows.withColumn("_to", F.pmod(F.spark_partition_id(), F.lit(tasks))).repartition(tasks, "_to").drop("_to").mapInArrow(add, kind)
     total = np.zeros(size, dtype=np.int64).reshape(-1, width)
-    for r in first.repartition(tasks, "block").mapInArrow(_add_blocks, "block int, data binary").toLocalIterator():
-        total[r.block] += np.frombuffer(bytes(r.data), dtype=np.int64)
+    for r in first.repartition(tasks, "block").mapInArrow(add, kind).toLocalIterator():
+        total[r.block] += _unpack(bytes(r.data), width)
     return total.reshape(-1)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: smaller than a checkpoint for tables of many rows."""
+    to = fresh_dir(df.sparkSession, label)
+    df.write.parquet(to)
+    return df.sparkSession.read.schema(df.schema).parquet(to)
+
+
+FILTER_BITS = 1 << 27  # at most: 16 MB
+
+
+def may_contain(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose long ``key`` may be among ``wanted`` (one long column): all that are, and few others.
+
+    A bit per key, in a map of about 16 bits per wanted key but never over ``FILTER_BITS``: it thins out a table before it is shuffled for an exact join.
+    With so many keys that the map fills up it only keeps more.
+    """
+    n = wanted.count()
+    bits = min(FILTER_BITS, max(1 << 15, 1 << math.ceil(math.log2(16 * n + 1))))
+    width = 1 << 12
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(bits // 8, dtype=np.uint8)
+        for b in batches:
+            at = b.column(0).to_numpy().view(np.uint64) % np.uint64(bits)
+            np.bitwise_or.at(seen, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+        parts = seen.reshape(-1, width)
+        full = np.flatnonzero(parts.any(axis=1)).tolist()
+        yield _block_batch(full, [parts[i].tobytes() for i in full])
+
+    total = np.zeros((bits // 8 // width, width), dtype=np.uint8)
+    tasks = max(1, min(16, df.sparkSession.sparkContext.defaultParallelism))
+    for r in wanted.repartition(tasks).mapInArrow(mark, "block int, data binary").toLocalIterator():
+        total[r.block] |= np.frombuffer(bytes(r.data), dtype=np.uint8)
+    shared = df.sparkSession.sparkContext.broadcast(total.tobytes())
+    place = df.columns.index(key)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.frombuffer(shared.value, dtype=np.uint8)
+        for b in batches:
+            at = b.column(place).to_numpy().view(np.uint64) % np.uint64(bits)
+            yield b.filter(pa.array((seen[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1))
+
+    return df.mapInArrow(keep, df.schema)

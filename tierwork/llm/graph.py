@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +37,16 @@ def components(links: DataFrame) -> DataFrame:
         state = new
     stars = links.select(F.col("a").alias("key"), F.col("b").alias("root"))
     return stars.union(stars.select(F.col("root").alias("key"), "root").distinct())
+
+
+def spanning(row: np.ndarray, col: np.ndarray, n: int) -> np.ndarray:
+    """Least linked place for each of n places, over all paths of the pairs."""
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, row, low[col])
+        np.minimum.at(new, col, low[row])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwork.llm.graph import components
+from tierwork.llm.graph import components, spanning
 from tierwork.sources.storage import cut_lineage
 
 FIRST, ALL = 12, 48  # projections counted for all pairs of a task, and for those that pass the first count
@@ -67,19 +67,6 @@ def linked_pairs(q: np.ndarray, qp: np.ndarray, c: np.ndarray, cp: np.ndarray, c
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def spanning(row: np.ndarray, col: np.ndarray, n: int) -> np.ndarray:
-    """Least linked place for each of n places, over all paths of the pairs."""
-    low = np.arange(n)
-    while True:
-        new = low.copy()
-        np.minimum.at(new, row, low[col])
-        np.minimum.at(new, col, low[row])
-        new = new[new]
-        if (new == low).all():
-            return low
-        low = new
-
-
 def near_duplicates(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.98,
 ) -> DataFrame:

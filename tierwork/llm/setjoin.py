@@ -8,15 +8,19 @@ Two sets with a and b shingles link when ``num / den`` of their union is common,
 * Heavy sets, and light ones that could link with heavy ones, post the shingles of their prefix: in one order of all shingles, rare ones first,
   the first ``n - ceil(n * num / den) + 1``. Sets that link share a prefix shingle. Candidates come from scanning these lists.
 
-Equal sets are one class. Lists are scanned star-wise: every member is compared with one anchor of its list, links are joined to
-components, and only lists that still hold several components are looked at again; the last round compares all that is left. So groups of near
-copies cost links in proportion to their size, and no link between different components is missed.
+Equal sets are one class, named by 64 bits (two different sets share a name with probability 2**-64). Lists are scanned star-wise: every member is compared with one anchor of its list, links are joined to
+components, and only lists that still hold several components are looked at again. There all members outside the main component are compared with all
+members: pair by pair in short lists; in long lists first with those of nearest counters, then, where that was not all, with every
+member, in cells of bounded size that give back only what spans the linked sets. Before texts are compared, counters of shingles by hash rule out pairs
+that differ by too many (never a pair that links). So groups of near copies give links in proportion to their size, and no link between
+different components is missed.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -24,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwork.llm.frames import block_rows, own_name, sum_blocks
-from tierwork.llm.graph import components
+from tierwork.llm.frames import block_rows, may_contain, own_name, stored, sum_blocks
+from tierwork.llm.graph import components, spanning
 from tierwork.llm.words import mix, shingle_sets
 from tierwork.sources.storage import cut_lineage
 
@@ -33,6 +37,10 @@ BITS, WIDTH = 21, 4096  # counters of the shingle sketch: fixed, so are its sum
 SIZES = 4096  # set sizes counted for the cost model
 MOST_LIGHT = 32  # sizes the cost model may call light
 STAR_ROUNDS = 2
+COUNTERS = 64  # per set, of its shingles by hash: two sets differ by at least as many shingles as their counters differ
+NEAREST = 2  # candidates with the nearest counters that a set gives per cell of a long list
+FEW = 32  # members up to which a list's last pairs are compared pair by pair; longer lists meet in cells
+BLOCK, SETS = 1 << 20, 1024  # about so many shingles, and sets, on one side of a cell
 _SKETCH_BLOCKS = (1 << BITS) // WIDTH
 
 
@@ -106,7 +114,7 @@ def _sketch(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(id, th, n, cls, posts) per row: size, 16 bytes that name the set, and the keys it posts."""
+    """(id, th, n, cls, few, hist, posts) per row: size, a 64-bit name of the set (null for an empty one), 8 and 64 counters, and the keys it posts."""
     counts, sizes = _sketch(rows.select("text"), k)
     levels = np.minimum(255, 2 * np.log2(1 + counts)).astype(np.uint8)
     usual = counts.sum() / len(counts)
@@ -119,14 +127,19 @@ def _signatures(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(shared.value, dtype=np.uint8)
         for b in batches:
-            n, cls, posts = [], [], []
+            n, cls, few, hist, posts = [], [], [], [], []
             for _, items in shingle_sets(b.column(2), k):
                 n.append(len(items))
                 if not len(items):
-                    cls.append(b"")
+                    cls.append(None)
+                    few.append(None)
+                    hist.append(None)
                     posts.append(np.zeros(0, dtype=np.uint64))
                     continue
-                cls.append(np.array([mix(items).sum(dtype=np.uint64), (mix(items ^ np.uint64(0x5851F42D4C957F2D)) + np.uint64(len(items))).sum(dtype=np.uint64)]).tobytes())
+                cls.append(int(mix(mix(items).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(items))).view(np.int64)[0]))
+                counters = np.bincount(mix(items) >> np.uint64(58), minlength=COUNTERS)
+                hist.append(np.minimum(counters, 32767).astype(np.int16).tobytes())
+                few.append(int(np.minimum(counters.reshape(8, -1).sum(axis=1), 127).astype(np.uint8).view(np.int64)[0]))
                 keys = []
                 if len(items) <= bound:
                     keys.append(subset_keys(items, num, den))
@@ -139,11 +152,39 @@ def _signatures(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
             ends = np.cumsum([0, *map(len, posts)])
             values = pa.array(np.concatenate(posts).view(np.int64)) if posts else pa.array([], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
-                ["id", "th", "n", "cls", "posts"])
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(few, pa.int64()), pa.array(hist, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
+                ["id", "th", "n", "cls", "few", "hist", "posts"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "th", "text").mapInArrow(run, f"id {kind}, th long, n long, cls binary, posts array<long>")
+    return rows.select("id", "th", "text").mapInArrow(run, f"id {kind}, th long, n long, cls long, few long, hist binary, posts array<long>")
+
+
+def _most_apart(a, b, num: int, den: int):
+    """Shingles by which two sets that link can differ at most."""
+    return a + b - 2 * -(-num * (a + b) // (num + den))
+
+
+def _apart(one: pa.Array, two: pa.Array) -> np.ndarray:
+    grid = lambda x: np.frombuffer(b"".join(x.to_pylist()), dtype=np.int16).reshape(-1, COUNTERS).astype(np.int32)
+    return np.abs(grid(one) - grid(two)).sum(axis=1)
+
+
+def _possible(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (cls, b, and further columns) that their counters let link."""
+    one = classes.select("cls", F.col("n").alias("n1"), F.col("hist").alias("h1"))
+    two = classes.select(F.col("cls").alias("b"), F.col("n").alias("n2"), F.col("hist").alias("h2"))
+    met, names = pairs.join(one, "cls").join(two, "b"), pairs.columns
+    met = met.select(*names, "n1", "n2", "h1", "h2")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in met.schema.fields[: len(names)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            of = dict(zip(b.schema.names, b.columns))
+            n1, n2 = of["n1"].to_numpy(), of["n2"].to_numpy()
+            keep = _apart(of["h1"], of["h2"]) <= _most_apart(n1, n2, num, den) if len(b) else np.zeros(0, dtype=bool)
+            yield b.select(names).filter(pa.array(keep, pa.bool_()))
+
+    return met.mapInArrow(run, kinds)
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -163,7 +204,87 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> D
                 keep[row] = common >= overlap(len(x), len(one), num, den)
             yield pa.RecordBatch.from_arrays([b.column(1).filter(pa.array(keep)), b.column(0).filter(pa.array(keep))], ["a", "b"])
 
-    return met.sortWithinPartitions("b").mapInArrow(run, "a binary, b binary")
+    return met.sortWithinPartitions("b").mapInArrow(run, "a long, b long")
+
+
+def _links_between(left: list[np.ndarray], right: list[np.ndarray], num: int, den: int, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """(left place, right place) of the sets that link: overlaps by products of incidence matrices, some shingles at a time."""
+    sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+    both = np.concatenate([*left, *right])
+    _, at, times = np.unique(both, return_inverse=True, return_counts=True)
+    seen = np.flatnonzero(times > 1)  # shingles of one set only are in no overlap
+    number = np.full(len(times), -1)
+    number[seen] = np.arange(len(seen))
+    at = number[at]
+    row = np.repeat(np.arange(len(left) + len(right)), np.concatenate(sizes))
+    row, at = row[at >= 0], at[at >= 0]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    common = np.zeros((len(left), len(right)), dtype=np.float32)
+    for first in range(0, len(seen), columns):
+        part = slice(*np.searchsorted(at, (first, first + columns)))
+        grid = np.zeros((len(left) + len(right), columns), dtype=np.float32)
+        grid[row[part], at[part] - first] = 1
+        common += grid[: len(left)] @ grid[len(left):].T
+    return np.nonzero((num + den) * common.astype(np.int64) >= num * (sizes[0][:, None] + sizes[1][None, :]))
+
+
+def _dealt(members: DataFrame, outside, of: DataFrame, columns: list[str]):
+    """Both sides of long lists dealt to cells (elem, i, j) of bounded size: members outside the main component, and all members."""
+    blocks = lambda size, sets: F.greatest(F.lit(1), F.ceil(size / BLOCK), F.ceil(sets / SETS)).cast("int")
+    sized = members.withColumn("na", blocks(F.col("size") - F.col("main_size"), F.col("met") - F.col("main_met"))).withColumn(
+        "nb", blocks(F.col("size"), F.col("met")))
+    span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = sized.where(outside).select("elem", "cls", "root", F.pmod(F.xxhash64("cls"), F.col("na")).cast("int").alias("i"), span("nb").alias("j"))
+    right = sized.select("elem", "cls", "root", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int").alias("j"), span("na").alias("i"))
+    full = lambda side: side.join(of, "cls").select(*[F.col(c).alias(c) for c in ("elem", "i", "j", "cls", "root", *columns)])
+    keys = ("elem", "i", "j")
+    return full(left).groupBy(*keys).cogroup(full(right).groupBy(*keys))
+
+
+def _nearest(members: DataFrame, outside, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """(cls, b, more): for members outside the main component of a long list the sets of other components that their counters let link, nearest
+    first, ``NEAREST`` per cell; ``more``: the cell has further ones."""
+    def compare(one: pa.Table, two: pa.Table) -> pa.Table:
+        grid = lambda t: np.frombuffer(b"".join(t["hist"].to_pylist()), dtype=np.int16).reshape(-1, COUNTERS).astype(np.int32)
+        (g1, g2), (c1, c2), (r1, r2), (n1, n2) = ((f(one), f(two)) for f in (
+            grid, lambda t: t["cls"].to_numpy(), lambda t: t["root"].to_numpy(), lambda t: t["n"].to_numpy()))
+        out: list[list] = [[], [], []]
+        for x in range(len(g1)):
+            apart = np.abs(g2 - g1[x]).sum(axis=1)
+            of = np.flatnonzero((apart <= _most_apart(n1[x], n2, num, den)) & (r2 != r1[x]))
+            for y in of[np.argsort(apart[of], kind="stable")[:NEAREST]]:
+                for column, v in zip(out, (c1[x], c2[y], len(of) > NEAREST)):
+                    column.append(v)
+        return pa.table({"cls": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64()), "more": pa.array(out[2], pa.bool_())})
+
+    return _dealt(members, outside, classes.select("cls", "n", "hist"), ["n", "hist"]).applyInArrow(compare, "cls long, b long, more boolean")
+
+
+def _compare_lists(members: DataFrame, outside, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Links of long lists, as few as keep what is linked together: members outside the main component against all members of the list.
+
+    Both sides are dealt to blocks of about ``BLOCK`` shingles or ``SETS`` sets, so a list of any length meets in cells of bounded size, and no pairs leave a cell.
+    """
+    def compare(one: pa.Table, two: pa.Table) -> pa.Table:
+        names = [t["cls"].to_numpy() for t in (one, two)]
+        sets = [[x for chunk in t["text"].chunks for _, x in shingle_sets(chunk, k)] for t in (one, two)]
+        if not sets[0] or not sets[1]:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        row, col = _links_between(*sets, num, den)
+        both, at = np.unique(np.concatenate(names), return_inverse=True)
+        low = spanning(at[row], at[len(names[0]) + col], len(both))
+        far = np.flatnonzero(low != np.arange(len(both)))
+        return pa.table({"a": both[low[far]], "b": both[far]})
+
+    return _dealt(members, outside, texts, ["text"]).applyInArrow(compare, "a long, b long")
+
+
+def _texts_of(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, text) of the wanted classes: their texts are picked out while the documents are read, before anything is shuffled."""
+    wanted = stored(classes.join(wanted.select("cls").distinct(), "cls").select("cls", F.col("of.id").alias("wid"), F.col("of.th").alias("wth")), "setjoin-wanted")
+    met = may_contain(rows, "th", wanted.select("wth")).alias("r").join(wanted.alias("w"), (F.col("r.th") == F.col("w.wth")) & F.col("r.id").eqNullSafe(F.col("w.wid")))
+    return stored(met.groupBy("cls").agg(F.first("text").alias("text")), "setjoin-texts")
 
 
 def jaccard_components(
@@ -178,45 +299,69 @@ def jaccard_components(
     ``text_key`` is a 64-bit hash of the text.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
-    signed = cut_lineage(_signatures(rows, shingle, num, den))
-    classes = signed.where("n > 0").groupBy("cls").agg(
-        F.min("n").alias("n"), F.min(F.struct("id", "th")).alias("of"), F.min("id").alias("least_id"), F.first("posts").alias("posts"))
-    posted = classes.select("cls", "n", F.explode("posts").alias("elem"))
-    lists = posted.groupBy("elem").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("elem")
-    members = cut_lineage(posted.join(lists, "elem"))
-    near = lambda m, n: (F.greatest(m, n) * num <= F.least(m, n) * den)  # noqa: E731  sizes that can link
-
-    wanted = members.select("cls").distinct().join(signed.select("cls", "id", "th"), "cls").groupBy("cls").agg(F.min(F.struct("id", "th")).alias("of"))
-    wanted = wanted.select("cls", F.col("of.id").alias("wid"), F.col("of.th").alias("th"))
-    texts = rows.alias("r").join(wanted.alias("w"), (F.col("r.th") == F.col("w.th")) & F.col("r.id").eqNullSafe(F.col("w.wid")))
-    texts = cut_lineage(texts.groupBy("cls").agg(F.first("text").alias("text")))
-
-    tried = links = None
-    open_lists = members
-    for turn in range(STAR_ROUNDS + 1):
-        if links is not None:
-            roots = components(links)
-            placed = members.join(roots.withColumnRenamed("key", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-            several = placed.groupBy("elem").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("elem")
-            open_lists = cut_lineage(placed.join(several, "elem"))
-        else:
-            open_lists = members.withColumn("root", F.col("cls"))
-        if turn < STAR_ROUNDS:
-            drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "root", "cls").alias("draw"), F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("root").alias("broot")))
-            anchors = open_lists.groupBy("elem").agg(drawn.alias("x")).select("elem", "x.*")
-            found = open_lists.join(anchors, "elem").where((F.col("root") != F.col("broot")) & near(F.col("n"), F.col("bn")))
-            # of the anchors a set meets, the one met in most lists
-            found = found.groupBy("cls", "b").agg(F.count(F.lit(1)).alias("met")).groupBy("cls").agg(F.max(F.struct("met", "b")).alias("x"))
-            pairs = found.select(F.col("cls").alias("a"), F.col("x.b").alias("b"))
-        else:
-            one, two = open_lists.alias("o"), open_lists.alias("t")
-            pairs = one.join(two, (F.col("o.elem") == F.col("t.elem")) & (F.col("o.cls") < F.col("t.cls")) & (F.col("o.root") != F.col("t.root")) & near(F.col("o.n"), F.col("t.n")))
-            pairs = pairs.select(F.col("o.cls").alias("a"), F.col("t.cls").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = cut_lineage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        tried = pairs if tried is None else tried.union(pairs)
-        verified = cut_lineage(_verify(pairs, texts, shingle, num, den))
-        links = verified if links is None else links.union(verified)
+    signed = stored(_signatures(rows, shingle, num, den), "setjoin-signatures")
+    classes = stored(signed.where("n > 0").groupBy("cls").agg(
+        F.min("n").alias("n"), F.min(F.struct("id", "th")).alias("of"), F.min("id").alias("least_id"), F.min("few").alias("few"), F.min("hist").alias("hist")), "setjoin-classes")
+    posted = signed.select("cls", F.explode("posts").alias("elem"))
+    lists = posted.groupBy("elem").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("elem")
+    members = posted.join(lists, "elem").distinct()
+    members = stored(members.join(classes.select("cls", "n", "few"), "cls"), "setjoin-lists")
+
+    def near(m, n, x, y):
+        """Sizes that can link, and eight counters (a byte each, 127 at most) that do not already differ too much."""
+        byte = lambda c, i: F.shiftright(c, 8 * i).bitwiseAND(F.lit(127))
+        apart = reduce(lambda a, b: a + b, [F.abs(byte(x, i) - byte(y, i)) for i in range(8)])
+        most = m + n - 2 * F.ceil(num * (m + n) / F.lit(num + den))
+        return (F.greatest(m, n) * num <= F.least(m, n) * den) & (apart <= most)
+
+
+    def still_open(links: DataFrame) -> DataFrame:
+        """Members of lists that hold several components, with their component and the most frequent one of their list."""
+        placed = members.join(components(links).withColumnRenamed("key", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        per = placed.groupBy("elem", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("size"))
+        lists = per.groupBy("elem").agg(
+            F.max(F.struct("c", "root", "size")).alias("x"), F.sum("c").alias("met"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+        return stored(placed.join(lists.select("elem", F.col("x.root").alias("main"), F.col("x.size").alias("main_size"), F.col("x.c").alias("main_met"), "met", "size"), "elem"), "setjoin-open")
+
+    tried: list[DataFrame] = []
+    links: list[DataFrame] = []
+
+    def verify(pairs: DataFrame) -> None:
+        """Pairs (cls, b), each once and not tried before, to links."""
+        pairs = pairs.select(F.least("cls", "b").alias("a"), F.greatest("cls", "b").alias("b")).distinct()
+        for done in tried:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        pairs = cut_lineage(pairs)
+        texts = _texts_of(rows, classes, pairs.select(F.col("a").alias("cls")).union(pairs.select("b")))
+        tried.append(pairs)
+        links.append(cut_lineage(_verify(pairs, texts, shingle, num, den)))
+
+    all_links = lambda: reduce(DataFrame.union, links)
+    open_lists = members.withColumn("root", F.col("cls"))
+    for turn in range(STAR_ROUNDS):
+        drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "root", "cls").alias("draw"), F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("few").alias("bfew"), F.col("root").alias("broot")))
+        anchors = open_lists.groupBy("elem").agg(drawn.alias("x")).select("elem", "x.*")
+        found = open_lists.join(anchors, "elem").where((F.col("root") != F.col("broot")) & near(F.col("n"), F.col("bn"), F.col("few"), F.col("bfew")))
+        found = found.groupBy("cls", "b").agg(F.count(F.lit(1)).alias("met"))
+        # of the anchors that a set meets and could link with, the one met in most lists
+        best = _possible(found, classes, num, den).groupBy("cls").agg(F.max(F.struct("met", "b")).alias("x"))
+        verify(best.select("cls", F.col("x.b").alias("b")))
+        open_lists = still_open(all_links())
+    # what is left: pairs of different components, one of them outside the main component of a list
+    outside = F.col("root") != F.col("main")
+    one, two = open_lists.where(outside & (F.col("met") <= FEW)).alias("o"), open_lists.where(F.col("met") <= FEW).alias("t")
+    pairs = one.join(two, (F.col("o.elem") == F.col("t.elem")) & (F.col("o.root") != F.col("t.root")) & near(F.col("o.n"), F.col("t.n"), F.col("o.few"), F.col("t.few")))
+    pairs = pairs.select(F.least("o.cls", "t.cls").alias("cls"), F.greatest("o.cls", "t.cls").alias("b")).distinct()
+    nearest = cut_lineage(_nearest(open_lists.where(F.col("met") > FEW), outside, classes, num, den))
+    verify(_possible(pairs, classes, num, den).union(nearest.select("cls", "b")))
+    # sets of long lists with further candidates that are still outside: against all members of their lists
+    open_lists = still_open(all_links())
+    wide = nearest.where("more").select("cls").distinct().withColumn("wide", F.lit(True))
+    asked = open_lists.where(F.col("met") > FEW).join(wide, "cls", "left").withColumn("wide", F.coalesce("wide", F.lit(False)) & outside)
+    asked = cut_lineage(asked.join(asked.where("wide").select("elem").distinct(), "elem", "left_semi"))
+    texts = _texts_of(rows, classes, asked)
+    links.append(cut_lineage(_compare_lists(asked, F.col("wide"), texts, shingle, num, den)))
+    links = all_links()
     roots = components(links)
     placed = classes.select("cls", "least_id").join(roots.withColumnRenamed("key", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -224,7 +369,7 @@ def jaccard_components(
     out = signed.select("id", "th", "n", "cls").join(named, "cls", "left")
     return out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
-        F.hex("root").alias("set_id"), F.col("th").alias("text_key"))
+        F.col("root").alias("set_id"), F.col("th").alias("text_key"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
