@@ -23,7 +23,8 @@ from tierwork.sources.storage import cut_lineage
 
 CLASSES = 1024  # with the two below
 END, RARE = 0, 1
-HEAD_WORDS = 1 << 19  # words whose counts every task holds (8 bytes each, and 8 for the hash)
+HEAD_WORDS = 1 << 18  # most words whose counts every task holds (20 bytes each)
+STEPS = 16  # steps per doubling of a count, when the least count of these words is chosen
 WIDTH = 4096
 END_HASH = np.uint64(0x1F83D9ABFB41BD6B)
 
@@ -97,6 +98,19 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def _head(counts: DataFrame) -> DataFrame:
+    """The words counted at least so often that they are ``HEAD_WORDS`` at most: from how many words have which count, no sort."""
+    step = F.floor(F.log2("c") * STEPS)
+    per = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect()  # 64 * STEPS rows at most
+    least, held = per[0].step + 1 if per else 0, 0
+    for r in per:
+        held += r.n
+        if held > HEAD_WORDS:
+            break
+        least = r.step
+    return counts.where(step >= least)
+
+
 class _Table:
     """Classes and counts of the head words, by search in the sorted hashes."""
 
@@ -104,7 +118,7 @@ class _Table:
         order = np.argsort(hashes)
         self.hashes, self.counts = hashes[order], counts[order]
         # END is looked up apart; the most frequent other words are classes of their own
-        rank = np.argsort(-counts, kind="stable")[: CLASSES - 2]
+        rank = np.lexsort((hashes, -counts))[: CLASSES - 2]
         self.classes = np.full(len(hashes), RARE, dtype=np.int32)
         self.classes[rank] = np.arange(2, 2 + len(rank))
         self.classes = self.classes[order]
@@ -154,7 +168,7 @@ def score_documents(
     counts = cut_lineage(_word_counts(learn))
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     end = int(END_HASH.view(np.int64))
-    head = counts.where(F.col("h") != end).orderBy(F.desc("c"), "h").limit(HEAD_WORDS).toPandas()
+    head = _head(counts.where(F.col("h") != end)).toPandas()
     ends = total.n and counts.where(F.col("h") == end).first().c
     table = _Table(head["h"].to_numpy(dtype=np.int64).view(np.uint64), head["c"].to_numpy(dtype=np.int64))
     shared = spark.sparkContext.broadcast(table)
