@@ -130,6 +130,24 @@ def test_jaccard_equals_brute_force_on_small_and_large_sets(spark, num):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got.collect()} == linked(rows, 2, num, 100)
 
 
+def test_jaccard_when_another_component_becomes_the_main_one(spark, monkeypatch):
+    """Per group: x and five near copies, a and two near copies, and m, which links with x and with these; all 10 are in the same lists."""
+    from tests.llm.test_queries import linked
+
+    monkeypatch.setattr(setjoin, "FEW", 4)
+    monkeypatch.setattr(setjoin, "STAR_ROUNDS", 1)
+    texts = []
+    for g in range(12):
+        x, m, a = set(range(12)), {0, 1, 2, *range(12, 21)}, set(range(18, 30))  # words that are missing
+        gone = [x, *(x - {i % 3} | {30 + 3 * i + j for j in range(3)} for i in range(5)), a, a - {28} | {45}, a - {29} | {46}, m]
+        texts += [" ".join(f"g{g}w{i}" for i in range(100) if i not in d) for d in gone]
+        # these make the missing words frequent, so that no prefix holds them
+        texts += [" ".join([*(f"g{g}w{i}" for i in range(47)), *(f"g{g}f{f}x{i}" for i in range(100))]) for f in range(12)]
+    rows = list(enumerate(texts))
+    got = setjoin.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), shingle=1, num=80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == linked(rows, 1, 80, 100)
+
+
 def test_boundary_follows_cost():
     sizes = np.zeros(200, dtype=int)
     sizes[5] = sizes[150] = 1000

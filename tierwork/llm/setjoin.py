@@ -315,9 +315,9 @@ def jaccard_components(
         return (F.greatest(m, n) * num <= F.least(m, n) * den) & (apart <= most)
 
 
-    def still_open(links: DataFrame) -> DataFrame:
+    def still_open(roots: DataFrame) -> DataFrame:
         """Members of lists that hold several components, with their component and the most frequent one of their list."""
-        placed = members.join(components(links).withColumnRenamed("key", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        placed = members.join(roots.withColumnRenamed("key", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
         per = placed.groupBy("elem", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("size"))
         lists = per.groupBy("elem").agg(
             F.max(F.struct("c", "root", "size")).alias("x"), F.sum("c").alias("met"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
@@ -346,7 +346,7 @@ def jaccard_components(
         # of the anchors that a set meets and could link with, the one met in most lists
         best = _possible(found, classes, num, den).groupBy("cls").agg(F.max(F.struct("met", "b")).alias("x"))
         verify(best.select("cls", F.col("x.b").alias("b")))
-        open_lists = still_open(all_links())
+        open_lists = still_open(components(all_links()))
     # what is left: pairs of different components, one of them outside the main component of a list
     outside = F.col("root") != F.col("main")
     one, two = open_lists.where(outside & (F.col("met") <= FEW)).alias("o"), open_lists.where(F.col("met") <= FEW).alias("t")
@@ -354,13 +354,21 @@ def jaccard_components(
     pairs = pairs.select(F.least("o.cls", "t.cls").alias("cls"), F.greatest("o.cls", "t.cls").alias("b")).distinct()
     nearest = cut_lineage(_nearest(open_lists.where(F.col("met") > FEW), outside, classes, num, den))
     verify(_possible(pairs, classes, num, den).union(nearest.select("cls", "b")))
-    # sets of long lists with further candidates that are still outside: against all members of their lists
-    open_lists = still_open(all_links())
+    # sets of long lists with further candidates: against all members of their lists, if still outside. Where another component has become the main one,
+    # such a set may be inside it now, and its partner in what was the main component before, which asked nothing: so these ask as well
+    mains = lambda name: open_lists.where(F.col("met") > FEW).groupBy("elem").agg(F.first("main").alias(name))
+    before = cut_lineage(mains("was"))
+    roots = components(all_links())
+    open_lists = still_open(roots)
     wide = nearest.where("more").select("cls").distinct().withColumn("wide", F.lit(True))
-    asked = open_lists.where(F.col("met") > FEW).join(wide, "cls", "left").withColumn("wide", F.coalesce("wide", F.lit(False)) & outside)
-    asked = cut_lineage(asked.join(asked.where("wide").select("elem").distinct(), "elem", "left_semi"))
+    now = roots.select(F.col("key").alias("was"), F.col("root").alias("now"))
+    moved = before.join(mains("main"), "elem").join(now, "was", "left").select("elem", "main", F.coalesce("now", "was").alias("was")).where("was <> main").drop("main")
+    asked = open_lists.where(F.col("met") > FEW).join(wide, "cls", "left").join(cut_lineage(moved), "elem", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
+    asked = asked.withColumn("asks", outside & (F.col("wide") | F.coalesce(F.col("root") == F.col("was"), F.lit(False))))
+    held = asked.groupBy("elem").agg(F.max("wide").alias("wide"), F.max("asks").alias("asks")).where("wide AND asks").select("elem")
+    asked = cut_lineage(asked.join(held, "elem", "left_semi"))
     texts = _texts_of(rows, classes, asked)
-    links.append(cut_lineage(_compare_lists(asked, F.col("wide"), texts, shingle, num, den)))
+    links.append(cut_lineage(_compare_lists(asked, F.col("asks"), texts, shingle, num, den)))
     links = all_links()
     roots = components(links)
     placed = classes.select("cls", "least_id").join(roots.withColumnRenamed("key", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
