@@ -47,3 +47,19 @@ def test_rekey_late(spark):
     facts = spark.createDataFrame([(1, -1), (2, 20), (3, -1)], "code long, fk long")
     dim = spark.createDataFrame([(1, 10), (2, 99)], "code long, pk long")
     assert {r.code: r.fk for r in S.rekey_late(facts, dim, "code", "pk", "fk").collect()} == {1: 10, 2: 20, 3: -1}
+
+
+def test_upsert_plan_lands_each_part_in_parallel(spark, tmp_path, monkeypatch):
+    from tierwork.plans import QUERIES, streams
+
+    rows = [(i, i % 7, "abc"[i % 3], dt.datetime(2024, 1, 1 + i * 11 % 28)) for i in range(200)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, ts timestamp").repartition(4).write.parquet(f"{tmp_path}/in/events.parquet")
+    monkeypatch.setattr(streams, "fresh_dir", lambda spark, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task per file
+    try:
+        got = {r.user_id: r.event_id for r in QUERIES["stream_upsert"](spark, f"{tmp_path}/in").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {u: max((r[3], r[0]) for r in rows if r[1] == u)[1] for u in range(7)}
+    assert len(list((tmp_path / "stream/landing").rglob("part-*.parquet"))) == 12
+    assert sorted(r.version for r in spark.read.parquet(f"{tmp_path}/stream/state/marks").collect()) == [0, 1, 2]

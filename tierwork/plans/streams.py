@@ -8,6 +8,8 @@ from tierwork.plans.registry import Tables, plan
 from tierwork.sources.storage import fresh_dir
 from tierwork.streaming import increments as S
 
+ALL_FILES = 2**31 - 1  # a batch takes all files that have arrived
+
 
 @plan("stream_increment", "SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error'")
 def stream_increment(t: Tables):
@@ -24,9 +26,9 @@ def stream_upsert(t: Tables):
     """Three batches, each with rows of the whole time span, so that later ones bring late rows."""
     base = fresh_dir(t.spark, "stream")
     for part in range(3):
-        t.events.where(F.col("event_id") % 3 == 2 - part).coalesce(1).write.mode("append").parquet(f"{base}/landing")
-    events = S.file_stream(t.spark, f"{base}/landing", "part-", t.events.schema, files_per_batch=1)
-    S.upsert_batches(events, f"{base}/state", f"{base}/offsets", ["user_id"], ["ts", "event_id"])
+        t.events.where(F.col("event_id") % 3 == 2 - part).write.parquet(f"{base}/landing/{part}")
+        events = S.file_stream(t.spark, f"{base}/landing", "part-", t.events.schema, files_per_batch=ALL_FILES)
+        S.upsert_batches(events, f"{base}/state", f"{base}/offsets", ["user_id"], ["ts", "event_id"])
     return S.current_state(t.spark, f"{base}/state").select("user_id", "event_id", "event_type")
 
 
