@@ -353,3 +353,13 @@ def test_mix_of_odd_rows(docs, none, spark):
     got = mixing.mix(even).groupBy("source").agg(F.first("target").alias("t"), F.sum(F.col("copies") * F.col("size")).alias("n")).collect()
     assert all(abs(r.t - r.n) <= 27 for r in got)
     assert mixing.repeat_documents(even).count() == mixing.mix(even).agg(F.sum("copies")).first()[0]
+
+
+def test_repeats_follow_the_plan_where_rows_share_an_id(spark):
+    rows = [(None, f"a b c d {s}{0 if s == 'z' else i}", s, i) for s in "xyz" for i in range(40)]  # 40 texts, in z one
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _no int")
+    planned = {r.source: (r.t, r.n) for r in mixing.mix(df).groupBy("source").agg(F.first("target").alias("t"), F.sum(F.col("copies") * F.col("size")).alias("n")).collect()}
+    out = mixing.repeat_documents(df)
+    got = {r.source: 5 * r["count"] for r in out.groupBy("source").count().collect()}
+    assert got == {s: n for s, (_, n) in planned.items()} and all(abs(t - got[s]) <= 2.5 for s, (t, _) in planned.items())
+    assert out.columns == df.columns and out.where("source = 'y'").distinct().count() == 40

@@ -62,11 +62,19 @@ def mix(
     ``PIECE_ROWS`` rows, so that a source with a third of all rows is no single group.
 
     Null text has size 0. Null source is a source, last in order. Repeated rows are separate rows; rows with equal id draw the
-    same place and are ordered by size. Null ids are one id. An empty table gives no rows. Other columns are ignored.
+    same place and are ordered by size, then by hash of their text. Null ids are one id. An empty table gives no rows. Other columns are ignored.
     """
+    return _planned(docs, id_col, text_col, source_col, weights, share, max_epochs, seed).select(
+        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies")
+
+
+def _planned(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, max_epochs: float = 2.0, seed: int = 17,
+) -> DataFrame:
+    """(id, source, th, size, source_size, target, copies) per row, as :func:`mix` says; th: hash of the text."""
     draw = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     rows = cut_lineage(docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.xxhash64(text_col).alias("th"),
         F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.conv(F.substring(draw, 1, 15), 16, 10).cast("long").alias("place")))
     targets = cut_lineage(source_targets(rows, weights, share, max_epochs))
@@ -76,7 +84,7 @@ def mix(
     pieces = full.groupBy("source", "piece").agg(F.sum("size").alias("piece_size"))
     along = Window.partitionBy("source").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("pieces_before", F.coalesce(F.sum("piece_size").over(along), F.lit(0))).drop("piece_size")
-    within = Window.partitionBy("source", "piece").orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "piece").orderBy("place", "id", "size", "th").rowsBetween(Window.unboundedPreceding, -1)
     summed = full.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
     placed = summed.alias("f").join(
         pieces.alias("p"), F.col("f.source").eqNullSafe(F.col("p.source")) & (F.col("f.piece") == F.col("p.piece"))
@@ -85,17 +93,32 @@ def mix(
     rest = F.col("target") - whole * F.col("source_size")
     more = (F.col("size") > 0) & (2 * F.col("words_before") + F.col("size") <= 2 * rest)
     return placed.select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
-        (whole + more.cast("int")).cast("int").alias("copies"))
+        "id", "source", "th", "size", "source_size", "target", (whole + more.cast("int")).cast("int").alias("copies"))
 
 
 def repeat_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The mix itself: rows of ``docs`` with their columns, each as often as :func:`mix` takes it.
 
-    Rows are met again by id and source; rows that share both (also null ones) are taken as often as the first of them says.
+    Rows are met again by id, source and hash of the text. Rows that share all three take together as many copies as :func:`mix` plans for them: where
+    it plans one more for some of them only (one group of a source at most), they are numbered, and the first ones take it.
     """
-    copies, i, s = own_name(docs, "_copies"), own_name(docs, "_id"), own_name(docs, "_source")
-    plan = mix(docs, id_col, text_col, source_col, **how).groupBy(F.col(id_col).alias(i), F.col(source_col).alias(s)).agg(
-        F.max("copies").alias(copies))
-    met = docs.join(plan, F.col(id_col).eqNullSafe(F.col(i)) & F.col(source_col).eqNullSafe(F.col(s))).where(F.col(copies) > 0)
-    return met.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    i, s, th, least, more, no = (own_name(docs, x) for x in ("_id", "_source", "_th", "_least", "_more", "_no"))
+    plan = _planned(docs, id_col, text_col, source_col, **how).groupBy(F.col("id").alias(i), F.col("source").alias(s), F.col("th").alias(th)).agg(
+        F.min("copies").alias(least), (F.sum("copies") - F.count(F.lit(1)) * F.min("copies")).alias(more))
+    plan = cut_lineage(plan.where((F.col(least) > 0) | (F.col(more) > 0)))
+    columns = [F.col(f"d.`{c}`") for c in docs.columns]
+
+    def met(part: DataFrame) -> DataFrame:
+        on = F.col(f"d.`{id_col}`").eqNullSafe(F.col(f"p.{i}")) & F.col(f"d.`{source_col}`").eqNullSafe(F.col(f"p.{s}")) & (F.xxhash64(f"d.`{text_col}`") == F.col(f"p.{th}"))
+        return docs.alias("d").join(part.alias("p"), on)
+
+    out = met(plan.where(F.col(more) == 0)).select(*columns, F.col(f"p.{least}").alias(least))
+    split = plan.where(F.col(more) > 0)
+    if not split.isEmpty():
+        group, row = own_name(docs, "_group"), own_name(docs, "_row")
+        some = met(split.withColumn(group, F.xxhash64(i, s, th))).select(*columns, least, more, group, F.monotonically_increasing_id().alias(row))
+        some = numbered(cut_lineage(some), F.struct(group, row), no)
+        first = some.groupBy(F.col(group).alias(i)).agg(F.min(no).alias(s))
+        some = some.join(first, F.col(group) == F.col(i))
+        out = out.union(some.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(least) + (F.col(no) - F.col(s) < F.col(more)).cast("int")))
+    return out.where(F.col(least) > 0).withColumn(least, F.explode(F.sequence(F.lit(1), F.col(least)))).select(*[F.col(f"`{c}`") for c in docs.columns])
