@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwork.llm import bpe, langid, lines, mixing, neardup, neural_lm, secrets, setjoin, topk, urls
+from tierwork.llm import align, bpe, fim, langid, lines, mixing, neardup, neural_lm, perfect_hash, secrets, setjoin, topk, urls
+from tierwork.llm.frames import crc_rest
 from tierwork.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +165,42 @@ def op4_near_vectors(spark: SparkSession, root: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     cleaned = lines.drop_boilerplate(table(spark, root, "documents"), dropped_col="n_dropped")
     return cleaned.select("doc_id", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("op11_fill_in_middle", """
+    WITH h AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents),
+    d AS (SELECT doc_id, text, n, CAST('0x' || hex[1:8] AS BIGINT) % (n + 1) AS x, CAST('0x' || hex[9:16] AS BIGINT) % (n + 1) AS y,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || hex[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+                      WHEN CAST('0x' || hex[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+    c AS (SELECT *, least(x, y) AS a, abs(x - y) AS m FROM d)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN m END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text
+                            WHEN 'psm' THEN '<P>' || substr(text, 1, a) || '<S>' || substr(text, a + m + 1) || '<M>' || substr(text, a + 1, m)
+                            ELSE '<S>' || substr(text, a + m + 1) || '<P>' || substr(text, 1, a) || '<M>' || substr(text, a + 1, m) END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM c
+""")
+def op11_fill_in_middle(spark: SparkSession, root: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, root, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query("op12_exact_dedup", """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+    SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+           row_number() OVER (PARTITION BY text ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(text) AS text_sha256
+    FROM d WINDOW g AS (PARTITION BY text)
+""")
+def op12_exact_dedup(spark: SparkSession, root: str) -> DataFrame:
+    # every row takes part: those of even checksum stand for the history, the others for a new load
+    told = perfect_hash.exact_dedup(table(spark, root, "documents"), historical=crc_rest("doc_id", 2) == 0)
+    return told.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, root: str) -> DataFrame:
+    import public_tokenizers
+
+    return align.alignment_counts(table(spark, root, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
