@@ -211,16 +211,23 @@ def test_groups_of_a_text(spark):
         assert b"".join(a_bytes[i] for i in r.ids_a[lo:hi]) == b"".join(b_bytes[i] for i in r.ids_b[lo_b:hi_b])
 
 
-def test_long_texts_are_tokenized_in_parts_with_the_same_tokens(monkeypatch):
+def test_texts_are_tokenized_piece_by_piece_with_the_same_tokens(monkeypatch):
     r = random.Random(2)
     with open(A, "rb") as f, open(B, "rb") as g:
         aligner = align.Aligner(f.read(), g.read())
-    texts = ["".join(r.choice(["some words ", "it's ", "x y", "  ", "\n\n", "1 2", "Ärger ", "a b c d "]) for _ in range(400)) for _ in range(20)] + ["y" * 5000, "é " * 3000]
-    whole, at = aligner.encode(texts)
-    monkeypatch.setattr(align, "PART", 100)
-    assert len(aligner.parts(texts[0])) > 10 and aligner.parts(texts[-1]) == [texts[-1]]
-    parts, at_parts = aligner.encode(texts)
-    assert all((x == y).all() for x, y in zip([*whole, *at], [*parts, *at_parts]))
+    bits = ["some words ", "it's ", "x y", "  ", "\n\n", "1 2", "Ärger ", "a b c d ", " 's", " ...", "\x1c ", " \x85", "\u3000", "<s> ", "日本 語"]
+    texts = ["".join(r.choice(bits) for _ in range(400)) for _ in range(20)] + ["y" * 5000, "é " * 3000, "a ▁ b", "", *filter(None, ODD)]
+    pieces = aligner.encode(texts)
+    assert aligner.cuts and len(aligner.known) > 100
+    monkeypatch.setattr(align, "MOST_PIECES", 3)  # forgets all before every slice
+    for t in texts:
+        aligner.encode([t])
+    again = aligner.encode(texts)
+    aligner.cuts = False
+    aligner._forget()
+    whole = aligner.encode(texts)
+    for got in (pieces, again):
+        assert all((x == y).all() for x, y in zip([*whole[0], *whole[1]], [*got[0], *got[1]]))
 
 
 def test_galloping_finds_what_sorting_finds():

@@ -12,6 +12,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +22,12 @@ from pyspark.sql import functions as F
 from tierwork.llm.frames import stored
 from tierwork.llm.words import row_pieces, text_buffers
 
-PART = 1 << 16  # bytes of a text that are tokenized at once, where it has a place to cut
+MOST_PIECES, MOST_IDS = 1 << 18, 1 << 23  # pieces of text and tokens of them kept in a worker; beyond that all are forgotten, results do not change
+JOINED = 1 << 15  # characters of new pieces that are tokenized at once
 SLICE = 1 << 19  # bytes of texts whose tokens are held at once, or one text
 HEAD = 1 << 18  # id pairs whose counts every task gets; all others are met by a join
 STRIDES = (4096, 64, 1)
-_CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 _BLANK = "▁"
 
 
@@ -135,49 +137,95 @@ class Pieces:
 
 
 class Aligner:
-    """Both tokenizers with the length in bytes of each token."""
+    """Both tokenizers with the length in bytes of each token, and the tokens of the pieces of text met so far.
+
+    A text is cut at every single blank between two other characters. No token of either side reaches over such a blank (checked on the
+    vocabularies), and both put a blank before what they get; so the tokens of a text are those of its pieces, one after the other.
+    """
 
     def __init__(self, raw_a: bytes, raw_b: bytes):
         self.sides = (ByteLevel(raw_a), Pieces(raw_b))
         self.lengths = [np.array([len(x) for x in s.bytes_of], dtype=np.int64) for s in self.sides]
-        # a token with a blank behind a letter would be lost by a cut there
-        self.cuts = not any(re.search(rb"[A-Za-z] ", x) for s in self.sides for x in s.bytes_of)
-
-    def parts(self, text: str) -> list[str]:
-        """The text in parts of at least PART characters, cut between words; the blank at a cut is the one put before the next part.
-
-        No token reaches over a blank between two letters, so the tokens of the parts are those of the text.
-        """
-        if len(text) < 2 * PART or not self.cuts:
-            return [text]
-        out, at = [], 0
-        while len(text) - at >= 2 * PART:
-            cut = _CUT.search(text, at + PART)
-            if cut is None:
-                break
-            out.append(text[at:cut.start()])
-            at = cut.end()
-        return [*out, text[at:]]
+        # a token with a blank behind another character would be lost by a cut there
+        self.cuts = not any(re.search(r"\S ", x.decode("utf-8", "replace")) for s in self.sides for x in s.bytes_of)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.n = [0, 0]
+        self.ids = [[np.zeros(0, dtype=np.int32)] for _ in self.sides]
+        self.at = [[np.zeros(1, dtype=np.int64)] for _ in self.sides]
+        self.exact = [np.zeros(0, dtype=bool)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Tokens of new pieces. Those without white space at their ends are tokenized many at once, as a text that is cut between them."""
+        joined, single = [], []
+        for p in pieces:
+            (single if p[0].isspace() or p[-1].isspace() else joined).append(p)
+        batches, at, size = [], 0, 0
+        for i, p in enumerate(joined):
+            size += len(p)
+            if size >= JOINED:
+                batches.append(joined[at: i + 1])
+                at, size = i + 1, 0
+        for batch in [*batches, joined[at:], *([p] for p in single)]:
+            if batch:
+                self._add(batch)
+
+    def _add(self, batch: list[str]) -> None:
+        raw = b" " + " ".join(batch).encode()
+        ends = np.cumsum([len(p.encode()) + 1 for p in batch])
+        found, exact = [], True
+        for model, lengths in zip(self.sides, self.lengths):
+            ids = model.encode([" ".join(batch)])[0]
+            exact &= b"".join(map(model.bytes_of.__getitem__, ids)) == raw
+            ids = np.array(ids, dtype=np.int32)
+            found.append((ids, np.searchsorted(np.cumsum(lengths[ids]), ends) + 1 if len(batch) > 1 else np.array([len(ids)])))
+        if not exact and len(batch) > 1:
+            for half in (batch[: len(batch) // 2], batch[len(batch) // 2:]):
+                self._add(half)
+            return
+        for side, (ids, places) in enumerate(found):
+            self.at[side].append(self.n[side] + places)
+            self.ids[side].append(ids)
+            self.n[side] += len(ids)
+        self.exact.append(np.full(len(batch), exact))
+        self.known.update(zip(batch, range(len(self.known), len(self.known) + len(batch))))
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both sides, and the first place of each text and the end; texts whose tokens do not give back their bytes have none."""
-        parts = [self.parts(t) if t else [] for t in texts]
-        flat = [p for ps in parts for p in ps]
-        ids = [s.encode(flat) if flat else [] for s in self.sides]
-        joined: tuple[list, list] = ([], [])
-        at = 0
-        for text, ps in zip(texts, parts):
-            whole = (" " + text).encode() if text else b""
-            both = []
-            for side, found in zip(self.sides, ids):
-                mine = found[at] if len(ps) == 1 else [i for x in found[at: at + len(ps)] for i in x]
-                if b"".join(map(side.bytes_of.__getitem__, mine)) == whole:
-                    both.append(mine)
-            at += len(ps)
-            for out, mine in zip(joined, both if len(both) == 2 else ([], [])):
-                out.append(np.array(mine, dtype=np.int64))
-        empty = np.zeros(0, dtype=np.int64)
-        return [np.concatenate([empty, *j]) for j in joined], [np.cumsum([0, *map(len, j)]) for j in joined]
+        if len(self.known) > MOST_PIECES or max(self.n) > MOST_IDS:
+            self._forget()
+        pieces = [(_CUT.split(t) if self.cuts else [t]) if t else [] for t in texts]
+        flat = list(chain.from_iterable(pieces))
+        new = set(flat).difference(self.known)
+        if new:
+            self._learn(list(new))
+            for held in (*self.ids, *self.at, self.exact):
+                held[:] = [np.concatenate(held)]
+        met = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
+        piece_at = np.cumsum([0, *map(len, pieces)])
+        doubtful = np.unique(np.searchsorted(piece_at, np.flatnonzero(~self.exact[0][met]), side="right") - 1).tolist()
+        empty = [d for d in doubtful if not self._gives_back(texts[d], met[piece_at[d]:piece_at[d + 1]])]
+        if empty:
+            stays = np.ones(len(texts), dtype=bool)
+            stays[empty] = False
+            per = np.diff(piece_at)
+            met = met[np.repeat(stays, per)]
+            piece_at = np.append(0, np.cumsum(np.where(stays, per, 0)))
+        ids, at = [], []
+        for (all_ids,), (starts,) in zip(self.ids, self.at):
+            n = starts[met + 1] - starts[met]
+            ends = np.append(0, np.cumsum(n))
+            ids.append(all_ids[np.repeat(starts[met] - ends[:-1], n) + np.arange(ends[-1])].astype(np.int64))
+            at.append(ends[piece_at])
+        return ids, at
+
+    def _gives_back(self, text: str, met: np.ndarray) -> bool:
+        """Whether the tokens of both sides are the text, byte for byte, also where those of a piece are not."""
+        whole = b" " + text.encode()
+        return all(
+            b"".join(model.bytes_of[i] for m in met for i in ids[at[m]:at[m + 1]]) == whole for model, (ids,), (at,) in zip(self.sides, self.ids, self.at))
 
     def align(self, texts: list[str]):
         """(ids a, ids b, first place of each text in a and in b, places of common ends in a and in b)."""
@@ -280,7 +328,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_i
     text are plain text. Group g holds the tokens ends[g - 1] to ends[g] of either side: the tokens that overlap are ranges of ranks.
 
     Null and empty texts, and texts that either side's tokens do not give back byte for byte, have empty lists. Rows are independent: repeated rows and
-    ids are repeated in the result, an empty table gives none, other columns are ignored. Long texts are tokenized in parts. The two files are
+    ids are repeated in the result, an empty table gives none, other columns are ignored. Texts are tokenized piece by piece, in slices. The two files are
     read once, by the driver.
     """
     made = "ids_a array<int>, ids_b array<int>, ends_a array<int>, ends_b array<int>"
