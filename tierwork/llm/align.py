@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 from tierwork.llm.frames import stored
 from tierwork.llm.words import row_pieces, text_buffers
 
-MOST_PIECES, MOST_IDS = 1 << 18, 1 << 23  # pieces of text and tokens of them kept in a worker; beyond that all are forgotten, results do not change
+MOST_PIECES, MOST_IDS = 200_000, 1 << 22  # pieces of text and tokens of them kept in a worker; beyond that all are forgotten, results do not change
 JOINED = 1 << 15  # characters of new pieces that are tokenized at once
 SLICE = 1 << 19  # bytes of texts whose tokens are held at once, or one text
 HEAD = 1 << 18  # id pairs whose counts every task gets; all others are met by a join
+LINKS = 1 << 17  # links whose counts are looked up at once, or those of one text
 STRIDES = (4096, 64, 1)
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _BLANK = "▁"
@@ -234,18 +235,6 @@ class Aligner:
         return *ids, *at, *common_ends(*ends, *at)
 
 
-_aligner: dict[bytes, Aligner] = {}
-
-
-def _loaded(raw_a: bytes, raw_b: bytes) -> Aligner:
-    """One aligner per worker process and pair of vocabularies."""
-    key = hashlib.sha256(raw_a).digest() + hashlib.sha256(raw_b).digest()
-    if key not in _aligner:
-        _aligner.clear()
-        _aligner[key] = Aligner(raw_a, raw_b)
-    return _aligner[key]
-
-
 def _lists(values: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int32()))
 
@@ -313,7 +302,7 @@ def _tokenized(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col:
     shared = docs.sparkSession.sparkContext.broadcast(tuple(raw))  # the size of the vocabulary files
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _loaded(*shared.value)
+        aligner = Aligner(*shared.value)  # for this task only: workers live on, and later stages need the room
         found = _aligned(aligner, batches)
         return then(max(map(len, aligner.lengths)), found) if then else found
 
@@ -373,7 +362,7 @@ def alignment_counts(docs: DataFrame, path_a: str, path_b: str, id_col: str = "d
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n, most = shared.value
-        for b in batches:
+        for b in (b.slice(lo, hi - lo) for b in batches for lo, hi in row_pieces(_flat(b.column(1))[1], LINKS)):
             links, at = _flat(b.column(1))
             place = np.searchsorted(pair, links)
             known = place < len(pair)
