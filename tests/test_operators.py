@@ -297,10 +297,9 @@ def _distance(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize(("pct", "common"), [(40, 500), (60, 500), (60, 2), (75, 0), (75, 3), (80, 1), (80, 4), (90, 2), (100, 500)])
-def test_similar_texts_equal_brute_force(spark, pct, common):
-    rng = random.Random(pct * 31 + common)
-    base = [rng.choice(["", "ac-"]) + "".join(rng.choice("abc") for _ in range(rng.randint(1, 14))) for _ in range(60)]
+def _noisy_texts(seed, letters="abc", most=14):
+    rng = random.Random(seed)
+    base = [rng.choice(["", "ac-"]) + "".join(rng.choice(letters) for _ in range(rng.randint(1, most))) for _ in range(60)]
 
     def noisy(s):
         out = list(s)
@@ -309,14 +308,30 @@ def test_similar_texts_equal_brute_force(spark, pct, common):
             out[at:at + rng.randint(0, 1)] = rng.choice(["", "a", "x"])
         return "".join(out)
 
-    left = sorted({noisy(s) for s in base} | set(base))
-    right = sorted({noisy(s) for s in base})
-    got = matching.similar_texts(
-        spark.createDataFrame([("k", s) for s in left], "control string, a string"),
-        spark.createDataFrame([("k", s) for s in right], "control string, b string"), pct, common)
-    want = {(a, b) for a, b in itertools.product(left, right)
-            if a and b and (max(len(a), len(b)) - _distance(a, b)) * 100 >= pct * max(len(a), len(b))}
-    assert {(r.a, r.b) for r in got.collect()} == want
+    return sorted({noisy(s) for s in base} | set(base)), sorted({noisy(s) for s in base})
+
+
+@pytest.mark.parametrize(("pct", "letters", "most"), [(40, "abc", 14), (60, "abc", 14), (75, "ab", 14), (80, "abc", 30), (90, "abcdefgh", 60), (100, "abc", 14)])
+def test_similar_texts_equal_brute_force(spark, pct, letters, most):
+    left, right = _noisy_texts(pct * 31, letters, most)
+    a = spark.createDataFrame([("k", s) for s in left], "control string, a string")
+    b = spark.createDataFrame([("k", s) for s in right], "control string, b string")
+    far = {(x, y): (_distance(x, y), max(len(x), len(y))) for x, y in itertools.product(left, right) if x and y}
+    want = {p: d / n for p, (d, n) in far.items() if (n - d) * 100 >= pct * n}
+    assert {(r.a, r.b) for r in matching.similar_texts(a, b, pct).collect()} == set(want)
+    best = {}
+    for (x, y), share in sorted(want.items(), key=lambda kv: (kv[1], kv[0][1])):
+        best.setdefault(x, y)
+    got = matching.closest_texts(a.withColumn("pct", F.lit(pct)), b.withColumn("pct", F.lit(pct))).collect()
+    assert {r.a: r.b for r in got} == best and all(r.similarity == pytest.approx(1 - want[r.a, r.b]) for r in got)
+
+
+def test_closest_texts_keep_controls_apart_and_their_thresholds(spark):
+    a = spark.createDataFrame([("x", "abcdefghij", 90), ("y", "abcdefghij", 50), ("z", "abc", 50), ("x", "", 90), (None, "abc", 50)], "control string, a string, pct int")
+    b = spark.createDataFrame([("x", "abcdefgh", 90), ("y", "abcdefgh", 50), ("y", "bcdefghi", 50), ("w", "abc", 50), ("y", "", 50)], "control string, b string, pct int")
+    got = matching.closest_texts(a, b).collect()
+    assert [(r.control, r.b, round(r.similarity, 2)) for r in got] == [("y", "abcdefgh", 0.8)]
+    assert matching.closest_texts(a.limit(0), b).count() == 0 and matching.closest_texts(a, b.limit(0)).count() == 0
 
 
 def test_cascade_order_codes_and_provenance(spark):

@@ -1,14 +1,17 @@
 """Exact and edit-distance matching of facts to a lookup, in ordered passes.
 
 All passes read the same fact columns, so a pass's answer for a (control, match) pair does not depend on the passes
-before it. Each pass is therefore solved once per distinct pair, the answers are joined back, and the first pass with an
-answer wins: the result equals running the passes one after the other on what is still unmatched, in one linear plan.
+before it. All passes are therefore solved once per distinct pair, fuzzy ones together with the pass as a part of the control; the
+answers are joined back, and the first pass with an answer wins: the result equals running the passes one after the other on
+what is still unmatched, in one linear plan.
 
 The fuzzy join is exact and does not compare all pairs of a control group. With similarity >= t, a lookup text of
-length n tolerates k = floor((1 - t) * floor(n / t)) edits; cut it into k + 1 segments and every matching text must
-contain one of them near its place (pigeonhole, "Pass-Join", Li et al. 2011). Segments and substrings meet in an
-equi-join; the edit distance is computed only for those pairs. Segments that very many lookup texts share (a common
-prefix) are replaced by cutting the text into more pieces, so they do not pair everything with everything. Thresholds are
+length n tolerates k = floor((1 - t) * floor(n / t)) edits. k edits cannot touch all of k + 1 disjoint pieces of it, so every partner contains one
+of them near its place. Any k + 1 disjoint pieces will do: a text is indexed by those that fewest facts contain (the least level of
+frequency at which k + 1 disjoint pieces exist). Pieces and substrings meet in an equi-join; the edit distance is computed only for those pairs.
+
+Where only the best partner is wanted the search goes outwards: first few edits are allowed (few, long, rare pieces), then more. A text that
+has found a partner looks on only as far as a better one could be, so most texts leave after the first rounds. Thresholds are
 whole percents, so that no boundary case depends on floating point.
 """
 
@@ -24,7 +27,7 @@ from tierwork.operators.ordered import keep_first
 from tierwork.sources.storage import cut_lineage
 
 NAN = "nan"
-MOST_EXTRA = 4
+PIECE_SIZES = (1, 2, 3, 5)
 
 
 @dataclass(frozen=True)
@@ -39,87 +42,139 @@ class MatchPass:
     keep_missing: bool = False
 
 
-def _edits(n: Column, pct: int) -> Column:
+def _edits(n: Column, pct: Column) -> Column:
     """Most edits a text of length n can be away from a partner at this similarity."""
-    return F.floor(F.lit(100 - pct) * F.floor(n * 100 / pct) / 100).cast("int")
+    return F.floor((100 - pct) * F.floor(n * 100 / pct) / 100).cast("int")
+
 
+def _piece_size(n: Column, k: Column) -> Column:
+    """Characters of a piece: the greatest size of which k + 1 pieces fit into n characters."""
+    size = F.lit(PIECE_SIZES[0])
+    for x in PIECE_SIZES[1:]:
+        size = F.when(x * (k + 1) <= n, x).otherwise(size)
+    return size
 
-def _segment_start(n: Column, parts: Column, i: Column) -> Column:
-    base, extra = F.floor(n / parts), n % parts
-    return (i * base + F.greatest(F.lit(0), i - (parts - extra))).cast("int")
 
+def _grams(text: str, size: str, at: str, piece: str) -> list[Column]:
+    """All substrings of a size with their places."""
+    places = F.explode(F.sequence(F.lit(0), F.length(text) - F.col(size)))
+    return [places.alias(at), F.substr(F.col(text), F.col(at) + 1, F.col(size)).alias(piece)]
 
-def _segment_length(n: Column, parts: Column, i: Column) -> Column:
-    return (F.floor(n / parts) + (i >= parts - n % parts).cast("int")).cast("int")
 
+def _taken(places: Column, level: Column, size: Column, out: Column, add) -> Column:
+    """Disjoint pieces of at most a level from left to right, gathered into ``out`` by ``add``."""
+    fits = lambda acc, x: (x["level"] <= level) & (x["at"] >= acc["free"])
+    begin = F.struct(F.lit(0).alias("free"), out.alias("out"))
+    return F.aggregate(places, begin, lambda acc, x: F.when(
+        fits(acc, x), F.struct((x["at"] + size).alias("free"), add(acc["out"], x["at"]).alias("out"))).otherwise(acc))["out"]
 
-def _lookup_segments(lookup: DataFrame, pct: int, common: int) -> DataFrame:
-    """The pieces each lookup text is found by: control, b, n, k, h, i, piece (h = pieces beyond k + 1).
 
-    Of k + 1 + h pieces at least h + 1 survive k edits, so up to h common pieces can be left out. Every text takes the
-    smallest h that covers its common pieces; a text for which no h does keeps all pieces of h = 0.
+def _facing(texts: DataFrame, lookup: DataFrame) -> DataFrame:
+    """(control, a, b, most): pairs among which are all of at most ``most`` edits, the smaller bound of both texts.
+
+    Inputs: (control, a, most), (control, b, k), distinct and not empty.
     """
-    n, k, h, i = (F.col(c) for c in "nkhi")
-    parts = k + 1 + h
-    text = ["control", "b"]
-    pieces = cut_lineage(
-        lookup.withColumn("n", F.length("b")).withColumn("k", _edits(n, pct))
-        .withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(MOST_EXTRA)))).where((h == 0) | (parts <= n))
-        .withColumn("i", F.explode(F.sequence(F.lit(0), k + h)))
-        .select(*text, "n", "k", "h", "i", F.substr(
-            "b", _segment_start(n, parts, i) + 1, _segment_length(n, parts, i)).alias("piece"))
-    )
-    place = ["control", "n", "h", "i", "piece"]
-    shared = pieces.groupBy(*place).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > common)
-    flagged = pieces.join(shared.select(*place, F.lit(1).alias("is_common")), place, "left")
-    fits = flagged.groupBy(*text, "h").agg(F.count("is_common").alias("c")).where(F.col("c") <= h)
-    level = fits.groupBy(*text).agg(F.min("h").alias("level"))
-    return flagged.join(level, text, "left").where(
-        (F.col("level").isNull() & (h == 0)) | ((h == F.col("level")) & F.col("is_common").isNull())
-    ).select(*text, "n", "k", "h", "i", "piece")
+    sized = lookup.withColumn("n", F.length("b")).withColumn("size", _piece_size(F.col("n"), F.col("k")))
+    used = sized.select("control", "size").distinct()
+    spread = texts.join(used, "control").where(F.length("a") >= F.col("size"))
+    at, piece = _grams("a", "size", "at", "piece")
+    faced = spread.select("control", "a", "most", "size", at).withColumn("piece", piece)
+    seen = faced.groupBy("control", "piece").agg((F.floor(F.log2(F.count(F.lit(1)))) + 1).cast("int").alias("level"))
+
+    at, piece = _grams("b", "size", "at", "piece")
+    places = sized.select("control", "b", "n", "k", "size", at).withColumn("piece", piece).join(seen, ["control", "piece"], "left").groupBy(
+        "control", "b", "n", "k", "size").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("level", F.lit(0)).alias("level")))).alias("places"))
+    size, all_ = F.col("size"), F.col("places")
+    needed = F.least(F.col("k") + 1, "n")  # partners share a character at least, so all single characters are enough
+    levels = F.array_sort(F.array_distinct(F.transform(all_, lambda x: x["level"])))
+    enough = F.filter(levels, lambda f: _taken(all_, f, size, F.lit(0), lambda n, _: n + 1) >= needed)[0]
+    index = places.withColumn("level", enough).withColumn(
+        "start", F.explode(_taken(all_, F.col("level"), size, F.array().cast("array<int>"), F.array_append))).select(
+        "control", "b", "n", "k", "start", F.substr("b", F.col("start") + 1, size).alias("piece"))
+
+    off, longer = F.col("at") - F.col("start"), F.length("a") - F.col("n")
+    most = F.least("most", "k")
+    near = F.abs(off) + F.abs(longer - off) <= most  # the edits before the piece and behind it
+    return faced.join(index, ["control", "piece"]).where(near).select("control", "a", "b", most.alias("most")).distinct()
+
+
+def _scored(facing: DataFrame) -> DataFrame:
+    """Pairs within their bound: d and longest added."""
+    d = F.levenshtein("a", "b").alias("d")
+    return facing.select("control", "a", "b", "most", d, F.greatest(F.length("a"), F.length("b")).alias("longest")).where("d <= most").drop("most")
+
+
+def _enough(pct: Column | int) -> Column:
+    return (F.col("longest") - F.col("d")) * 100 >= F.col("longest") * pct
+
+
+def similar_texts(pairs: DataFrame, lookup: DataFrame, pct: int) -> DataFrame:
+    """All (control, a, b, similarity) with equal control and similarity >= pct/100. Inputs: (control, a), (control, b)."""
+    if not 0 < pct <= 100:
+        raise ValueError("threshold must be in 1..100 percent")
+    texts = pairs.where(F.length("a") > 0).select("control", "a", _edits(F.length("a"), F.lit(pct)).alias("most")).distinct()
+    rows = lookup.where(F.length("b") > 0).select("control", "b", _edits(F.length("b"), F.lit(pct)).alias("k")).distinct()
+    return _scored(_facing(texts, rows)).where(_enough(pct)).select(
+        "control", "a", "b", (1.0 - F.col("d") / F.col("longest").cast("double")).alias("similarity"))
 
 
-def _fact_substrings(pairs: DataFrame, index: DataFrame, pct: int) -> DataFrame:
-    """(control, a) -> every substring that can face a piece of an admissible partner.
+def closest_texts(pairs: DataFrame, lookup: DataFrame) -> DataFrame:
+    """(control, a, b, similarity): for each a the most similar b of its control, the least of equally similar ones.
 
-    A piece that survives lies s places off, with |s| + |length difference - s| <= k: the edits before and after it. Only
-    (length, h) that the index has under the control are tried.
+    Inputs: (control, a, pct), (control, b, pct): ``pct`` is the least similarity in percent and a function of the control. Texts without such a partner give no
+    row. Equal texts go first; then rounds of up to 1, 4, 13, 40 ... edits. With a partner at d edits of L characters a text of m characters looks on for
+    partners of up to d * m / (L - d) edits: none beyond is more similar, or as similar. A round is checkpointed.
     """
-    m, n, h, i, k = (F.col(c) for c in "mnhik")
-    parts = k + 1 + h
-    start, size = _segment_start(n, parts, i), _segment_length(n, parts, i)
-    lo = F.greatest(F.lit(0), start - F.floor((k - (m - n)) / 2))
-    hi = F.least(m - size, start + F.floor((k + (m - n)) / 2))
-    return (
-        pairs.withColumn("m", F.length("a"))
-        .withColumn("n", F.explode(F.sequence(
-            F.ceil(m * pct / 100).cast("int"), F.floor(m * 100 / pct).cast("int"))))
-        .join(index.select("control", "n", "k", "h").distinct(), ["control", "n"])
-        .where(F.abs(m - n) <= k)
-        .withColumn("i", F.explode(F.sequence(F.lit(0), k + h)))
-        .withColumn("size", size).withColumn("lo", lo.cast("int")).withColumn("hi", hi.cast("int"))
-        .where("lo <= hi")
-        .withColumn("at", F.explode(F.sequence(F.col("lo"), F.col("hi"))))
-        .select("control", "a", "n", "h", "i", F.substr("a", F.col("at") + 1, F.col("size")).alias("piece")).distinct()
-    )
+    bound = lambda c: _edits(F.length(c), F.col("pct"))
+    texts = pairs.where(F.length("a") > 0).select("control", "a", "pct", bound("a").alias("most")).distinct()
+    rows = cut_lineage(lookup.where(F.length("b") > 0).select("control", "b", bound("b").alias("k")).distinct())
+    exact = texts.join(rows.select("control", F.col("b").alias("a")), ["control", "a"], "left_semi")
+    best = exact.select("control", "a", F.col("a").alias("b"), F.lit(0).alias("d"), F.length("a").alias("longest"))
+    open_ = cut_lineage(texts.join(exact, ["control", "a"], "left_anti").join(rows.select("control").distinct(), "control", "left_semi").where("most > 0"))
+    found, edits, done = None, 1, 0
+    while (widest := open_.agg(F.max("most")).first()[0] or 0) > done:
+        level = F.lit(edits)
+        facing = _facing(
+            open_.where(F.col("most") > done).select("control", "a", F.least("most", level).alias("most")),
+            rows.where(F.col("k") > done).select("control", "b", F.least("k", level).alias("k")))
+        near = _scored(facing).join(open_.select("control", "a", "pct"), ["control", "a"]).where(_enough(F.col("pct"))).drop("pct")
+        found = near if found is None else found.unionByName(near)
+        found = cut_lineage(keep_first(found, ["control", "a"], [F.col("d") / F.col("longest"), "b"]))
+        further = F.floor(F.col("d") * F.length("a") / (F.col("longest") - F.col("d"))).cast("int")
+        open_ = cut_lineage(open_.join(found.select("control", "a", further.alias("further")), ["control", "a"], "left").select(
+            "control", "a", "pct", F.least("most", "further").alias("most")))
+        done, edits = edits, 3 * edits + 1
+        if done >= widest:
+            break
+    if found is not None:
+        best = best.unionByName(found)
+    return best.select("control", "a", "b", (1.0 - F.col("d") / F.col("longest").cast("double")).alias("similarity"))
+
+
+def _pass_pairs(facts: DataFrame, p: MatchPass) -> DataFrame:
+    """Distinct (control, a) of a pass, lower-cased; the missing marker takes part only where the pass says so."""
+    pairs = facts.select(F.lower(p.control).alias("control"), F.lower(p.match).alias("a")).dropna().distinct()
+    return pairs if p.keep_missing else pairs.where((F.col("control") != NAN) & (F.col("a") != NAN))
 
 
-def similar_texts(pairs: DataFrame, lookup: DataFrame, pct: int, common: int = 500) -> DataFrame:
-    """All (control, a, b, similarity) with equal control and similarity >= pct/100. Inputs: (control, a), (control, b).
+def _pass_lookup(lookup: DataFrame, p: MatchPass, values: Sequence[str]) -> DataFrame:
+    return keep_first(
+        lookup.select(F.lower(p.lookup_control).alias("control"), F.lower(p.lookup_match).alias("b"), *values).dropna(subset=["control", "b"]),
+        ["control", "b"], list(values))
 
-    A piece is common when more than ``common`` lookup texts of a control and length share it.
-    """
-    if not 0 < pct <= 100:
-        raise ValueError("threshold must be in 1..100 percent")
-    index = cut_lineage(_lookup_segments(lookup.where(F.length("b") > 0).distinct(), pct, common))
-    place = ["control", "n", "h", "i", "piece"]
-    facing = _fact_substrings(pairs.where(F.length("a") > 0).distinct(), index, pct).join(
-        index.select(*place, "b"), place
-    ).select("control", "a", "b").distinct()
-    longest = F.greatest(F.length("a"), F.length("b"))
-    return facing.withColumn("d", F.levenshtein("a", "b")).where(
-        (longest - F.col("d")) * 100 >= longest * pct
-    ).withColumn("similarity", 1.0 - F.col("d") / longest.cast("double")).drop("d")
+
+def _fuzzy_answers(facts: DataFrame, lookup: DataFrame, passes: Sequence[tuple[int, MatchPass]]) -> DataFrame:
+    """Best partners of all fuzzy passes in one search: (number, control, a, b, similarity)."""
+    own = lambda n: F.concat(F.lit(f"{n}|"), F.col("control")).alias("control")
+    pairs = rows = None
+    for n, p in passes:
+        low = F.lit(min(p.thresholds)).alias("pct")
+        some = _pass_pairs(facts, p).where(F.col("a") != NAN).select(own(n), "a", low)
+        held = lookup.select(F.lower(p.lookup_control).alias("control"), F.lower(p.lookup_match).alias("b")).dropna().select(own(n), "b", low)
+        pairs, rows = (some, held) if pairs is None else (pairs.unionByName(some), rows.unionByName(held))
+    cut = F.instr("control", "|")
+    return cut_lineage(closest_texts(cut_lineage(pairs), rows).select(
+        F.substr("control", F.lit(1), cut - 1).cast("int").alias("number"), F.substr(F.col("control"), cut + 1).alias("control"), "a", "b", "similarity"))
 
 
 def _equal_texts(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -128,31 +183,17 @@ def _equal_texts(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def _best_of_pass(facts: DataFrame, lookup: DataFrame, p: MatchPass, values: Sequence[str], number: int) -> DataFrame:
-    """Distinct pairs of one pass with the winning lookup row: c{number}, a{number}, provenance and values.
-
-    A fuzzy pass checkpoints its distinct pairs, so the facts are read once for it.
-    """
-    pairs = facts.select(F.lower(p.control).alias("control"), F.lower(p.match).alias("a")).dropna().distinct()
-    if not p.keep_missing:
-        pairs = pairs.where((F.col("control") != NAN) & (F.col("a") != NAN))
-    rows = keep_first(
-        lookup.select(F.lower(p.lookup_control).alias("control"), F.lower(p.lookup_match).alias("b"), *values).dropna(
-            subset=["control", "b"]),
-        ["control", "b"], list(values),
-    )
+def _hits(facts: DataFrame, lookup: DataFrame, p: MatchPass, values: Sequence[str], number: int, fuzzy: DataFrame | None) -> DataFrame:
+    """Distinct pairs of one pass with the winning lookup row: c{number}, a{number}, provenance and values."""
+    rows = _pass_lookup(lookup, p, values)
     low = min(p.thresholds)
     label = f"mt={p.control}|{p.match}"
     if low == 100:
-        best, code, kind = _equal_texts(pairs, rows), F.lit(1), F.lit(label)
+        best, code, kind = _equal_texts(_pass_pairs(facts, p), rows), F.lit(1), F.lit(label)
     else:
-        pairs = cut_lineage(pairs)
-        exact = _equal_texts(pairs, rows)
-        rest = pairs.where(F.col("a") != NAN).join(exact, ["control", "a"], "left_anti")
-        close = similar_texts(rest, rows.select("control", "b"), low)
-        best = keep_first(close, ["control", "a"], [F.col("similarity").desc(), "b"]).select(
-            "control", "a", "b", "similarity"
-        ).unionByName(exact)
+        best = fuzzy.where(F.col("number") == number).drop("number")
+        if p.keep_missing:
+            best = best.unionByName(_equal_texts(_pass_pairs(facts, p).where(F.col("a") == NAN), rows))
         step = F.lit(f"{low / 100:.1f}")
         for t in sorted(p.thresholds):
             step = F.when(F.round(F.col("similarity") * 100, 6) >= t, F.lit(f"{t / 100:.1f}")).otherwise(step)
@@ -167,11 +208,13 @@ def _best_of_pass(facts: DataFrame, lookup: DataFrame, p: MatchPass, values: Seq
 def match_cascade(facts: DataFrame, lookup: DataFrame, passes: Sequence[MatchPass], values: Sequence[str]) -> DataFrame:
     """Facts plus ``is_matched`` (0 none, 1 exact, 2 fuzzy), ``matched_type`` (pass, threshold, similarity) and values.
 
-    The winner of a fuzzy pass is the most similar text, then the smallest text.
+    The winner of a fuzzy pass is the most similar text, then the smallest text. All fuzzy passes share the rounds of one search.
     """
+    loose = [(n, p) for n, p in enumerate(passes) if min(p.thresholds) < 100]
+    fuzzy = _fuzzy_answers(facts, lookup, loose) if loose else None
     out = facts
     for number, p in enumerate(passes):
-        best = _best_of_pass(facts, lookup, p, values, number)
+        best = _hits(facts, lookup, p, values, number, fuzzy)
         cond = (F.lower(p.control) == F.col(f"c{number}")) & (F.lower(p.match) == F.col(f"a{number}"))
         out = out.join(best, cond, "left")
     hit = F.coalesce(*[F.col(f"hit{n}") for n in range(len(passes))])

@@ -371,3 +371,94 @@ def _(t: Tables):
     from tierwork.sources.readers import land_day
 
     return keep_first(land_day(t.events, "ts", "2024-01-20"), ["user_id"], [F.col("ts").desc(), "event_id"]).select("user_id", "event_type")
+
+
+# the passes of the cascade in their order: facts' control and match, the lookup's, thresholds, whether missing texts take part
+ELEVEN = [
+    ("sku", "vendor", "code", "vendor_code", (90, 80), False),
+    ("sku", "vendor", "code", "vendor_code", (100,), False),
+    ("sku", "vendor_master", "code", "vendor_code", (100,), False),
+    ("sku", "vendor_master", "code", "vendor_code", (80, 70, 60), False),
+    ("vendor_master", "sku_master", "vendor_code", "code", (100,), False),
+    ("sku_master", "vendor_master", "code", "vendor_code", (80, 70, 60), False),
+    ("sku_master", "vendor_master", "code", "vendor_code", (50, 40, 30), False),
+    ("sku", "vendor", "code", "vendor_code", (80, 70, 60), False),
+    ("vendor_master", "sku", "vendor_code", "code", (90, 80), False),
+    ("sku_master", "vendor", "code", "vendor_code", (80, 70, 60), False),
+    ("vendor_master", "sku_master", "vendor_code", "code", (100,), True),
+]
+SPELLINGS = """facts AS (
+  SELECT c_custkey, lower(CASE WHEN c_custkey % 6 = 0 THEN 'NaN' ELSE c_name END) AS sku,
+         lower(CASE WHEN c_custkey % 2 = 0 THEN c_name WHEN c_custkey % 5 = 1 THEN 'NaN' ELSE replace(c_name, '#0', '-') END) AS sku_master,
+         lower(n_name || ' ' || c_mktsegment) AS vendor,
+         lower(CASE WHEN c_custkey % 4 = 0 THEN 'NaN' WHEN c_custkey % 4 = 1 THEN n_name || ', ' || c_mktsegment || ' ltd' ELSE n_name || ' ' || c_mktsegment END) AS vendor_master
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+lookup AS (
+  SELECT lower(CASE WHEN c_custkey % 5 = 0 THEN replace(c_name, 'mer#', 'mer ') ELSE c_name END) AS code,
+         lower(CASE WHEN c_custkey % 3 = 0 THEN replace(n_name, 'A', '4') || ' ' || c_mktsegment WHEN c_custkey % 3 = 1 THEN n_name || ' ' || c_mktsegment || ' gmbh'
+                    WHEN c_custkey % 11 = 5 THEN 'NaN' ELSE n_name || ' ' || c_mktsegment END) AS vendor_code, CAST(c_acctbal AS DECIMAL(18,2)) AS credit
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL SELECT 'nan', lower(n_name), 0 FROM nation UNION ALL SELECT 'nan', 'nan', 1)"""
+
+
+def _cascade_sql(passes) -> str:
+    """Each pass by comparing all texts of a control."""
+    ctes, hits = [], []
+    for n, (control, match, c, m, thresholds, missing) in enumerate(passes):
+        low, label = min(thresholds), f"mt={control}|{match}"
+        known = "TRUE" if missing else f"f.{control} <> 'nan' AND f.{match} <> 'nan'"
+        near = f"f.{match} = l.{m}" if low == 100 else (
+            f"(greatest(length(f.{match}), length(l.{m})) - levenshtein(f.{match}, l.{m})) * 100 >= {low} * greatest(length(f.{match}), length(l.{m}))")
+        step = " ".join(f"WHEN (n - d) * 100 >= {t} * n THEN '{t / 100:.1f}'" for t in thresholds)
+        said = f"'{label}'" if low == 100 else f"'{label}:th=' || CASE {step} END || ':lv=' || printf('%.2f', 1.0 - d::DOUBLE / n)"
+        ctes.append(f"""p{n} AS (SELECT c, a, {1 if low == 100 else 2} AS code, {said} AS said, credit FROM (
+  SELECT f.{control} AS c, f.{match} AS a, l.{m} AS b, min(l.credit) AS credit, levenshtein(f.{match}, l.{m}) AS d, greatest(length(f.{match}), length(l.{m})) AS n
+  FROM (SELECT DISTINCT {control}, {match} FROM facts) f JOIN lookup l ON f.{control} = l.{c} WHERE {known} AND {near} GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY c, a ORDER BY d::DOUBLE / n, b) = 1)""")
+        hits.append(f"LEFT JOIN p{n} ON p{n}.c = f.{control} AND p{n}.a = f.{match}")
+    pick = lambda x: f"coalesce({', '.join(f'p{n}.{x}' for n in range(len(passes)))})"
+    return f"""WITH {SPELLINGS}, {', '.join(ctes)}
+SELECT c_custkey, coalesce({pick('code')}, 0) AS is_matched, {pick('said')} AS matched_type, CAST({pick('credit')} AS DOUBLE) AS credit
+FROM facts f {' '.join(hits)}"""
+
+
+def _spellings(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Customers under two codes and two vendor names, and a lookup that spells some of them another way."""
+    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    k, name, vendor = F.col("c_custkey"), F.col("c_name"), F.concat_ws(" ", "n_name", "c_mktsegment")
+    facts = named.select(
+        k, F.when(k % 6 == 0, "NaN").otherwise(name).alias("sku"),
+        F.when(k % 2 == 0, name).when(k % 5 == 1, "NaN").otherwise(F.replace(name, F.lit("#0"), F.lit("-"))).alias("sku_master"), vendor.alias("vendor"),
+        F.when(k % 4 == 0, "NaN").when(k % 4 == 1, F.concat("n_name", F.lit(", "), "c_mktsegment", F.lit(" ltd"))).otherwise(vendor).alias("vendor_master"))
+    spelt = F.when(k % 3 == 0, F.concat_ws(" ", F.replace("n_name", F.lit("A"), F.lit("4")), "c_mktsegment")).when(
+        k % 3 == 1, F.concat_ws(" ", vendor, F.lit("gmbh"))).when(k % 11 == 5, "NaN").otherwise(vendor)
+    money = F.col("c_acctbal").cast("decimal(18,2)").alias("credit")
+    lookup = named.select(F.when(k % 5 == 0, F.replace(name, F.lit("mer#"), F.lit("mer "))).otherwise(name).alias("code"), spelt.alias("vendor_code"), money)
+    missing = t.nation.select(F.lit("NaN").alias("code"), F.col("n_name").alias("vendor_code"), F.lit(0).cast("decimal(18,2)").alias("credit"))
+    unknown = t.spark.range(1).select(F.lit("NaN").alias("code"), F.lit("NaN").alias("vendor_code"), F.lit(1).cast("decimal(18,2)").alias("credit"))
+    return facts, lookup.unionByName(missing).unionByName(unknown)
+
+
+@plan("match_eleven_passes", _cascade_sql(ELEVEN))
+def _(t: Tables):
+    facts, lookup = _spellings(t)
+    out = X.match_cascade(facts, lookup, [X.MatchPass(*p) for p in ELEVEN], ["credit"])
+    return out.select("c_custkey", "is_matched", "matched_type", F.col("credit").cast("double").alias("credit"))
+
+
+@plan("closest_first_sentences", r"""
+WITH s AS (SELECT DISTINCT lang AS control, regexp_replace(lower(regexp_extract(text, '^[^.\n]*')), '[^ -~]', '', 'g') AS a FROM documents
+  WHERE lang IS NOT NULL AND text IS NOT NULL AND length(regexp_replace(lower(regexp_extract(text, '^[^.\n]*')), '[^ -~]', '', 'g')) BETWEEN 10 AND 60),
+l AS (SELECT DISTINCT control, replace(substr(a, 1, length(a) // 2) || substr(a, length(a) // 2 + 2), 'th', 'ht') AS b FROM s)
+SELECT s.control, a, b, 1.0::DOUBLE - levenshtein(a, b) / greatest(length(a), length(b))::DOUBLE AS similarity
+FROM s JOIN l ON s.control = l.control AND a <> '' AND b <> ''
+WHERE (greatest(length(a), length(b)) - levenshtein(a, b)) * 100 >= 70 * greatest(length(a), length(b))
+QUALIFY row_number() OVER (PARTITION BY s.control, a ORDER BY levenshtein(a, b) / greatest(length(a), length(b))::DOUBLE, b) = 1
+""")
+def _(t: Tables):
+    """First sentences of the length of names, against a lookup that spells all of them another way: each finds the nearest, at 70 percent or more."""
+    a, half = F.col("a"), F.floor(F.length("a") / 2).cast("int")
+    said = t.documents.where("lang IS NOT NULL AND text IS NOT NULL").select(
+        F.col("lang").alias("control"), F.regexp_replace(F.lower(F.regexp_extract("text", r"^[^.\n]*", 0)), "[^ -~]", "").alias("a"), F.lit(70).alias("pct")).where(F.length("a").between(10, 60)).distinct()
+    spelt = F.replace(F.concat(F.substr(a, F.lit(1), half), F.substr(a, half + 2)), F.lit("th"), F.lit("ht"))
+    return X.closest_texts(said, said.select("control", spelt.alias("b"), "pct"))
