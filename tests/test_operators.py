@@ -234,7 +234,7 @@ def test_versions_do_not_overlap(spark):
     rng = random.Random(3)
     rows = [(rng.randint(0, 3), rng.choice("xyz"), dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(120)]
     log = spark.createDataFrame(rows, "k long, hash string, ts timestamp")
-    got = history.versions_from_log(log, "k", "hash", "ts", ordered.by_period("ts", "day")).collect()
+    got = history.versions_from_log(log, "k", "hash", "ts").collect()
     for k in range(4):
         mine = sorted((r.start_datetime, r.end_datetime, r.hash) for r in got if r.k == k)
         assert all(a[1] == b[0] and a[2] != b[2] for a, b in zip(mine, mine[1:]))
@@ -248,10 +248,10 @@ def test_versions_do_not_overlap(spark):
 def test_apply_log_closes_and_keeps_one_current(spark):
     day = [dt.datetime(2024, 1, d) for d in range(1, 8)]
     log1 = spark.createDataFrame([(1, "x", day[0]), (1, "y", day[1]), (2, "x", day[0])], "k long, hash string, ts timestamp")
-    dim = history.versions_from_log(log1, "k", "hash", "ts", F.lit(0)).withColumn(
+    dim = history.versions_from_log(log1, "k", "hash", "ts").withColumn(
         "is_current", (F.col("end_datetime") == F.lit(history.OPEN_END)).cast("int"))
     log2 = spark.createDataFrame([(1, "y", day[2]), (1, "z", day[3]), (2, "x", day[2]), (3, "q", day[4])], "k long, hash string, ts timestamp")
-    out = history.apply_log(dim, log2, "k", "hash", "ts", F.lit(0))
+    out = history.apply_log(dim, log2, "k", "hash", "ts")
     got = {(r.k, r.hash, r.start_datetime, r.end_datetime, r.is_current) for r in out.collect()}
     end = history.OPEN_END
     assert got == {(1, "x", day[0], day[1], 0), (1, "y", day[1], day[3], 0), (1, "z", day[3], end, 1), (2, "x", day[0], end, 1), (3, "q", day[4], end, 1)}
@@ -261,11 +261,11 @@ def test_log_in_parts_equals_the_whole_log_with_returns_and_ties(spark):
     rng = random.Random(11)
     rows = [(rng.randint(0, 4), rng.choice("xyz"), dt.datetime(2023, 5, 1) + dt.timedelta(hours=rng.randint(0, 40)), i) for i in range(150)]
     schema = "k long, hash string, ts timestamp, no long"
-    whole = history.versions_from_log(spark.createDataFrame(rows, schema), "k", "hash", "ts", F.lit(0), ["no"])
+    whole = history.versions_from_log(spark.createDataFrame(rows, schema), "k", "hash", "ts", ["no"])
     rows.sort(key=lambda r: (r[2], r[3]))
     dim = whole.limit(0).withColumn("is_current", F.lit(1))
     for cut in (40, 90, 150):
-        dim = history.apply_log(dim, spark.createDataFrame(rows[max(0, cut - 60):cut], schema), "k", "hash", "ts", F.lit(0), ["no"])
+        dim = history.apply_log(dim, spark.createDataFrame(rows[max(0, cut - 60):cut], schema), "k", "hash", "ts", ["no"])
     assert values(dim.drop("is_current").select(whole.columns)) == values(whole)
     assert dim.where("is_current = 1").count() == len({r[0] for r in rows})
 
@@ -279,6 +279,33 @@ def test_point_in_time_and_unknown(spark):
     assert sorted(r.fk for r in history.fallback_earliest(got, dim, "k", "pk", "fk").collect()) == [-1, 10, 10, 11]
 
 
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_runs_of_a_log_over_any_number_of_ranges(spark, ranges):
+    """Keys over many ranges, ranges of one run, ranges of many keys: the same runs as by walking the log."""
+    rng = random.Random(ranges)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(rng.choice(["hot"] * 6 + ["a", "b", "c", "d", None]), t0 + dt.timedelta(seconds=rng.randint(0, 300)), n, rng.choice("xxxxxy") if n % 400 < 250 else "x") for n in range(1200)]
+    want, runs = {}, {}
+    for k, ts, n, h in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
+        if runs.get(k) is None or runs[k][1] != h:
+            if k in runs:
+                want[k, runs[k][0]] = ts
+            runs[k] = (n, h)
+            want[k, n] = None
+    log = spark.createDataFrame(rows, "k string, ts timestamp_ntz, no long, hash string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for name, v in (("spark.sql.shuffle.partitions", str(ranges)), ("spark.sql.adaptive.coalescePartitions.enabled", "false"), ("spark.sql.execution.arrow.maxRecordsPerBatch", "7")):
+            spark.conf.set(name, v)
+        got = history.log_runs(log, "k", "hash", "ts", ["no"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {(r.k, r.no): r["__next"] for r in got} == want
+    assert history.log_runs(log.limit(0), "k", "hash", "ts").count() == 0
+
+
 def test_surrogates_skip_reserved_member(spark):
     have = spark.createDataFrame([(-1,)], "pk long")
     new = spark.createDataFrame([("b", 2), ("a", 1), ("c", 3)], "code string, n long")

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import itertools
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
-from tierwork.operators.ordered import following, keep_first, last_seen, previous, rank, running
+from tierwork.operators.ordered import keep_first, last_seen, rank, running
 from tierwork.sources.storage import cut_lineage
 
 OPEN_END = dt.datetime(9999, 12, 31)
@@ -16,47 +22,120 @@ FIRST_START = dt.datetime(1990, 1, 1)
 UNKNOWN = -1
 
 
-def _run_starts(log: DataFrame, key: str, hash_col: str, order: Sequence[str], split: Column | None) -> DataFrame:
-    seen = running(log, [key], order, split, {"__before": previous(F.col(hash_col))})
-    return seen.where(F.col("__before").isNull() | (F.col("__before") != F.col(hash_col))).drop("__before")
-
-
-def versions_from_log(log: DataFrame, key: str, hash_col: str, ts: str, split: Column | None, ties: Sequence[str] = ()) -> DataFrame:
+def _range_runs(key: str, hash_col: str, ts: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Runs of equal hashes in one sorted range, each as its first row with ``__next`` (start of the key's next run in the range), ``__cell``
+    and whether it is the range's first or last run."""
+    def codes(column: pa.Array) -> np.ndarray:
+        return pc.dictionary_encode(column, null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = held = None  # the row before the batch; the run whose next one is still to come
+        cell, first = TaskContext.get().partitionId(), True
+
+        def told(runs: pa.Table, following: pa.Array, ends: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal first
+            n = len(runs)
+            marks = {"__next": following, "__cell": pa.array(np.full(n, cell), pa.int32()), "__first": pa.array(np.arange(n) == (0 if first else -1)), "__last": pa.array(np.arange(n) == (n - 1 if ends else -1))}
+            for name, column in marks.items():
+                runs = runs.append_column(name, column)
+            first = False
+            yield from runs.to_batches()
+
+        for b in batches:
+            if not len(b):
+                continue
+            rows = pa.Table.from_batches([b])
+            joined = rows if last is None else pa.concat_tables([last, rows])
+            k, h = codes(joined[key].combine_chunks()), codes(joined[hash_col].combine_chunks())
+            new = (k[1:] != k[:-1]) | (h[1:] != h[:-1])
+            starts = np.flatnonzero(new if last is not None else np.append(True, new))
+            last = rows.slice(len(rows) - 1)
+            runs = rows.take(pa.array(starts)) if held is None else pa.concat_tables([held, rows.take(pa.array(starts))])
+            held, done = runs.slice(len(runs) - 1), runs.slice(0, len(runs) - 1)
+            if len(done):
+                k = codes(runs[key].combine_chunks())
+                yield from told(done, pc.if_else(pa.array(k[1:] == k[:-1]), runs[ts].slice(1).combine_chunks(), pa.scalar(None, runs.schema.field(ts).type)), False)
+        if held is not None:
+            yield from told(held, pa.nulls(1, held.schema.field(ts).type), True)
+
+    return run
+
+
+def _across(ends: list) -> tuple[dict, dict]:
+    """(ranges whose first run goes on from the range before, start after the last run of a range) from the first and last runs of all ranges."""
+    going_on, after = set(), {}
+    cells = sorted({r.cell for r in ends})
+    first, last = ({r.cell: r for r in ends if getattr(r, side)} for side in ("is_first", "is_last"))
+    for before, c in itertools.pairwise(cells):
+        if (last[before].key, last[before].hash) == (first[c].key, first[c].hash):
+            going_on.add(c)
+    upcoming = None  # (key, start): the first start of a key in the ranges behind
+    for c in reversed(cells):
+        if upcoming is not None and upcoming[0] == last[c].key:
+            after[c] = upcoming[1]
+        one_run = last[c].key == first[c].key and first[c].next is None and last[c].is_first
+        if c not in going_on:
+            upcoming = (first[c].key, first[c].start)
+        elif first[c].next is not None:
+            upcoming = (first[c].key, first[c].next)
+        elif not one_run:
+            upcoming = None
+    return going_on, after
+
+
+def log_runs(log: DataFrame, key: str, hash_col: str, ts: str, ties: Sequence[str] = ()) -> DataFrame:
+    """The first row of every unbroken run of equal hashes of a key, with ``__next``: the start of the key's next run, if there is one.
+
+    Rows are dealt to sampled ranges of (key, order) once, so a key is never one task, and every range is read once, sorted. A range's first and last run
+    are its summary: only these can go on in the ranges beside it. The summaries, two rows a range, are scanned by the driver, which tells
+    the ranges what their neighbours hold; starts and ends so come from one pass. Its runs are checkpointed.
+    """
+    order = [F.col(c) for c in (key, ts, *ties)]
+    marks = StructType([
+        StructField("__next", log.schema[ts].dataType), StructField("__cell", IntegerType()), StructField("__first", BooleanType()), StructField("__last", BooleanType())])
+    ranged = log.repartitionByRange(*order).sortWithinPartitions(*order)
+    runs = cut_lineage(ranged.mapInArrow(_range_runs(key, hash_col, ts), StructType([*log.schema.fields, *marks.fields])))
+    ends = runs.where("__first OR __last").select(
+        F.col("__cell").alias("cell"), F.col(key).alias("key"), F.col(hash_col).alias("hash"), F.col(ts).alias("start"), F.col("__next").alias("next"),
+        F.col("__first").alias("is_first"), F.col("__last").alias("is_last")).collect()  # two rows a range at most
+    going_on, after = _across(ends)
+    kind = log.schema[ts].dataType.simpleString()
+    told = log.sparkSession.createDataFrame(
+        [(c, c in going_on, after.get(c)) for c in sorted({r.cell for r in ends})], f"__cell int, __going_on boolean, __after {kind}")
+    return runs.join(F.broadcast(told), "__cell").where(~(F.col("__first") & F.col("__going_on"))).select(
+        *log.columns, F.when(F.col("__last"), F.col("__after")).otherwise(F.col("__next")).alias("__next"))
+
+
+def versions_from_log(log: DataFrame, key: str, hash_col: str, ts: str, ties: Sequence[str] = ()) -> DataFrame:
     """Change log -> one row per unbroken run of equal hashes, with ``start_datetime`` and ``end_datetime``.
 
     A run starts where the hash differs from the previous row of the key and ends where the next run starts. ``ties`` order
-    rows of one key and time; without them such rows have no order. The starts, far fewer than the log's rows, are
-    checkpointed so that the second pass does not read the log again.
+    rows of one key and time; without them such rows have no order.
     """
-    order = [ts, *ties]
-    starts = cut_lineage(_run_starts(log, key, hash_col, order, split))
-    ended = running(starts, [key], order, split, {"__next": following(F.col(ts))})
-    return ended.withColumn("start_datetime", F.col(ts)).withColumn(
-        "end_datetime", F.coalesce("__next", F.lit(OPEN_END))
-    ).drop("__next", ts)
+    return log_runs(log, key, hash_col, ts, ties).withColumn("start_datetime", F.col(ts)).withColumn(
+        "end_datetime", F.coalesce("__next", F.lit(OPEN_END))).drop("__next", ts)
 
 
-def apply_log(dim: DataFrame, log: DataFrame, key: str, hash_col: str, ts: str, split: Column | None, ties: Sequence[str] = ()) -> DataFrame:
+def apply_log(dim: DataFrame, log: DataFrame, key: str, hash_col: str, ts: str, ties: Sequence[str] = ()) -> DataFrame:
     """New snapshot of a dimension (key, attributes, hash, start, end, is_current) after a change log.
 
     Rows of unseen keys and rows later than the current version count. Each is compared with the row before it, the current
     version standing in front: a value that returns is a version again, so a log applied in parts gives the same
     history as the whole log. The current version of a key that gets new versions is closed at the first new start.
-    ``ties`` (columns of dimension and log) order rows of one key and time.
+    ``ties`` (columns of dimension and log) order rows of one key and time. New versions and closings come from one pass over the runs.
     """
     current = dim.where("is_current = 1")
     now = current.select(key, F.col("start_datetime").alias("__start"), *[F.col(c).alias(f"__{c}") for c in ties])
     place = lambda mark, names: F.struct(mark, *names)
     later = place(F.col(ts), map(F.col, ties)) > place(F.col("__start"), [F.col(f"__{c}") for c in ties])
     fresh = log.join(now, key, "left").where(F.col("__start").isNull() | later).select(*log.columns, F.lit(False).alias("__held"))
-    front = current.join(fresh.select(key).distinct(), key, "left_semi").withColumn(ts, F.col("start_datetime").cast(log.schema[ts].dataType))
+    front = current.join(log.select(key).distinct(), key, "left_semi").withColumn(ts, F.col("start_datetime").cast(log.schema[ts].dataType))
     rows = fresh.unionByName(front.select(*log.columns, F.lit(True).alias("__held")))
-    starts = cut_lineage(_run_starts(rows, key, hash_col, [ts, *ties], split).where(~F.col("__held")).drop("__held"))
-    ended = running(starts, [key], [ts, *ties], split, {"__next": following(F.col(ts))})
-    added = cut_lineage(ended.withColumn("start_datetime", F.col(ts)).withColumn("end_datetime", F.coalesce("__next", F.lit(OPEN_END))).withColumn(
-        "is_current", F.col("__next").isNull().cast("int")).select(*dim.columns))
-    firsts = added.groupBy(key).agg(F.min("start_datetime").alias("__closed"))
-    return close_current(dim, firsts, key, F.col("__closed")).unionByName(added)
+    runs = log_runs(rows, key, hash_col, ts, ties)
+    added = runs.where(~F.col("__held")).withColumn("start_datetime", F.col(ts)).withColumn("end_datetime", F.coalesce("__next", F.lit(OPEN_END))).withColumn(
+        "is_current", F.col("__next").isNull().cast("int")).select(*dim.columns)
+    closings = runs.where(F.col("__held") & F.col("__next").isNotNull()).select(key, F.col("__next").alias("__closed"))
+    return close_current(dim, closings, key, F.col("__closed")).unionByName(added)
 
 
 def close_current(dim: DataFrame, closings: DataFrame, key: str, end: Column) -> DataFrame:

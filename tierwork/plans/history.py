@@ -18,7 +18,7 @@ MID = "2024-01-16"
 
 def versions(t: Tables) -> DataFrame:
     log = event_log(t)
-    out = H.versions_from_log(log, "user_id", "hash", "ts", None, ["event_id"])
+    out = H.versions_from_log(log, "user_id", "hash", "ts", ["event_id"])
     return out.drop("hash", "event_id")
 
 
@@ -49,7 +49,7 @@ def scd2_from_log(t: Tables):
 def _stored_dim(t: Tables) -> DataFrame:
     """The dimension as of mid-month."""
     log = event_log(t).where(F.col("ts") < F.lit(MID).cast("timestamp_ntz"))
-    out = H.versions_from_log(log, "user_id", "hash", "ts", None, ["event_id"])
+    out = H.versions_from_log(log, "user_id", "hash", "ts", ["event_id"])
     return cut_lineage(out.withColumn("is_current", (F.col("end_datetime") == F.lit(H.OPEN_END)).cast("int")))
 
 
@@ -66,7 +66,7 @@ def scd2_apply_log(t: Tables):
     upto = lambda day: log.where(F.col("ts") < F.lit(day).cast("timestamp_ntz"))
     dim = _stored_dim(t)
     for part in (upto("2024-01-23"), log):
-        dim = H.apply_log(dim, part, "user_id", "hash", "ts", None, ["event_id"])
+        dim = H.apply_log(dim, part, "user_id", "hash", "ts", ["event_id"])
     return _shown(dim, "is_current")
 
 
@@ -133,7 +133,7 @@ ON v.user_id = e.user_id AND e.ts - INTERVAL 1 HOUR >= v.start_ts AND (v.next_ts
 def point_in_time_many_versions(t: Tables):
     """Which version of its user was valid an hour before each event."""
     log = t.events.select("event_id", "user_id", F.sha2("event_type", 256).alias("hash"), F.col("ts").cast("timestamp").alias("ts"))
-    dim = H.versions_from_log(log, "user_id", "hash", "ts", None)
+    dim = H.versions_from_log(log, "user_id", "hash", "ts")
     facts = log.select(F.col("event_id").alias("fact_id"), "user_id", (F.col("ts") - F.expr("interval 1 hour")).alias("ts"))
     out = H.point_in_time_ordered(facts, dim, "user_id", "ts", "event_id", "version_fk", None)
     return out.select(F.col("fact_id").alias("event_id"), "version_fk")
