@@ -339,7 +339,7 @@ def _noisy_texts(seed, letters="abc", most=14):
 
 
 @pytest.mark.parametrize(("pct", "letters", "most"), [(40, "abc", 14), (60, "abc", 14), (75, "ab", 14), (80, "abc", 30), (90, "abcdefgh", 60), (100, "abc", 14)])
-def test_similar_texts_equal_brute_force(spark, pct, letters, most):
+def test_similar_texts_equal_brute_force(spark, monkeypatch, pct, letters, most):
     left, right = _noisy_texts(pct * 31, letters, most)
     a = spark.createDataFrame([("k", s) for s in left], "control string, a string")
     b = spark.createDataFrame([("k", s) for s in right], "control string, b string")
@@ -349,6 +349,7 @@ def test_similar_texts_equal_brute_force(spark, pct, letters, most):
     best = {}
     for (x, y), share in sorted(want.items(), key=lambda kv: (kv[1], kv[0][1])):
         best.setdefault(x, y)
+    monkeypatch.setattr(matching, "FIRST_EDITS", 1)  # several rounds
     got = matching.closest_texts(a.withColumn("pct", F.lit(pct)), b.withColumn("pct", F.lit(pct))).collect()
     assert {r.a: r.b for r in got} == best and all(r.similarity == pytest.approx(1 - want[r.a, r.b]) for r in got)
 

@@ -28,6 +28,7 @@ from tierwork.sources.storage import cut_lineage
 
 NAN = "nan"
 PIECE_SIZES = (1, 2, 3, 5)
+FIRST_EDITS = 3  # of the first round of a search
 
 
 @dataclass(frozen=True)
@@ -122,7 +123,7 @@ def closest_texts(pairs: DataFrame, lookup: DataFrame) -> DataFrame:
     """(control, a, b, similarity): for each a the most similar b of its control, the least of equally similar ones.
 
     Inputs: (control, a, pct), (control, b, pct): ``pct`` is the least similarity in percent and a function of the control. Texts without such a partner give no
-    row. Equal texts go first; then rounds of up to 1, 4, 13, 40 ... edits. With a partner at d edits of L characters a text of m characters looks on for
+    row. Equal texts go first; then rounds of up to 3, 10, 31 ... edits. With a partner at d edits of L characters a text of m characters looks on for
     partners of up to d * m / (L - d) edits: none beyond is more similar, or as similar. A round is checkpointed.
     """
     bound = lambda c: _edits(F.length(c), F.col("pct"))
@@ -131,7 +132,7 @@ def closest_texts(pairs: DataFrame, lookup: DataFrame) -> DataFrame:
     exact = texts.join(rows.select("control", F.col("b").alias("a")), ["control", "a"], "left_semi")
     best = exact.select("control", "a", F.col("a").alias("b"), F.lit(0).alias("d"), F.length("a").alias("longest"))
     open_ = cut_lineage(texts.join(exact, ["control", "a"], "left_anti").join(rows.select("control").distinct(), "control", "left_semi").where("most > 0"))
-    found, edits, done = None, 1, 0
+    found, edits, done = None, FIRST_EDITS, 0
     while (widest := open_.agg(F.max("most")).first()[0] or 0) > done:
         level = F.lit(edits)
         facing = _facing(
@@ -140,12 +141,12 @@ def closest_texts(pairs: DataFrame, lookup: DataFrame) -> DataFrame:
         near = _scored(facing).join(open_.select("control", "a", "pct"), ["control", "a"]).where(_enough(F.col("pct"))).drop("pct")
         found = near if found is None else found.unionByName(near)
         found = cut_lineage(keep_first(found, ["control", "a"], [F.col("d") / F.col("longest"), "b"]))
+        if edits >= widest:
+            break
         further = F.floor(F.col("d") * F.length("a") / (F.col("longest") - F.col("d"))).cast("int")
         open_ = cut_lineage(open_.join(found.select("control", "a", further.alias("further")), ["control", "a"], "left").select(
             "control", "a", "pct", F.least("most", "further").alias("most")))
         done, edits = edits, 3 * edits + 1
-        if done >= widest:
-            break
     if found is not None:
         best = best.unionByName(found)
     return best.select("control", "a", "b", (1.0 - F.col("d") / F.col("longest").cast("double")).alias("similarity"))
