@@ -12,12 +12,10 @@ from pyspark.testing import assertDataFrameEqual
 from tierwork.functions import dates as D
 from tierwork.functions import text as X
 from tierwork.functions.values import exclude_patterns, row_hash
-from tierwork.operators import cdc, columns, finance, history, lookups, mastering, matching, ordered, quality, reports
+from tierwork.operators import cdc, columns, finance, hierarchy, history, lookups, mastering, matching, ordered, quality, reports, staging
 from tierwork.operators.hierarchy import flatten_levels, resolve_root, root_paths
 from tierwork.sources import readers, sinks
 
-OLD, NEW, NEWEST = dt.datetime(2009, 2, 28, 23, 59), dt.datetime(2011, 7, 1), dt.datetime(2020, 12, 31, 0, 0, 1)
-
 
 def values(df):
     return sorted(map(tuple, df.collect()), key=repr)
@@ -111,17 +109,24 @@ def test_exclude_patterns_keeps_null(spark):
 
 # --- master records -------------------------------------------------------------------------------------------------
 
-def test_best_record_takes_newest_then_smallest_text_id(spark):
+@pytest.mark.parametrize("seed", [1, 2])
+def test_best_record_equals_sorting_every_group(spark, seed):
+    """Drawn rows: null and equal times, placeholder keys, names that repeat within a key and across tenants."""
+    rng = random.Random(seed)
     rows = [
-        (11, "7", "N1", "north", OLD, "Oak"), (12, "8", "N1", "south", OLD, "Eiche"),          # one number, two tenants
-        (13, "9", "N2", "west", OLD, "Elm"), (14, "3", "N2", "west", NEWEST, "Elm Ltd"), (15, "5", "N2", "west", NEW, "Elm & Co"),
-        (16, "40", "N3", "east", NEWEST, "Fir"), (17, "130", "N3", "east", NEWEST, "Fir GmbH"),  # same time: "130" < "40" as text
-        (18, "2", "N4", "west", OLD, "Ash"), (19, "1", "N4", "west", None, "Ash"),               # no time is oldest, one name
-    ]
+        (n, str(rng.randint(1, 300)), rng.choice(["NaN", "N/A", "c1", "c2", "c3"]), rng.choice("pq"), rng.choice([None, dt.datetime(2001, 1, rng.randint(1, 5))]),
+         rng.choice([None, "Birch", "birch", "Birch AG", f"own {n}"])) for n in range(400)]
+    age = lambda r: (r[4] is None, -r[4].timestamp() if r[4] else 0, r[1])
+    want = {}
+    for key in {r[2:4] for r in rows}:
+        mine = sorted((r for r in rows if r[2:4] == key), key=age)
+        want[key] = (age(mine[0]), list(dict.fromkeys(r[5] for r in sorted(mine, key=lambda r: (*age(r), r[5] or "")) if r[5])))
     df = spark.createDataFrame(rows, "id long, account string, number string, tenant string, modified timestamp, name string")
-    got = mastering.best_record(df, ["number", "tenant"], "modified", "account", "name")
-    assert {r.id: r.all_names for r in got.collect()} == {
-        11: ["Oak"], 12: ["Eiche"], 14: ["Elm Ltd", "Elm & Co", "Elm"], 17: ["Fir GmbH", "Fir"], 18: ["Ash"]}
+    got = mastering.best_record(df, ["number", "tenant"], "modified", "account", "name").collect()
+    assert len(got) == len(want)
+    for r in got:
+        best, names = want[r.number, r.tenant]
+        assert age(tuple(r)) == best and r.all_names == names
 
 
 def test_parent_child_points_to_first_by_priority(spark):
@@ -313,6 +318,49 @@ def test_surrogates_skip_reserved_member(spark):
     assert {r.code: r.pk for r in got.collect()} == {"a": 1, "b": 2, "c": 3}
 
 
+def test_closure_of_many_ways_up_and_few_nodes(spark):
+    """20 layers of two nodes, each below both nodes of the layer above: 2^20 ways, 40 nodes."""
+    edges = [(f"{layer}{a}", f"{layer - 1}{b}") for layer in range(1, 21) for a in "xy" for b in "xy"]
+    df = spark.createDataFrame([*edges, edges[0], ("0x", None), (None, "0y")], "n string, p string")
+    got = {(r.n, r.ancestor): r.depth for r in hierarchy.closure(df, "n", "p").collect()}
+    assert got == {(f"{i}{a}", f"{j}{b}"): i - j for i in range(21) for j in range(i) for a in "xy" for b in "xy"}
+    short = spark.createDataFrame([("c", "b"), ("b", "a"), ("c", "a")], "n string, p string")
+    assert {(r.n, r.ancestor): r.depth for r in hierarchy.closure(short, "n", "p").collect()} == {("c", "b"): 1, ("b", "a"): 1, ("c", "a"): 1}
+    assert hierarchy.closure(df.limit(0), "n", "p").count() == 0
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy.closure(spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "n string, p string"), "n", "p")
+
+
+def test_described_levels_and_what_they_refuse(spark):
+    edges = spark.createDataFrame([("c", "b"), ("b", "a"), ("d", "a"), ("a", None)], "n string, p string")
+    texts = spark.createDataFrame([("a", "top"), ("c", "leaf")], "code string, text string")
+    got = {r.n: tuple(r)[1:] for r in hierarchy.described_levels(edges, "n", "p", texts, "code", "text", 3).collect()}
+    assert got == {"a": ("a", "a", "a", "top", "top", "top"), "b": ("a", "b", "b", "top", None, None), "c": ("a", "b", "c", "top", None, "leaf"), "d": ("a", "d", "d", "top", None, None)}
+    for more in ([("c", "d")], [("e", "c")]):  # two nodes of one level above c; a fourth level
+        with pytest.raises(Exception, match="more than one node a level"):
+            hierarchy.described_levels(edges.union(spark.createDataFrame(more, "n string, p string")), "n", "p", texts, "code", "text", 3).collect()
+
+
+def test_survivorship_with_conflicts_and_gaps(spark):
+    day = lambda d: dt.datetime(2024, 1, d)
+    rows = spark.createDataFrame([
+        (1, "a", day(1), "old", None), (1, "a", day(2), "new", None), (1, "b", day(9), "other", 5), (2, "a", day(1), " ", 1), (2, "b", day(1), "N/A", 2), (2, "b", None, "dated nowhere", 3),
+        (3, "c", day(1), "unlisted", 7), (4, "b", day(1), "z", 1), (4, "b", day(1), "y", 2), (None, "a", day(1), "no key", 1), (5, None, day(1), "no source", 1)],
+        "k long, source string, changed timestamp, name string, n int")
+    got = {r.k: tuple(r)[1:] for r in staging.survive(rows, ["k"], "source", "changed", {"name": ("a", "b"), "n": ("b", "c", "a")}).collect()}
+    assert got == {
+        1: ("new", "a", 5, "b"), 2: ("dated nowhere", "b", 2, "b"), 3: (None, None, 7, "c"), 4: ("y", "b", 1, "b"), 5: (None, None, None, None)}
+    assert staging.survive(rows.limit(0), ["k"], "source", "changed", {"name": ("a",)}).count() == 0
+
+
+def test_a_shape_refuses_columns_it_does_not_have(spark):
+    shape = T.StructType([T.StructField("document_source", T.StringType()), T.StructField("code", T.StringType()), T.StructField("amount", T.DoubleType())])
+    df = spark.createDataFrame([(1, None)], "x long, y string")
+    assert tuple(staging.in_shape(df, "s", shape, {"code": "y"}).first()) == ("s", "N/A", None)
+    with pytest.raises(ValueError, match="not in the shape"):
+        staging.in_shape(df, "s", shape, {"cod": "y"})
+
+
 # --- matching: the segment join finds exactly what comparing everything finds ----------------------------------------
 
 def _distance(a, b):

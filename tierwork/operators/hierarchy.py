@@ -1,4 +1,4 @@
-"""Parent-child tables flattened by pointer doubling.
+"""Parent-child tables flattened by pointer doubling; closures of hierarchies whose nodes have several parents.
 
 Each round joins the table to itself on the highest ancestor known so far, so depth d takes log2(d) rounds instead of d
 joins, and nothing is collected. Rounds are checkpointed: without it the plan would double every round.
@@ -60,3 +60,45 @@ def flatten_levels(edges: DataFrame, node: str, parent: str, levels: int, under:
     return paths.select(node, *[
         F.coalesce(F.try_element_at("path", F.lit(i)), deepest).alias(f"level_{i}") for i in range(1, levels + 1)
     ])
+
+
+def closure(edges: DataFrame, node: str, parent: str) -> DataFrame:
+    """(node, ancestor, depth) for every ancestor of every node, at its least depth. Nodes may have several parents.
+
+    A round joins ancestors to their own ancestors and keeps one row per pair, so depth d takes log2(d) rounds and the work follows the pairs, not the
+    ways between them. Null parents are no edges; an edge that is given twice counts once. A node that is its own ancestor raises.
+    """
+    pairs = cut_lineage(edges.select(F.col(node).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth")).dropna().distinct())
+    size = (pairs.count(), 0)
+    while True:
+        cycle = pairs.where("node = ancestor").limit(1).collect()
+        if cycle:
+            raise ValueError(f"hierarchy has a cycle through {cycle[0].node}")
+        further = pairs.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("above"), F.col("depth").alias("more"))
+        longer = pairs.join(further, "ancestor").select("node", F.col("above").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"))
+        pairs = cut_lineage(pairs.unionByName(longer).groupBy("node", "ancestor").agg(F.min("depth").alias("depth")))
+        now = tuple(pairs.agg(F.count(F.lit(1)), F.sum("depth")).first())
+        if now == size:
+            return pairs.select(F.col("node").alias(node), "ancestor", "depth")
+        size = now
+
+
+def described_levels(edges: DataFrame, node: str, parent: str, texts: DataFrame, code: str, text: str, levels: int) -> DataFrame:
+    """(node, level_1 .. level_n, level_1_text .. level_n_text): a level's code and its description; levels below the node repeat it.
+
+    ``texts`` (code, text), unique on the code; codes without one have a null description. A node with several parents has the nearest way
+    up of each pair, so levels must have one node each: a second one at the same level raises, and so does a node below the last level.
+    """
+    above = closure(edges, node, parent).select(F.col(node).alias("node"), "ancestor", "depth")
+    own = edges.select(F.col(node).alias("node")).union(edges.select(F.col(parent))).dropna().distinct()
+    held = above.unionByName(own.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth")))
+    named = held.join(texts.select(F.col(code).alias("ancestor"), F.col(text).alias("text")), "ancestor", "left")
+    per = named.groupBy("node").agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("depth")).alias("place"), "ancestor", "text"))).alias("way"))  # as long as the hierarchy is deep
+    problem = F.raise_error(F.concat(F.lit("more than one node a level, or too many levels: "), F.concat_ws(" > ", F.col("way.ancestor"))))
+    fits = (F.size("way") <= levels) & (F.size(F.array_distinct("way.place")) == F.size("way"))
+    per = per.withColumn("way", F.when(fits, F.col("way")).otherwise(problem))
+    at = lambda i: F.coalesce(F.try_element_at("way", F.lit(i)), F.element_at("way", -1))
+    return per.select(
+        F.col("node").alias(node), *[at(i)["ancestor"].alias(f"level_{i}") for i in range(1, levels + 1)],
+        *[at(i)["text"].alias(f"level_{i}_text") for i in range(1, levels + 1)])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tierwork.functions.values import money
 from tierwork.operators import mastering as M
 from tierwork.operators import matching as X
-from tierwork.operators.hierarchy import flatten_levels, resolve_root
+from tierwork.operators.hierarchy import closure, described_levels, flatten_levels, resolve_root
 from tierwork.operators.ordered import by_width, keep_first
 from tierwork.operators.rules import Rule, Test, apply_rules, finish_rules, with_defaults
 from tierwork.plans.inputs import DOCUMENTS, documents, quarterly_rates, QUARTERLY_RATES
@@ -462,3 +462,39 @@ def _(t: Tables):
         F.col("lang").alias("control"), F.regexp_replace(F.lower(F.regexp_extract("text", r"^[^.\n]*", 0)), "[^ -~]", "").alias("a"), F.lit(70).alias("pct")).where(F.length("a").between(10, 60)).distinct()
     spelt = F.replace(F.concat(F.substr(a, F.lit(1), half), F.substr(a, half + 2)), F.lit("th"), F.lit("ht"))
     return X.closest_texts(said, said.select("control", spelt.alias("b"), "pct"))
+
+
+@plan("hierarchy_described", """
+SELECT 'C' || c_custkey AS node, 'R' || n_regionkey AS level_1, 'N' || c_nationkey AS level_2, 'C' || c_custkey AS level_3, 'C' || c_custkey AS level_4,
+       r_name AS level_1_text, n_name AS level_2_text, c_name AS level_3_text, c_name AS level_4_text
+FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+UNION ALL SELECT 'N' || n_nationkey, 'R' || n_regionkey, 'N' || n_nationkey, 'N' || n_nationkey, 'N' || n_nationkey, r_name, n_name, n_name, n_name
+FROM nation JOIN region ON r_regionkey = n_regionkey
+UNION ALL SELECT 'R' || r_regionkey, 'R' || r_regionkey, 'R' || r_regionkey, 'R' || r_regionkey, 'R' || r_regionkey, r_name, r_name, r_name, r_name FROM region
+""")
+def _(t: Tables):
+    """Region, nation, customer as codes with their descriptions on every level."""
+    code = lambda mark, c: F.concat(F.lit(mark), F.col(c))
+    edges = t.nation.select(code("N", "n_nationkey").alias("node"), code("R", "n_regionkey").alias("parent")).unionByName(
+        t.customer.select(code("C", "c_custkey").alias("node"), code("N", "c_nationkey").alias("parent"))).unionByName(
+        t.region.select(code("R", "r_regionkey").alias("node"), F.lit(None).cast("string").alias("parent")))
+    texts = t.region.select(code("R", "r_regionkey").alias("code"), F.col("r_name").alias("text")).unionByName(
+        t.nation.select(code("N", "n_nationkey"), "n_name").toDF("code", "text")).unionByName(
+        t.customer.select(code("C", "c_custkey"), "c_name").toDF("code", "text"))
+    return described_levels(edges, "node", "parent", texts, "code", "text", 4)
+
+
+@plan("hierarchy_two_parents", """
+WITH RECURSIVE edges AS (
+  SELECT DISTINCT 'P' || p_partkey AS node, 'P' || p_partkey // 2 AS parent FROM part WHERE p_partkey > 0
+  UNION SELECT 'P' || p_partkey, 'P' || p_partkey // 3 FROM part WHERE p_partkey > 0
+  UNION SELECT 'P' || p_partkey, p_brand FROM part),
+up AS (SELECT node, parent AS ancestor, 1 AS depth FROM edges UNION SELECT up.node, e.parent, depth + 1 FROM up JOIN edges e ON e.node = up.ancestor)
+SELECT node, ancestor, min(depth) AS depth FROM up GROUP BY ALL
+""")
+def _(t: Tables):
+    """Parts below two parents each, and below their brand: all ancestors with the least number of steps."""
+    code = lambda by: F.concat(F.lit("P"), F.floor(F.col("p_partkey") / by))
+    below = t.part.where("p_partkey > 0")
+    edges = below.select(code(1).alias("node"), code(2).alias("parent")).union(below.select(code(1), code(3))).union(t.part.select(code(1), "p_brand"))
+    return closure(edges, "node", "parent")

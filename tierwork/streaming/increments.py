@@ -83,7 +83,7 @@ def _drop_unnamed(spark: SparkSession, path: str, keep: int) -> None:
 
 
 def upsert_batches(
-    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], latest: Sequence[str], buckets: int = 32, keep: int = 2, **merge,
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], latest: Sequence[str], buckets: int = 16, keep: int = 2, **merge,
 ) -> None:
     """Merge every micro-batch into the current table (see ``current_state``).
 
@@ -92,7 +92,8 @@ def upsert_batches(
 
     The state lies in ``buckets`` by a hash of the keys. A batch writes only buckets in which a row changes, as a new version, and a manifest that names
     for every bucket the version that holds it; all other buckets keep their files. A batch that is repeated after a failure starts from the
-    same manifest and writes the same version again. What none of the newest ``keep`` manifests names is removed. The number of buckets must stay.
+    same manifest and writes the same version again. What none of the newest ``keep`` manifests names is removed. A bucket is
+    written by one task: choose as many as the state has times what a task can hold. Their number must stay.
     """
     order = [F.col(c).desc() for c in latest]
     number = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
@@ -114,7 +115,7 @@ def upsert_batches(
             if met:
                 state = spark.read.parquet(*_bucket_paths(path, met))
                 rows = merge_upsert(state, rows.drop("bucket"), keys, deactivate_absent=False, **merge).withColumn("bucket", number)
-        rows.repartition("bucket", *keys).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/v={batch_id}")
+        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/v={batch_id}")
         if not held:
             changed = _touched(spark.read.schema("bucket int").option("basePath", f"{path}/data/v={batch_id}").parquet(f"{path}/data/v={batch_id}"))
         named = sorted((held | dict.fromkeys(changed, batch_id)).items())
