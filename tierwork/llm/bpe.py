@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierwork.llm.worker import store
+
 MOST_STATES, MOST_PIECES, MOST_PAIRS = 100_000, 400_000, 500_000  # kept per worker; dropped when full, results do not change
 DECODE_CHUNK = 4096
 SHORT_REST = 256  # bytes that are encoded to the end at once; longer rests go state by state and emit as they go
@@ -222,7 +224,8 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
 class Codec:
     """Encoding and decoding of texts with a rank file and the pattern that splits texts; ids of met pieces are kept."""
 
-    def __init__(self, raw: bytes, pattern: str):
+    def __init__(self, raw: bytes, pattern: str, kept: int = MOST_PIECES):
+        self.kept = kept
         self.transducer = Transducer(read_ranks(raw))
         self.split = regex.compile(pattern).findall
         self.known: dict[str, tuple[tuple[int, ...], str]] = {}
@@ -243,7 +246,7 @@ class Codec:
                     ids = tuple(self.transducer.encode(p.encode()))
                     met = (ids, " ".join(map(str, ids)))
                 if len(p) <= 64:
-                    if len(known) >= MOST_PIECES:
+                    if len(known) >= self.kept:
                         self.older = older = known
                         self.known = known = {}
                     known[p] = met
@@ -266,30 +269,29 @@ class Codec:
             yield b"", machine.close()
 
 
-_codecs: dict[tuple[bytes, str], Codec] = {}
-
-
-def codec(raw: bytes, pattern: str) -> Codec:
-    """One codec per worker process and vocabulary."""
-    key = (hashlib.sha256(raw).digest(), pattern)
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(raw, pattern)
+def codec(raw: bytes, pattern: str, kept: int = MOST_PIECES) -> Codec:
+    """One codec per worker process and vocabulary, until another operator uses the worker."""
+    codecs = store("bpe")
+    key = (hashlib.sha256(raw).digest(), pattern, kept)
+    if key not in codecs:
+        codecs.clear()
+        codecs[key] = Codec(raw, pattern, kept)
         gc.set_threshold(200_000, 20, 100)  # states and pieces are many small objects that live long
-    return _codecs[key]
+    return codecs[key]
 
 
-def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", kept: int = MOST_PIECES) -> DataFrame:
     """Per row: id, n_tokens, ids_sha256 (decimal ids, one space between), decoded_sha256 (decoded bytes), decoded_chars.
 
     No special tokens. Null and empty texts have no ids. Rows are independent: repeated rows and ids are repeated in the result, empty tables
-    give none, other columns are ignored. The rank file is read once, by the driver.
+    give none, other columns are ignored. The rank file is read once, by the driver. ``kept``: pieces
+    whose ids a worker keeps, twice; results do not depend on it.
     """
     with open(path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # the size of the vocabulary file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(shared.value, pattern)
+        c = codec(shared.value, pattern, kept)
         for b in batches:
             out: list[list] = [[], [], [], []]
             for text in b.column(1):

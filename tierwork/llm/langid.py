@@ -16,6 +16,7 @@ from pyspark.sql.types import DoubleType, StringType, StructType
 
 from tierwork.llm.frames import crc_rest, own_name
 from tierwork.llm.words import hash_parts, lower, row_pieces, spans, text_buffers
+from tierwork.llm.worker import store
 
 LONGEST = 24  # bytes read together; longer words are read in parts
 TOGETHER = 12 << 20  # bytes of texts whose repeated words are read once
@@ -201,6 +202,7 @@ def predict(docs: DataFrame, languages: list[str], net: ByteGru | None, text_col
     of, at, names_out = len(docs.columns), docs.columns.index(text_col), [*docs.columns, pred, score]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store("language")  # makes room: nothing is kept here
         names, params, hidden = shared.value
         n = ByteGru(len(names), hidden)
         n.p = params
