@@ -14,6 +14,7 @@ from tierwork.llm import bpe, langid, lines, mixing, setjoin
 from tierwork.llm.ship import ship
 from tierwork.sources.storage import fresh_dir
 
+KEPT_PIECES = 200_000  # a worker also holds what the stages before left of its memory; fewer pieces only take longer
 LEAST_SCORE = 0.3  # pooled probability below which no language is believed
 
 
@@ -40,7 +41,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the bytes decoded from them."""
-    return bpe.digest_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digest_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, kept=KEPT_PIECES)
 
 
 def _shipped(stage):
