@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tierwork.functions.dates import fiscal_to_calendar, month_sequence, month_start
 from tierwork.functions.values import map_value, money, safe_ratio
-from tierwork.operators.ordered import keep_first, with_stats_of
+from tierwork.operators.ordered import keep_first, with_lattice_of
 
 
 def fx_rates(rates: DataFrame, entities: DataFrame, scenario: str, period: str, currency: str, rate: str) -> DataFrame:
@@ -117,8 +117,8 @@ def own_or_group(group: Column, own: Column) -> Column:
 
 
 def first_seen(df: DataFrame, date: str, starts: Mapping[str, str]) -> DataFrame:
-    """First date per key: ``starts`` names a new column for each key column."""
-    return with_stats_of(df, [([key], {into: F.min(date)}) for into, key in starts.items()])
+    """First date per key: ``starts`` names a new column for each key column. ``df`` is computed once."""
+    return with_lattice_of(df, [([key], {into: ("min", date)}) for into, key in starts.items()])
 
 
 def _month_shares(lines: DataFrame, start: str, end: str, amount: str, over: int, under: int) -> tuple[DataFrame, list[str]]:

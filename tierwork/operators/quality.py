@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tierwork.functions.text import MISSING, is_missing
 from tierwork.functions.values import safe_ratio
+from tierwork.operators.profiles import value_counts
 
 
 def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -18,21 +19,12 @@ def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column: rows, non-null, null, distinct, missing. One aggregation over the table."""
-    parts = []
-    for i, c in enumerate(columns):
-        text = F.col(c).cast("string")
-        parts += [
-            F.count(c).alias(f"nn{i}"), F.count_distinct(c).alias(f"d{i}"), F.count_if(is_missing(text)).alias(f"m{i}"),
-        ]
-    one = df.agg(F.count(F.lit(1)).alias("rows"), *parts)
-    per_column = [
-        F.struct(F.lit(c).alias("col_name"), F.col("rows").alias("rows"), F.col(f"nn{i}").alias("non_null_col"),
-                 (F.col("rows") - F.col(f"nn{i}")).alias("null_col"), F.col(f"d{i}").alias("distinct_col"),
-                 F.col(f"m{i}").alias("missing_col"))
-        for i, c in enumerate(columns)
-    ]
-    return one.select(F.inline(F.array(*per_column)))
+    """One row per column: rows, non-null, null, distinct, missing. Values are counted once for all columns."""
+    n_of = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    has = F.col("value").isNotNull()
+    return value_counts(df, columns).groupBy("col_name").agg(
+        F.sum("n").alias("rows"), n_of(has).alias("non_null_col"), n_of(~has).alias("null_col"),
+        F.count("value").alias("distinct_col"), n_of(F.col("is_missing")).alias("missing_col"))
 
 
 def multiple_values(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -18,6 +18,7 @@ from tierwork.plans.inputs import (
     order_lines, stored_rates, with_order,
 )
 from tierwork.plans.registry import Tables, plan
+from tierwork.sources.storage import cut_lineage
 
 
 def unified(t: Tables) -> DataFrame:
@@ -317,8 +318,10 @@ FROM m JOIN s USING (nation, month, l_returnflag) LEFT JOIN b USING (nation, mon
 """)
 def gp_trueup(t: Tables):
     margin = F.when(F.col("l_returnflag") == "N", F.lit(0).cast("decimal(18,2)")).otherwise(money(F.col("price") - F.col("quantity")))
-    d = documents(t).withColumns({"margin": margin, "month": month_start(F.col("o_date"))})
-    booked = nation_orders(t).where("o_orderstatus = 'F'").groupBy("nation", month_start(F.col("o_date")).alias("month")).agg(
+    heads = cut_lineage(nation_orders(t))  # read by the lines and by what is booked; the lines by their sums and by their shares
+    d = cut_lineage(order_lines(t).join(heads.select("o_orderkey", "nation", "o_date"), "o_orderkey").select(
+        "o_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "price", "nation", margin.alias("margin"), month_start(F.col("o_date")).alias("month")))
+    booked = heads.where("o_orderstatus = 'F'").groupBy("nation", month_start(F.col("o_date")).alias("month")).agg(
         F.sum("amount").alias("booked"))
     per_flag = booked.withColumn("l_returnflag", F.explode(F.array(F.lit("A"), F.lit("N"), F.lit("R"))))
     out = N.true_up(d, per_flag, ["nation", "month", "l_returnflag"], "margin", "price", "booked")
