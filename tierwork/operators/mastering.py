@@ -11,6 +11,7 @@ from tierwork.functions.text import MISSING
 from tierwork.functions.values import map_value, priority_rank
 from tierwork.operators.cdc import current_rows
 from tierwork.operators.ordered import group_size, keep_first, rank, running
+from tierwork.sources.storage import cut_lineage
 
 FARTHEST = 2**63 - 1
 
@@ -36,6 +37,41 @@ def best_record(df: DataFrame, keys: Sequence[str], newest: str, tie: str, colle
     )
 
 
+def name_positions(df: DataFrame, keys: Sequence[str], newest: str, tie: str, name: str) -> DataFrame:
+    """Every distinct name of every key as a row (keys, name, position, n_names), in the order ``best_record`` lists them.
+
+    Position 1 is the name whose best record is newest, then has the smallest ``tie``, then the smallest name; NULL times
+    come last and NULL names not at all. Positions are counted over sampled ranges, so a key with any number of names never
+    meets in one task. NULL keys are keys.
+    """
+    age = F.coalesce(-F.unix_micros(F.col(newest).cast("timestamp")), F.lit(FARTHEST))
+    names = df.where(F.col(name).isNotNull()).groupBy(*keys, name).agg(F.min(F.struct(age.alias("age"), F.col(tie).alias("tie"))).alias("__at"))
+    placed = names.select(*keys, name, F.col("__at.age").alias("__age"), F.col("__at.tie").alias("__tie"))
+    out = running(placed, keys, ["__age", "__tie", name], None, {"position": rank(), "n_names": group_size()})
+    return out.select(*keys, name, "position", "n_names")
+
+
+def best_record_bounded(df: DataFrame, keys: Sequence[str], newest: str, tie: str, name: str, longest: int,
+                        into: str = "all_names") -> tuple[DataFrame, DataFrame]:
+    """``best_record`` whose list holds the first ``longest`` names of the key, and a table of all names beyond it.
+
+    The records also carry ``n_names``, so a list that is not whole shows; list and table together hold each name once.
+    Keys are compared NULL-safely; a key without names has an empty list and 0.
+    """
+    if longest < 1:
+        raise ValueError("longest must be at least 1")
+    names = cut_lineage(name_positions(df, keys, newest, tie, name))
+    lists = names.where(F.col("position") <= longest).groupBy(*keys).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("position", name))), lambda e: e[name]).alias(into), F.max("n_names").alias("n_names"))
+    right = lists.select(F.struct(*keys).alias("__of"), into, "n_names")
+    best = keep_first(df, keys, [F.col(newest).desc_nulls_last(), F.col(tie)])
+    listed = best.withColumn("__key", F.struct(*keys)).join(right, F.col("__key").eqNullSafe(F.col("__of")), "left")
+    return listed.select(
+        *best.columns, F.coalesce(F.col(into), F.array().cast(lists.schema[into].dataType)).alias(into),
+        F.coalesce("n_names", F.lit(0)).alias("n_names"),
+    ), names.where(F.col("position") > longest)
+
+
 def with_customer_number(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column) != MISSING)
 

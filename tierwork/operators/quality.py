@@ -41,6 +41,38 @@ def conflicting_groups(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy(key).agg(F.count_distinct(value).alias("n_values")).where("n_values > 1")
 
 
+def catalogue_conflicts(df: DataFrame, kind: str, group: str, together: Sequence[str]) -> DataFrame:
+    """Kinds in several run groups and groups with several kinds, one row per (side, value, other) with ``n_others``.
+
+    Kinds in ``together`` may lie in several groups, and a group whose kinds are exactly these is right. Entries without a kind or
+    group are left out. The pairs are made distinct once; both sides come from them.
+    """
+    pairs = df.where(F.col(kind).isNotNull() & F.col(group).isNotNull()).select(
+        F.col(kind).cast("string").alias("kind"), F.col(group).cast("string").alias("grp")).distinct()
+    sides = pairs.select("kind", "grp", F.explode(F.array(
+        F.struct(F.lit("kind").alias("side"), F.col("kind").alias("value"), F.col("grp").alias("other")),
+        F.struct(F.lit("group").alias("side"), F.col("grp").alias("value"), F.col("kind").alias("other")))).alias("e")).select(
+        "e.*", F.col("kind").isin(*together).alias("__free"))
+    sizes = sides.groupBy("side", "value").agg(F.count(F.lit(1)).alias("n_others"), F.count_if("__free").alias("__n_free"))
+    right = F.when(F.col("side") == "kind", F.col("__n_free") > 0).otherwise(
+        (F.col("__n_free") == len(set(together))) & (F.col("n_others") == F.col("__n_free")))
+    return sides.join(sizes.where((F.col("n_others") > 1) & ~right), ["side", "value"]).select("side", "value", "other", "n_others")
+
+
+def catalogue_listing(df: DataFrame, active: str, order: str, wanted: Mapping[str, object]) -> DataFrame:
+    """Active entries whose attributes have the wanted values (compared as text), with ``sort_key``: the order, 0 without one."""
+    out = df.where(F.col(active).cast("string") == "1")
+    for name, value in wanted.items():
+        out = out.where(F.col(name).cast("string") == str(value))
+    return out.withColumn("sort_key", F.coalesce(F.col(order), F.lit(0)))
+
+
+def group_span(df: DataFrame, kind: str, group: str) -> DataFrame:
+    """Least and greatest run group of each kind: what to offer where a listing is empty."""
+    return df.where(F.col(kind).isNotNull()).groupBy(kind).agg(
+        F.min(group).alias("first_group"), F.max(group).alias("last_group"), F.count(F.lit(1)).alias("n_entries"))
+
+
 def accepted_values(df: DataFrame, column: str, allowed: Sequence) -> DataFrame:
     """One row: number of rows outside the list, an example, and OK / ERROR (WARNING for NULLs only)."""
     c = F.col(column)

@@ -44,6 +44,28 @@ def best_record(t: Tables):
     return out.select("id", "number", "tenant", "name", F.array_join("all_names", "|").alias("all_names"))
 
 
+LONGEST = 5
+
+
+@plan("best_record_bounded", f"""
+WITH c AS (SELECT c_nationkey AS nation, c_name AS name, o_orderdate AS seen, o_orderkey AS id, o_orderpriority AS priority FROM orders JOIN customer ON c_custkey = o_custkey),
+n AS (SELECT nation, name, seen, id, row_number() OVER (PARTITION BY nation, name ORDER BY seen DESC, id) AS rn FROM c),
+p AS (SELECT nation, name, row_number() OVER (PARTITION BY nation ORDER BY seen DESC, id, name) AS position, count(*) OVER (PARTITION BY nation) AS n_names FROM n WHERE rn = 1),
+b AS (SELECT nation, id, priority FROM c QUALIFY row_number() OVER (PARTITION BY nation ORDER BY seen DESC, id) = 1)
+SELECT nation, 'record' AS kind, id, priority, string_agg(name, '|' ORDER BY position) AS names, max(n_names) AS position FROM b JOIN p USING (nation) WHERE position <= {LONGEST} GROUP BY ALL
+UNION ALL SELECT nation, 'beyond', NULL, NULL, name, position FROM p WHERE position > {LONGEST}
+""")
+def best_record_bounded(t: Tables):
+    """Last order of each nation with its latest buyers: few in the list, all others as rows."""
+    who = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"), F.col("c_name").alias("name"))
+    orders = t.orders.select("o_custkey", F.col("o_orderdate").alias("at"), F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("priority"))
+    best, beyond = M.best_record_bounded(orders.join(who, "o_custkey"), ["nation"], "at", "id", "name", LONGEST)
+    records = best.select("nation", F.lit("record").alias("kind"), "id", "priority", F.array_join("all_names", "|").alias("names"),
+                          F.col("n_names").alias("position"))
+    return records.unionByName(
+        beyond.select("nation", F.lit("beyond").alias("kind"), F.col("name").alias("names"), "position"), allowMissingColumns=True)
+
+
 @plan("customer_sources", f"""
 WITH {ACCOUNTS} SELECT 'customer' AS kind, id, number, tenant FROM accounts WHERE is_current AND number <> 'NaN'
 QUALIFY row_number() OVER (PARTITION BY number, tenant ORDER BY modified DESC, account_id) = 1

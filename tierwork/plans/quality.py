@@ -274,6 +274,41 @@ def _(t: Tables):
     return Q.conflicting_groups(t.lineitem, "l_returnflag", "l_linestatus")
 
 
+CATALOGUE = """catalogue AS (
+  SELECT p_partkey AS entity, CASE WHEN p_size = 50 THEN NULL ELSE p_type END AS kind, length(p_type) + CASE WHEN p_type IN ('ECONOMY', 'PROMO') AND p_size > 40 THEN 10 ELSE 0 END AS run_group,
+         CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_size END AS run_order, CASE WHEN p_size > 10 THEN 1 ELSE 0 END AS active FROM part)"""
+
+
+def _catalogue(t: Tables):
+    far = F.col("p_type").isin("ECONOMY", "PROMO") & (F.col("p_size") > 40)
+    return t.part.select(
+        F.col("p_partkey").alias("entity"), F.when(F.col("p_size") != 50, F.col("p_type")).alias("kind"),
+        (F.length("p_type") + F.when(far, 10).otherwise(0)).alias("run_group"),
+        F.when(F.col("p_size") % 7 != 0, F.col("p_size")).alias("run_order"), F.when(F.col("p_size") > 10, 1).otherwise(0).alias("active"))
+
+
+@plan("catalogue_conflicts", f"""
+WITH {CATALOGUE}, p AS (SELECT DISTINCT kind, CAST(run_group AS VARCHAR) AS grp FROM catalogue WHERE kind IS NOT NULL AND run_group IS NOT NULL),
+k AS (SELECT *, count(*) OVER (PARTITION BY kind) AS n_groups, count(*) OVER (PARTITION BY grp) AS n_kinds, bool_and(kind IN ('PROMO', 'SMALL')) OVER (PARTITION BY grp) AS free FROM p)
+SELECT 'kind' AS side, kind AS value, grp AS other, n_groups AS n_others FROM k WHERE n_groups > 1 AND kind NOT IN ('PROMO', 'SMALL')
+UNION ALL SELECT 'group', grp, kind, n_kinds FROM k WHERE n_kinds > 1 AND NOT free
+""")
+def _(t: Tables):
+    return Q.catalogue_conflicts(_catalogue(t), "kind", "run_group", ["PROMO", "SMALL"])
+
+
+@plan("catalogue_listing", f"""
+WITH {CATALOGUE} SELECT entity, kind, run_group, coalesce(run_order, 0) AS sort_key, first_group, last_group, n_entries
+FROM catalogue JOIN (SELECT kind, min(run_group) AS first_group, max(run_group) AS last_group, count(*) AS n_entries FROM catalogue GROUP BY 1) USING (kind)
+WHERE active = 1 AND kind = 'ECONOMY' AND run_group = 7
+""")
+def _(t: Tables):
+    entries = _catalogue(t)
+    listed = Q.catalogue_listing(entries, "active", "run_order", {"kind": "ECONOMY", "run_group": 7})
+    return listed.join(Q.group_span(entries, "kind", "run_group"), "kind").select(
+        "entity", "kind", "run_group", "sort_key", "first_group", "last_group", "n_entries").orderBy("sort_key", "entity")
+
+
 @plan("schema_compare", """
 WITH a AS (SELECT column_name, column_type FROM (DESCRIBE orders)), n AS (SELECT count(*) AS n FROM orders)
 SELECT column_name, left_type, right_type, (SELECT n FROM n) AS n_left
