@@ -331,6 +331,23 @@ def test_closure_of_many_ways_up_and_few_nodes(spark):
         hierarchy.closure(spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "n string, p string"), "n", "p")
 
 
+def test_closure_stores_each_pair_once(spark, monkeypatch):
+    """Depths that are no powers of two, two ways of different length; what the rounds store adds up to the result."""
+    stored = []
+    for name in ("cut_lineage", "stored"):
+        real = getattr(hierarchy, name, None)
+        monkeypatch.setattr(hierarchy, name, lambda df, real=real: stored.append(real(df)) or stored[-1], raising=False)
+    edges = [(i, i // 2) for i in range(1, 200)] + [(i, i // 3) for i in range(1, 200)] + [(i, 1000 + i % 5) for i in range(1, 200)]
+    got = {(r.n, r.ancestor): r.depth for r in hierarchy.closure(spark.createDataFrame(edges, "n int, p int"), "n", "p").collect()}
+    want, level, depth = {}, {(n, p) for n, p in edges}, 1
+    while level:
+        want |= {pair: depth for pair in level if pair not in want}
+        level, depth = {(n, p) for n, a in level for m, p in edges if m == a}, depth + 1
+    assert got == want
+    rows = sum(df.count() for df in stored)
+    assert rows == len(got), (rows, len(got))
+
+
 def test_described_levels_and_what_they_refuse(spark):
     edges = spark.createDataFrame([("c", "b"), ("b", "a"), ("d", "a"), ("a", None)], "n string, p string")
     texts = spark.createDataFrame([("a", "top"), ("c", "leaf")], "code string, text string")

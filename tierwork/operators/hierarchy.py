@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwork.sources.storage import cut_lineage
+from tierwork.sources.storage import cut_lineage, stored
 
 
 def root_paths(edges: DataFrame, node: str, parent: str) -> DataFrame:
@@ -65,22 +65,29 @@ def flatten_levels(edges: DataFrame, node: str, parent: str, levels: int, under:
 def closure(edges: DataFrame, node: str, parent: str) -> DataFrame:
     """(node, ancestor, depth) for every ancestor of every node, at its least depth. Nodes may have several parents.
 
-    A round joins ancestors to their own ancestors and keeps one row per pair, so depth d takes log2(d) rounds and the work follows the pairs, not the
-    ways between them. Null parents are no edges; an edge that is given twice counts once. A node that is its own ancestor raises.
+    After the round with h steps all pairs of at most h steps are known. A pair of h + 1 to 2 h steps has a shortest way whose last h steps are a pair
+    of exactly h, so only those are joined to the known ones: depth d takes log2(d) rounds, and a pair is met once for each node that its shortest ways
+    have at that place. Each round stores its new pairs only. Ancestors without parents lead no further and are not joined.
+    Null parents are no edges; an edge that is given twice counts once. A node that is its own ancestor raises.
     """
-    pairs = cut_lineage(edges.select(F.col(node).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth")).dropna().distinct())
-    size = (pairs.count(), 0)
+    base = edges.select(F.col(node).alias("node"), F.col(parent).alias("ancestor")).dropna().distinct()
+    inner = base.select(F.col("node").alias("ancestor")).distinct().withColumn("inner", F.lit(True))
+    found = stored(base.join(inner, "ancestor", "left").select("node", "ancestor", F.lit(1).alias("depth"), F.coalesce("inner", F.lit(False)).alias("inner")))
+    pairs, steps = found, 1
     while True:
-        cycle = pairs.where("node = ancestor").limit(1).collect()
+        cycle = found.where("node = ancestor").limit(1).collect()
         if cycle:
             raise ValueError(f"hierarchy has a cycle through {cycle[0].node}")
-        further = pairs.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("above"), F.col("depth").alias("more"))
-        longer = pairs.join(further, "ancestor").select("node", F.col("above").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"))
-        pairs = cut_lineage(pairs.unionByName(longer).groupBy("node", "ancestor").agg(F.min("depth").alias("depth")))
-        now = tuple(pairs.agg(F.count(F.lit(1)), F.sum("depth")).first())
-        if now == size:
+        last = found.where(F.col("depth") == steps)
+        if last.isEmpty():
             return pairs.select(F.col("node").alias(node), "ancestor", "depth")
-        size = now
+        upper = last.select(F.col("node").alias("middle"), "ancestor", F.col("depth").alias("more"), "inner")
+        lower = pairs.where("inner").select("node", F.col("ancestor").alias("middle"), "depth")
+        longer = lower.join(upper, "middle").select("node", "ancestor", (F.col("depth") + F.col("more")).alias("depth"), "inner")
+        # dealt by node first: one aggregation behind the shuffle instead of one on either side of it
+        least = pairs.unionByName(longer).repartition("node").groupBy("node", "ancestor").agg(F.min("depth").alias("depth"), F.max("inner").alias("inner"))
+        found = stored(least.where(F.col("depth") > steps))
+        pairs, steps = pairs.unionByName(found), 2 * steps
 
 
 def described_levels(edges: DataFrame, node: str, parent: str, texts: DataFrame, code: str, text: str, levels: int) -> DataFrame:
