@@ -68,6 +68,24 @@ def test_large_quantities_unfold_whole(spark):
     assert values(got) == [(1, 2500, 2500, 2500), (2, 1000, 1000, 1000), (3, 1001, 1001, 1001)]
 
 
+def test_stacked_quantities_unfold_to_final_rows(spark):
+    """As many lines per unit as plain unfolding counts, without a grouping behind it; nulls, fractions, equal and large quantities."""
+    rows = [(1, 3.0, 5), (1, 3.7, None), (1, 1.0, 2), (1, 0.5, 9), (2, 2500.0, 1), (2, 999.0, 1), (2, 1000.0, 1), (None, 2.0, 4), (None, None, 4), (3, -1.0, 1), (3, None, 1)]
+    df = spark.createDataFrame(rows, "k long, q double, v long")
+    out = lookups.explode_quantity(lookups.stacked_quantities(df, ["k"], "q", {"n": F.count(F.lit(1)), "v": F.sum("v")}), "units", after="fewer")
+    plain = lookups.explode_quantity(df, "q").groupBy("k", "unit_no").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("v"))
+    cols = ["k", "unit_no", "n", "v"]
+    assert sorted(map(str, out.select(cols).collect())) == sorted(map(str, plain.select(cols).collect()))
+
+
+def test_serial_expansion_groups_nothing_behind_the_units(spark):
+    from tierwork.plans import QUERIES
+
+    for name in ("serial_expansion", "explode_quantity"):
+        text = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "explode" in text and "Aggregate" not in text[:text.index("Generate explode")], text
+
+
 def test_mapped_columns_fill_missing_source(spark):
     df = spark.createDataFrame([(1, "a")], "x long, y string")
     assert values(df.select(*columns.mapped_columns({"p": "y", "q": None}))) == [("a", "NaN")]

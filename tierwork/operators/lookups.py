@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -43,16 +43,34 @@ def join_either(a: DataFrame, b: DataFrame, first: str, second: str, key: str, v
 UNIT_BLOCK = 1000
 
 
-def explode_quantity(df: DataFrame, quantity: str, into: str = "unit_no") -> DataFrame:
-    """A line of n pieces becomes n rows numbered 1..n; lines below 1 give none.
+def unit_blocks(df: DataFrame, quantity: str, after: str | None = None) -> DataFrame:
+    """A row per block of at most ``UNIT_BLOCK`` pieces, numbered ``__first`` to ``__last``; ``after`` names a column with the pieces left out at the front."""
+    n = F.floor(F.col(quantity)).cast("long")
+    skipped = F.lit(0).cast("long") if after is None else F.col(after)
+    block = lambda last: F.floor((last - 1) / UNIT_BLOCK)
+    none = F.array().cast("array<long>")
+    blocks = df.withColumn("__block", F.explode(F.when(n > skipped, F.sequence(block(skipped + 1), block(n))).otherwise(none)))
+    start = F.col("__block") * UNIT_BLOCK
+    return blocks.withColumns({"__first": F.greatest(start, skipped) + 1, "__last": F.least(start + UNIT_BLOCK, n)}).drop("__block")
+
+
+def explode_quantity(df: DataFrame, quantity: str, into: str = "unit_no", after: str | None = None) -> DataFrame:
+    """A line of n pieces becomes n rows numbered 1..n, or from the number behind the column ``after``; lines below 1 give none.
 
     Blocks of pieces unfold first, then the pieces of each, so no row holds an array in proportion to its quantity.
     """
-    n = F.floor(F.col(quantity)).cast("long")
-    none = F.array().cast("array<long>")
-    blocks = df.withColumn("__block", F.explode(F.when(n >= 1, F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / UNIT_BLOCK))).otherwise(none)))
-    first = F.col("__block") * UNIT_BLOCK + 1
-    return blocks.withColumn(into, F.explode(F.sequence(first, F.least(first + UNIT_BLOCK - 1, n)))).drop("__block")
+    return unit_blocks(df, quantity, after).withColumn(into, F.explode(F.sequence("__first", "__last"))).drop("__first", "__last")
+
+
+def stacked_quantities(df: DataFrame, keys: Sequence[str], quantity: str, sums: Mapping[str, Column], units: str = "units", after: str = "fewer") -> DataFrame:
+    """(keys, units, after, sums): per key and quantity the sums over all lines of at least that many pieces, and the next smaller quantity.
+
+    The pieces ``after`` + 1 to ``units`` have exactly these lines, so they unfold to their final rows and nothing is grouped behind ``explode_quantity``.
+    """
+    alike = df.groupBy(*keys, F.floor(F.col(quantity)).cast("long").alias(units)).agg(*[c.alias(n) for n, c in sums.items()]).where(F.col(units) >= 1)
+    down = Window.partitionBy(*keys).orderBy(F.col(units).desc())
+    upto = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return alike.select(*keys, units, F.coalesce(F.lead(units).over(down), F.lit(0)).cast("long").alias(after), *[F.sum(n).over(upto).alias(n) for n in sums])
 
 
 def spine(entities: DataFrame, values: Column, into: str) -> DataFrame:

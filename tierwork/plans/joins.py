@@ -84,11 +84,9 @@ SELECT l_suppkey, unit_no, count(*) AS n, sum(CAST(l_extendedprice AS DECIMAL(18
 FROM (SELECT *, unnest(range(1, CAST(floor(l_quantity) AS BIGINT) + 1))::BIGINT AS unit_no FROM lineitem) GROUP BY 1, 2
 """)
 def explode_quantity(t: Tables):
-    # lines with the same supplier and quantity unfold alike: sum them before, not after
-    lines = t.lineitem.groupBy("l_suppkey", "l_quantity").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(money(F.col("l_extendedprice"))).alias("amount"))
-    return L.explode_quantity(lines, "l_quantity").groupBy("l_suppkey", "unit_no").agg(
-        F.sum("n").alias("n"), F.sum("amount").cast("double").alias("amount"))
+    # a unit has all lines of at least its number: summed along the quantities, before units unfold
+    lines = L.stacked_quantities(t.lineitem, ["l_suppkey"], "l_quantity", {"n": F.count(F.lit(1)), "amount": F.sum(money(F.col("l_extendedprice")))})
+    return L.explode_quantity(lines, "units", after="fewer").select("l_suppkey", "unit_no", "n", F.col("amount").cast("double").alias("amount"))
 
 
 @plan("join_on_expression", """

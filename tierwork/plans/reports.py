@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tierwork.functions.dates import month_start
 from tierwork.functions.values import money
 from tierwork.operators import reports as R
-from tierwork.operators.lookups import explode_quantity
+from tierwork.operators.lookups import explode_quantity, stacked_quantities
 from tierwork.operators.ordered import with_group_stats
 from tierwork.plans.inputs import DOCUMENTS, NATION_ORDERS, documents, nation_orders, order_lines, with_order
 from tierwork.plans.registry import Tables, plan
@@ -109,9 +109,9 @@ def wide_vendor_report(t: Tables):
 SELECT l_partkey, unit_no, count(*) AS n FROM (SELECT l_partkey, unnest(range(1, CAST(l_quantity AS BIGINT) + 1))::BIGINT AS unit_no FROM lineitem) GROUP BY 1, 2
 """)
 def _(t: Tables):
-    # lines with equal part and quantity unfold alike: counted first, so units unfold once per quantity
-    alike = t.lineitem.groupBy("l_partkey", "l_quantity").agg(F.count(F.lit(1)).alias("n_lines"))
-    return explode_quantity(alike, "l_quantity").groupBy("l_partkey", "unit_no").agg(F.sum("n_lines").alias("n"))
+    # a unit has all lines of at least its number: counted along the quantities, before units unfold
+    lines = stacked_quantities(t.lineitem, ["l_partkey"], "l_quantity", {"n": F.count(F.lit(1))})
+    return explode_quantity(lines, "units", after="fewer").select("l_partkey", "unit_no", "n")
 
 
 @plan("stock_on_hand", """
