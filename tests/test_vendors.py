@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierwork.operators import vendors as V
 
@@ -100,6 +101,30 @@ def test_report_picks_the_first_rule_and_unfolds_units(spark):
         ("units", None, None, end, None, None), ("units", -1, None, end, "r", None), ("late", 5, None, None, None, None)])
 
 
+def test_report_totals_agree_with_the_report(spark):
+    """Totals per row and block, merged, are those of the unfolded report; a part code that names the unit keeps units apart."""
+    d = dt.date(2024, 1, 1)
+    data = [("a", "x", 2, d), ("a", "z", None, d), ("b", "p", 3, d), ("b", "p", 12, d), ("b", "q", 0, d), ("b", None, 4, d), ("c", "r", -1, d),
+            ("c", "r", 2001, d), ("e", "t", 5, dt.date(2024, 1, 2)), ("e", "t", 5, d), (None, "v", 5, d)]
+    df = spark.createDataFrame(data, "brand string, name string, n int, d date")
+    kinds = {"code": "string", "serial": "string", "worth": "decimal(9,2)", "share": "double"}
+    more = {"worth": "unit_no / 4", "share": "CASE WHEN unit_no > 2 THEN n END"}
+    for code in ("name", "concat(name, unit_no % 3)"):
+        rules = spark.createDataFrame([REPORT[0], (*REPORT[1][:6], {**REPORT[1][6], **more, "code": code}), REPORT[2]], V.REPORT_RULES)
+        by = ["vendor", "report_date", "code"]
+        plain = V.report_by_rules(df, rules, kinds, ["n"]).groupBy(*by).agg(
+            F.count(F.lit(1)).alias("rows"), F.count("serial").alias("serials"), F.min("serial").alias("low"), F.max("serial").alias("high"),
+            F.sum("worth").alias("worth"), F.sum("share").alias("share"), F.max("unit_no").alias("last"))
+        totals = {"rows": ("count", None), "serials": ("count", "serial"), "low": ("min", "serial"), "high": ("max", "serial"),
+                  "worth": ("sum", "worth"), "share": ("sum", "share"), "last": ("max", "unit_no")}
+        parts = V.report_by_rules(df, rules, kinds, ["n"], totals)
+        assert parts.columns == ["vendor", "n", "report_date", "code", *totals]
+        merged = parts.groupBy(*by).agg(F.sum("rows").alias("rows"), F.sum("serials").alias("serials"), F.min("low").alias("low"), F.max("high").alias("high"),
+                                        F.sum("worth").alias("worth"), F.sum("share").alias("share"), F.max("last").alias("last"))
+        assert bag(merged) == bag(plain) and plain.count() >= 5
+        assert code != "name" or parts.count() == 10  # eight rows stay, the one of 2001 units has three blocks
+
+
 def test_a_new_vendor_is_a_new_row_and_many_rules_read_once(spark):
     df = spark.range(40).selectExpr("id", "concat('b', id % 20) AS brand")
     rules = [(i, f"v{i}", f"brand = 'b{i}'", None, None, "id", {"x": "id + 1" if i % 2 else "id"}) for i in range(19)]

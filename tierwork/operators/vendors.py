@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from tierwork.operators.lookups import explode_quantity
+from tierwork.operators.lookups import explode_quantity, unit_blocks
 
 MOST_RULES = 2000
 MATCH_RULES = "rule_no int, rule string, on_ext string, on_own string, with_note boolean, residual string, keep string"
@@ -104,13 +104,48 @@ def match_by_rules(ext: DataFrame, own: DataFrame, keys: Sequence[str], note: st
         "rule", *ext.columns, *[f"own_{c}" for c in own.columns])
 
 
-def report_by_rules(df: DataFrame, rules: DataFrame, columns: Mapping[str, str], common: Sequence[str]) -> DataFrame:
+def _case(texts: Sequence[str | None], kind: str) -> str:
+    """As ``_dispatch`` on the row's rule, as SQL text, so that ``unit_no`` in a rule's text may be bound by the surrounding lambda."""
+    branches: dict[str, list[int]] = {}
+    for i, text in enumerate(texts):
+        if text is not None:
+            branches.setdefault(text, []).append(i)
+    cases = [f"WHEN __rule IN ({', '.join(map(str, numbers))}) THEN ({text}\n)" for text, numbers in branches.items()]
+    return f"CAST({f'CASE {" ".join(cases)} END' if cases else 'NULL'} AS {kind})"
+
+
+def _sum_type(kind: str) -> str:
+    """What ``sum`` returns for a column of the type."""
+    if kind.startswith("decimal"):
+        p, s = (int(x) for x in kind[kind.index("(") + 1:-1].split(","))
+        return f"decimal({min(38, p + 10)},{s})"
+    return "double" if kind in ("double", "float") else "bigint"
+
+
+def _total(what: str, cells: Column, kind: str | None) -> Column:
+    """Count, min, max or sum of an array's values that are not NULL; a count without a type counts all."""
+    if what == "count":
+        return (F.size(cells) if kind is None else F.size(F.filter(cells, lambda x: x.isNotNull()))).cast("long")
+    if what in ("min", "max"):
+        return (F.array_min if what == "min" else F.array_max)(cells)
+    if what != "sum":
+        raise ValueError(f"unknown total {what}")
+    wide = _sum_type(kind)
+    return F.aggregate(cells, F.lit(None).cast(wide), lambda acc, x: F.coalesce((acc + x).cast(wide), acc, x.cast(wide)))
+
+
+def report_by_rules(df: DataFrame, rules: DataFrame, columns: Mapping[str, str], common: Sequence[str],
+                    totals: Mapping[str, tuple[str, str | None]] | None = None) -> DataFrame:
     """One wide report over all vendors in one scan.
 
     A row takes the first rule (``REPORT_RULES``) that ``applies``; ``keep`` filters it, ``report_date`` dates it and ``columns``
     holds the text of each report column, absent ones stay NULL. Where the rule has ``units``, a row of n >= 1 units becomes
     n rows with ``unit_no`` 1 to n (blocks first, so no row holds n values), which the column texts may use for serial numbers;
     fewer than 1 or NULL units leave the row as it is, without ``unit_no``. Rows without a rule go.
+
+    With ``totals`` (into -> (count, sum, min or max; column, ``unit_no`` or, to count rows, None)) the rows that one row of ``df`` and one block give come
+    as one, with their totals in place of ``unit_no`` and the columns these read, still to be merged by the caller: an aggregation then meets rows
+    and not units. If a column that stays depends on ``unit_no``, each unit is such a row by itself.
     """
     clash = [c for c in df.columns if c == "unit_no" or c.startswith("__")]
     if clash:
@@ -123,10 +158,37 @@ def report_by_rules(df: DataFrame, rules: DataFrame, columns: Mapping[str, str],
     keep = F.coalesce(_dispatch("__rule", [r.keep or "true" for r in listed]).cast("boolean"), F.lit(False))
     kept = df.withColumn("__rule", number).where(F.col("__rule").isNotNull()).where(keep)
     units = F.floor(_dispatch("__rule", [r.units for r in listed]).cast("double")).cast("long")
-    unfolded = explode_quantity(kept.withColumn("__units", units).withColumn("__rows", F.greatest(F.coalesce("__units", F.lit(1)), F.lit(1))),
-                                "__rows", "__no").withColumn("unit_no", F.when(F.col("__units") >= 1, F.col("__no")))
+    counted = kept.withColumn("__units", units).withColumn("__rows", F.greatest(F.coalesce("__units", F.lit(1)), F.lit(1)))
     texts = [r.columns or {} for r in listed]
-    return unfolded.select(
-        F.element_at(F.array(*[F.lit(r.vendor) for r in listed]).cast("array<string>"), F.col("__rule") + 1).alias("vendor"), *common, "unit_no",
-        _dispatch("__rule", [r.report_date for r in listed]).cast("date").alias("report_date"),
-        *[_dispatch("__rule", [t.get(name) for t in texts]).cast(kind).alias(name) for name, kind in columns.items()])
+    vendor = F.element_at(F.array(*[F.lit(r.vendor) for r in listed]).cast("array<string>"), F.col("__rule") + 1).alias("vendor")
+    dates = [r.report_date for r in listed]
+    if totals is None:
+        unfolded = explode_quantity(counted, "__rows", "__no").withColumn("unit_no", F.when(F.col("__units") >= 1, F.col("__no")))
+        return unfolded.select(
+            vendor, *common, "unit_no", _dispatch("__rule", dates).cast("date").alias("report_date"),
+            *[_dispatch("__rule", [t.get(name) for t in texts]).cast(kind).alias(name) for name, kind in columns.items()])
+
+    kinds = {**columns, "unit_no": "bigint"}
+    read = list(dict.fromkeys(c for _, c in totals.values() if c is not None))
+    staying = {"report_date": ("date", dates), **{n: (k, [t.get(n) for t in texts]) for n, k in columns.items() if n not in read}}
+    numbered = lambda some: any("unit_no" in text.lower() for text in some if text is not None)
+    by_unit = any(numbered(some) for _, some in staying.values())
+    if by_unit:
+        blocks = explode_quantity(counted, "__rows", "__no").withColumn("__nos", F.array("__no"))
+    else:
+        blocks = unit_blocks(counted, "__rows").withColumn("__nos", F.sequence("__first", "__last"))
+    blocks = blocks.withColumn("__nos", F.when(F.col("__units") >= 1, F.col("__nos")).otherwise(F.array(F.lit(None).cast("long"))))
+
+    def cells(some: Sequence[str | None], kind: str) -> Column:
+        """The column's value for each unit of the block."""
+        if not numbered(some):
+            return F.array_repeat(_dispatch("__rule", some).cast(kind), F.size("__nos"))
+        return F.expr(f"transform(__nos, unit_no -> {_case(some, kind)})")
+
+    def only(some: Sequence[str | None], kind: str) -> Column:
+        return cells(some, kind)[0] if numbered(some) else _dispatch("__rule", some).cast(kind)
+
+    of_units = [(F.col("__nos") if c == "unit_no" else cells([t.get(c) for t in texts], kinds[c])).alias(f"__of_{c}") for c in read]
+    filled = blocks.select(vendor, *common, *[only(some, kind).alias(n) for n, (kind, some) in staying.items()], "__nos", *of_units)
+    return filled.select("vendor", *common, *staying, *[
+        _total(what, F.col("__nos" if c is None else f"__of_{c}"), None if c is None else kinds[c]).alias(into) for into, (what, c) in totals.items()])

@@ -78,9 +78,12 @@ SELECT vendor, report_date, part_code, count(*) AS n_rows, sum(qty)::BIGINT AS q
 def vendor_report_with_serials(t: Tables):
     """Every brand falls under a rule; the report's rows, summed per vendor, date and part code."""
     items = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name", "p_type")
-    lines = with_order(order_lines(t).join(items, "l_partkey"), t)
-    out = V.report_by_rules(lines, t.spark.createDataFrame(REPORTS, V.REPORT_RULES), REPORT_COLUMNS, ["o_orderkey", "l_linenumber"])
+    # texts of the parts come last, so lines travel to their orders without them; units are summed where they unfold
+    lines = with_order(order_lines(t), t).join(items, "l_partkey")
+    totals = {"n_rows": ("count", None), "qty": ("sum", "qty"), "amount": ("sum", "amount"), "n_serials": ("count", "serial"),
+              "first_serial": ("min", "serial"), "last_serial": ("max", "serial"), "last_unit": ("max", "unit_no")}
+    out = V.report_by_rules(lines, t.spark.createDataFrame(REPORTS, V.REPORT_RULES), REPORT_COLUMNS, ["o_orderkey", "l_linenumber"], totals)
     return out.groupBy("vendor", "report_date", "part_code").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("qty").alias("qty"), F.sum("amount").cast("double").alias("amount"),
-        F.count("serial").alias("n_serials"), F.min("serial").alias("first_serial"), F.max("serial").alias("last_serial"),
-        F.max("unit_no").alias("last_unit"))
+        F.sum("n_rows").alias("n_rows"), F.sum("qty").alias("qty"), F.sum("amount").cast("double").alias("amount"),
+        F.sum("n_serials").alias("n_serials"), F.min("first_serial").alias("first_serial"), F.max("last_serial").alias("last_serial"),
+        F.max("last_unit").alias("last_unit"))
