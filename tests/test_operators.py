@@ -50,6 +50,23 @@ def test_summary_is_exact(spark):
     assert (got["s"].n_rows, got["s"].n_nulls, got["s"].min_value, got["s"].mean) == (101, 34, "b", None)
 
 
+def test_quartiles_come_from_ranges_and_not_from_one_task(spark):
+    """As Spark's own percentile over several ranges: a hot value, few and no values, negative ones; no task gathers a column."""
+    rows = [(float(i * 37 % 101) - 50.5, 7 if i % 3 else i, None, i if i < 2 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "x double, k int, e double, two int")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = quality.summarise(df, df.columns)
+        assert "percentile" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+        got = {r.column_name: (r.q1, r.median, r.q3) for r in out.collect()}
+        want = {c: df.select(*[F.percentile(c, F.lit(p)) for p in (0.25, 0.5, 0.75)]).first() for c in df.columns}
+        assert got == {c: tuple(r) for c, r in want.items()}
+        assert quality.summarise(df.limit(0), ["x"]).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def test_years_of_any_length_are_read(spark):
     from tierwork.operators.rules import RULE_TARGETS, finish_rules
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierwork.functions.text import MISSING, is_missing
 from tierwork.functions.values import safe_ratio
 from tierwork.operators.profiles import value_counts
+from tierwork.sources.storage import stored
 
 
 def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -239,27 +241,67 @@ def schema_diff(a: DataFrame, b: DataFrame, spark) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, left_type string, right_type string")
 
 
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
 def summarise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, n_rows, n_nulls, n_distinct, mean, stddev, min_value, q1, median, q3, max_value) per column.
 
-    Rows are counted per value first, so all columns are one aggregation of their values. Quartiles are exact (interpolated between
-    neighbours) and, like mean and deviation, NULL for texts; least and greatest values are shown as text.
+    Rows are counted per value first, so all columns are one aggregation of their values, which are stored in sampled ranges. Quartiles are exact
+    (interpolated between neighbours) and, like mean and deviation, NULL for texts; least and greatest values are shown as text.
     """
     plain = ("decimal", "double", "float", "int", "bigint", "smallint", "tinyint")
     numeric = {f.name for f in df.schema.fields if f.dataType.simpleString().startswith(plain)}
     cells = F.explode(F.array(*[F.struct(
         F.lit(c).alias("column_name"), F.col(c).cast("string").alias("text"),
         (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("number")) for c in columns]))
-    counted = df.select(cells.alias("c")).groupBy("c.column_name", "c.text", "c.number").agg(F.count(F.lit(1)).alias("n"))
+    values = df.select(cells.alias("c")).groupBy("c.column_name", "c.text", "c.number").agg(F.count(F.lit(1)).alias("n"))
+    counted = stored(values.repartitionByRange("column_name", "number", "text").withColumn("range", F.spark_partition_id()))
     total = F.sum(F.when(F.col("number").isNotNull(), F.col("n")))
     present = F.coalesce(F.sum(F.when(F.col("text").isNotNull(), F.col("n"))), F.lit(0))
-    quartile = lambda p: F.percentile("number", F.lit(p), F.col("n"))
     base = counted.groupBy("column_name").agg(
         F.sum("n").alias("n_rows"), (F.sum("n") - present).alias("n_nulls"), F.count("text").alias("n_distinct"),
         (F.sum(F.col("number") * F.col("n")) / total).alias("mean"), F.coalesce(F.min_by("text", "number"), F.min("text")).alias("min_value"),
-        quartile(0.25).alias("q1"), quartile(0.5).alias("median"), quartile(0.75).alias("q3"),
         F.coalesce(F.max_by("text", "number"), F.max("text")).alias("max_value"))
     apart = counted.join(base.select("column_name", "mean"), "column_name").groupBy("column_name").agg(
         F.sqrt(F.sum((F.col("number") - F.col("mean")) ** 2 * F.col("n")) / (total - 1)).alias("stddev"))
-    return base.join(apart, "column_name").select(
+    return base.join(apart, "column_name").join(_quartiles(counted), "column_name", "left").select(
         "column_name", "n_rows", "n_nulls", "n_distinct", "mean", "stddev", "min_value", "q1", "median", "q3", "max_value")
+
+
+def _quartiles(counted: DataFrame) -> DataFrame:
+    """(column_name, q1, median, q3) of (column_name, number, text, n, range): one count per column and range tells which ranges hold a quartile,
+    and only those are ordered, each by itself."""
+    numbers = counted.where("number IS NOT NULL")
+    sizes: dict[str, list[tuple[int, int]]] = {}
+    for r in numbers.groupBy("column_name", "range").agg(F.sum("n").alias("n")).orderBy("column_name", "range").collect():
+        sizes.setdefault(r.column_name, []).append((r.range, r.n))
+    place = {c: {q: (sum(n for _, n in of) - 1) * p for q, p in QUARTILES.items()} for c, of in sizes.items()}
+    before = F.lit(None).cast("long")  # values of the column in earlier ranges, NULL where the range holds no quartile
+    for c, of in sizes.items():
+        wanted = {f(x) for x in place[c].values() for f in (math.floor, math.ceil)}
+        passed = 0
+        for number, n in of:
+            if any(passed <= x < passed + n for x in wanted):
+                before = F.when((F.col("column_name") == c) & (F.col("range") == number), F.lit(passed).cast("long")).otherwise(before)
+            passed += n
+    ordered = Window.partitionBy("column_name", "range").orderBy("number", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = numbers.withColumn("before", before).where("before IS NOT NULL").withColumn("upto", F.col("before") + F.sum("n").over(ordered))
+
+    def at(q: str, step) -> Column:
+        position = F.lit(None).cast("long")
+        for c, of in place.items():
+            position = F.when(F.col("column_name") == c, F.lit(step(of[q])).cast("long")).otherwise(position)
+        return F.max(F.when((F.col("upto") > position) & (F.col("upto") - F.col("n") <= position), F.col("number")))
+
+    ends = placed.groupBy("column_name").agg(
+        *[at(q, f).alias(f"{q}_{side}") for q in QUARTILES for side, f in (("low", math.floor), ("high", math.ceil))])
+
+    def between(q: str) -> Column:
+        share = F.lit(None).cast("double")
+        for c, of in place.items():
+            share = F.when(F.col("column_name") == c, F.lit(of[q] - math.floor(of[q]))).otherwise(share)
+        low, high = F.col(f"{q}_low"), F.col(f"{q}_high")
+        return F.when(low == high, low).otherwise((1 - share) * low + share * high).alias(q)
+
+    return ends.select("column_name", *[between(q) for q in QUARTILES])
