@@ -454,6 +454,22 @@ def test_similar_texts_equal_brute_force(spark, monkeypatch, pct, letters, most)
     assert {r.a: r.b for r in got} == best and all(r.similarity == pytest.approx(1 - want[r.a, r.b]) for r in got)
 
 
+def test_names_that_share_most_characters_are_ruled_out_by_bits(spark, monkeypatch):
+    """Names that differ by digits only have no rare pieces; the bits lose no near pair and let few others through. Cells change nothing."""
+    names = [f"customer#{n:09d}" for n in random.Random(5).sample(range(300_000), 240)]
+    known = [n.replace("er#", "er ") if i % 5 == 0 else n for i, n in enumerate(names[120:])]
+    a = matching._with_bits(spark.createDataFrame([("k", x, False) for x in names[:120]], "control string, a string, few boolean"), "a", "x").drop("few")
+    b = matching._with_bits(spark.createDataFrame([("k", x, False) for x in known], "control string, b string, few boolean"), "b", "y").drop("few")
+    met = {(r.a, r.b) for r in a.join(b, "control").where(matching._may_be_near(F.lit(2))).select("a", "b").collect()}
+    far = {(x, y): _distance(x, y) for x, y in itertools.product(names[:120], known)}
+    assert {p for p, d in far.items() if d <= 2} <= met and len(met) < 0.1 * len(far)
+    monkeypatch.setattr(matching, "FEW_TEXTS", 0)
+    monkeypatch.setattr(matching, "CELL_PAIRS", 50)
+    got = matching.closest_texts(a.select("control", "a", F.lit(80).alias("pct")), b.select("control", "b", F.lit(80).alias("pct"))).collect()
+    want = {x: min((far[x, y], y) for y in known) for x in names[:120]}
+    assert {r.a: r.b for r in got} == {x: y for x, (d, y) in want.items() if d <= 3}
+
+
 def test_closest_texts_keep_controls_apart_and_their_thresholds(spark):
     a = spark.createDataFrame([("x", "abcdefghij", 90), ("y", "abcdefghij", 50), ("z", "abc", 50), ("x", "", 90), (None, "abc", 50)], "control string, a string, pct int")
     b = spark.createDataFrame([("x", "abcdefgh", 90), ("y", "abcdefgh", 50), ("y", "bcdefghi", 50), ("w", "abc", 50), ("y", "", 50)], "control string, b string, pct int")

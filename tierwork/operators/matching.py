@@ -5,20 +5,24 @@ before it. All passes are therefore solved once per distinct pair, fuzzy ones to
 answers are joined back, and the first pass with an answer wins: the result equals running the passes one after the other on
 what is still unmatched, in one linear plan.
 
-The fuzzy join is exact and does not compare all pairs of a control group. With similarity >= t, a lookup text of
+The fuzzy join (``similar_texts``) is exact and does not compare all pairs of a control group. With similarity >= t, a lookup text of
 length n tolerates k = floor((1 - t) * floor(n / t)) edits. k edits cannot touch all of k + 1 disjoint pieces of it, so every partner contains one
 of them near its place. Any k + 1 disjoint pieces will do: a text is indexed by those that fewest facts contain (the least level of
 frequency at which k + 1 disjoint pieces exist). Pieces and substrings meet in an equi-join; the edit distance is computed only for those pairs.
 
-Where only the best partner is wanted the search goes outwards: first few edits are allowed (few, long, rare pieces), then more. A text that
-has found a partner looks on only as far as a better one could be, so most texts leave after the first rounds. Thresholds are
-whole percents, so that no boundary case depends on floating point.
+Where only the best partner is wanted (``closest_texts``) the search goes outwards: first few edits are allowed, then more. A text that
+has found a partner looks on only as far as a better one could be, so most texts leave after the first rounds. In a round a text meets the
+lookup texts of its control of each length it can reach, in cells of a bounded number of pairs. A pair is first ruled out by bits: an edit takes
+away and adds at most one occurrence of a character, two bigrams and three trigrams; only what is left is compared. Nothing depends on pieces being
+rare, and no pair leaves a cell without being within its bound. Thresholds are whole percents, so that no boundary case depends on floating point.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +32,10 @@ from tierwork.sources.storage import cut_lineage
 
 NAN = "nan"
 PIECE_SIZES = (1, 2, 3, 5)
-FIRST_EDITS = 3  # of the first round of a search
+FIRST_EDITS = 2  # of the first round of a search
+FEW_TEXTS = 64  # lookup texts of a control up to which a text meets them all in the first round
+CELL_PAIRS = 1 << 21  # pairs that meet in a cell, about
+BIT_WORDS = {1: 2, 2: 4, 3: 6}  # words of 64 bits for the occurrences of characters, the bigrams and the trigrams of a text
 
 
 @dataclass(frozen=True)
@@ -119,34 +126,82 @@ def similar_texts(pairs: DataFrame, lookup: DataFrame, pct: int) -> DataFrame:
         "control", "a", "b", (1.0 - F.col("d") / F.col("longest").cast("double")).alias("similarity"))
 
 
+def _with_bits(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Adds the bits of a text (all 0 where ``few``): out0, out1 ... for its characters, each with the number it occurs at, then for its grams by size."""
+    at = F.sequence(F.lit(1), F.length(text))
+    letter = lambda i: F.substr(F.col(text), i, F.lit(1))
+    before = lambda i: F.substr(F.col(text), F.lit(1), i - 1)
+    nth = lambda i: F.length(before(i)) - F.length(F.replace(before(i), letter(i), F.lit("")))
+    gram = lambda size: lambda i: [F.substr(F.col(text), i, F.lit(size))]  # noqa: E731  the last ones of a text are shorter
+    words = []
+    for size, n in BIT_WORDS.items():
+        of = gram(size) if size > 1 else lambda i: [letter(i), nth(i)]
+        df = df.withColumn(f"__p{size}", F.when(~F.col("few"), F.transform(at, lambda i: F.pmod(F.xxhash64(*of(i)), F.lit(64 * n)).cast("int"))))  # noqa: B023
+        words += [F.expr(f"coalesce(aggregate(filter(__p{size}, p -> p div 64 = {no}), 0L, (bits, p) -> bits | shiftleft(1L, p % 64)), 0L)") for no in range(n)]
+    return df.withColumns({f"{out}{no}": w for no, w in enumerate(words)}).drop(*[f"__p{size}" for size in BIT_WORDS])
+
+
+def _may_be_near(most: Column) -> Column:
+    """Whether the bits x (of a) and y (of b) let two texts be at most ``most`` edits apart: true for all that are."""
+    lost = lambda one, two, no: F.bit_count(F.col(f"{one}{no}").bitwiseAND(F.bitwise_not(f"{two}{no}")))
+    tests, first = [], 0
+    for size, n in BIT_WORDS.items():
+        tests += [reduce(add, [lost(one, two, no) for no in range(first, first + n)]) <= size * most for one, two in ("xy", "yx")]
+        first += n
+    return reduce(lambda one, two: one & two, tests)
+
+
+def _near_pairs(texts: DataFrame, lookup: DataFrame, sizes: DataFrame, done: int, edits: int) -> DataFrame:
+    """(control, a, b, d, longest) of the pairs of up to ``edits`` edits that may be a text's best, if any of more than ``done`` edits is possible at their lengths.
+
+    Inputs: (control, a, pct, few, best, x0 ...), (control, b, n, y0 ...), distinct; ``sizes``: (control, n, nb), lookup texts per length. ``best``: d and longest of
+    the partner a text has, or null.
+    """
+    spark = texts.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    longest = F.greatest(F.length("a"), F.col("n"))
+    most = F.least(F.floor((100 - F.col("pct")) * longest / 100), F.floor(F.col("best.d") * longest / F.col("best.longest")), F.when(~F.col("few"), edits)).cast("int")
+    asking = texts.join(sizes, "control").withColumn("most", most).where((F.col("most") > done) & (F.abs(F.length("a") - F.col("n")) <= F.col("most"))).drop(
+        "pct", "few", "best", "nb")
+    cells = asking.groupBy("control", "n").agg(F.count(F.lit(1)).alias("na")).join(sizes, ["control", "n"])
+    cells = cut_lineage(cells.select("control", "n", F.ceil(F.col("na") * F.col("nb") / CELL_PAIRS).cast("int").alias("cells")))
+    # few bytes, many pairs: the number of tasks is given, so that they are not put together by their size
+    key = ["control", "n", "cell"]
+    left = asking.join(cells, ["control", "n"]).withColumn("cell", F.pmod(F.xxhash64("a"), F.col("cells")).cast("int")).drop("cells").repartition(tasks, *key)
+    right = lookup.join(cells, ["control", "n"]).withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).drop("cells").repartition(tasks, *key)
+    met = left.join(right, key).where(_may_be_near(F.col("most")))
+    return met.select("control", "a", "b", F.expr("levenshtein(a, b, most)").alias("d"), longest.alias("longest")).where("d >= 0")
+
+
 def closest_texts(pairs: DataFrame, lookup: DataFrame) -> DataFrame:
     """(control, a, b, similarity): for each a the most similar b of its control, the least of equally similar ones.
 
     Inputs: (control, a, pct), (control, b, pct): ``pct`` is the least similarity in percent and a function of the control. Texts without such a partner give no
-    row. Equal texts go first; then rounds of up to 3, 10, 31 ... edits. With a partner at d edits of L characters a text of m characters looks on for
-    partners of up to d * m / (L - d) edits: none beyond is more similar, or as similar. A round is checkpointed.
+    row. Equal texts go first; then rounds of up to 2, 3, 5, 8, 12 ... edits. With a partner at d edits of L characters a text of m characters looks on for
+    partners of n characters at up to d * max(m, n) / L edits: none beyond is more similar, or as similar. Texts of controls with few lookup texts take one round. A
+    round is checkpointed. Pairs are compared by bits, so a round's work grows with the texts still open times the lookup texts of the lengths they reach.
     """
-    bound = lambda c: _edits(F.length(c), F.col("pct"))
-    texts = pairs.where(F.length("a") > 0).select("control", "a", "pct", bound("a").alias("most")).distinct()
-    rows = cut_lineage(lookup.where(F.length("b") > 0).select("control", "b", bound("b").alias("k")).distinct())
+    texts = pairs.where(F.length("a") > 0).select("control", "a", "pct").distinct()
+    rows = cut_lineage(lookup.where(F.length("b") > 0).select("control", "b", F.length("b").alias("n")).distinct())
+    sizes = cut_lineage(rows.groupBy("control", "n").agg(F.count(F.lit(1)).alias("nb")))
+    held = sizes.groupBy("control").agg((F.sum("nb") <= FEW_TEXTS).alias("few"))
     exact = texts.join(rows.select("control", F.col("b").alias("a")), ["control", "a"], "left_semi")
     best = exact.select("control", "a", F.col("a").alias("b"), F.lit(0).alias("d"), F.length("a").alias("longest"))
-    open_ = cut_lineage(texts.join(exact, ["control", "a"], "left_anti").join(rows.select("control").distinct(), "control", "left_semi").where("most > 0"))
-    found, edits, done = None, FIRST_EDITS, 0
-    while (widest := open_.agg(F.max("most")).first()[0] or 0) > done:
-        level = F.lit(edits)
-        facing = _facing(
-            open_.where(F.col("most") > done).select("control", "a", F.least("most", level).alias("most")),
-            rows.where(F.col("k") > done).select("control", "b", F.least("k", level).alias("k")))
-        near = _scored(facing).join(open_.select("control", "a", "pct"), ["control", "a"]).where(_enough(F.col("pct"))).drop("pct")
+    widest = _edits(F.length("a"), F.col("pct"))
+    open_ = texts.join(exact, ["control", "a"], "left_anti").join(held, "control").where(widest > 0)
+    open_ = cut_lineage(_with_bits(open_.withColumn("best", F.lit(None).cast("struct<d: int, longest: int>")), "a", "x"))
+    rows = cut_lineage(_with_bits(rows.join(held, "control"), "b", "y").drop("few"))
+    found, done, edits = None, 0, FIRST_EDITS
+    while not open_.isEmpty():
+        near = _near_pairs(open_, rows, sizes, done, edits)
         found = near if found is None else found.unionByName(near)
         found = cut_lineage(keep_first(found, ["control", "a"], [F.col("d") / F.col("longest"), "b"]))
-        if edits >= widest:
-            break
-        further = F.floor(F.col("d") * F.length("a") / (F.col("longest") - F.col("d"))).cast("int")
-        open_ = cut_lineage(open_.join(found.select("control", "a", further.alias("further")), ["control", "a"], "left").select(
-            "control", "a", "pct", F.least("most", "further").alias("most")))
-        done, edits = edits, 3 * edits + 1
+        # the longest partner that could be as good has as many more characters as edits
+        further = F.floor(F.col("best.d") * F.length("a") / (F.col("best.longest") - F.col("best.d")))
+        left = open_.where(~F.col("few") & (widest > edits)).drop("best").join(
+            found.select("control", "a", F.struct("d", "longest").alias("best")), ["control", "a"], "left")
+        open_ = cut_lineage(left.where(F.coalesce(further, widest) > edits))
+        done, edits = edits, edits + (edits + 1) // 2
     if found is not None:
         best = best.unionByName(found)
     return best.select("control", "a", "b", (1.0 - F.col("d") / F.col("longest").cast("double")).alias("similarity"))
