@@ -179,6 +179,20 @@ def test_maxscore_prunes_nothing_it_needs():
         assert [(-s, i) for s, i in zip(score[row == q], ident[row == q])] == want
 
 
+def test_maxscore_of_dense_vectors_sums_blocks_and_gathers_no_pairs(monkeypatch):
+    r = np.random.default_rng(2)
+    v = np.floor(64 * r.normal(0, 0.125, (3000, 64))).astype(np.int64)
+    v[40:90] = v[:50]  # ties
+    ids = r.permutation(3000)
+    ids[7] = ids[8]
+    monkeypatch.setattr(np, "einsum", None)
+    row, score, ident = topk.maxscore(v[:70], ids[:70], v, ids, 20)
+    full = v[:70] @ v.T
+    for q in range(70):
+        want = sorted((-full[q, i], ids[i]) for i in range(3000) if ids[i] != ids[q])[:20]
+        assert [(-s, i) for s, i in zip(score[row == q], ident[row == q])] == want
+
+
 def test_near_vectors_of_odd_rows(spark):
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.01], 1), (4, [1.0, 0.0], 2), (5, [1.0, 0.0], None), (6, None, 1),
             (7, [0.0, 0.0], 1), (8, [None, 1.0], 1), (9, [float("nan"), 1.0], 1), (None, [1.0, 0.0], 1), (10, [], 1), (11, [1.0, 0.0, 0.0], 1), (12, [0.0, 1.0], 1)]

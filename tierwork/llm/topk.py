@@ -3,7 +3,9 @@
 A component is a term, a query's component its weight, a candidate's component the posting. The greatest and least posting of each term in a block of
 candidates bound what the term can add. Terms are ordered by the width of that bound; the last ones, which together cannot lift a candidate
 over the query's k-th score when all others are at their least, are non-essential. Essential terms are summed for all candidates of a block;
-others are probed, widest first, only for candidates that can still reach the k-th score.
+others are probed, widest first, only for candidates that can still reach the k-th score. Where that are many pairs of a
+block, as with dense vectors, gathering them costs more than it saves: then the other terms are summed for the whole block, and these scores raise the k-th score before
+any pair is looked at. All pairs of a query and a candidate block are bounded or summed, so the work is queries times candidates, in products of matrices.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 CELL = 8192  # queries, and candidates, that meet in one task
 BLOCK = 2048  # candidates whose bounds are taken together
 FIRST = 256  # candidates of a first block, which gives the first k-th scores
+PROBED = 64  # one pair in so many at most is probed; in blocks with more the other terms are summed for all
+CROWDED = 4  # times k pairs a query over the k-th score, beyond which a block gives a new k-th score first
 PROBES = 4  # steps in which non-essential terms are probed
 
 
@@ -29,6 +33,16 @@ def _top(query, score, ident, k):
     return query[keep], score[keep], ident[keep]
 
 
+def _merged(best, row, score, ident, limit, k):
+    """(best, limit) with further pairs: the k best per query, and the k-th scores so far."""
+    best = _top(np.concatenate((best[0], row)), np.concatenate((best[1], score.astype(float))), np.concatenate((best[2], ident)), k)
+    count = np.bincount(best[0], minlength=len(limit))
+    full = np.flatnonzero(count >= k)
+    limit = limit.copy()
+    limit[full] = np.maximum(limit[full], best[1][np.searchsorted(best[0], full) + k - 1])
+    return best, limit
+
+
 def maxscore(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, chunk: int = 512):
     """(query row, score, id) of each query's k best vectors with another id. Integer arrays (rows, terms)."""
     big = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(1, queries.shape[1])
@@ -54,7 +68,18 @@ def maxscore(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, id
             place = np.empty_like(order)
             np.put_along_axis(place, order, np.arange(q.shape[1])[None, :], 1)
             partial = np.where(place < essential[:, None], q, 0) @ v.T
-            row, col = np.nonzero(partial + rest[np.arange(m), essential][:, None] >= limit[:, None])
+            may = partial >= (limit - rest[np.arange(m), essential])[:, None]
+            if PROBED * np.count_nonzero(may) > may.size:
+                score = partial + np.where(place < essential[:, None], 0, q) @ v.T
+                if len(v) > k and np.count_nonzero(score >= limit[:, None]) > CROWDED * k * m:
+                    score[own[:, None] == vid[None, :]] = -np.inf
+                    limit = np.maximum(limit, np.partition(score, len(v) - k, axis=1)[:, len(v) - k])
+                row, col = np.nonzero(score >= limit[:, None])
+                ok = vid[col] != own[row]
+                row, col = row[ok], col[ok]
+                best, limit = _merged(best, row, score[row, col], vid[col], limit, k)
+                continue
+            row, col = np.nonzero(may)
             ok = vid[col] != own[row]
             row, col = row[ok], col[ok]
             score = partial[row, col]
@@ -69,10 +94,7 @@ def maxscore(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, id
                     score[s] += np.einsum("ij,ij->i", asked[row[s]], v[col[s]])
                 keep = score + rest[row, end[row]] >= limit[row]
                 row, col, score = row[keep], col[keep], score[keep]
-            best = _top(np.concatenate((best[0], row)), np.concatenate((best[1], score.astype(float))), np.concatenate((best[2], vid[col])), k)
-            count = np.bincount(best[0], minlength=m)
-            full = np.flatnonzero(count >= k)
-            limit[full] = best[1][np.searchsorted(best[0], full) + k - 1]
+            best, limit = _merged(best, row, score, vid[col], limit, k)
         parts.append((best[0] + at, best[1], best[2]))
     return tuple(np.concatenate([p[i] for p in parts]) for i in range(3)) if parts else (np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=np.int64))
 
