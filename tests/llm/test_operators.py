@@ -148,6 +148,28 @@ def test_jaccard_when_another_component_becomes_the_main_one(spark, monkeypatch)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == linked(rows, 1, 80, 100)
 
 
+def test_rounds_of_components_leave_few_files(spark, monkeypatch):
+    parts, keep = [], graph.cut_lineage
+
+    def spy(df):
+        out = keep(df)
+        parts.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(graph, "cut_lineage", spy)
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = {r.key: r.root for r in graph.components(spark.createDataFrame([(1, 2), (3, 2), (9, 8)], "a long, b long")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8}
+    assert len(parts) > 2 and max(parts[1:]) <= spark.sparkContext.defaultParallelism
+
+
 def test_boundary_follows_cost():
     sizes = np.zeros(200, dtype=int)
     sizes[5] = sizes[150] = 1000

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierwork.llm.frames import block_rows, may_contain, own_name, stored, sum_blocks
-from tierwork.llm.graph import components, spanning
+from tierwork.llm.graph import components, packed, spanning
 from tierwork.llm.words import mix, shingle_sets
 from tierwork.sources.storage import cut_lineage
 
@@ -332,9 +332,11 @@ def jaccard_components(
         for done in tried:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = cut_lineage(pairs)
+        pairs = packed(pairs, pairs.count())
         texts = _texts_of(rows, classes, pairs.select(F.col("a").alias("cls")).union(pairs.select("b")))
         tried.append(pairs)
-        links.append(cut_lineage(_verify(pairs, texts, shingle, num, den)))
+        found = cut_lineage(_verify(pairs, texts, shingle, num, den))
+        links.append(packed(found, found.count()))
 
     all_links = lambda: reduce(DataFrame.union, links)
     open_lists = members.withColumn("root", F.col("cls"))
