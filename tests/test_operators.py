@@ -478,6 +478,51 @@ def test_closest_texts_keep_controls_apart_and_their_thresholds(spark):
     assert matching.closest_texts(a.limit(0), b).count() == 0 and matching.closest_texts(a, b.limit(0)).count() == 0
 
 
+def test_bits_count_how_often_a_gram_occurs(spark):
+    """Texts of the same characters and few different grams: not near by the number of their grams."""
+    a, b = "aabb" * 5, "ab" * 10
+    x = matching._with_bits(spark.createDataFrame([("k", a, False)], "control string, a string, few boolean"), "a", "x").drop("few")
+    y = matching._with_bits(spark.createDataFrame([("k", b, False), ("k", a[1:], False)], "control string, b string, few boolean"), "b", "y").drop("few")
+    assert [r.b for r in x.join(y, "control").where(matching._may_be_near(F.lit(2))).collect()] == [a[1:]]
+
+
+@pytest.mark.parametrize(("pct", "letters", "most"), [(40, "abc", 14), (70, "abcdefgh", 40)])
+def test_closest_texts_in_blocks_equal_brute_force(spark, monkeypatch, pct, letters, most):
+    """Cells that go over several batches, blocks and tasks, of several controls, change nothing."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        for name, value in {"FEW_TEXTS": 3, "JOINED_PAIRS": 0, "BLOCK_PAIRS": 16, "CELL_PAIRS": 100, "FIRST_EDITS": 1}.items():
+            monkeypatch.setattr(matching, name, value)
+        sides = {k: _noisy_texts(pct + len(k), letters, most) for k in ("k", "kk")} | {"few": (["abcabc", "x"], ["abcab", "bcabc", "y"])}
+        frame = lambda side, c: spark.createDataFrame([(k, t) for k, v in sides.items() for t in v[side]], f"control string, {c} string").withColumn("pct", F.lit(pct))
+        got = {(r.control, r.a): (r.b, round(r.similarity, 9)) for r in matching.closest_texts(frame(0, "a"), frame(1, "b")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for k, (left, right) in sides.items():
+        for x in filter(None, left):
+            far = [(_distance(x, y) / max(len(x), len(y)), y) for y in filter(None, right)]
+            share, y = min((round(share, 9), y) for share, y in far)
+            if share * 100 <= 100 - pct:
+                want[k, x] = (y, round(1 - share, 9))
+    assert got == want
+
+
+def test_a_likely_partner_leaves_one_round(spark, monkeypatch):
+    """Texts whose best partner is 6 and more edits away do not look for nearer ones round after round."""
+    rng = random.Random(3)
+    texts = sorted("".join(rng.choice(["th", "e", "on", "r", "wh", "ti"]) for _ in range(24)) for _ in range(90))
+    known = [t[:20].replace("th", "ht") + t[21:] for t in texts]
+    rounds, real = [], matching._near_pairs
+    monkeypatch.setattr(matching, "JOINED_PAIRS", 0)
+    monkeypatch.setattr(matching, "_near_pairs", lambda *a: rounds.append(a[4]) or real(*a))
+    got = matching.closest_texts(
+        spark.createDataFrame([("k", t, 70) for t in texts], "control string, a string, pct int"), spark.createDataFrame([("k", t, 70) for t in known], "control string, b string, pct int")).collect()
+    far = {x: min((round(_distance(x, y) / max(len(x), len(y)), 9), y) for y in known) for x in texts}
+    assert {r.a: r.b for r in got} == {x: y for x, (share, y) in far.items() if share <= 0.3} and len(got) == 90
+    assert any(share > 0.15 for share, _ in far.values()) and len(rounds) == 1
+
+
 def test_cascade_order_codes_and_provenance(spark):
     facts = spark.createDataFrame([
         (1, "SKU1", "Acme"), (2, "SKU2", "Acmee Ltd"), (3, "SKU2", "other"), (4, "NaN", "NaN"), (5, "SKU9", "Acme"), (6, None, "Acme"),

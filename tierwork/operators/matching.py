@@ -10,20 +10,25 @@ length n tolerates k = floor((1 - t) * floor(n / t)) edits. k edits cannot touch
 of them near its place. Any k + 1 disjoint pieces will do: a text is indexed by those that fewest facts contain (the least level of
 frequency at which k + 1 disjoint pieces exist). Pieces and substrings meet in an equi-join; the edit distance is computed only for those pairs.
 
-Where only the best partner is wanted (``closest_texts``) the search goes outwards: first few edits are allowed, then more. A text that
-has found a partner looks on only as far as a better one could be, so most texts leave after the first rounds. In a round a text meets the
-lookup texts of its control of each length it can reach, in cells of a bounded number of pairs. A pair is first ruled out by bits: an edit takes
-away and adds at most one occurrence of a character, two bigrams and three trigrams; only what is left is compared. Nothing depends on pieces being
+Where only the best partner is wanted (``closest_texts``) a likely partner, one that shares many trigrams, bounds the search first: a text that has a
+partner looks only as far as a better one could be. In a round a text meets the lookup texts of its control of each length it can reach, in cells of a
+bounded number of pairs. A pair is first ruled out by bits: an edit takes away and adds at most one occurrence of a character, two of bigrams and three
+of trigrams; only what is left is compared. The bits of a block of pairs are compared at once (numpy, inside tasks). Nothing depends on pieces being
 rare, and no pair leaves a cell without being within its bound. Thresholds are whole percents, so that no boundary case depends on floating point.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+import math
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +39,11 @@ NAN = "nan"
 PIECE_SIZES = (1, 2, 3, 5)
 FIRST_EDITS = 2  # of the first round of a search
 FEW_TEXTS = 64  # lookup texts of a control up to which a text meets them all in the first round
-CELL_PAIRS = 1 << 21  # pairs that meet in a cell, about
-BIT_WORDS = {1: 2, 2: 4, 3: 6}  # words of 64 bits for the occurrences of characters, the bigrams and the trigrams of a text
+CELL_PAIRS = 1 << 24  # pairs that meet in a cell, about
+LIKELY_EDITS = 2  # difference of length up to which a likely partner is looked for
+JOINED_PAIRS = 1 << 12  # pairs of a control and length up to which they meet in a join
+BLOCK_PAIRS = 1 << 16  # pairs of a cell that are tested at once
+BIT_WORDS = {1: 4, 2: 6, 3: 8}  # words of 64 bits for the occurrences of characters, bigrams and trigrams in a text
 
 
 @dataclass(frozen=True)
@@ -127,18 +135,15 @@ def similar_texts(pairs: DataFrame, lookup: DataFrame, pct: int) -> DataFrame:
 
 
 def _with_bits(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds the bits of a text (all 0 where ``few``): out0, out1 ... for its characters, each with the number it occurs at, then for its grams by size."""
-    at = F.sequence(F.lit(1), F.length(text))
-    letter = lambda i: F.substr(F.col(text), i, F.lit(1))
-    before = lambda i: F.substr(F.col(text), F.lit(1), i - 1)
-    nth = lambda i: F.length(before(i)) - F.length(F.replace(before(i), letter(i), F.lit("")))
-    gram = lambda size: lambda i: [F.substr(F.col(text), i, F.lit(size))]  # noqa: E731  the last ones of a text are shorter
-    words = []
+    """Adds the bits of a text (all 0 where ``few``): out0, out1 ... for its grams by size, each with the number it occurs at; the last grams of a text are shorter."""
+    words, at = [], F.sequence(F.lit(1), F.length(text))
     for size, n in BIT_WORDS.items():
-        of = gram(size) if size > 1 else lambda i: [letter(i), nth(i)]
-        df = df.withColumn(f"__p{size}", F.when(~F.col("few"), F.transform(at, lambda i: F.pmod(F.xxhash64(*of(i)), F.lit(64 * n)).cast("int"))))  # noqa: B023
+        gram = lambda i: F.xxhash64(F.substr(F.col(text), i, F.lit(size)))  # noqa: B023, E731
+        nth = lambda g, i: i - F.array_position(f"__g{size}", g)  # noqa: B023, E731  grams are sorted, equal ones follow each other
+        df = df.withColumn(f"__g{size}", F.when(~F.col("few"), F.sort_array(F.transform(at, gram))))
+        df = df.withColumn(f"__p{size}", F.transform(f"__g{size}", lambda g, i: F.pmod(F.xxhash64(g, nth(g, i)), F.lit(64 * n)).cast("int")))  # noqa: B023
         words += [F.expr(f"coalesce(aggregate(filter(__p{size}, p -> p div 64 = {no}), 0L, (bits, p) -> bits | shiftleft(1L, p % 64)), 0L)") for no in range(n)]
-    return df.withColumns({f"{out}{no}": w for no, w in enumerate(words)}).drop(*[f"__p{size}" for size in BIT_WORDS])
+    return df.withColumns({f"{out}{no}": w for no, w in enumerate(words)}).drop(*[f"__{c}{size}" for c in "gp" for size in BIT_WORDS])
 
 
 def _may_be_near(most: Column) -> Column:
@@ -151,35 +156,152 @@ def _may_be_near(most: Column) -> Column:
     return reduce(lambda one, two: one & two, tests)
 
 
+def _cell_pairs(likeliest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``_may_be_near`` for the pairs of whole cells: (control, a, b, most) of those that the bits let through; ``likeliest``: for each a the b with most of its trigrams.
+
+    Rows come sorted by cell (control, n, p, q), those of ``side`` 0 (text a, most) before those of 1 (text b). The pairs of a cell are tested in
+    blocks of BLOCK_PAIRS; once few of a block are left, only those. A block's pairs leave before the next one, a cell stays in memory.
+    """
+    parts, words = [], 0
+    for size, n in BIT_WORDS.items():
+        parts.append((size, range(words, words + n)))
+        words += n
+    tests = [(size, of, forth) for forth in (True, False) for size, of in parts]
+    block = BLOCK_PAIRS
+
+    def shared(x: np.ndarray, y: np.ndarray, of: range) -> np.ndarray:
+        n = np.bitwise_count(x[of[0]] & y[of[0]]).astype(np.uint16)
+        for no in of[1:]:
+            n += np.bitwise_count(x[no] & y[no])
+        return n
+
+    def likely(x: np.ndarray, y: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.arange(len(most)), shared(x[:, :, None], y[:, None, :], parts[-1][1]).argmax(axis=1)
+
+    def near(x: np.ndarray, y: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        no_x, no_y, ok, i, j = ~x, ~y, None, None, None
+        for size, of, forth in tests:
+            one, two = (x, no_y) if forth else (no_x, y)
+            if i is None:
+                passed = shared(one[:, :, None], two[:, None, :], of) <= size * most[:, None]
+                ok = passed if ok is None else ok & passed
+                if np.count_nonzero(ok) * 16 < ok.size:
+                    i, j = np.nonzero(ok)
+            else:
+                passed = shared(one[:, i], two[:, j], of) <= size * most[i]
+                i, j = i[passed], j[passed]
+        return np.nonzero(ok) if i is None else (i, j)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of the cell that may go on in the next batch
+        for batch in itertools.chain(batches, [None]):
+            if batch is None and held is None:
+                return
+            new = [] if batch is None else [pa.Table.from_batches([batch])]
+            rows = pa.concat_tables([held, *new] if held is not None else new).combine_chunks()
+            if not len(rows):
+                continue
+            changes = np.zeros(len(rows) - 1, dtype=bool)
+            for key in ("control", "n", "p", "q"):
+                changes |= pc.not_equal(rows[key][1:], rows[key][:-1]).to_numpy()
+            starts = np.concatenate([[0], np.flatnonzero(changes) + 1, [len(rows)]])
+            if batch is not None:
+                held, starts = rows.slice(starts[-2]), starts[:-1]
+            bits = np.stack([rows[f"w{no}"].to_numpy() for no in range(words)]).view(np.uint64)
+            most, side = rows["most"].to_numpy(), rows["side"].to_numpy()
+            texts, controls = rows["text"], rows["control"]
+            lefts, rights, n = [], [], 0
+
+            def out() -> pa.RecordBatch:
+                i, j = np.concatenate(lefts), np.concatenate(rights)  # noqa: B023
+                return pa.Table.from_arrays(  # noqa: B023
+                    [controls.take(i), texts.take(i), texts.take(j), pa.array(most[i])], ["control", "a", "b", "most"]).combine_chunks().to_batches()[0]  # noqa: B023
+
+            for start, end in itertools.pairwise(starts.tolist()):
+                middle = start + int(np.searchsorted(side[start:end], 1))
+                if middle in (start, end):
+                    continue
+                step = max(1, block // (end - middle))
+                for at in range(start, middle, step):
+                    to = min(at + step, middle)
+                    i, j = (likely if likeliest else near)(bits[:, at:to], bits[:, middle:end], most[at:to])
+                    if len(i):
+                        lefts.append(i + at)
+                        rights.append(j + middle)
+                        n += len(i)
+                    if n >= block:
+                        yield out()
+                        lefts, rights, n = [], [], 0
+            if n:
+                yield out()
+
+    return run
+
+
+def _tasks(df: DataFrame) -> int:
+    """Tasks for few bytes with much work."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
+def _met(asking: DataFrame, lookup: DataFrame, sizes: DataFrame, likeliest: bool = False) -> DataFrame:
+    """(control, a, b, d, longest) of the asked pairs that are at most ``most`` edits apart; ``likeliest``: of a few of them, found by their bits.
+
+    Inputs: (control, a, few, n, most, x0 ...): a text asks for all partners of length n; (control, b, n, y0 ...), distinct; ``sizes``: (control, n, nb), lookup texts
+    per length. The texts that ask for a length and its lookup texts are dealt over p x q cells. Few pairs meet in a join, the others in blocks.
+    """
+    tasks, side = _tasks(asking), math.isqrt(CELL_PAIRS)
+    cells = asking.groupBy("control", "n", "few").agg(F.count(F.lit(1)).alias("na")).join(sizes, ["control", "n"])
+    cells = cut_lineage(cells.select(
+        "control", "n", (F.col("few") | (F.col("na") * F.col("nb") <= JOINED_PAIRS)).alias("joined"),
+        F.ceil(F.col("na") / side).cast("int").alias("ps"), F.ceil(F.col("nb") / side).cast("int").alias("qs")))
+    key = ["control", "n", "p", "q"]
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    one = lambda text, c: F.pmod(F.xxhash64(text), F.col(c)).cast("int")
+    left = asking.drop("few").join(cells, ["control", "n"]).withColumn("p", one("a", "ps")).withColumn("q", every("qs")).drop("ps", "qs")
+    right = lookup.join(cells, ["control", "n"]).withColumn("q", one("b", "qs")).withColumn("p", every("ps")).drop("ps", "qs")
+
+    # few bytes, many pairs: the number of tasks is given, so that they are not put together by their size
+    words = range(sum(BIT_WORDS.values()))
+    rows = left.where("not joined").select(*key, F.lit(0).alias("side"), F.col("a").alias("text"), "most", *[F.col(f"x{no}").alias(f"w{no}") for no in words]).unionByName(
+        right.where("not joined").select(*key, F.lit(1).alias("side"), F.col("b").alias("text"), F.lit(0).alias("most"), *[F.col(f"y{no}").alias(f"w{no}") for no in words]))
+    met = rows.repartition(tasks, *key).sortWithinPartitions(*key, "side").mapInArrow(_cell_pairs(likeliest), "control string, a string, b string, most int")
+    if not likeliest:
+        small, of_small = left.where("joined").drop("joined").repartition(tasks, *key), right.where("joined").drop("joined").repartition(tasks, *key)
+        met = met.unionByName(small.join(of_small, key).where(_may_be_near(F.col("most"))).select("control", "a", "b", "most"))
+    longest = F.greatest(F.length("a"), F.length("b"))
+    return met.select("control", "a", "b", F.expr("levenshtein(a, b, most)").alias("d"), longest.alias("longest")).where("d >= 0")
+
+
+def _likely_pairs(texts: DataFrame, lookup: DataFrame, sizes: DataFrame) -> DataFrame:
+    """As ``_near_pairs``, for each text only its likeliest partners of about its length: what is found bounds the search, nothing more."""
+    most = F.floor((100 - F.col("pct")) * F.greatest(F.length("a"), F.col("n")) / 100).cast("int")
+    off = F.abs(F.length("a") - F.col("n"))
+    asking = texts.where(~F.col("few")).join(sizes, "control").withColumn("most", most).where((off <= LIKELY_EDITS) & (off <= F.col("most")) & (F.col("most") > 0))
+    return _met(asking.drop("pct", "nb"), lookup, sizes, likeliest=True)
+
+
 def _near_pairs(texts: DataFrame, lookup: DataFrame, sizes: DataFrame, done: int, edits: int) -> DataFrame:
-    """(control, a, b, d, longest) of the pairs of up to ``edits`` edits that may be a text's best, if any of more than ``done`` edits is possible at their lengths.
+    """(control, a, b, d, longest) of the pairs that may be a text's best, if any of more than ``done`` edits is possible at their lengths.
 
     Inputs: (control, a, pct, few, best, x0 ...), (control, b, n, y0 ...), distinct; ``sizes``: (control, n, nb), lookup texts per length. ``best``: d and longest of
-    the partner a text has, or null.
+    the partner a text has, or null: then only pairs of up to ``edits`` edits.
     """
-    spark = texts.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
     longest = F.greatest(F.length("a"), F.col("n"))
-    most = F.least(F.floor((100 - F.col("pct")) * longest / 100), F.floor(F.col("best.d") * longest / F.col("best.longest")), F.when(~F.col("few"), edits)).cast("int")
-    asking = texts.join(sizes, "control").withColumn("most", most).where((F.col("most") > done) & (F.abs(F.length("a") - F.col("n")) <= F.col("most"))).drop(
-        "pct", "few", "best", "nb")
-    cells = asking.groupBy("control", "n").agg(F.count(F.lit(1)).alias("na")).join(sizes, ["control", "n"])
-    cells = cut_lineage(cells.select("control", "n", F.ceil(F.col("na") * F.col("nb") / CELL_PAIRS).cast("int").alias("cells")))
-    # few bytes, many pairs: the number of tasks is given, so that they are not put together by their size
-    key = ["control", "n", "cell"]
-    left = asking.join(cells, ["control", "n"]).withColumn("cell", F.pmod(F.xxhash64("a"), F.col("cells")).cast("int")).drop("cells").repartition(tasks, *key)
-    right = lookup.join(cells, ["control", "n"]).withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).drop("cells").repartition(tasks, *key)
-    met = left.join(right, key).where(_may_be_near(F.col("most")))
-    return met.select("control", "a", "b", F.expr("levenshtein(a, b, most)").alias("d"), longest.alias("longest")).where("d >= 0")
+    cap = F.when(~F.col("few") & F.col("best").isNull(), edits)
+    most = F.least(F.floor((100 - F.col("pct")) * longest / 100), F.floor(F.col("best.d") * longest / F.col("best.longest")), cap).cast("int")
+    asking = texts.join(sizes, "control").withColumn("most", most).where((F.col("most") > done) & (F.abs(F.length("a") - F.col("n")) <= F.col("most")))
+    return _met(asking.drop("pct", "best", "nb"), lookup, sizes)
 
 
 def closest_texts(pairs: DataFrame, lookup: DataFrame) -> DataFrame:
     """(control, a, b, similarity): for each a the most similar b of its control, the least of equally similar ones.
 
     Inputs: (control, a, pct), (control, b, pct): ``pct`` is the least similarity in percent and a function of the control. Texts without such a partner give no
-    row. Equal texts go first; then rounds of up to 2, 3, 5, 8, 12 ... edits. With a partner at d edits of L characters a text of m characters looks on for
-    partners of n characters at up to d * max(m, n) / L edits: none beyond is more similar, or as similar. Texts of controls with few lookup texts take one round. A
-    round is checkpointed. Pairs are compared by bits, so a round's work grows with the texts still open times the lookup texts of the lengths they reach.
+    row. Equal texts go first; then the likeliest partners, by their bits, give most texts one whose distance bounds the search: with a partner at d edits of L characters
+    a text of m characters looks for partners of n characters at up to d * max(m, n) / L edits, none beyond is more similar, or as similar, and is done after one round. The
+    others look up to 2, 8, 32 ... edits until they have found one. Texts of controls with few lookup texts take one round. A round is checkpointed. Pairs are compared by
+    bits, in blocks, so a round's work grows with the texts still open times the lookup texts of the lengths they reach.
     """
     texts = pairs.where(F.length("a") > 0).select("control", "a", "pct").distinct()
     rows = cut_lineage(lookup.where(F.length("b") > 0).select("control", "b", F.length("b").alias("n")).distinct())
@@ -188,20 +310,25 @@ def closest_texts(pairs: DataFrame, lookup: DataFrame) -> DataFrame:
     exact = texts.join(rows.select("control", F.col("b").alias("a")), ["control", "a"], "left_semi")
     best = exact.select("control", "a", F.col("a").alias("b"), F.lit(0).alias("d"), F.length("a").alias("longest"))
     widest = _edits(F.length("a"), F.col("pct"))
+    closer = lambda found: cut_lineage(keep_first(found, ["control", "a"], [F.col("d") / F.col("longest"), "b"]))
+    known = lambda texts, found: texts.join(
+        found.select("control", "a", F.struct("d", "longest").alias("best")), ["control", "a"], "left")
     open_ = texts.join(exact, ["control", "a"], "left_anti").join(held, "control").where(widest > 0)
-    open_ = cut_lineage(_with_bits(open_.withColumn("best", F.lit(None).cast("struct<d: int, longest: int>")), "a", "x"))
-    rows = cut_lineage(_with_bits(rows.join(held, "control"), "b", "y").drop("few"))
+    open_ = cut_lineage(_with_bits(open_.repartition(_tasks(texts), "control", "a"), "a", "x"))
+    rows = cut_lineage(_with_bits(rows.join(held, "control").repartition(_tasks(texts), "control", "b"), "b", "y").drop("few"))
     found, done, edits = None, 0, FIRST_EDITS
+    if not open_.where(~F.col("few")).isEmpty():
+        found = closer(_likely_pairs(open_, rows, sizes))
+    open_ = known(open_, found) if found is not None else open_.withColumn("best", F.lit(None).cast("struct<d: int, longest: int>"))
+    open_ = cut_lineage(open_)
     while not open_.isEmpty():
         near = _near_pairs(open_, rows, sizes, done, edits)
-        found = near if found is None else found.unionByName(near)
-        found = cut_lineage(keep_first(found, ["control", "a"], [F.col("d") / F.col("longest"), "b"]))
+        found = closer(near if found is None else found.unionByName(near))
         # the longest partner that could be as good has as many more characters as edits
         further = F.floor(F.col("best.d") * F.length("a") / (F.col("best.longest") - F.col("best.d")))
-        left = open_.where(~F.col("few") & (widest > edits)).drop("best").join(
-            found.select("control", "a", F.struct("d", "longest").alias("best")), ["control", "a"], "left")
+        left = known(open_.where(~F.col("few") & F.col("best").isNull() & (widest > edits)).drop("best"), found)
         open_ = cut_lineage(left.where(F.coalesce(further, widest) > edits))
-        done, edits = edits, edits + (edits + 1) // 2
+        done, edits = edits, 4 * edits
     if found is not None:
         best = best.unionByName(found)
     return best.select("control", "a", "b", (1.0 - F.col("d") / F.col("longest").cast("double")).alias("similarity"))

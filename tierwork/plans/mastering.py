@@ -13,6 +13,7 @@ from tierwork.operators.ordered import by_width, keep_first
 from tierwork.operators.rules import Rule, Test, apply_rules, finish_rules, with_defaults
 from tierwork.plans.inputs import DOCUMENTS, documents, quarterly_rates, QUARTERLY_RATES
 from tierwork.plans.registry import Tables, plan
+from tierwork.sources.storage import cut_lineage
 
 
 def accounts(t: Tables) -> DataFrame:
@@ -480,8 +481,9 @@ QUALIFY row_number() OVER (PARTITION BY s.control, a ORDER BY levenshtein(a, b)
 def _(t: Tables):
     """First sentences of the length of names, against a lookup that spells all of them another way: each finds the nearest, at 70 percent or more."""
     a, half = F.col("a"), F.floor(F.length("a") / 2).cast("int")
-    said = t.documents.where("lang IS NOT NULL AND text IS NOT NULL").select(
-        F.col("lang").alias("control"), F.regexp_replace(F.lower(F.regexp_extract("text", r"^[^.\n]*", 0)), "[^ -~]", "").alias("a"), F.lit(70).alias("pct")).where(F.length("a").between(10, 60)).distinct()
+    first = F.substring_index(F.substring_index("text", ".", 1), "\n", 1)  # of whole texts, so without a pattern
+    said = cut_lineage(t.documents.where("lang IS NOT NULL AND text IS NOT NULL").select(
+        F.col("lang").alias("control"), F.regexp_replace(F.lower(first), "[^ -~]", "").alias("a"), F.lit(70).alias("pct")).where(F.length("a").between(10, 60)).distinct())
     spelt = F.replace(F.concat(F.substr(a, F.lit(1), half), F.substr(a, half + 2)), F.lit("th"), F.lit("ht"))
     return X.closest_texts(said, said.select("control", spelt.alias("b"), "pct"))
 
