@@ -170,6 +170,49 @@ def test_rounds_of_components_leave_few_files(spark, monkeypatch):
     assert len(parts) > 2 and max(parts[1:]) <= spark.sparkContext.defaultParallelism
 
 
+def test_keys_that_several_classes_post(spark):
+    r = random.Random(5)
+    rows = [(r.randint(-40, 40) * 2**40, r.choice((r.randint(0, 3), r.randint(0, 60)))) for _ in range(300)] + [(7, c % 20) for c in range(200)] + [(8, 1)] * 9
+    of: dict[int, set] = {}
+    for e, c in rows:
+        of.setdefault(e, set()).add(c)
+    conf, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for n in (1, 7, 1000):
+            spark.conf.set(conf, n)
+            got = [(x.elem, x.cls) for x in setjoin._shared_keys(spark.createDataFrame(rows, "elem long, cls long")).collect()]
+            assert len(got) == len(set(got)) and set(got) == {(e, c) for e, cs in of.items() if len(cs) > 1 for c in cs}
+    finally:
+        spark.conf.set(conf, before)
+
+
+def test_near_duplicates_do_not_shuffle_or_store_every_text(spark):
+    """Also: repeated rows, null ids and columns that no Arrow batch holds; the files that stay are few."""
+    from pathlib import Path
+
+    from tierwork.sources.storage import shared_dir
+
+    r = random.Random(9)
+    word = lambda: f"{r.getrandbits(240):060x}"
+    texts = [[word() for _ in range(100)] for _ in range(300)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rows += [(1000 + i, " ".join(texts[i])) for i in range(20)]  # exact copies
+    rows += [(-1 - i, " ".join([word(), *texts[i][1:]])) for i in range(10, 30)]  # near ones, with the least ids
+    rows += [rows[i] for i in (40, 40, 41, 2)] + [(None, rows[50][1]), (None, " ".join([word(), *texts[60][1:]])), (None, word()), (77, " "), (78, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("c", F.expr("make_interval(0, 1, 0, 2)"))
+    least = {i: -1 - i if 10 <= i < 30 else i for i in range(300)}
+    want = sorted([*least.values(), 77, 78, None], key=str)
+    files = lambda: {f.getPath(): f.length() for f in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()) if "shuffle_" in f.getName()}
+    folders = lambda: {f.name for f in Path(shared_dir(spark).removeprefix("file://")).iterdir() if "setjoin" in f.name}
+    shuffled, stored = files(), folders()
+    got = setjoin.keep_one_of_each(docs)
+    assert got.columns == docs.columns
+    assert sorted((x.doc_id for x in got.select("doc_id", "text").collect()), key=str) == want
+    assert sum(n for f, n in files().items() if f not in shuffled) < 0.5 * sum(len(t or "") for _, t in rows)
+    assert {x.rpartition("-")[0] for x in folders() - stored} == {"setjoin-chosen"}
+
+
 def test_boundary_follows_cost():
     sizes = np.zeros(200, dtype=int)
     sizes[5] = sizes[150] = 1000

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierwork.sources.storage import cut_lineage, fresh_dir
@@ -84,22 +85,50 @@ def sum_blocks(rows: DataFrame, size: int, width: int) -> np.ndarray:
     return total.reshape(-1)
 
 
+@contextmanager
+def _brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of a query planned within go when its action ends; else they stay until the driver happens to collect its garbage.
+
+    Only for actions that have read all when they return: ``toLocalIterator`` has not.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: smaller than a checkpoint for tables of many rows."""
     to = fresh_dir(df.sparkSession, label)
-    df.write.parquet(to)
-    return df.sparkSession.read.schema(df.schema).parquet(to)
+    with _brief_shuffles(df.sparkSession):
+        df.write.parquet(to)
+    out = df.sparkSession.read.schema(df.schema).parquet(to)
+    out._stored_at = to
+    return out
 
 
-FILTER_BITS = 1 << 27  # at most: 16 MB
+def settled(df: DataFrame) -> DataFrame:
+    """``cut_lineage`` that leaves no shuffle files."""
+    with _brief_shuffles(df.sparkSession):
+        return cut_lineage(df.select("*"))
 
 
-def may_contain(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose long ``key`` may be among ``wanted`` (one long column): all that are, and few others.
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of tables that ``stored`` has returned; nothing may read them any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        at = context._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
 
-    A bit per key, in a map of about 16 bits per wanted key but never over ``FILTER_BITS``: it thins out a table before it is shuffled for an exact join.
-    With so many keys that the map fills up it only keeps more.
-    """
+
+FILTER_BITS = 1 << 27  # at most: 16 MB
+
+
+def _key_map(wanted: DataFrame) -> np.ndarray:
+    """A bit per key of ``wanted`` (one long column), in about 16 bits per key but never over ``FILTER_BITS``."""
     n = wanted.count()
     bits = min(FILTER_BITS, max(1 << 15, 1 << math.ceil(math.log2(16 * n + 1))))
     width = 1 << 12
@@ -114,16 +143,38 @@ def may_contain(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
         yield _block_batch(full, [parts[i].tobytes() for i in full])
 
     total = np.zeros((bits // 8 // width, width), dtype=np.uint8)
-    tasks = max(1, min(16, df.sparkSession.sparkContext.defaultParallelism))
+    tasks = max(1, min(16, wanted.sparkSession.sparkContext.defaultParallelism))
     for r in wanted.repartition(tasks).mapInArrow(mark, "block int, data binary").toLocalIterator():
         total[r.block] |= np.frombuffer(bytes(r.data), dtype=np.uint8)
-    shared = df.sparkSession.sparkContext.broadcast(total.tobytes())
+    return total.reshape(-1)
+
+
+def _marked(seen: np.ndarray, keys: pa.Array) -> pa.Array:
+    at = keys.to_numpy().view(np.uint64) % np.uint64(8 * len(seen))
+    return pa.array((seen[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1, pa.bool_())
+
+
+def may_contain(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose long ``key`` may be among ``wanted`` (one long column): all that are, and few others.
+
+    A bit per key (``_key_map``) thins out a table before it is shuffled for an exact join. With so many keys that the map fills up it only keeps more.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(_key_map(wanted).tobytes())
     place = df.columns.index(key)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.frombuffer(shared.value, dtype=np.uint8)
         for b in batches:
-            at = b.column(place).to_numpy().view(np.uint64) % np.uint64(bits)
-            yield b.filter(pa.array((seen[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1))
+            yield b.filter(_marked(seen, b.column(place)))
 
     return df.mapInArrow(keep, df.schema)
+
+
+def may_be_among(key: Column, wanted: DataFrame) -> Column:
+    """Whether a long ``key`` without nulls may be among ``wanted``, as in ``may_contain``; only the key goes to Python, so other columns may be of any type."""
+    shared = wanted.sparkSession.sparkContext.broadcast(_key_map(wanted).tobytes())
+
+    def run(keys: pa.Array) -> pa.Array:
+        return _marked(np.frombuffer(shared.value, dtype=np.uint8), keys)
+
+    return F.arrow_udf(run, "boolean")(key)

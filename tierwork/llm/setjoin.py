@@ -28,10 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwork.llm.frames import block_rows, may_contain, own_name, stored, sum_blocks
+from tierwork.llm.frames import block_rows, discard, may_be_among, may_contain, own_name, settled, stored, sum_blocks
 from tierwork.llm.graph import components, packed, spanning
 from tierwork.llm.words import mix, shingle_sets
-from tierwork.sources.storage import cut_lineage
 
 BITS, WIDTH = 21, 4096  # counters of the shingle sketch: fixed, so are its sum and its broadcast
 SIZES = 4096  # set sizes counted for the cost model
@@ -41,6 +40,7 @@ COUNTERS = 64  # per set, of its shingles by hash: two sets differ by at least a
 NEAREST = 2  # candidates with the nearest counters that a set gives per cell of a long list
 FEW = 32  # members up to which a list's last pairs are compared pair by pair; longer lists meet in cells
 BLOCK, SETS = 1 << 20, 1024  # about so many shingles, and sets, on one side of a cell
+POSTED = 1 << 16  # classes that a task remembers to have posted
 _SKETCH_BLOCKS = (1 << BITS) // WIDTH
 
 
@@ -114,7 +114,8 @@ def _sketch(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(id, th, n, cls, few, hist, posts) per row: size, a 64-bit name of the set (null for an empty one), 8 and 64 counters, and the keys it posts."""
+    """(id, th, n, cls, few, hist, posts) per row: size, a 64-bit name of the set (null for an empty one), 8 and 64 counters, and the keys it posts
+    (none where the task has posted the same set before)."""
     counts, sizes = _sketch(rows.select("text"), k)
     levels = np.minimum(255, 2 * np.log2(1 + counts)).astype(np.uint8)
     usual = counts.sum() / len(counts)
@@ -125,7 +126,7 @@ def _signatures(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
     both = -(-(bound + 1) * num // den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = np.frombuffer(shared.value, dtype=np.uint8)
+        level, seen = np.frombuffer(shared.value, dtype=np.uint8), set()
         for b in batches:
             n, cls, few, hist, posts = [], [], [], [], []
             for _, items in shingle_sets(b.column(2), k):
@@ -140,6 +141,11 @@ def _signatures(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 counters = np.bincount(mix(items) >> np.uint64(58), minlength=COUNTERS)
                 hist.append(np.minimum(counters, 32767).astype(np.int16).tobytes())
                 few.append(int(np.minimum(counters.reshape(8, -1).sum(axis=1), 127).astype(np.uint8).view(np.int64)[0]))
+                if cls[-1] in seen:
+                    posts.append(np.zeros(0, dtype=np.uint64))
+                    continue
+                if len(seen) < POSTED:
+                    seen.add(cls[-1])
                 keys = []
                 if len(items) <= bound:
                     keys.append(subset_keys(items, num, den))
@@ -159,6 +165,30 @@ def _signatures(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return rows.select("id", "th", "text").mapInArrow(run, f"id {kind}, th long, n long, cls long, few long, hist binary, posts array<long>")
 
 
+def _shared_keys(posted: DataFrame) -> DataFrame:
+    """(elem, cls) of ``posted``, each once, whose elem several classes post: dealt by elem once and read in order, so of a list only its last row is held."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        elem, cls, met = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), False  # the last row, and whether one before it has its elem
+        for b in batches:
+            elem, cls = np.concatenate((elem, b.column(0).to_numpy())), np.concatenate((cls, b.column(1).to_numpy()))
+            if not len(elem):
+                continue
+            first = np.ones(len(elem), dtype=bool)
+            first[1:] = (elem[1:] != elem[:-1]) | (cls[1:] != cls[:-1])
+            elem, cls = elem[first], cls[first]
+            same = elem[1:] == elem[:-1]
+            keep = np.append(same, False)
+            keep[1:] |= same
+            keep[0] |= met
+            met = bool(keep[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(elem[:-1][keep[:-1]]), pa.array(cls[:-1][keep[:-1]])], ["elem", "cls"])
+            elem, cls = elem[-1:], cls[-1:]
+        if met:
+            yield pa.RecordBatch.from_arrays([pa.array(elem), pa.array(cls)], ["elem", "cls"])
+
+    return posted.select("elem", "cls").repartition("elem").sortWithinPartitions("elem", "cls").mapInArrow(run, "elem long, cls long")
+
+
 def _most_apart(a, b, num: int, den: int):
     """Shingles by which two sets that link can differ at most."""
     return a + b - 2 * -(-num * (a + b) // (num + den))
@@ -284,7 +314,9 @@ def _texts_of(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFra
     """(cls, text) of the wanted classes: their texts are picked out while the documents are read, before anything is shuffled."""
     wanted = stored(classes.join(wanted.select("cls").distinct(), "cls").select("cls", F.col("of.id").alias("wid"), F.col("of.th").alias("wth")), "setjoin-wanted")
     met = may_contain(rows, "th", wanted.select("wth")).alias("r").join(wanted.alias("w"), (F.col("r.th") == F.col("w.wth")) & F.col("r.id").eqNullSafe(F.col("w.wid")))
-    return stored(met.groupBy("cls").agg(F.first("text").alias("text")), "setjoin-texts")
+    texts = stored(met.groupBy("cls").agg(F.first("text").alias("text")), "setjoin-texts")
+    discard(wanted)
+    return texts
 
 
 def jaccard_components(
@@ -297,15 +329,18 @@ def jaccard_components(
     component is the least id that is not null, or null. Empty tables give no rows; other columns are ignored.
     ``set_id`` names the component also where ids are null or repeated (null for rows that link with nothing by having no words);
     ``text_key`` is a 64-bit hash of the text.
+
+    Each stored table is deleted after its last use, the files of a shuffle after the action: disk holds one step at a time, and only the result stays.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
     signed = stored(_signatures(rows, shingle, num, den), "setjoin-signatures")
     classes = stored(signed.where("n > 0").groupBy("cls").agg(
         F.min("n").alias("n"), F.min(F.struct("id", "th")).alias("of"), F.min("id").alias("least_id"), F.min("few").alias("few"), F.min("hist").alias("hist")), "setjoin-classes")
-    posted = signed.select("cls", F.explode("posts").alias("elem"))
-    lists = posted.groupBy("elem").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("elem")
-    members = posted.join(lists, "elem").distinct()
-    members = stored(members.join(classes.select("cls", "n", "few"), "cls"), "setjoin-lists")
+    shared = stored(_shared_keys(signed.select("cls", F.explode("posts").alias("elem"))), "setjoin-keys")
+    sets = stored(signed.select("id", "th", "n", "cls"), "setjoin-sets")
+    discard(signed)
+    members = stored(shared.join(classes.select("cls", "n", "few"), "cls"), "setjoin-lists")
+    discard(shared)
 
     def near(m, n, x, y):
         """Sizes that can link, and eight counters (a byte each, 127 at most) that do not already differ too much."""
@@ -331,15 +366,16 @@ def jaccard_components(
         pairs = pairs.select(F.least("cls", "b").alias("a"), F.greatest("cls", "b").alias("b")).distinct()
         for done in tried:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
+        pairs = settled(pairs)
         pairs = packed(pairs, pairs.count())
         texts = _texts_of(rows, classes, pairs.select(F.col("a").alias("cls")).union(pairs.select("b")))
         tried.append(pairs)
-        found = cut_lineage(_verify(pairs, texts, shingle, num, den))
+        found = settled(_verify(pairs, texts, shingle, num, den))
+        discard(texts)
         links.append(packed(found, found.count()))
 
     all_links = lambda: reduce(DataFrame.union, links)
-    open_lists = members.withColumn("root", F.col("cls"))
+    open_lists, last = members.withColumn("root", F.col("cls")), None
     for turn in range(STAR_ROUNDS):
         drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "root", "cls").alias("draw"), F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("few").alias("bfew"), F.col("root").alias("broot")))
         anchors = open_lists.groupBy("elem").agg(drawn.alias("x")).select("elem", "x.*")
@@ -348,38 +384,46 @@ def jaccard_components(
         # of the anchors that a set meets and could link with, the one met in most lists
         best = _possible(found, classes, num, den).groupBy("cls").agg(F.max(F.struct("met", "b")).alias("x"))
         verify(best.select("cls", F.col("x.b").alias("b")))
-        open_lists = still_open(components(all_links()))
+        if last is not None:
+            discard(last)
+        open_lists = last = still_open(components(all_links()))
     # what is left: pairs of different components, one of them outside the main component of a list
     outside = F.col("root") != F.col("main")
     one, two = open_lists.where(outside & (F.col("met") <= FEW)).alias("o"), open_lists.where(F.col("met") <= FEW).alias("t")
     pairs = one.join(two, (F.col("o.elem") == F.col("t.elem")) & (F.col("o.root") != F.col("t.root")) & near(F.col("o.n"), F.col("t.n"), F.col("o.few"), F.col("t.few")))
     pairs = pairs.select(F.least("o.cls", "t.cls").alias("cls"), F.greatest("o.cls", "t.cls").alias("b")).distinct()
-    nearest = cut_lineage(_nearest(open_lists.where(F.col("met") > FEW), outside, classes, num, den))
+    nearest = settled(_nearest(open_lists.where(F.col("met") > FEW), outside, classes, num, den))
     verify(_possible(pairs, classes, num, den).union(nearest.select("cls", "b")))
     # sets of long lists with further candidates: against all members of their lists, if still outside. Where another component has become the main one,
     # such a set may be inside it now, and its partner in what was the main component before, which asked nothing: so these ask as well
     mains = lambda name: open_lists.where(F.col("met") > FEW).groupBy("elem").agg(F.first("main").alias(name))
-    before = cut_lineage(mains("was"))
+    before = settled(mains("was"))
+    discard(open_lists)
     roots = components(all_links())
     open_lists = still_open(roots)
+    discard(members)
     wide = nearest.where("more").select("cls").distinct().withColumn("wide", F.lit(True))
     now = roots.select(F.col("key").alias("was"), F.col("root").alias("now"))
     moved = before.join(mains("main"), "elem").join(now, "was", "left").select("elem", "main", F.coalesce("now", "was").alias("was")).where("was <> main").drop("main")
-    asked = open_lists.where(F.col("met") > FEW).join(wide, "cls", "left").join(cut_lineage(moved), "elem", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
+    asked = open_lists.where(F.col("met") > FEW).join(wide, "cls", "left").join(settled(moved), "elem", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
     asked = asked.withColumn("asks", outside & (F.col("wide") | F.coalesce(F.col("root") == F.col("was"), F.lit(False))))
     held = asked.groupBy("elem").agg(F.max("wide").alias("wide"), F.max("asks").alias("asks")).where("wide AND asks").select("elem")
-    asked = cut_lineage(asked.join(held, "elem", "left_semi"))
+    asked = settled(asked.join(held, "elem", "left_semi"))
+    discard(open_lists)
     texts = _texts_of(rows, classes, asked)
-    links.append(cut_lineage(_compare_lists(asked, F.col("asks"), texts, shingle, num, den)))
+    links.append(settled(_compare_lists(asked, F.col("asks"), texts, shingle, num, den)))
+    discard(texts)
     links = all_links()
     roots = components(links)
     placed = classes.select("cls", "least_id").join(roots.withColumnRenamed("key", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = cut_lineage(placed.join(least, "root").select("cls", "root", "component_id"))
-    out = signed.select("id", "th", "n", "cls").join(named, "cls", "left")
-    return out.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
-        F.col("root").alias("set_id"), F.col("th").alias("text_key"))
+    named = settled(placed.join(least, "root").select("cls", "root", "component_id"))
+    out = sets.join(named, "cls", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
+    kept = stored(out.select("id", "n", "component_id", "root", "th"), "setjoin-components")
+    discard(classes, sets)
+    out = kept.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("root").alias("set_id"), F.col("th").alias("text_key"))
+    out._stored_at = kept._stored_at
+    return out
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -388,11 +432,21 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Rows that repeat id and text are one document and stay once if chosen, whatever their other columns say. Null texts and texts without words link with
     nothing and all stay.
     """
-    i, th = own_name(docs, "_id"), own_name(docs, "_th")
+    key, th = own_name(docs, "_key"), own_name(docs, "_th")
     worded = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    found = jaccard_components(docs.where(worded), id_col, text_col, **how)
-    chosen = found.groupBy("set_id").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_key").alias("th"))).alias("x"))
-    chosen = chosen.select(F.col("x.id").alias(i), F.col("x.th").alias(th))
+    named = jaccard_components(docs.where(worded), id_col, text_col, **how)
+    found = named.select(F.col(id_col).alias("id"), F.col("text_key").alias("th"), "set_id")
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("x")
+    chosen = found.groupBy("set_id").agg(least).select(F.col("x.id").alias("id"), F.col("x.th").alias("th"))
+    times = found.groupBy("id", "th").agg(F.count(F.lit(1)).alias("times")).alias("f")
+    once = chosen.withColumn("chosen", F.lit(True)).alias("c")
+    doubtful = times.join(once, F.col("f.id").eqNullSafe(F.col("c.id")) & (F.col("f.th") == F.col("c.th")), "left").where("chosen IS NULL OR times > 1")
+    doubtful = settled(doubtful.select(F.xxhash64("f.id", "f.th").alias("key")))
+    chosen = stored(chosen, "setjoin-chosen")
+    discard(named)
     mine = docs.where(worded).withColumn(th, F.xxhash64(text_col))
-    kept = mine.alias("m").join(chosen.alias("c"), (F.col(f"m.{th}") == F.col(f"c.{th}")) & F.col(f"m.`{id_col}`").eqNullSafe(F.col(f"c.{i}"))).select("m.*")
-    return kept.dropDuplicates([th, id_col]).drop(th).unionByName(docs.where(~worded))
+    mine = mine.withColumn(key, may_be_among(F.xxhash64(id_col, th), doubtful))
+    # rows that surely stay are not shuffled: only those whose key may be another set's choice, or a repeated one, meet the choice
+    met = mine.where(F.col(key)).alias("m").join(chosen.alias("c"), (F.col(f"m.{th}") == F.col("c.th")) & F.col(f"m.`{id_col}`").eqNullSafe(F.col("c.id"))).select("m.*")
+    kept = mine.where(~F.col(key)).unionByName(met.dropDuplicates([th, id_col]))
+    return kept.drop(th, key).unionByName(docs.where(~worded))
